@@ -1,0 +1,83 @@
+"""Brace-depth framing of one message, shared by the batch and stream paths.
+
+Semantics (the reference's walk, with a stray ``}`` ignored outside a record):
+every ``{`` opens one level, every ``}`` closes one; a record runs from
+the ``{`` that leaves depth 0 to the ``}`` that returns to it. Braces
+inside JSON strings count like any other. Text at depth 0 is dropped.
+"""
+
+from __future__ import annotations
+
+import re
+
+_BRACE = re.compile(r"[{}]")
+
+WHOLE = "whole"     # record opens and closes in this message
+HEAD = "head"       # closes a record opened in an earlier message
+MIDDLE = "middle"   # the whole message lies inside an open record
+TAIL = "tail"       # opens a record that goes on after this message
+
+
+def cut_message(text: str, depth: int) -> tuple[list[tuple[int, str, str]], int]:
+    """Cut ``text`` entered at ``depth`` into pieces ``(pos, text, kind)``.
+
+    Returns the pieces and the depth after the message.
+    """
+    pieces: list[tuple[int, str, str]] = []
+    start = 0 if depth > 0 else -1
+    carried = depth > 0
+    for m in _BRACE.finditer(text):
+        i = m.start()
+        if text[i] == "{":
+            if depth == 0:
+                start, carried = i, False
+            depth += 1
+        elif depth > 0:
+            depth -= 1
+            if depth == 0:
+                pieces.append((start, text[start:i + 1], HEAD if carried else WHOLE))
+                start, carried = -1, False
+    if depth > 0:
+        pieces.append((start, text[start:], MIDDLE if carried else TAIL))
+    return pieces, depth
+
+
+class RecordAssembler:
+    """Sequential framing state for one (topic, partition): depth + open record.
+
+    ``max_record_chars`` bounds the buffer: a longer record is still framed
+    to its end (so later records are unchanged) but only its first chars are
+    kept, and it is reported as too long.
+    """
+
+    def __init__(self, depth: int = 0, buffer: str = "", length: int = 0,
+                 start_offset: int = -1, max_record_chars: int = 8 << 20):
+        self.depth = depth
+        self.buffer = buffer
+        self.length = length
+        self.start_offset = start_offset
+        self.max_record_chars = max_record_chars
+
+    def _add(self, piece: str) -> None:
+        room = self.max_record_chars + 1 - len(self.buffer)
+        if room > 0:
+            self.buffer += piece[:room]
+        self.length += len(piece)
+
+    def feed(self, text: str, offset: int):
+        """Yield ``(start_offset, pos, record, too_long)`` for each record closed here."""
+        pieces, self.depth = cut_message(text, self.depth)
+        for pos, piece, kind in pieces:
+            if kind == WHOLE:
+                yield offset, pos, piece, len(piece) > self.max_record_chars
+            elif kind == TAIL:
+                self.buffer, self.length, self.start_offset = "", 0, offset
+                self._add(piece)
+                self._pos = pos
+            elif kind == MIDDLE:
+                self._add(piece)
+            else:  # HEAD
+                self._add(piece)
+                yield (self.start_offset, getattr(self, "_pos", 0), self.buffer,
+                       self.length > self.max_record_chars)
+                self.buffer, self.length, self.start_offset = "", 0, -1
