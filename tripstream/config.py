@@ -51,6 +51,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     spark = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -63,9 +64,39 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tripstream`` importable in Python workers (as ``--py-files`` would).
+
+    Done once per SparkContext: the package is zipped on the driver and
+    handed to ``addPyFile``, which copies it to every executor.
+    """
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import tempfile
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, zpath = tempfile.mkstemp(prefix="tripstream-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 

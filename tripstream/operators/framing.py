@@ -1,35 +1,36 @@
 """Record framing (F1-F8): Kafka messages -> whole JSON object texts.
 
-Batch plan, all on (topic, partition) ordered by offset, but never one task
-per Kafka partition (a partition may hold a third of the data):
+Batch plan. Framing is sequential per (topic, partition) in offset order,
+but a Kafka partition may hold a third of all messages, so it is never one
+task per partition:
 
 1. F1/F2: decode, Java-trim, drop null and blank values (column exprs).
-2. Per message, JVM side: ``a`` = net depth change and ``m`` = lowest prefix
-   (<= 0) of its brace walk, and whether it is *self-contained*: balanced
-   groups of depth <= ``fast_depth`` and nothing else (one possessive regex).
-3. Depth entering each message with stray ``}`` clamped at 0 is a prefix
-   scan: ``d_in = P - least(0, min_{i<k}(P_i + m_i))`` with ``P`` the prefix
-   sum of ``a``. Two levels: windows inside offset blocks
-   (topic, partition, offset div block_size), block totals grouped on the
-   same partitioning, a window over the (few) block totals, and a join back.
-4. Fast path: self-contained messages entered at depth 0 ->
-   ``explode(regexp_extract_all(text, P_k))``, no Python.
-5. Other messages are cut by a small Arrow-batched helper into
-   whole / head / middle / tail pieces.
-6. Pieces of split records are keyed by the offset of the message that
-   opened them (a running max, two levels like step 3), lengths are summed
-   per record, and records up to ``max_record_chars`` are concatenated by a
-   group-by whose groups hold one record each. Longer ones are kept as a
-   ``too_long`` row with their first chars only.
+2. Per message, JVM side: whether it is *self-contained* (balanced groups
+   of depth <= ``fast_depth`` and nothing else: one possessive regex), else
+   ``a`` = net depth change and ``m`` = lowest prefix (<= 0) of its brace walk.
+3. Narrow pass, on ``(topic, partition, offset, a, m)`` only: the depth
+   entering each message, with a stray ``}`` clamped at 0, is the prefix scan
+   ``d_in = P - least(0, min_{i<k}(P_i + m_i))`` (P = prefix sum of ``a``),
+   run in two levels (windows inside offset blocks, a window over the few
+   block totals, joined back). Per block it keeps the first offset entered at
+   depth 0: block edges moved there give *segments* that no record crosses.
+4. Wide pass: messages are shuffled once, by (topic, partition, segment).
+   Every segment starts at depth 0, so depth, the key of the open record and
+   the cutting are all window / row work inside that partitioning:
+   self-contained messages entered at depth 0 are cut by
+   ``regexp_extract_all``; the rest by one ``aggregate`` over their brace
+   tokens (no Python anywhere in the batch path). Pieces of split records are grouped per record with no further
+   shuffle; groups are length-checked before their pieces are gathered, so
+   a never-closing brace gathers nothing and an over-long record keeps only
+   its first ``max_record_chars`` (flagged ``too_long``).
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tripstream.functions.text import decode_utf8, java_trim
-from tripstream.operators.framing_core import HEAD, MIDDLE, TAIL, WHOLE, cut_message
+from tripstream.operators.framing_core import HEAD, MIDDLE, TAIL, WHOLE
 
 DEFAULT_BLOCK = 1 << 20          # offsets per scan block
 DEFAULT_FAST_DEPTH = 8           # deepest object the regex path frames
@@ -72,124 +73,163 @@ def _brace_profile(text: Column) -> Column:
     )
 
 
-def _prefix_depth(prof: DataFrame, block_size: int) -> DataFrame:
-    """Add ``d_in`` (depth entering the message) and ``d_out`` (after it)."""
-    w = Window.partitionBy(*KEYS, "block").orderBy("offset")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    loc = (
-        prof.withColumn("block", F.floor(F.col("offset") / F.lit(block_size)).cast("long"))
-        .withColumn("P", F.coalesce(F.sum("a").over(before), F.lit(0)).cast("long"))
-        .withColumn("low", F.col("P") + F.col("m"))
-        .withColumn("Lmin", F.min("low").over(before))
-    )
-    blocks = loc.groupBy(*KEYS, "block").agg(
-        F.sum("a").cast("long").alias("A"), F.min("low").alias("Mb"))
-    wb = Window.partitionBy(*KEYS).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("PA", F.coalesce(F.sum("A").over(wb), F.lit(0)).cast("long"))
-    blocks = blocks.withColumn("X", F.min(F.col("PA") + F.col("Mb")).over(wb)).select(
-        *KEYS, "block", "PA", "X")
-    j = loc.join(blocks, [*KEYS, "block"])
-    p_g = F.col("PA") + F.col("P")
-    q_in = F.least(F.col("X"), F.col("PA") + F.col("Lmin"))
-    q_out = F.least(q_in, p_g + F.col("m"))
-    return j.select(
-        *KEYS, "offset", "block", "text", "fast",
-        (p_g - F.least(F.lit(0), F.coalesce(q_in, F.lit(0)))).alias("d_in"),
-        (p_g + F.col("a") - F.least(F.lit(0), F.coalesce(q_out, F.lit(0)))).alias("d_out"),
-        "m",
-    )
-
-
-_PIECES = T.ArrayType(T.StructType([
-    T.StructField("pos", T.IntegerType()),
-    T.StructField("piece", T.StringType()),
-    T.StructField("kind", T.StringType()),
-]))
+def _segments(prof: DataFrame, block_size: int) -> DataFrame:
+    """One row per (topic, partition, block): ``seg_start`` (first offset of
+    the block where no record is open, or null) and ``prev_seg`` (the segment
+    that earlier offsets of the block belong to).
 
-
-@F.pandas_udf(_PIECES)
-def _cut_pieces(text: pd.Series, depth: pd.Series) -> pd.Series:
-    out = []
-    for t, d in zip(text, depth):
-        pieces, _ = cut_message(t, int(d))
-        out.append([{"pos": p, "piece": s, "kind": k} for p, s, k in pieces])
-    return pd.Series(out)
-
-
-def _running_max_over_blocks(df: DataFrame, value: str, out: str) -> DataFrame:
-    """Exclusive running max of ``value`` per (topic, partition) by offset, in two levels."""
-    w = Window.partitionBy(*KEYS, "block").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
-    loc = df.withColumn("_lmax", F.max(value).over(w))
-    bm = loc.groupBy(*KEYS, "block").agg(F.max(value).alias("_bmax"))
+    Only messages that change the depth matter (self-contained ones have
+    ``a = m = 0``), so each block keeps just their sorted ``(offset, a, m)``;
+    map-side partial aggregation sends about one row per block and task.
+    """
+    blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
+    step = F.struct("offset", "a", "m")
+    blocks = (prof.select(*KEYS, blk.alias("block"), F.when(~F.col("fast"), step).alias("st"))
+              .groupBy(*KEYS, "block")
+              .agg(F.array_sort(F.collect_list("st")).alias("L")))
+    # block summary: f(d) = max(d + A, A - M) with M = min over i of (P_i + m_i)
+    summ = F.aggregate(
+        "L", F.struct(F.lit(0).cast("long").alias("P"), F.lit(0).cast("long").alias("M")),
+        lambda acc, x: F.struct((acc["P"] + x["a"]).alias("P"),
+                                F.least(acc["M"], acc["P"] + x["m"]).alias("M")))
+    tot = blocks.select(*KEYS, "block", summ["P"].alias("A"), summ["M"].alias("Mb"))
     wb = Window.partitionBy(*KEYS).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    bm = bm.select(*KEYS, "block", F.max("_bmax").over(wb).alias("_carry"))
-    return (loc.join(bm, [*KEYS, "block"])
-            .withColumn(out, F.greatest("_lmax", "_carry")).drop("_lmax", "_carry"))
+    tot = tot.withColumn("PA", F.coalesce(F.sum("A").over(wb), F.lit(0)).cast("long"))
+    tot = tot.withColumn("X", F.min(F.col("PA") + F.col("Mb")).over(wb))
+    tot = tot.select(*KEYS, "block",
+                     (F.col("PA") - F.least(F.lit(0), F.coalesce("X", F.lit(0)))).alias("D"))
+    j = blocks.join(tot, [*KEYS, "block"])
+    # first point of the block at depth 0: its start, or just after a message
+    # that leaves depth 0
+    walk = F.aggregate(
+        "L", F.struct(F.col("D").alias("d"), F.lit(None).cast("long").alias("z")),
+        lambda acc, x: F.struct(
+            F.greatest(acc["d"] + x["a"], x["a"] - x["m"]).alias("d"),
+            F.coalesce(acc["z"], F.when(F.greatest(acc["d"] + x["a"], x["a"] - x["m"]) == 0,
+                                        x["offset"] + 1)).alias("z")))
+    seg_start = F.when(F.col("D") == 0, F.col("block") * F.lit(block_size)).otherwise(walk["z"])
+    per_block = j.select(*KEYS, "block", seg_start.alias("seg_start"))
+    return per_block.withColumn(
+        "prev_seg", F.max(F.when(F.col("seg_start").isNotNull(), F.col("block"))).over(wb))
+
+
+_SPAN = "array<struct<s:int,e:int>>"
+
+
+def _cut_columns(text: Column, d_in: Column) -> Column:
+    """JVM cutter: pieces ``array<struct<pos, piece, kind>>`` of a message
+    entered at depth ``d_in``, by one pass over its brace / non-brace tokens.
+
+    State: chars consumed, depth, start of the open record (-1 when none or
+    carried in), end of the piece that closes a carried record, and the
+    spans of records opened and closed inside the message.
+    """
+    tokens = F.regexp_extract_all(text, F.lit(r"[{}]|[^{}]+"), 0)
+    init = F.struct(F.lit(0).alias("pos"), d_in.cast("int").alias("d"), F.lit(-1).alias("start"),
+                    F.lit(-1).alias("head"), F.expr(f"cast(array() as {_SPAN})").alias("recs"))
+
+    def step(acc, x):
+        opening = x == "{"
+        closing = (x == "}") & (acc["d"] > 0)
+        to_zero = closing & (acc["d"] == 1)
+        return F.struct(
+            (acc["pos"] + F.length(x)).alias("pos"),
+            F.when(opening, acc["d"] + 1).when(closing, acc["d"] - 1).otherwise(acc["d"]).alias("d"),
+            F.when(opening & (acc["d"] == 0), acc["pos"]).when(to_zero, F.lit(-1))
+            .otherwise(acc["start"]).alias("start"),
+            F.when(to_zero & (acc["start"] == -1) & (acc["head"] == -1), acc["pos"] + 1)
+            .otherwise(acc["head"]).alias("head"),
+            F.when(to_zero & (acc["start"] >= 0),
+                   F.array_append(acc["recs"], F.struct(acc["start"].alias("s"), (acc["pos"] + 1).alias("e"))))
+            .otherwise(acc["recs"]).alias("recs"),
+        )
+
+    st = F.aggregate(tokens, init, step)
+
+    def piece(pos, txt, kind):
+        return F.struct(pos.cast("int").alias("pos"), txt.alias("piece"), F.lit(kind).alias("kind"))
+
+    first = (F.when((d_in > 0) & (st["head"] >= 0), piece(F.lit(0), F.substring(text, F.lit(1), st["head"]), HEAD))
+             .when(d_in > 0, piece(F.lit(0), text, MIDDLE)))
+    wholes = F.transform(st["recs"], lambda r: piece(r["s"], F.substring(text, r["s"] + 1, r["e"] - r["s"]), WHOLE))
+    last = F.when((st["d"] > 0) & (st["start"] >= 0),
+                  piece(st["start"], F.substring(text, st["start"] + 1, F.length(text)), TAIL))
+    return F.filter(F.concat(F.array(first), wholes, F.array(last)), lambda p: p.isNotNull())
 
 
 def frame_records(messages: DataFrame, block_size: int = DEFAULT_BLOCK,
                   fast_depth: int = DEFAULT_FAST_DEPTH,
                   max_record_chars: int = DEFAULT_MAX_RECORD_CHARS,
-                  decoded: bool = False) -> DataFrame:
+                  regex_fast_path: bool = True, decoded: bool = False) -> DataFrame:
     """Frame messages into records: ``topic, partition, offset, pos, record, too_long``.
 
-    ``offset``/``pos`` locate the record's opening brace. Records still open
-    at the end of the input are not emitted (a stream keeps them in state).
+    ``offset``/``pos`` locate the record's opening brace (``pos`` is the
+    object's index for regex-cut messages). Records still open at the end of
+    the input are not emitted (a stream keeps them in its state).
+    ``regex_fast_path=False`` sends every message through the token cutter.
     """
     text = F.col("text")
     dec = messages if decoded else decode_messages(messages)
-    fast = text.rlike(self_contained_pattern(fast_depth))
-    prof = dec.select(*KEYS, "offset", "text", fast.alias("fast"),
-                      F.when(fast, F.struct(F.lit(0).alias("a"), F.lit(0).alias("m")))
-                      .otherwise(_brace_profile(text)).alias("pr"))
-    prof = prof.select(*KEYS, "offset", "text", "fast", "pr.a", "pr.m")
-    dep = _prefix_depth(prof, block_size)
-
-    # 4. regex path
-    quick = dep.where(F.col("fast") & (F.col("d_in") == 0)).select(
-        *KEYS, "offset", F.posexplode(F.regexp_extract_all(text, F.lit(object_pattern(fast_depth)), 0)))
-    quick = quick.select(*KEYS, "offset", F.col("pos").cast("int").alias("pos"),
-                         F.col("col").alias("record"),
-                         (F.length("col") > max_record_chars).alias("too_long"))
-
-    # 5. helper path: messages entered inside a record or not self-contained
-    linked = dep.where(~F.col("fast") | (F.col("d_in") > 0))
-    # the record open after a message started in it iff its walk touched depth 0
-    linked = linked.withColumn(
-        "opens_tail",
-        F.when((F.col("d_out") > 0) & (F.col("d_in") + F.col("m") <= 0), F.col("offset")))
-    linked = _running_max_over_blocks(linked, "opens_tail", "open_key")
-    pieces = linked.select(*KEYS, "offset", "open_key",
-                           F.explode(_cut_pieces(text, F.col("d_in"))).alias("p"))
-    pieces = pieces.select(*KEYS, "offset", "open_key", "p.pos", "p.piece", "p.kind")
-    whole = pieces.where(F.col("kind") == WHOLE).select(
-        *KEYS, "offset", "pos", F.col("piece").alias("record"),
-        (F.length("piece") > max_record_chars).alias("too_long"))
-
-    # 6. stitch split records; one group per record, length checked first
-    part = pieces.where(F.col("kind") != WHOLE).select(
-        *KEYS,
-        F.when(F.col("kind") == TAIL, F.col("offset")).otherwise(F.col("open_key")).alias("key"),
-        "offset", "pos", "piece", "kind")
-    wk = Window.partitionBy(*KEYS, "key")
-    part = (part.withColumn("total", F.sum(F.length("piece")).over(wk))
-            .withColumn("closed", F.max((F.col("kind") == HEAD).cast("int")).over(wk))
-            .withColumn("start_pos", F.max(F.when(F.col("kind") == TAIL, F.col("pos"))).over(wk))
-            .where((F.col("closed") == 1) & F.col("key").isNotNull()))
-    long_rec = part.where(F.col("total") > max_record_chars)
-    short_rec = part.where(F.col("total") <= max_record_chars)
-    joined = short_rec.groupBy(*KEYS, "key").agg(
-        F.first("start_pos").alias("pos"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", "piece"))),
+    fast = text.rlike(self_contained_pattern(fast_depth)) if regex_fast_path else F.lit(False)
+    zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("m"))
+    prof = (dec.select(*KEYS, "offset", "text", fast.alias("fast"))
+            .withColumn("pr", F.when(F.col("fast"), zero).otherwise(_brace_profile(text)))
+            .select(*KEYS, "offset", "text", "fast", "pr.a", "pr.m"))
+
+    segs = _segments(prof, block_size)
+    blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
+    wide = prof.withColumn("block", blk).join(segs, [*KEYS, "block"])
+    wide = wide.withColumn(
+        "seg", F.when(F.col("seg_start").isNotNull() & (F.col("offset") >= F.col("seg_start")),
+                      F.col("block")).otherwise(F.col("prev_seg")))
+
+    # depth inside the segment (it starts at 0) and the open record's key
+    w = Window.partitionBy(*KEYS, "seg").orderBy("offset")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    wide = (wide.withColumn("P", F.coalesce(F.sum("a").over(before), F.lit(0)))
+            .withColumn("Lmin", F.coalesce(F.min(F.col("P") + F.col("m")).over(before), F.lit(0))))
+    d_in = F.col("P") - F.least(F.lit(0), F.col("Lmin"))
+    d_out = F.col("P") + F.col("a") - F.least(F.lit(0), F.least(F.col("Lmin"), F.col("P") + F.col("m")))
+    wide = wide.select(*KEYS, "seg", "offset", "text", "fast", "m", d_in.alias("d_in"), d_out.alias("d_out"))
+    opens_tail = F.when((F.col("d_out") > 0) & (F.col("d_in") + F.col("m") <= 0), F.col("offset"))
+    wide = wide.withColumn("open_key", F.max(opens_tail).over(before))
+
+    # cut: regex for self-contained messages entered at depth 0, helper otherwise
+    quick = F.col("fast") & (F.col("d_in") == 0)
+    regex_pieces = F.transform(
+        F.regexp_extract_all(text, F.lit(object_pattern(max(fast_depth, 1))), 0),
+        lambda x, i: F.struct(i.cast("int").alias("pos"), x.alias("piece"), F.lit(WHOLE).alias("kind")))
+    helper_pieces = _cut_columns(text, F.col("d_in"))
+    pieces = wide.select(*KEYS, "seg", "offset", "open_key",
+                         F.explode(F.when(quick, regex_pieces).otherwise(helper_pieces)).alias("p"))
+    kind = F.col("p.kind")
+    own = kind.isin(WHOLE, TAIL)
+    pieces = pieces.select(
+        *KEYS, "seg", "offset", F.col("p.pos").alias("pos"), F.col("p.piece").alias("piece"),
+        kind.alias("kind"),
+        F.when(own, F.col("offset")).otherwise(F.col("open_key")).alias("rec_offset"),
+        F.when(kind == WHOLE, F.col("p.pos")).otherwise(F.lit(-1)).alias("gpos"))
+
+    # one group per record, inside the segment partitioning
+    grp = [*KEYS, "seg", "rec_offset", "gpos"]
+    wg = Window.partitionBy(*grp)
+    wo = wg.orderBy("offset", "pos").rowsBetween(Window.unboundedPreceding, -1)
+    n = F.length("piece")
+    pieces = (pieces.withColumn("total", F.sum(n).over(wg))
+              .withColumn("closed", F.max(F.col("kind").isin(WHOLE, HEAD).cast("int")).over(wg))
+              .withColumn("before", F.coalesce(F.sum(n).over(wo), F.lit(0))))
+    kept = pieces.where((F.col("closed") == 1) & F.col("rec_offset").isNotNull()
+                        & (F.col("before") < max_record_chars))
+    recs = kept.groupBy(*grp).agg(
+        F.max(F.when(F.col("kind").isin(WHOLE, TAIL), F.col("pos"))).alias("pos"),
+        F.max("total").alias("total"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", "pos", "piece"))),
                                  lambda s: s["piece"]), "").alias("record"))
-    joined = joined.select(*KEYS, F.col("key").alias("offset"), "pos", "record",
-                           F.lit(False).alias("too_long"))
-    # too long: keep the opening piece only (bounded), flagged
-    longs = long_rec.where(F.col("kind") == TAIL).select(
-        *KEYS, "offset", "pos",
-        F.substring("piece", 1, max_record_chars).alias("record"),
-        F.lit(True).alias("too_long"))
-    return quick.unionByName(whole).unionByName(joined).unionByName(longs)
+    too_long = F.col("total") > max_record_chars
+    return recs.select(
+        *KEYS, F.col("rec_offset").alias("offset"), F.col("pos").cast("int").alias("pos"),
+        F.when(too_long, F.substring("record", 1, max_record_chars)).otherwise(F.col("record")).alias("record"),
+        too_long.alias("too_long"))
 
 
 def framing_counters(messages: DataFrame, records: DataFrame) -> DataFrame:

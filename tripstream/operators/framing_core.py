@@ -43,41 +43,48 @@ def cut_message(text: str, depth: int) -> tuple[list[tuple[int, str, str]], int]
 
 
 class RecordAssembler:
-    """Sequential framing state for one (topic, partition): depth + open record.
+    """Sequential framing state for one (topic, partition).
 
-    ``max_record_chars`` bounds the buffer: a longer record is still framed
-    to its end (so later records are unchanged) but only its first chars are
-    kept, and it is reported as too long.
+    State: depth, the open record's kept text, its full length, and the
+    offset / position of its opening brace. ``max_record_chars`` bounds the
+    kept text: a longer record is still framed to its end (so later records
+    do not change) but only its first chars are kept and it is flagged.
     """
 
     def __init__(self, depth: int = 0, buffer: str = "", length: int = 0,
-                 start_offset: int = -1, max_record_chars: int = 8 << 20):
+                 start_offset: int = -1, start_pos: int = 0,
+                 max_record_chars: int = 8 << 20):
         self.depth = depth
         self.buffer = buffer
         self.length = length
         self.start_offset = start_offset
+        self.start_pos = start_pos
         self.max_record_chars = max_record_chars
 
+    def state(self) -> tuple:
+        return (self.depth, self.buffer, self.length, self.start_offset, self.start_pos)
+
     def _add(self, piece: str) -> None:
-        room = self.max_record_chars + 1 - len(self.buffer)
+        room = self.max_record_chars - len(self.buffer)
         if room > 0:
             self.buffer += piece[:room]
         self.length += len(piece)
 
     def feed(self, text: str, offset: int):
-        """Yield ``(start_offset, pos, record, too_long)`` for each record closed here."""
+        """Yield ``(offset, pos, record, too_long)`` for each record closed here."""
         pieces, self.depth = cut_message(text, self.depth)
         for pos, piece, kind in pieces:
             if kind == WHOLE:
-                yield offset, pos, piece, len(piece) > self.max_record_chars
+                too_long = len(piece) > self.max_record_chars
+                yield offset, pos, piece[:self.max_record_chars] if too_long else piece, too_long
             elif kind == TAIL:
-                self.buffer, self.length, self.start_offset = "", 0, offset
+                self.buffer, self.length = "", 0
+                self.start_offset, self.start_pos = offset, pos
                 self._add(piece)
-                self._pos = pos
             elif kind == MIDDLE:
                 self._add(piece)
             else:  # HEAD
                 self._add(piece)
-                yield (self.start_offset, getattr(self, "_pos", 0), self.buffer,
+                yield (self.start_offset, self.start_pos, self.buffer,
                        self.length > self.max_record_chars)
-                self.buffer, self.length, self.start_offset = "", 0, -1
+                self.buffer, self.length, self.start_offset, self.start_pos = "", 0, -1, 0

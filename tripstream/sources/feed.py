@@ -23,8 +23,10 @@ class FeedRules:
     """Which event ids get which message variant (rules on ``event_id``)."""
 
     partitions: int = 4
-    split_mod: int = 7          # id % 7 == 0: object cut over two messages
-    split_at: int = 20          # ... after this many characters
+    split: bool = True
+    split_mod: int = 7          # id % 7 == 0: object cut over several messages
+    split_at: tuple = (20,)     # ... after these many characters (at most 3 cuts)
+    pack: bool = True
     pack_mod: int = 5           # id % 5 == 3: packed with its neighbours
     pack_rem: int = 3
     pack_span: int = 40         # ids of one partition within 40 share a message
@@ -104,39 +106,43 @@ def trip_messages(events: DataFrame, rules: FeedRules = FeedRules(), faults: boo
                   extras: bool = True) -> DataFrame:
     """Messages with Kafka's columns: ``key, value, topic, partition, offset, timestamp``.
 
-    Offsets: event ``i`` owns the four offsets ``4*(i div 4) + k`` of
-    partition ``i % 4``; k=0,1 carry its object (k=1 only when split),
-    k=2,3 the extra tombstone / blank / stray-brace messages.
+    Offsets: event ``i`` owns the eight offsets ``8*(i div 4) + k`` of
+    partition ``i % 4``; k=0..3 carry its object (k>0 only when split),
+    k=4,5 the extra tombstone / blank / stray-brace messages.
     """
     r = rules
     i = F.col("event_id")
     j = trip_json(events, r, faults=faults, bad_dates=bad_dates)
     part = F.pmod(i, F.lit(r.partitions)).cast("int")
-    slot = F.floor(i / F.lit(r.partitions)).cast("long") * 4
-    packed = F.pmod(i, F.lit(r.pack_mod)) == r.pack_rem
-    split = (F.pmod(i, F.lit(r.split_mod)) == 0) & ~packed
+    slot = F.floor(i / F.lit(r.partitions)).cast("long") * 8
+    packed = (F.pmod(i, F.lit(r.pack_mod)) == r.pack_rem) if r.pack else F.lit(False)
+    split = ((F.pmod(i, F.lit(r.split_mod)) == 0) & ~packed) if r.split else F.lit(False)
     text = F.col("json")
+    cuts = list(r.split_at)[:3]
 
     def msg(k: int, value: Column, keep: Column) -> Column:
         return F.struct(F.lit(k).alias("k"), value.alias("v"), keep.alias("keep"))
 
-    parts = [
-        msg(0, F.when(split, F.substring(text, 1, r.split_at)).otherwise(text), ~packed),
-        msg(1, F.expr(f"substring(json, {r.split_at + 1})"), split),
-    ]
+    bounds = [0] + cuts
+    parts = [msg(0, F.when(split, F.substring(text, 1, cuts[0])).otherwise(text), ~packed)]
+    for k, lo in enumerate(cuts, start=1):
+        hi = bounds[k + 1] if k + 1 < len(bounds) else None
+        piece = (F.expr(f"substring(json, {lo + 1}, {hi - lo})") if hi is not None
+                 else F.expr(f"substring(json, {lo + 1})"))
+        parts.append(msg(k, piece, split))
     if extras:
         parts += [
-            msg(2, F.when(F.pmod(i, F.lit(r.tombstone_mod)) == r.tombstone_rem, F.lit(None))
+            msg(4, F.when(F.pmod(i, F.lit(r.tombstone_mod)) == r.tombstone_rem, F.lit(None))
                 .otherwise(F.lit(" \t ")),
                 F.pmod(i, F.lit(r.tombstone_mod)).isin(r.tombstone_rem, r.blank_rem)),
-            msg(3, F.lit("}"), F.pmod(i, F.lit(r.stray_mod)) == r.stray_rem),
+            msg(5, F.lit("}"), F.pmod(i, F.lit(r.stray_mod)) == r.stray_rem),
         ]
     single = (
         j.select(i.alias("event_id"), "ts", part.alias("partition"), slot.alias("slot"),
                  F.explode(F.array(*parts)).alias("m"))
         .where(F.col("m.keep"))
         .select(
-            F.when(F.col("m.k") <= 1, F.concat(F.lit("e"), i.cast("string"))).cast("binary").alias("key"),
+            F.when(F.col("m.k") <= 3, F.concat(F.lit("e"), i.cast("string"))).cast("binary").alias("key"),
             F.col("m.v").cast("binary").alias("value"),
             F.lit(topic).alias("topic"),
             "partition",
