@@ -34,7 +34,7 @@ from tripstream.operators.framing_core import HEAD, MIDDLE, TAIL, WHOLE
 
 DEFAULT_BLOCK = 1 << 20          # offsets per scan block
 DEFAULT_FAST_DEPTH = 8           # deepest object the regex path frames
-DEFAULT_MAX_RECORD_CHARS = 8 << 20
+DEFAULT_MAX_RECORD_CHARS = 1 << 20
 
 KEYS = ["topic", "partition"]
 
@@ -210,25 +210,30 @@ def frame_records(messages: DataFrame, block_size: int = DEFAULT_BLOCK,
         F.when(own, F.col("offset")).otherwise(F.col("open_key")).alias("rec_offset"),
         F.when(kind == WHOLE, F.col("p.pos")).otherwise(F.lit(-1)).alias("gpos"))
 
-    # one group per record, inside the segment partitioning
+    # one window partition per record, inside the segment partitioning; the
+    # row that closes the record (whole or head piece) carries its text
     grp = [*KEYS, "seg", "rec_offset", "gpos"]
     wg = Window.partitionBy(*grp)
-    wo = wg.orderBy("offset", "pos").rowsBetween(Window.unboundedPreceding, -1)
+    wo = wg.orderBy("offset", "pos")
     n = F.length("piece")
-    pieces = (pieces.withColumn("total", F.sum(n).over(wg))
-              .withColumn("closed", F.max(F.col("kind").isin(WHOLE, HEAD).cast("int")).over(wg))
-              .withColumn("before", F.coalesce(F.sum(n).over(wo), F.lit(0))))
-    kept = pieces.where((F.col("closed") == 1) & F.col("rec_offset").isNotNull()
-                        & (F.col("before") < max_record_chars))
-    recs = kept.groupBy(*grp).agg(
-        F.max(F.when(F.col("kind").isin(WHOLE, TAIL), F.col("pos"))).alias("pos"),
-        F.max("total").alias("total"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", "pos", "piece"))),
-                                 lambda s: s["piece"]), "").alias("record"))
+    before = F.coalesce(F.sum(n).over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    kept_piece = F.when(before < max_record_chars, F.struct("offset", "pos", "piece"))
+    pieces = pieces.where(F.col("rec_offset").isNotNull()).select(
+        *KEYS, "offset", "pos", "kind", "rec_offset",
+        F.sum(n).over(wg).alias("total"),
+        F.max(F.when(F.col("kind") == TAIL, F.col("pos"))).over(wg).alias("tail_pos"),
+        F.when(F.col("kind") == HEAD,
+               F.collect_list(kept_piece).over(wo.rowsBetween(Window.unboundedPreceding, 0)))
+        .alias("parts"),
+        "piece")
+    closing = pieces.where(F.col("kind").isin(WHOLE, HEAD))
+    record = F.when(F.col("kind") == WHOLE, F.col("piece")).otherwise(
+        F.array_join(F.transform("parts", lambda x: x["piece"]), ""))
     too_long = F.col("total") > max_record_chars
-    return recs.select(
-        *KEYS, F.col("rec_offset").alias("offset"), F.col("pos").cast("int").alias("pos"),
-        F.when(too_long, F.substring("record", 1, max_record_chars)).otherwise(F.col("record")).alias("record"),
+    return closing.select(
+        *KEYS, F.col("rec_offset").alias("offset"),
+        F.when(F.col("kind") == WHOLE, F.col("pos")).otherwise(F.col("tail_pos")).cast("int").alias("pos"),
+        F.when(too_long, F.substring(record, 1, max_record_chars)).otherwise(record).alias("record"),
         too_long.alias("too_long"))
 
 

@@ -53,7 +53,7 @@ class RecordAssembler:
 
     def __init__(self, depth: int = 0, buffer: str = "", length: int = 0,
                  start_offset: int = -1, start_pos: int = 0,
-                 max_record_chars: int = 8 << 20):
+                 max_record_chars: int = 1 << 20):
         self.depth = depth
         self.buffer = buffer
         self.length = length

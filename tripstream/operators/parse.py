@@ -65,8 +65,11 @@ def parse_records(records: DataFrame, record_col: str = "record", now: Column |
                             *([F.col("too_long")] if has_long else []))
     t = F.col("_t")
     shape_ok = t.isNotNull() & t.startswith("{") & t.endswith("}")
-    staged = staged.withColumn(
-        "_j", F.when(shape_ok, F.from_json(t, JSON_READ_SCHEMA, JSON_OPTIONS)))
+    # The parsed struct comes out of a generator (a one-element explode), so a
+    # later filter on ``reason`` is not rewritten to parse the text once per
+    # tested field: predicates do not share common subexpressions.
+    staged = staged.select(
+        "*", F.explode(F.array(F.when(shape_ok, F.from_json(t, JSON_READ_SCHEMA, JSON_OPTIONS)))).alias("_j"))
     j = F.col("_j")
     fallback = F.lit(False)
     cols = []
