@@ -23,6 +23,15 @@ STRICT_PATTERNS = [
     "d-M-yyyy H:m:s",
 ]
 
+# Shape each layout needs to read a text: a try is skipped when the text
+# cannot match, so no parse is attempted (and failed) in vain.
+_STRICT_SHAPES = [
+    r"^[+-]?\d{4,}-\d+-\d+ \d+:\d+:\d+$",
+    r"^[+-]?\d{4,}/\d+/\d+ \d+:\d+:\d+$",
+    r"^\d+/\d+/[+-]?\d{4,} \d+:\d+:\d+$",
+    r"^\d+-\d+-[+-]?\d{4,} \d+:\d+:\d+$",
+]
+
 OUTPUT_PATTERN = "yyyy-MM-dd HH:mm:ss"
 
 # Lenient reading (T4): the six numbers of the first two layouts, year first,
@@ -46,7 +55,8 @@ def _strip_fraction(s: Column) -> Column:
 def parse_strict(c) -> Column:
     """First of the four layouts that reads the text; null if none."""
     s = _strip_fraction(_col(c))
-    tries = [F.try_to_timestamp(s, F.lit(p)) for p in STRICT_PATTERNS]
+    tries = [F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(p)))
+             for shape, p in zip(_STRICT_SHAPES, STRICT_PATTERNS)]
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 

@@ -8,31 +8,36 @@ task per partition:
 2. Per message, JVM side: whether it is *self-contained* (balanced groups
    of depth <= ``fast_depth`` and nothing else: one possessive regex), else
    ``a`` = net depth change and ``m`` = lowest prefix (<= 0) of its brace walk.
-3. Narrow pass, on ``(topic, partition, offset, a, m)`` only: the depth
-   entering each message, with a stray ``}`` clamped at 0, is the prefix scan
-   ``d_in = P - least(0, min_{i<k}(P_i + m_i))`` (P = prefix sum of ``a``),
-   run in two levels (windows inside offset blocks, a window over the few
-   block totals, joined back). Per block it keeps the first offset entered at
-   depth 0: block edges moved there give *segments* that no record crosses.
+3. Narrow pass: only messages that change the depth matter (self-contained
+   ones have ``a = m = 0``). Per offset block their sorted ``(offset, a, m)``
+   is gathered (map-side partial aggregation), each block is summarised as
+   the clamped walk ``f(d) = max(d + A, A - M)``, a window over the few block
+   summaries gives the depth entering each block, and a second walk finds
+   the first offset of the block where no record is open. Block edges moved
+   there give *segments* that no record crosses.
 4. Wide pass: messages are shuffled once, by (topic, partition, segment).
-   Every segment starts at depth 0, so depth, the key of the open record and
-   the cutting are all window / row work inside that partitioning:
-   self-contained messages entered at depth 0 are cut by
-   ``regexp_extract_all``; the rest by one ``aggregate`` over their brace
-   tokens (no Python anywhere in the batch path). Pieces of split records are grouped per record with no further
-   shuffle; groups are length-checked before their pieces are gathered, so
-   a never-closing brace gathers nothing and an over-long record keeps only
-   its first ``max_record_chars`` (flagged ``too_long``).
+   Every segment starts at depth 0, so the depth entering each message
+   (``d_in = P - least(0, min_{i<k}(P_i + m_i))``, P = prefix sum of ``a``),
+   the key of the open record and the cutting are window / row work inside
+   that partitioning: self-contained messages entered at depth 0 are cut by
+   ``regexp_extract_all``, the rest by one ``aggregate`` over their brace
+   tokens. No Python anywhere in the batch path.
+5. Pieces of split records meet in one window partition per record (still
+   no shuffle); the closing row carries the text. Pieces past
+   ``max_record_chars`` are not gathered: such a record keeps its first
+   chars and is flagged ``too_long``; a never-closing brace gathers nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tripstream.functions.text import decode_utf8, java_trim
 from tripstream.operators.framing_core import HEAD, MIDDLE, TAIL, WHOLE
 
-DEFAULT_BLOCK = 1 << 20          # offsets per scan block
+DEFAULT_BLOCK = None             # offsets per scan block; None: from the offset spans
+MIN_BLOCK = 1 << 10
+MAX_BLOCKS = 200_000             # keeps the per-block table small (AQE broadcasts it)
 DEFAULT_FAST_DEPTH = 8           # deepest object the regex path frames
 DEFAULT_MAX_RECORD_CHARS = 1 << 20
 
@@ -42,15 +47,18 @@ RECORD_SCHEMA = "topic string, partition int, offset long, pos int, record strin
 
 
 def object_pattern(depth: int) -> str:
-    """Possessive regex for one balanced ``{...}`` group of depth <= ``depth``."""
-    p = r"\{[^{}]*+\}"
+    """Possessive regex for one balanced ``{...}`` group of depth <= ``depth``.
+
+    Braces are written as classes (``[{]``) so the text can sit in SQL as is.
+    """
+    p = "[{][^{}]*+[}]"
     for _ in range(depth - 1):
-        p = r"\{[^{}]*+(?:" + p + r"[^{}]*+)*+\}"
+        p = "[{][^{}]*+(?:" + p + "[^{}]*+)*+[}]"
     return p
 
 
 def self_contained_pattern(depth: int) -> str:
-    return r"^[^{}]*+(?:" + object_pattern(depth) + r"[^{}]*+)*+$"
+    return "^[^{}]*+(?:" + object_pattern(depth) + "[^{}]*+)*+$"
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
@@ -62,102 +70,99 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def _brace_profile(text: Column) -> Column:
-    """struct(a, m): net depth change and lowest prefix (<= 0) of the brace walk."""
-    steps = F.transform(F.regexp_extract_all(text, F.lit(r"[{}]"), 0),
-                        lambda b: F.when(b == "{", 1).otherwise(-1))
-    init = F.struct(F.lit(0).alias("a"), F.lit(0).alias("m"))
-    return F.aggregate(
-        steps, init,
-        lambda acc, x: F.struct((acc["a"] + x).alias("a"), F.least(acc["m"], acc["a"] + x).alias("m")),
-    )
+# struct(a, m) of a message's brace walk: net change, lowest prefix (<= 0)
+_PROFILE_SQL = """aggregate(regexp_extract_all(text, '[{}]', 0), named_struct('a', 0, 'm', 0),
+  (acc, b) -> named_struct('a', acc.a + if(b = '{', 1, -1),
+                           'm', least(acc.m, acc.a + if(b = '{', 1, -1))))"""
+
+# One pass over the brace / non-brace tokens of a message entered at depth
+# d_in: chars consumed, depth, start of the open record (-1: none or carried
+# in), end of the piece closing a carried record, spans of inner records.
+_WALK_SQL = """aggregate(regexp_extract_all(text, '[{}]|[^{}]+', 0),
+  named_struct('pos', 0, 'd', CAST(d_in AS INT), 'start', -1, 'head', -1,
+               'recs', CAST(array() AS array<struct<s:int,e:int>>)),
+  (acc, x) -> named_struct(
+    'pos', acc.pos + length(x),
+    'd', CASE WHEN x = '{' THEN acc.d + 1 WHEN x = '}' AND acc.d > 0 THEN acc.d - 1 ELSE acc.d END,
+    'start', CASE WHEN x = '{' AND acc.d = 0 THEN acc.pos
+                  WHEN x = '}' AND acc.d = 1 THEN -1 ELSE acc.start END,
+    'head', CASE WHEN x = '}' AND acc.d = 1 AND acc.start = -1 AND acc.head = -1 THEN acc.pos + 1
+                 ELSE acc.head END,
+    'recs', CASE WHEN x = '}' AND acc.d = 1 AND acc.start >= 0
+                 THEN array_append(acc.recs, named_struct('s', acc.start, 'e', acc.pos + 1))
+                 ELSE acc.recs END))"""
+
+_CUT_SQL = f"""filter(concat(
+    array(CASE WHEN d_in > 0 AND _st.head >= 0
+               THEN named_struct('pos', 0, 'piece', substring(text, 1, _st.head), 'kind', '{HEAD}')
+               WHEN d_in > 0 THEN named_struct('pos', 0, 'piece', text, 'kind', '{MIDDLE}') END),
+    transform(_st.recs, r -> named_struct('pos', r.s, 'piece', substring(text, r.s + 1, r.e - r.s),
+                                          'kind', '{WHOLE}')),
+    array(CASE WHEN _st.d > 0 AND _st.start >= 0
+               THEN named_struct('pos', _st.start, 'piece', substring(text, _st.start + 1), 'kind', '{TAIL}')
+               END)),
+  p -> p IS NOT NULL)"""
+
+
+def _regex_cut_sql(depth: int) -> str:
+    return (f"transform(regexp_extract_all(text, '{object_pattern(depth)}', 0), "
+            f"(x, i) -> named_struct('pos', i, 'piece', x, 'kind', '{WHOLE}'))")
+
+
+# block summary over its sorted steps L: total change A, lowest point M
+_BLOCK_SQL = """aggregate(L, named_struct('P', CAST(0 AS BIGINT), 'M', CAST(0 AS BIGINT)),
+  (acc, x) -> named_struct('P', acc.P + x.a, 'M', least(acc.M, acc.P + x.m)))"""
+
+# first offset of a block (entered at depth D) from which no record is open
+_ZERO_SQL = """CASE WHEN D = 0 THEN block * {B} ELSE aggregate(L, named_struct('d', D, 'z', CAST(NULL AS BIGINT)),
+  (acc, x) -> named_struct('d', greatest(acc.d + x.a, x.a - x.m),
+                           'z', coalesce(acc.z, CASE WHEN greatest(acc.d + x.a, x.a - x.m) = 0
+                                                     THEN x.offset + 1 END))).z END"""
+
+
+def choose_block_size(dec: DataFrame, target_blocks: int | None = None) -> tuple[int, int]:
+    """Offsets per block and about how many blocks there are, from the offset
+    span of each (topic, partition).
+
+    One aggregation on the offset column (a Kafka source knows these ranges
+    up front); result has one row per Kafka partition. Aims at
+    ``target_blocks`` segments (default 4 x default parallelism), a power of
+    two, at least ``MIN_BLOCK`` and never more than ``MAX_BLOCKS`` blocks.
+    """
+    spans = (dec.groupBy(*KEYS).agg((F.max("offset") - F.min("offset") + 1).alias("n"))
+             .agg(F.sum("n"), F.count(F.lit(1))).first())
+    total, parts = int(spans[0] or 0), int(spans[1] or 0)
+    if target_blocks is None:
+        target_blocks = 4 * dec.sparkSession.sparkContext.defaultParallelism
+    want = max(1, -(-total // max(target_blocks, 1)), -(-total // MAX_BLOCKS))
+    size = MIN_BLOCK
+    while size < want:
+        size <<= 1
+    return size, -(-total // size) + parts
 
 
 def _segments(prof: DataFrame, block_size: int) -> DataFrame:
     """One row per (topic, partition, block): ``seg_start`` (first offset of
     the block where no record is open, or null) and ``prev_seg`` (the segment
-    that earlier offsets of the block belong to).
-
-    Only messages that change the depth matter (self-contained ones have
-    ``a = m = 0``), so each block keeps just their sorted ``(offset, a, m)``;
-    map-side partial aggregation sends about one row per block and task.
-    """
+    that earlier offsets of the block belong to)."""
     blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
-    step = F.struct("offset", "a", "m")
-    blocks = (prof.select(*KEYS, blk.alias("block"), F.when(~F.col("fast"), step).alias("st"))
-              .groupBy(*KEYS, "block")
-              .agg(F.array_sort(F.collect_list("st")).alias("L")))
-    # block summary: f(d) = max(d + A, A - M) with M = min over i of (P_i + m_i)
-    summ = F.aggregate(
-        "L", F.struct(F.lit(0).cast("long").alias("P"), F.lit(0).cast("long").alias("M")),
-        lambda acc, x: F.struct((acc["P"] + x["a"]).alias("P"),
-                                F.least(acc["M"], acc["P"] + x["m"]).alias("M")))
-    tot = blocks.select(*KEYS, "block", summ["P"].alias("A"), summ["M"].alias("Mb"))
+    step = F.when(~F.col("fast"), F.struct("offset", "a", "m"))
+    blocks = (prof.select(*KEYS, blk.alias("block"), step.alias("st"))
+              .groupBy(*KEYS, "block").agg(F.array_sort(F.collect_list("st")).alias("L")))
+    summ = blocks.select(*KEYS, "block", F.expr(_BLOCK_SQL).alias("s"))
     wb = Window.partitionBy(*KEYS).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("PA", F.coalesce(F.sum("A").over(wb), F.lit(0)).cast("long"))
-    tot = tot.withColumn("X", F.min(F.col("PA") + F.col("Mb")).over(wb))
-    tot = tot.select(*KEYS, "block",
-                     (F.col("PA") - F.least(F.lit(0), F.coalesce("X", F.lit(0)))).alias("D"))
-    j = blocks.join(tot, [*KEYS, "block"])
-    # first point of the block at depth 0: its start, or just after a message
-    # that leaves depth 0
-    walk = F.aggregate(
-        "L", F.struct(F.col("D").alias("d"), F.lit(None).cast("long").alias("z")),
-        lambda acc, x: F.struct(
-            F.greatest(acc["d"] + x["a"], x["a"] - x["m"]).alias("d"),
-            F.coalesce(acc["z"], F.when(F.greatest(acc["d"] + x["a"], x["a"] - x["m"]) == 0,
-                                        x["offset"] + 1)).alias("z")))
-    seg_start = F.when(F.col("D") == 0, F.col("block") * F.lit(block_size)).otherwise(walk["z"])
-    per_block = j.select(*KEYS, "block", seg_start.alias("seg_start"))
-    return per_block.withColumn(
-        "prev_seg", F.max(F.when(F.col("seg_start").isNotNull(), F.col("block"))).over(wb))
-
-
-_SPAN = "array<struct<s:int,e:int>>"
-
-
-def _cut_columns(text: Column, d_in: Column) -> Column:
-    """JVM cutter: pieces ``array<struct<pos, piece, kind>>`` of a message
-    entered at depth ``d_in``, by one pass over its brace / non-brace tokens.
-
-    State: chars consumed, depth, start of the open record (-1 when none or
-    carried in), end of the piece that closes a carried record, and the
-    spans of records opened and closed inside the message.
-    """
-    tokens = F.regexp_extract_all(text, F.lit(r"[{}]|[^{}]+"), 0)
-    init = F.struct(F.lit(0).alias("pos"), d_in.cast("int").alias("d"), F.lit(-1).alias("start"),
-                    F.lit(-1).alias("head"), F.expr(f"cast(array() as {_SPAN})").alias("recs"))
-
-    def step(acc, x):
-        opening = x == "{"
-        closing = (x == "}") & (acc["d"] > 0)
-        to_zero = closing & (acc["d"] == 1)
-        return F.struct(
-            (acc["pos"] + F.length(x)).alias("pos"),
-            F.when(opening, acc["d"] + 1).when(closing, acc["d"] - 1).otherwise(acc["d"]).alias("d"),
-            F.when(opening & (acc["d"] == 0), acc["pos"]).when(to_zero, F.lit(-1))
-            .otherwise(acc["start"]).alias("start"),
-            F.when(to_zero & (acc["start"] == -1) & (acc["head"] == -1), acc["pos"] + 1)
-            .otherwise(acc["head"]).alias("head"),
-            F.when(to_zero & (acc["start"] >= 0),
-                   F.array_append(acc["recs"], F.struct(acc["start"].alias("s"), (acc["pos"] + 1).alias("e"))))
-            .otherwise(acc["recs"]).alias("recs"),
-        )
-
-    st = F.aggregate(tokens, init, step)
-
-    def piece(pos, txt, kind):
-        return F.struct(pos.cast("int").alias("pos"), txt.alias("piece"), F.lit(kind).alias("kind"))
-
-    first = (F.when((d_in > 0) & (st["head"] >= 0), piece(F.lit(0), F.substring(text, F.lit(1), st["head"]), HEAD))
-             .when(d_in > 0, piece(F.lit(0), text, MIDDLE)))
-    wholes = F.transform(st["recs"], lambda r: piece(r["s"], F.substring(text, r["s"] + 1, r["e"] - r["s"]), WHOLE))
-    last = F.when((st["d"] > 0) & (st["start"] >= 0),
-                  piece(st["start"], F.substring(text, st["start"] + 1, F.length(text)), TAIL))
-    return F.filter(F.concat(F.array(first), wholes, F.array(last)), lambda p: p.isNotNull())
-
-
-def frame_records(messages: DataFrame, block_size: int = DEFAULT_BLOCK,
+    pa = F.coalesce(F.sum("s.P").over(wb), F.lit(0)).cast("long")
+    summ = summ.select(*KEYS, "block", "s", pa.alias("PA"))
+    x = F.min(F.col("PA") + F.col("s.M")).over(wb)
+    depth = summ.select(*KEYS, "block",
+                        (F.col("PA") - F.least(F.lit(0), F.coalesce(x, F.lit(0)))).alias("D"))
+    per_block = blocks.join(depth, [*KEYS, "block"]).select(
+        *KEYS, "block", F.expr(_ZERO_SQL.format(B=block_size)).alias("seg_start"))
+    prev = F.max(F.when(F.col("seg_start").isNotNull(), F.col("block"))).over(wb)
+    return per_block.select("*", prev.alias("prev_seg"))
+
+
+def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
                   fast_depth: int = DEFAULT_FAST_DEPTH,
                   max_record_chars: int = DEFAULT_MAX_RECORD_CHARS,
                   regex_fast_path: bool = True, decoded: bool = False) -> DataFrame:
@@ -168,67 +173,70 @@ def frame_records(messages: DataFrame, block_size: int = DEFAULT_BLOCK,
     the input are not emitted (a stream keeps them in its state).
     ``regex_fast_path=False`` sends every message through the token cutter.
     """
-    text = F.col("text")
     dec = messages if decoded else decode_messages(messages)
-    fast = text.rlike(self_contained_pattern(fast_depth)) if regex_fast_path else F.lit(False)
-    zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("m"))
-    prof = (dec.select(*KEYS, "offset", "text", fast.alias("fast"))
-            .withColumn("pr", F.when(F.col("fast"), zero).otherwise(_brace_profile(text)))
-            .select(*KEYS, "offset", "text", "fast", "pr.a", "pr.m"))
-
+    fast = F.col("text").rlike(self_contained_pattern(fast_depth)) if regex_fast_path else F.lit(False)
+    prof = dec.select(*KEYS, "offset", "text", fast.alias("fast")).select(
+        "*", F.when(F.col("fast"), F.struct(F.lit(0).alias("a"), F.lit(0).alias("m")))
+        .otherwise(F.expr(_PROFILE_SQL)).alias("pr"))
+    prof = prof.select(*KEYS, "offset", "text", "fast", "pr.a", "pr.m")
+
+    sc = dec.sparkSession.sparkContext
+    if block_size is None:
+        block_size, n_blocks = choose_block_size(dec)
+    else:
+        n_blocks = sc.defaultParallelism
     segs = _segments(prof, block_size)
     blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
-    wide = prof.withColumn("block", blk).join(segs, [*KEYS, "block"])
-    wide = wide.withColumn(
-        "seg", F.when(F.col("seg_start").isNotNull() & (F.col("offset") >= F.col("seg_start")),
-                      F.col("block")).otherwise(F.col("prev_seg")))
-
-    # depth inside the segment (it starts at 0) and the open record's key
+    seg = (F.when(F.col("seg_start").isNotNull() & (F.col("offset") >= F.col("seg_start")), F.col("block"))
+           .otherwise(F.col("prev_seg")))
+    wide = (prof.select("*", blk.alias("block")).join(segs, [*KEYS, "block"])
+            .select(*KEYS, "offset", "text", "fast", "a", "m", seg.alias("seg")))
+    # One task per segment or a few: an explicit count, so the post-shuffle
+    # work (cutting, parsing) is not coalesced into a handful of tasks just
+    # because the shuffled bytes are few. A segment holds about one block.
+    wide = wide.repartition(max(sc.defaultParallelism, min(n_blocks, MAX_BLOCKS)), *KEYS, "seg")
+
+    # depth entering each message (segments start at 0) and the open record's key
     w = Window.partitionBy(*KEYS, "seg").orderBy("offset")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    wide = (wide.withColumn("P", F.coalesce(F.sum("a").over(before), F.lit(0)))
-            .withColumn("Lmin", F.coalesce(F.min(F.col("P") + F.col("m")).over(before), F.lit(0))))
+    wide = wide.select("*", F.coalesce(F.sum("a").over(before), F.lit(0)).alias("P"))
+    lmin = F.coalesce(F.min(F.col("P") + F.col("m")).over(before), F.lit(0))
+    wide = wide.select("*", lmin.alias("Lmin"))
     d_in = F.col("P") - F.least(F.lit(0), F.col("Lmin"))
     d_out = F.col("P") + F.col("a") - F.least(F.lit(0), F.least(F.col("Lmin"), F.col("P") + F.col("m")))
     wide = wide.select(*KEYS, "seg", "offset", "text", "fast", "m", d_in.alias("d_in"), d_out.alias("d_out"))
     opens_tail = F.when((F.col("d_out") > 0) & (F.col("d_in") + F.col("m") <= 0), F.col("offset"))
-    wide = wide.withColumn("open_key", F.max(opens_tail).over(before))
-
-    # cut: regex for self-contained messages entered at depth 0, helper otherwise
     quick = F.col("fast") & (F.col("d_in") == 0)
-    regex_pieces = F.transform(
-        F.regexp_extract_all(text, F.lit(object_pattern(max(fast_depth, 1))), 0),
-        lambda x, i: F.struct(i.cast("int").alias("pos"), x.alias("piece"), F.lit(WHOLE).alias("kind")))
-    helper_pieces = _cut_columns(text, F.col("d_in"))
-    pieces = wide.select(*KEYS, "seg", "offset", "open_key",
-                         F.explode(F.when(quick, regex_pieces).otherwise(helper_pieces)).alias("p"))
+    wide = wide.select("*", F.max(opens_tail).over(before).alias("open_key"),
+                       quick.alias("quick"), F.when(~quick, F.expr(_WALK_SQL)).alias("_st"))
+
+    # cut: regex for self-contained messages entered at depth 0, token walk otherwise
+    cut = F.when(F.col("quick"), F.expr(_regex_cut_sql(max(fast_depth, 1)))).otherwise(F.expr(_CUT_SQL))
+    pieces = wide.select(*KEYS, "seg", "offset", "open_key", F.explode(cut).alias("p"))
     kind = F.col("p.kind")
-    own = kind.isin(WHOLE, TAIL)
     pieces = pieces.select(
         *KEYS, "seg", "offset", F.col("p.pos").alias("pos"), F.col("p.piece").alias("piece"),
         kind.alias("kind"),
-        F.when(own, F.col("offset")).otherwise(F.col("open_key")).alias("rec_offset"),
+        F.when(kind.isin(WHOLE, TAIL), F.col("offset")).otherwise(F.col("open_key")).alias("rec_offset"),
         F.when(kind == WHOLE, F.col("p.pos")).otherwise(F.lit(-1)).alias("gpos"))
 
     # one window partition per record, inside the segment partitioning; the
     # row that closes the record (whole or head piece) carries its text
-    grp = [*KEYS, "seg", "rec_offset", "gpos"]
-    wg = Window.partitionBy(*grp)
+    wg = Window.partitionBy(*KEYS, "seg", "rec_offset", "gpos")
     wo = wg.orderBy("offset", "pos")
     n = F.length("piece")
-    before = F.coalesce(F.sum(n).over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    kept_piece = F.when(before < max_record_chars, F.struct("offset", "pos", "piece"))
+    gathered = F.coalesce(F.sum(n).over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     pieces = pieces.where(F.col("rec_offset").isNotNull()).select(
-        *KEYS, "offset", "pos", "kind", "rec_offset",
-        F.sum(n).over(wg).alias("total"),
+        "*", F.sum(n).over(wg).alias("total"), gathered.alias("gathered"),
         F.max(F.when(F.col("kind") == TAIL, F.col("pos"))).over(wg).alias("tail_pos"),
-        F.when(F.col("kind") == HEAD,
-               F.collect_list(kept_piece).over(wo.rowsBetween(Window.unboundedPreceding, 0)))
-        .alias("parts"),
-        "piece")
-    closing = pieces.where(F.col("kind").isin(WHOLE, HEAD))
+        F.max((F.col("kind") == HEAD).cast("int")).over(wg).alias("closed"))
+    keep = (F.col("closed") == 1) & (F.col("gathered") < max_record_chars)
+    parts = F.collect_list(F.when(keep, F.struct("offset", "pos", "piece"))).over(
+        wo.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    closing = pieces.select("*", F.when(F.col("kind") == HEAD, parts).alias("parts")).where(
+        F.col("kind").isin(WHOLE, HEAD))
     record = F.when(F.col("kind") == WHOLE, F.col("piece")).otherwise(
-        F.array_join(F.transform("parts", lambda x: x["piece"]), ""))
+        F.array_join(F.transform("parts", lambda p: p["piece"]), ""))
     too_long = F.col("total") > max_record_chars
     return closing.select(
         *KEYS, F.col("rec_offset").alias("offset"),
