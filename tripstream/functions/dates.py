@@ -103,6 +103,6 @@ def epoch_millis_to_ntz(c) -> Column:
     Plain interval arithmetic from 1970-01-01, so the session zone plays no part.
     """
     secs = (_col(c).cast("decimal(20,3)") / F.lit(1000)).cast("decimal(18,6)")
-    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(
+    return F.lit(_EPOCH_NTZ.isoformat(sep=" ")).cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), secs
     )

@@ -39,7 +39,8 @@ def prepare(spark: SparkSession) -> None:
 
 
 def fixed_now() -> Column:
-    return F.lit(FIXED_NOW).cast("timestamp_ntz")
+    # from text: a Python datetime literal would pass through the session zone
+    return F.lit(FIXED_NOW.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
