@@ -105,7 +105,7 @@ def main() -> None:
     def stream_once():
         r = scratch_root(spark, "bench-stream")
         t = SnapshotTable(spark, f"{r}/table")
-        query = start_ingest(message_file_stream(spark, f"{root}/messages", max_files_per_trigger=4), t,
+        query = start_ingest(message_file_stream(spark, f"{root}/messages"), t,
                              f"{r}/checkpoint", trigger={"availableNow": True}, now=fixed_now())
         run_until_done(query)
 
