@@ -121,6 +121,16 @@ def test_too_long_and_unclosed(spark):
     assert len(out) == 1 and out[0].too_long and out[0].record == big[:30]
 
 
+def test_too_long_at_exact_boundary(spark):
+    # pieces of 10 + 10 + 10 chars; limit 20: the third piece starts at the limit
+    rec = '{"k":"' + "y" * 22 + '"}'
+    rows = [(None, rec[i:i + 10].encode(), "t", 0, i, None) for i in range(0, 30, 10)]
+    out = _frame(spark, rows, max_record_chars=20).collect()
+    assert len(rec) == 30 and len(out) == 1 and out[0].too_long and out[0].record == rec[:20]
+    ok = _frame(spark, rows, max_record_chars=30).collect()
+    assert not ok[0].too_long and ok[0].record == rec
+
+
 def test_deep_object_goes_through_token_path(spark):
     deep = "{" * 12 + "}" * 12
     rows = [(None, (deep + deep).encode(), "t", 0, 1, None)]

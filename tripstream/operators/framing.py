@@ -22,10 +22,10 @@ task per partition:
    that partitioning: self-contained messages entered at depth 0 are cut by
    ``regexp_extract_all``, the rest by one ``aggregate`` over their brace
    tokens. No Python anywhere in the batch path.
-5. Pieces of split records meet in one window partition per record (still
-   no shuffle); the closing row carries the text. Pieces past
-   ``max_record_chars`` are not gathered: such a record keeps its first
-   chars and is flagged ``too_long``; a never-closing brace gathers nothing.
+5. Pieces of a record meet in one group per record (still no shuffle).
+   Pieces past ``max_record_chars`` are not gathered: such a record keeps
+   its first chars and is flagged ``too_long``; a never-closing brace
+   gathers nothing.
 """
 
 from __future__ import annotations
@@ -220,27 +220,30 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
         F.when(kind.isin(WHOLE, TAIL), F.col("offset")).otherwise(F.col("open_key")).alias("rec_offset"),
         F.when(kind == WHOLE, F.col("p.pos")).otherwise(F.lit(-1)).alias("gpos"))
 
-    # one window partition per record, inside the segment partitioning; the
-    # row that closes the record (whole or head piece) carries its text
+    # One group per record, inside the segment partitioning (no exchange).
+    # Lengths are summed first (window, no gathering); pieces are gathered
+    # only for closed records and only while under max_record_chars, so a
+    # group's list is bounded and a never-closing brace gathers nothing.
     wg = Window.partitionBy(*KEYS, "seg", "rec_offset", "gpos")
     wo = wg.orderBy("offset", "pos")
     n = F.length("piece")
     gathered = F.coalesce(F.sum(n).over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     pieces = pieces.where(F.col("rec_offset").isNotNull()).select(
-        "*", F.sum(n).over(wg).alias("total"), gathered.alias("gathered"),
-        F.max(F.when(F.col("kind") == TAIL, F.col("pos"))).over(wg).alias("tail_pos"),
-        F.max((F.col("kind") == HEAD).cast("int")).over(wg).alias("closed"))
-    keep = (F.col("closed") == 1) & (F.col("gathered") < max_record_chars)
-    parts = F.collect_list(F.when(keep, F.struct("offset", "pos", "piece"))).over(
-        wo.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    closing = pieces.select("*", F.when(F.col("kind") == HEAD, parts).alias("parts")).where(
-        F.col("kind").isin(WHOLE, HEAD))
-    record = F.when(F.col("kind") == WHOLE, F.col("piece")).otherwise(
-        F.array_join(F.transform("parts", lambda p: p["piece"]), ""))
-    too_long = F.col("total") > max_record_chars
-    return closing.select(
-        *KEYS, F.col("rec_offset").alias("offset"),
-        F.when(F.col("kind") == WHOLE, F.col("pos")).otherwise(F.col("tail_pos")).cast("int").alias("pos"),
+        "*", gathered.alias("gathered"),
+        F.max(F.col("kind").isin(WHOLE, HEAD).cast("int")).over(wg).alias("closed"))
+    keep = (F.col("closed") == 1) & (F.col("gathered") <= max_record_chars)
+    recs = pieces.where(keep).groupBy(*KEYS, "seg", "rec_offset", "gpos").agg(
+        F.max(F.when(F.col("kind").isin(WHOLE, TAIL), F.col("pos"))).alias("pos"),
+        F.max(F.col("gathered") + n).alias("seen"),
+        F.count(F.lit(1)).alias("n_pieces"),
+        F.first("piece").alias("first_piece"),
+        F.collect_list(F.struct("offset", "pos", "piece")).alias("parts"))
+    record = F.when(F.col("n_pieces") == 1, F.col("first_piece")).otherwise(
+        F.array_join(F.transform(F.array_sort("parts"), lambda p: p["piece"]), ""))
+    # total length of a record is only needed to tell it is too long
+    too_long = F.col("seen") > max_record_chars
+    return recs.select(
+        *KEYS, F.col("rec_offset").alias("offset"), F.col("pos").cast("int").alias("pos"),
         F.when(too_long, F.substring(record, 1, max_record_chars)).otherwise(record).alias("record"),
         too_long.alias("too_long"))
 
