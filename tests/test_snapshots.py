@@ -89,3 +89,14 @@ def test_table_service_fallbacks(spark, table):
     assert sum(r.n for r in out.collect()) == 23
     with pytest.raises(Exception):
         svc.execute_query("SELEC broken")
+
+
+def test_query_report(spark, table):
+    from tripstream.jobs import query_report
+
+    rep = query_report(spark, table, name="report_trips")
+    assert list(rep) == ["namespaces", "tables", "first_rows", "count", "trips_per_passenger_count",
+                         "distance_over_5_text", "snapshots_by_time", "as_of_min_snapshot", "history", "snapshots"]
+    assert rep["count"].first().row_count == 23
+    assert rep["as_of_min_snapshot"].count() == 10       # min id 100 is the second snapshot: 12 rows, limit 10
+    assert [r.snapshot_id for r in rep["snapshots_by_time"].collect()] == [300, 100, 200]
