@@ -24,7 +24,11 @@ def _write_ranges(msgs, path, cuts):
         time.sleep(0.02)
 
 
-def test_stream_equals_batch_across_restart(spark):
+import pytest
+
+
+@pytest.mark.parametrize("framing", ["carry", "state"])
+def test_stream_equals_batch_across_restart(spark, framing):
     root = scratch_root(spark, "test-stream")
     msgs = trip_messages(spark.read.parquet(f"{SF}/events.parquet"))
     top = msgs.agg(F.max("offset")).first()[0] + 1
@@ -34,12 +38,14 @@ def test_stream_equals_batch_across_restart(spark):
     _write_ranges(msgs, f"{root}/in", [0, 417, 1009])
     table = SnapshotTable(spark, f"{root}/table")
     src = message_file_stream(spark, f"{root}/in", max_files_per_trigger=2)
-    run_until_done(start_ingest(src, table, f"{root}/ckpt", trigger={"availableNow": True}, now=fixed_now()))
+    run_until_done(start_ingest(src, table, f"{root}/ckpt", trigger={"availableNow": True}, now=fixed_now(),
+                                  framing=framing))
     first = table.current().count()
     # second run, same checkpoint: the rest of the offsets
     _write_ranges(msgs, f"{root}/in", [1009, top])
     src = message_file_stream(spark, f"{root}/in", max_files_per_trigger=2)
-    run_until_done(start_ingest(src, table, f"{root}/ckpt", trigger={"availableNow": True}, now=fixed_now()))
+    run_until_done(start_ingest(src, table, f"{root}/ckpt", trigger={"availableNow": True}, now=fixed_now(),
+                                  framing=framing))
     batch = good_rows(parse_records(frame_records(msgs), now=fixed_now()))
     stream = table.current()
     assert first < stream.count()
@@ -51,3 +57,27 @@ def test_kafka_options():
     o = kafka_options()
     assert o["subscribe"] == "new-york-data" and o["startingOffsets"] == "earliest"
     assert o["kafka.bootstrap.servers"] == "localhost:9092" and o["kafka.group.id"] == "iceberg-kafka-group"
+
+
+def test_carry_keeps_depth_of_a_cut_long_record(spark):
+    from tripstream.schema import MESSAGE_SCHEMA
+    from tripstream.streaming.ingest import frame_micro_batch
+
+    carry = scratch_root(spark, "test-carry")
+    long_rec = '{"k":{"x":"' + "x" * 60 + '"},"z":1}'
+    short = '{"a":{"b":2}}'
+    batches = [
+        [(long_rec[:25], 1)],                      # opens, depth 2
+        [(long_rec[25:60], 2), (short[:5], 3)],    # still inside the long record
+        [(long_rec[60:], 4), (short[5:], 5), ('{"c":3}', 6)],
+    ]
+    out = []
+    for bid, rows in enumerate(batches):
+        df = spark.createDataFrame([(None, t.encode(), "t", 0, o, None) for t, o in rows], MESSAGE_SCHEMA)
+        recs = frame_micro_batch(df, carry, bid, max_record_chars=30)
+        out += [(r.offset, r.record, r.too_long) for r in recs.orderBy("offset").collect()]
+        recs.unpersist()
+    # the short object's text sits inside the long record's braces, so it is part of it
+    whole = long_rec[:60] + short[:5] + long_rec[60:] + short[5:]
+    assert out[0][0] == 1 and out[0][2] is True and out[0][1] == whole[:30]
+    assert (6, '{"c":3}', False) in out

@@ -165,9 +165,14 @@ def _segments(prof: DataFrame, block_size: int) -> DataFrame:
 def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
                   fast_depth: int = DEFAULT_FAST_DEPTH,
                   max_record_chars: int = DEFAULT_MAX_RECORD_CHARS,
-                  regex_fast_path: bool = True, decoded: bool = False) -> DataFrame:
+                  regex_fast_path: bool = True, decoded: bool = False,
+                  emit_open: bool = False) -> DataFrame:
     """Frame messages into records: ``topic, partition, offset, pos, record, too_long``.
 
+    ``emit_open=True`` adds ``open`` and ``depth`` and also returns the record
+    still open at the end of each (topic, partition) (its first chars and its
+    depth), which a micro-batch stream carries into the next batch.
+
     ``offset``/``pos`` locate the record's opening brace (``pos`` is the
     object's index for regex-cut messages). Records still open at the end of
     the input are not emitted (a stream keeps them in its state).
@@ -212,11 +217,11 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
 
     # cut: regex for self-contained messages entered at depth 0, token walk otherwise
     cut = F.when(F.col("quick"), F.expr(_regex_cut_sql(max(fast_depth, 1)))).otherwise(F.expr(_CUT_SQL))
-    pieces = wide.select(*KEYS, "seg", "offset", "open_key", F.explode(cut).alias("p"))
+    pieces = wide.select(*KEYS, "seg", "offset", "open_key", "d_out", F.explode(cut).alias("p"))
     kind = F.col("p.kind")
     pieces = pieces.select(
         *KEYS, "seg", "offset", F.col("p.pos").alias("pos"), F.col("p.piece").alias("piece"),
-        kind.alias("kind"),
+        kind.alias("kind"), "d_out",
         F.when(kind.isin(WHOLE, TAIL), F.col("offset")).otherwise(F.col("open_key")).alias("rec_offset"),
         F.when(kind == WHOLE, F.col("p.pos")).otherwise(F.lit(-1)).alias("gpos"))
 
@@ -231,8 +236,13 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
     pieces = pieces.where(F.col("rec_offset").isNotNull()).select(
         "*", gathered.alias("gathered"),
         F.max(F.col("kind").isin(WHOLE, HEAD).cast("int")).over(wg).alias("closed"))
-    keep = (F.col("closed") == 1) & (F.col("gathered") <= max_record_chars)
+    # the only unclosed group of a (topic, partition) is its last, open record
+    keep = F.col("gathered") <= max_record_chars
+    if not emit_open:
+        keep = (F.col("closed") == 1) & keep
     recs = pieces.where(keep).groupBy(*KEYS, "seg", "rec_offset", "gpos").agg(
+        F.max("closed").alias("closed"),
+        F.max_by("d_out", "offset").alias("depth"),
         F.max(F.when(F.col("kind").isin(WHOLE, TAIL), F.col("pos"))).alias("pos"),
         F.max(F.col("gathered") + n).alias("seen"),
         F.count(F.lit(1)).alias("n_pieces"),
@@ -242,10 +252,12 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
         F.array_join(F.transform(F.array_sort("parts"), lambda p: p["piece"]), ""))
     # total length of a record is only needed to tell it is too long
     too_long = F.col("seen") > max_record_chars
-    return recs.select(
-        *KEYS, F.col("rec_offset").alias("offset"), F.col("pos").cast("int").alias("pos"),
-        F.when(too_long, F.substring(record, 1, max_record_chars)).otherwise(record).alias("record"),
-        too_long.alias("too_long"))
+    cols = [*KEYS, F.col("rec_offset").alias("offset"), F.col("pos").cast("int").alias("pos"),
+            F.when(too_long, F.substring(record, 1, max_record_chars)).otherwise(record).alias("record"),
+            too_long.alias("too_long")]
+    if emit_open:
+        cols += [(F.col("closed") == 0).alias("open"), F.col("depth").cast("int").alias("depth")]
+    return recs.select(*cols)
 
 
 def framing_counters(messages: DataFrame, records: DataFrame) -> DataFrame:
