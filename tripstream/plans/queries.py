@@ -284,7 +284,7 @@ def q_stream_ingest(spark, sf):
          .write.mode("append").parquet(f"{root}/in"))
         time.sleep(0.02)
     table = SnapshotTable(spark, f"{root}/table")
-    q = start_ingest(message_file_stream(spark, f"{root}/in", max_files_per_trigger=1), table,
+    q = start_ingest(message_file_stream(spark, f"{root}/in", max_files_per_trigger=4), table,
                      f"{root}/checkpoint", trigger={"availableNow": True}, now=C.fixed_now())
     run_until_done(q)
     return reports.rows_per_day(table)
