@@ -79,3 +79,30 @@ def test_filter_does_not_reparse(spark):
     df = spark.createDataFrame([(1, rec('"tripID":"t1",' + FULL))], "offset long, record string")
     plan = parse_records(df, now=now(), keep=["offset"]).where("reason IS NULL")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_null_in_each_required_column(spark):
+    """A null scalar is a reject; a null date takes the clock; a null nested value becomes ""."""
+    import json
+
+    base = {"tripID": "t", "VendorID": "1", "tpep_pickup_datetime": "2024-01-15 10:00:00",
+            "tpep_dropoff_datetime": "2024-01-15 10:10:00", "passenger_count": "2", "trip_distance": "3.5",
+            "RatecodeID": "1", "store_and_fwd_flag": "N", "PULocationID": "10", "DOLocationID": "20",
+            "payment_type": "card", "primary_passenger": {"u": 1}, "fare_details": {"k": 1}}
+    rows = []
+    for i, c in enumerate(base):
+        d = dict(base)
+        d[c] = None
+        rows.append((i, json.dumps(d)))
+    got = {r.offset: r for r in parse_records(spark.createDataFrame(rows, "offset long, record string"),
+                                              now=now(), keep=["offset"]).collect()}
+    for i, c in enumerate(base):
+        r = got[i]
+        if c == "tripID":
+            assert r.reason == "missing_trip_id"
+        elif c.startswith("tpep_"):
+            assert r.reason is None and r.date_fallback and r[c] == dt.datetime(2000, 1, 1)
+        elif c in ("primary_passenger", "fare_details"):
+            assert r.reason is None and r[c] == ""
+        else:
+            assert r.reason == "missing_field", c
