@@ -62,9 +62,15 @@ def self_contained_pattern(depth: int) -> str:
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
-    """F1 + F2: ``topic, partition, offset, text`` for non-null, non-blank values."""
+    """F1 + F2: ``topic, partition, offset, text`` for non-null, non-blank values.
+
+    Rows without topic, partition or offset cannot be placed and are left out
+    here (stated once, so both uses of the per-block aggregate plan alike and
+    Spark reuses its exchange).
+    """
     return (
-        messages.where(F.col("value").isNotNull())
+        messages.where(F.col("value").isNotNull() & F.col("topic").isNotNull()
+                       & F.col("partition").isNotNull() & F.col("offset").isNotNull())
         .select(*KEYS, "offset", java_trim(decode_utf8("value")).alias("text"))
         .where(F.col("text") != "")
     )
@@ -147,7 +153,7 @@ def _segments(prof: DataFrame, block_size: int) -> DataFrame:
     that earlier offsets of the block belong to)."""
     blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
     step = F.when(~F.col("fast"), F.struct("offset", "a", "m"))
-    blocks = (prof.select(*KEYS, blk.alias("block"), step.alias("st"))
+    blocks = (prof.select(*KEYS, blk.alias("block"), step.alias("st")).where(F.col("block").isNotNull())
               .groupBy(*KEYS, "block").agg(F.array_sort(F.collect_list("st")).alias("L")))
     summ = blocks.select(*KEYS, "block", F.expr(_BLOCK_SQL).alias("s"))
     wb = Window.partitionBy(*KEYS).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
