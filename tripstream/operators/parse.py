@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tripstream.functions.dates import is_unreadable_date, parse_datetime
+from tripstream.functions.dates import parse_lenient, parse_strict
 from tripstream.functions.text import java_trim, preview
 from tripstream.schema import (
     CORRUPT_COLUMN,
@@ -71,12 +71,16 @@ def parse_records(records: DataFrame, record_col: str = "record", now: Column |
     staged = staged.select(
         "*", F.explode(F.array(F.when(shape_ok, F.from_json(t, JSON_READ_SCHEMA, JSON_OPTIONS)))).alias("_j"))
     j = F.col("_j")
+    # each date is parsed once, into its own column, and read twice below
+    parse = parse_lenient if lenient else parse_strict
+    staged = staged.select("*", *[parse(j[c]).alias(f"_d_{c}") for c in DATE_COLUMNS])
+    fallback_clock = (now if now is not None else F.current_timestamp()).cast("timestamp_ntz")
     fallback = F.lit(False)
     cols = []
     for c in TRIP_COLUMNS:
         if c in DATE_COLUMNS:
-            cols.append(parse_datetime(j[c], now=now, lenient=lenient).alias(c))
-            fallback = fallback | is_unreadable_date(j[c], lenient=lenient)
+            cols.append(F.coalesce(F.col(f"_d_{c}"), fallback_clock).alias(c))
+            fallback = fallback | F.col(f"_d_{c}").isNull()
         elif c in NESTED_COLUMNS:
             cols.append(F.coalesce(j[c], F.lit("")).alias(c))
         else:
