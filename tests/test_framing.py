@@ -151,3 +151,74 @@ def test_framing_plan_has_one_wide_shuffle(spark):
     # exchanges carrying the message text: only the repartition by segment
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert plan.count("Exchange hashpartitioning(topic#") >= 1
+
+
+def model_limited(messages, limit):
+    """The model with ``max_record_chars``: closed records cut to ``limit``
+    chars and flagged; also the record left open and its depth."""
+    out, depth, buf, n = [], 0, "", 0
+    for v in messages:
+        if v is None:
+            continue
+        t = v.strip("".join(chr(i) for i in range(0x21)))
+        for ch in t:
+            if ch == "}" and depth == 0:
+                continue
+            if ch != "{" and ch != "}" and depth == 0:
+                continue
+            if ch == "{" and depth == 0:
+                buf, n = "", 0
+            depth += 1 if ch == "{" else (-1 if ch == "}" else 0)
+            buf, n = (buf + ch)[:limit], n + 1
+            if ch == "}" and depth == 0:
+                out.append((buf, n > limit))
+    return out, ((buf, n > limit, depth) if depth > 0 else None)
+
+
+def _with_open_record(rng):
+    # a brace that never closes, early, then many messages inside it
+    msgs = random_partition(rng, rng.randint(1, 5)) + ['{"never":'] + [
+        rng.choice(['{"a":1}', "x" * rng.randint(1, 9), "}", "{", " "]) for _ in range(rng.randint(20, 60))]
+    return msgs
+
+
+def test_property_forced_cuts_match_limited_model(spark):
+    rng = random.Random(23)
+    rows, parts = [], {}
+    for p in range(30):
+        msgs = _with_open_record(rng) if p % 3 == 0 else random_partition(rng, rng.randint(5, 40))
+        parts[p] = msgs
+        off = 0
+        for m in msgs:
+            off += rng.randint(1, 2)
+            rows.append((None, None if m is None else m.encode(), "t", p, off, None))
+    for limit in (6, 17, 40):
+        expected = {p: model_limited(m, limit) for p, m in parts.items()}
+        for block in (2, 5):
+            got, opened = {}, {}
+            for r in (_frame(spark, rows, block_size=block, max_record_chars=limit, emit_open=True)
+                      .orderBy("partition", "offset", "pos").collect()):
+                if r.open:
+                    assert r.partition not in opened
+                    opened[r.partition] = (r.record, r.too_long, r.depth)
+                else:
+                    got.setdefault(r.partition, []).append((r.record, r.too_long))
+            for p in parts:
+                assert got.get(p, []) == expected[p][0], (limit, block, p)
+                assert opened.get(p) == expected[p][1], (limit, block, p)
+
+
+def test_never_closing_brace_spreads_over_segments(spark):
+    from tripstream.operators import framing as fr
+
+    msgs = ['{"a":1}', '{"open":'] + ['"' + "x" * 30 + '",'] * 200
+    rows = [(None, m.encode(), "t", 0, i, None) for i, m in enumerate(msgs)]
+    dec = fr.decode_messages(spark.createDataFrame(rows, MESSAGE_SCHEMA))
+    prof = dec.select("topic", "partition", "offset", "text", F.lit(False).alias("fast"),
+                      F.lit(0).alias("a"), F.lit(0).alias("m"))
+    prof = prof.withColumn("a", F.expr("size(regexp_extract_all(text, '[{]', 0))")
+                           - F.expr("size(regexp_extract_all(text, '[}]', 0))"))
+    prof = prof.withColumn("m", F.least(F.lit(0), F.col("a")))
+    segs = fr._segments(prof, 8, 100).where("forced OR seg_start IS NOT NULL").count()
+    assert segs > 20  # about one segment per block after the first 100 chars
+    assert [r.record for r in _frame(spark, rows, block_size=8, max_record_chars=100).collect()] == ['{"a":1}']

@@ -147,25 +147,67 @@ def choose_block_size(dec: DataFrame, target_blocks: int | None = None) -> tuple
     return size, -(-total // size) + parts
 
 
-def _segments(prof: DataFrame, block_size: int) -> DataFrame:
-    """One row per (topic, partition, block): ``seg_start`` (first offset of
-    the block where no record is open, or null) and ``prev_seg`` (the segment
-    that earlier offsets of the block belong to)."""
+def _segments(prof: DataFrame, block_size: int, max_record_chars: int) -> DataFrame:
+    """One row per (topic, partition, block) saying how its offsets map to segments.
+
+    A *natural* segment starts at ``seg_start``, the first offset of the
+    block where no record is open. A block is *forced* to start a segment at
+    its first offset when the record open there already holds more than
+    ``max_record_chars`` in whole blocks since depth last touched 0: that
+    record is too long, nothing past the cut is gathered, so the cut only
+    needs the depth entering the block (``D``). A never-closing brace so
+    spreads over one segment per block, not one task for the rest of the
+    partition.
+
+    Per block: ``seg_start``, ``forced``, ``D``, ``prev_seg`` / ``prev_depth``
+    (segment that earlier offsets belong to, and its entering depth),
+    ``nb_forced`` (the next segment start is forced), ``nb_closes`` (the
+    record open there closes later), ``final_depth`` (depth at the end of
+    the partition).
+    """
     blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
     step = F.when(~F.col("fast"), F.struct("offset", "a", "m"))
-    blocks = (prof.select(*KEYS, blk.alias("block"), step.alias("st")).where(F.col("block").isNotNull())
-              .groupBy(*KEYS, "block").agg(F.array_sort(F.collect_list("st")).alias("L")))
-    summ = blocks.select(*KEYS, "block", F.expr(_BLOCK_SQL).alias("s"))
-    wb = Window.partitionBy(*KEYS).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (prof.select(*KEYS, blk.alias("block"), step.alias("st"), F.length("text").alias("n"))
+              .where(F.col("block").isNotNull())
+              .groupBy(*KEYS, "block").agg(F.array_sort(F.collect_list("st")).alias("L"),
+                                           F.sum("n").alias("chars")))
+    summ = blocks.select(*KEYS, "block", "chars", F.expr(_BLOCK_SQL).alias("s"))
+    wo = Window.partitionBy(*KEYS).orderBy("block")
+    wb = wo.rowsBetween(Window.unboundedPreceding, -1)
+    wall = Window.partitionBy(*KEYS)
     pa = F.coalesce(F.sum("s.P").over(wb), F.lit(0)).cast("long")
-    summ = summ.select(*KEYS, "block", "s", pa.alias("PA"))
+    summ = summ.select(*KEYS, "block", "chars", "s", pa.alias("PA"))
     x = F.min(F.col("PA") + F.col("s.M")).over(wb)
-    depth = summ.select(*KEYS, "block",
-                        (F.col("PA") - F.least(F.lit(0), F.coalesce(x, F.lit(0)))).alias("D"))
-    per_block = blocks.join(depth, [*KEYS, "block"]).select(
-        *KEYS, "block", F.expr(_ZERO_SQL.format(B=block_size)).alias("seg_start"))
-    prev = F.max(F.when(F.col("seg_start").isNotNull(), F.col("block"))).over(wb)
-    return per_block.select("*", prev.alias("prev_seg"))
+    total = F.sum("s.P").over(wall)
+    final = total - F.least(F.lit(0), F.min(F.col("PA") + F.col("s.M")).over(wall))
+    depth = summ.select(*KEYS, "block", "chars",
+                        (F.col("PA") - F.least(F.lit(0), F.coalesce(x, F.lit(0)))).alias("D"),
+                        F.col("s.M").alias("M"), final.cast("int").alias("final_depth"))
+    t = blocks.select(*KEYS, "block", "L").join(depth, [*KEYS, "block"]).select(
+        *KEYS, "block", "chars", "D", "final_depth",
+        # no record is open at some point of the block (maybe inside a message)
+        (F.col("D") + F.col("M") <= 0).alias("touch"),
+        F.expr(_ZERO_SQL.format(B=block_size)).alias("seg_start"))
+    nat = F.col("seg_start").isNotNull()
+    t = t.select("*", F.sum("chars").over(wo.rowsBetween(Window.unboundedPreceding, 0)).alias("C"),
+                 F.max(F.col("touch").cast("int")).over(wo.rowsBetween(0, Window.unboundedFollowing))
+                 .alias("touch_later"))
+    # chars of the whole blocks since depth last touched 0: all of them are
+    # inside the record open at this block's start
+    inside = (F.col("C") - F.col("chars")
+              - F.last(F.when(F.col("touch"), F.col("C")), ignorenulls=True).over(wb))
+    t = t.select("*", ((F.col("D") > 0) & (inside >= max_record_chars)).alias("forced"))
+    starts = nat | F.col("forced")
+    wf = wo.rowsBetween(1, Window.unboundedFollowing)
+    return t.select(
+        *KEYS, "block", "seg_start", "forced", "D", "final_depth",
+        F.max(F.when(starts, F.col("block"))).over(wb).alias("prev_seg"),
+        F.last(F.when(starts, F.when(F.col("forced"), F.col("D")).otherwise(F.lit(0))),
+               ignorenulls=True).over(wb).alias("prev_depth"),
+        F.coalesce(F.first(F.when(starts, F.col("forced")), ignorenulls=True).over(wf),
+                   F.lit(False)).alias("nb_forced"),
+        F.coalesce(F.first(F.when(starts, F.col("touch_later") == 1), ignorenulls=True).over(wf),
+                   F.lit(False)).alias("nb_closes"))
 
 
 def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
@@ -196,12 +238,19 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
         block_size, n_blocks = choose_block_size(dec)
     else:
         n_blocks = sc.defaultParallelism
-    segs = _segments(prof, block_size)
+    segs = _segments(prof, block_size, max_record_chars)
     blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
-    seg = (F.when(F.col("seg_start").isNotNull() & (F.col("offset") >= F.col("seg_start")), F.col("block"))
-           .otherwise(F.col("prev_seg")))
+    own = F.col("forced") | (F.col("seg_start").isNotNull() & (F.col("offset") >= F.col("seg_start")))
+    seg = F.when(own, F.col("block")).otherwise(F.col("prev_seg"))
+    # depth entering the segment: D when it starts at a forced cut, else 0
+    d0 = F.when(own, F.when(F.col("forced"), F.col("D")).otherwise(F.lit(0))).otherwise(F.col("prev_depth"))
+    # segment ends at a forced cut: its open record is too long; it closes
+    # iff a natural start follows, and its depth is the partition's last
+    end_forced = F.when(own | F.col("seg_start").isNull(), F.col("nb_forced")).otherwise(F.lit(False))
     wide = (prof.select("*", blk.alias("block")).join(segs, [*KEYS, "block"])
-            .select(*KEYS, "offset", "text", "fast", "a", "m", seg.alias("seg")))
+            .select(*KEYS, "offset", "text", "fast", "a", "m", seg.alias("seg"), d0.alias("d0"),
+                    (end_forced & F.col("nb_closes")).cast("int").alias("carry_close"),
+                    F.when(end_forced, F.col("final_depth")).alias("end_depth")))
     # One task per segment or a few: an explicit count, so the post-shuffle
     # work (cutting, parsing) is not coalesced into a handful of tasks just
     # because the shuffled bytes are few. A segment holds about one block.
@@ -213,9 +262,13 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
     wide = wide.select("*", F.coalesce(F.sum("a").over(before), F.lit(0)).alias("P"))
     lmin = F.coalesce(F.min(F.col("P") + F.col("m")).over(before), F.lit(0))
     wide = wide.select("*", lmin.alias("Lmin"))
-    d_in = F.col("P") - F.least(F.lit(0), F.col("Lmin"))
-    d_out = F.col("P") + F.col("a") - F.least(F.lit(0), F.least(F.col("Lmin"), F.col("P") + F.col("m")))
-    wide = wide.select(*KEYS, "seg", "offset", "text", "fast", "m", d_in.alias("d_in"), d_out.alias("d_out"))
+    # clamped walk from the segment's entering depth d0: max(d0 + A, A - M)
+    d_in = F.greatest(F.col("d0") + F.col("P"), F.col("P") - F.least(F.lit(0), F.col("Lmin")))
+    pa = F.col("P") + F.col("a")
+    d_out = F.greatest(F.col("d0") + pa,
+                       pa - F.least(F.lit(0), F.least(F.col("Lmin"), F.col("P") + F.col("m"))))
+    wide = wide.select(*KEYS, "seg", "offset", "text", "fast", "m", "carry_close", "end_depth",
+                       d_in.alias("d_in"), d_out.alias("d_out"))
     opens_tail = F.when((F.col("d_out") > 0) & (F.col("d_in") + F.col("m") <= 0), F.col("offset"))
     quick = F.col("fast") & (F.col("d_in") == 0)
     wide = wide.select("*", F.max(opens_tail).over(before).alias("open_key"),
@@ -223,11 +276,12 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
 
     # cut: regex for self-contained messages entered at depth 0, token walk otherwise
     cut = F.when(F.col("quick"), F.expr(_regex_cut_sql(max(fast_depth, 1)))).otherwise(F.expr(_CUT_SQL))
-    pieces = wide.select(*KEYS, "seg", "offset", "open_key", "d_out", F.explode(cut).alias("p"))
+    pieces = wide.select(*KEYS, "seg", "offset", "open_key", "d_out", "carry_close", "end_depth",
+                         F.explode(cut).alias("p"))
     kind = F.col("p.kind")
     pieces = pieces.select(
         *KEYS, "seg", "offset", F.col("p.pos").alias("pos"), F.col("p.piece").alias("piece"),
-        kind.alias("kind"), "d_out",
+        kind.alias("kind"), "d_out", "carry_close", "end_depth",
         F.when(kind.isin(WHOLE, TAIL), F.col("offset")).otherwise(F.col("open_key")).alias("rec_offset"),
         F.when(kind == WHOLE, F.col("p.pos")).otherwise(F.lit(-1)).alias("gpos"))
 
@@ -241,14 +295,21 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
     gathered = F.coalesce(F.sum(n).over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     pieces = pieces.where(F.col("rec_offset").isNotNull()).select(
         "*", gathered.alias("gathered"),
-        F.max(F.col("kind").isin(WHOLE, HEAD).cast("int")).over(wg).alias("closed"))
+        F.greatest(F.max(F.col("kind").isin(WHOLE, HEAD).cast("int")).over(wg),
+                   F.col("carry_close")).alias("closed"),
+        # depth after the group's last piece, kept or not (an open record's
+        # depth at the end of the input, for the stream carry)
+        F.coalesce(F.col("end_depth"), F.max_by("d_out", "offset").over(wg)).alias("last_depth"))
     # the only unclosed group of a (topic, partition) is its last, open record
+    # Pieces of a record carried into a forced segment have no key (dropped
+    # here): the record is emitted by its first segment, closed there when
+    # it closes later (carry_close).
     keep = F.col("gathered") <= max_record_chars
     if not emit_open:
         keep = (F.col("closed") == 1) & keep
     recs = pieces.where(keep).groupBy(*KEYS, "seg", "rec_offset", "gpos").agg(
         F.max("closed").alias("closed"),
-        F.max_by("d_out", "offset").alias("depth"),
+        F.max("last_depth").alias("depth"),
         F.max(F.when(F.col("kind").isin(WHOLE, TAIL), F.col("pos"))).alias("pos"),
         F.max(F.col("gathered") + n).alias("seen"),
         F.count(F.lit(1)).alias("n_pieces"),
