@@ -37,6 +37,7 @@ from tripstream.operators.framing_core import HEAD, MIDDLE, TAIL, WHOLE
 
 DEFAULT_BLOCK = None             # offsets per scan block; None: from the offset spans
 MIN_BLOCK = 1 << 10
+MAX_BLOCK = 1 << 20              # bounds a block's gathered step list, whatever the data size
 MAX_BLOCKS = 200_000             # keeps the per-block table small (AQE broadcasts it)
 DEFAULT_FAST_DEPTH = 8           # deepest object the regex path frames
 DEFAULT_MAX_RECORD_CHARS = 1 << 20
@@ -133,7 +134,10 @@ def choose_block_size(dec: DataFrame, target_blocks: int | None = None) -> tuple
     One aggregation on the offset column (a Kafka source knows these ranges
     up front); result has one row per Kafka partition. Aims at
     ``target_blocks`` segments (default 4 x default parallelism), a power of
-    two, at least ``MIN_BLOCK`` and never more than ``MAX_BLOCKS`` blocks.
+    two between ``MIN_BLOCK`` and ``MAX_BLOCK``, and no more than
+    ``MAX_BLOCKS`` blocks while that bound allows (up to about 2e11
+    offsets; beyond it the block table grows and AQE joins it by shuffle
+    instead of broadcasting it, but no block's list grows).
     """
     spans = (dec.groupBy(*KEYS).agg((F.max("offset") - F.min("offset") + 1).alias("n"))
              .agg(F.sum("n"), F.count(F.lit(1))).first())
@@ -142,7 +146,7 @@ def choose_block_size(dec: DataFrame, target_blocks: int | None = None) -> tuple
         target_blocks = 4 * dec.sparkSession.sparkContext.defaultParallelism
     want = max(1, -(-total // max(target_blocks, 1)), -(-total // MAX_BLOCKS))
     size = MIN_BLOCK
-    while size < want:
+    while size < min(want, MAX_BLOCK):
         size <<= 1
     return size, -(-total // size) + parts
 
