@@ -4,13 +4,20 @@ Layout under ``path``::
 
     data/snapshot_seq=N/pickup_day=D/part-*.parquet   13 trip columns
     rejects/snapshot_seq=N/part-*.parquet             reject rows of that append
-    commits/part-*.parquet                            one row per append
+    commits/log_epoch=E/part-*.parquet                one row per append, E = N // LOG_EPOCH
 
 An append writes its rows into a new ``snapshot_seq`` folder (overwriting a
 leftover of a failed try), then adds its commit row. Only committed
 sequence numbers are read, so a read "as of N" is the partition filter
-``snapshot_seq <= N`` that Spark prunes at file listing. The commit log is
-one small row per append; it is the only thing read to the driver.
+``snapshot_seq <= N`` that Spark prunes at file listing.
+
+The commit log is one small row per append. The newest commit is read from
+the last ``log_epoch`` folder only; lookups by id, time or batch are
+filters over the log. A folder with more than ``LOG_COMPACT_FILES`` files is
+rewritten as one file, then its old files are deleted; a reader that comes
+in between sees a row twice, so the log is read with duplicates dropped by
+``snapshot_seq``. A long-running stream so keeps about one file per
+thousand commits.
 """
 
 from __future__ import annotations
@@ -20,7 +27,6 @@ import random
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.errors import AnalysisException
 from pyspark.storagelevel import StorageLevel
 
 from tripstream.schema import COMMIT_SCHEMA, TRIP_COLUMNS, TRIP_SCHEMA
@@ -63,6 +69,10 @@ class SnapshotNotFound(LookupError):
     pass
 
 
+LOG_EPOCH = 1000                 # commits per log folder
+LOG_COMPACT_FILES = 64           # a log folder with more files is rewritten as one
+
+
 def _new_snapshot_id() -> int:
     return random.SystemRandom().randint(1, (1 << 63) - 1)
 
@@ -86,31 +96,67 @@ class SnapshotTable:
     def commits_path(self) -> str:
         return f"{self.path}/commits"
 
+    def _epoch_path(self, epoch: int) -> str:
+        return f"{self.commits_path}/log_epoch={epoch}"
+
+    # ---- file listing (folder names only, on the driver) -----------------
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _names(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p)]
+
+    def _epochs(self) -> list[int]:
+        return sorted(int(n.split("=", 1)[1]) for n in self._names(self.commits_path)
+                      if n.startswith("log_epoch="))
+
     # ---- creation (K3) -----------------------------------------------
     def exists(self) -> bool:
-        try:
-            self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path).schema
-            return True
-        except AnalysisException:
-            return False
+        return bool(self._epochs())
 
     def ensure(self) -> bool:
         """Create the table if missing; True when it was created now."""
         if self.exists():
             return False
         (self.spark.createDataFrame([], COMMIT_SCHEMA).coalesce(1)
-         .write.mode("errorifexists").parquet(self.commits_path))
+         .write.mode("errorifexists").parquet(self._epoch_path(0)))
         return True
 
     # ---- commit log (S6, S7) --------------------------------------------
     def log(self) -> DataFrame:
+        """All commit rows (one per append)."""
         if not self.exists():
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
-
-    def _commits(self) -> list:
-        """Commit rows, oldest sequence first (one row per append)."""
-        return sorted(self.log().collect(), key=lambda r: r.snapshot_seq)
+        return (self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
+                .select(*COMMIT_SCHEMA.fieldNames()).dropDuplicates(["snapshot_seq"]))
+
+    def last_commit(self):
+        """The newest commit row, read from the last log folder only; None if none."""
+        for e in reversed(self._epochs()):
+            rows = (self.spark.read.schema(COMMIT_SCHEMA).parquet(self._epoch_path(e))
+                    .orderBy(F.col("snapshot_seq").desc()).limit(1).collect())
+            if rows:
+                return rows[0]
+        return None
+
+    def compact_log(self, epoch: int, min_files: int = LOG_COMPACT_FILES) -> bool:
+        """Rewrite one log folder as one file when it holds more than ``min_files``."""
+        path = self._epoch_path(epoch)
+        old = [n for n in self._names(path) if n.endswith(".parquet") and not n.startswith(".")]
+        if len(old) <= min_files:
+            return False
+        rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(path).dropDuplicates(["snapshot_seq"])
+        rows.coalesce(1).write.mode("append").parquet(path)
+        fs, _ = self._fs(path)
+        jvm = self.spark.sparkContext._jvm
+        for n in old:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}"), False)
+        return True
 
     def snapshots(self) -> DataFrame:
         """``committed_at, snapshot_id, parent_id, operation, added_rows``."""
@@ -135,13 +181,14 @@ class SnapshotTable:
         makes the call a no-op returning that commit (replay after a restart).
         """
         self.ensure()
-        commits = self._commits()
         if batch_id is not None:
-            for c in commits:
-                if c.batch_id == batch_id:
-                    return c
-        seq = (commits[-1].snapshot_seq + 1) if commits else 1
-        parent = commits[-1].snapshot_id if commits else None
+            hit = (self.log().where(F.col("batch_id") == F.lit(batch_id))
+                   .orderBy("snapshot_seq").limit(1).collect())
+            if hit:
+                return hit[0]
+        last = self.last_commit()
+        seq = (last.snapshot_seq + 1) if last else 1
+        parent = last.snapshot_id if last else None
         obs = Observation(f"append_{seq}")
         out = (trips.select(*TRIP_COLUMNS)
                .withColumn("pickup_day", F.to_date("tpep_pickup_datetime"))
@@ -158,7 +205,8 @@ class SnapshotTable:
                committed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
                "append", int(added), batch_id)
         (self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(self.commits_path))
+         .write.mode("append").parquet(self._epoch_path(seq // LOG_EPOCH)))
+        self.compact_log(seq // LOG_EPOCH)
         return self.spark.createDataFrame([row], COMMIT_SCHEMA).first()
 
     def append_checked(self, checked: DataFrame, **kw):
@@ -183,21 +231,20 @@ class SnapshotTable:
                 .where(F.col("snapshot_seq") <= F.lit(seq)).select(*TRIP_COLUMNS))
 
     def current(self) -> DataFrame:
-        commits = self._commits()
-        return self._read_upto(commits[-1].snapshot_seq if commits else None)
+        last = self.last_commit()
+        return self._read_upto(last.snapshot_seq if last else None)
 
     def rejects(self) -> DataFrame:
-        commits = self._commits()
-        if not commits:
+        last = self.last_commit()
+        if last is None:
             return self.spark.createDataFrame([], "reason string, raw_preview string")
-        top = commits[-1].snapshot_seq
-        return self.spark.read.parquet(self.rejects_path).where(F.col("snapshot_seq") <= top)
+        return self.spark.read.parquet(self.rejects_path).where(F.col("snapshot_seq") <= last.snapshot_seq)
 
     def seq_of(self, snapshot_id: int) -> int:
-        for c in self._commits():
-            if c.snapshot_id == snapshot_id:
-                return c.snapshot_seq
-        raise SnapshotNotFound(f"snapshot id {snapshot_id} is not in the commit log")
+        hit = self.log().where(F.col("snapshot_id") == F.lit(snapshot_id)).select("snapshot_seq").first()
+        if hit is None:
+            raise SnapshotNotFound(f"snapshot id {snapshot_id} is not in the commit log")
+        return hit.snapshot_seq
 
     def as_of(self, snapshot_id: int | None = None, timestamp=None,
               on_error: str = "raise") -> DataFrame:
@@ -212,16 +259,17 @@ class SnapshotTable:
         try:
             if snapshot_id is not None and snapshot_id > 0:
                 return self._read_upto(self.seq_of(snapshot_id))
-            commits = self._commits()
             if timestamp is not None:
                 ts = _to_datetime(timestamp)
-                seqs = [c.snapshot_seq for c in commits if c.committed_at <= ts]
-                if not seqs:
+                bound = F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+                top = (self.log().where(F.col("committed_at") <= bound)
+                       .agg(F.max("snapshot_seq")).first()[0])
+                if top is None:
                     raise SnapshotNotFound(f"no snapshot committed at or before {ts}")
-                return self._read_upto(max(seqs))
-            if len(commits) > 1:
-                prev = (self.log().orderBy(F.col("committed_at").desc(), F.col("snapshot_seq").desc())
-                        .offset(1).limit(1).select("snapshot_seq").first())
+                return self._read_upto(top)
+            prev = (self.log().orderBy(F.col("committed_at").desc(), F.col("snapshot_seq").desc())
+                    .offset(1).limit(1).select("snapshot_seq").first())
+            if prev is not None:
                 return self._read_upto(prev.snapshot_seq)
             return self.current()
         except SnapshotNotFound:
@@ -235,8 +283,8 @@ class SnapshotTable:
 
         Re-run after each append to move the pointer. A failure only warns.
         """
-        commits = self._commits()
-        top = commits[-1].snapshot_seq if commits else 0
+        last = self.last_commit()
+        top = last.snapshot_seq if last else 0
         cols = ", ".join(f"`{c}`" for c in TRIP_COLUMNS)
         try:
             if top == 0:
