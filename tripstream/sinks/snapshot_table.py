@@ -135,6 +135,13 @@ class SnapshotTable:
         return (self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
                 .select(*COMMIT_SCHEMA.fieldNames()).dropDuplicates(["snapshot_seq"]))
 
+    def _raw_log(self) -> DataFrame:
+        """Commit rows as stored (a row may appear twice during a compaction):
+        for lookups that a duplicate cannot change, with no shuffle."""
+        if not self.exists():
+            return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path).select(*COMMIT_SCHEMA.fieldNames())
+
     def last_commit(self):
         """The newest commit row, read from the last log folder only; None if none."""
         for e in reversed(self._epochs()):
@@ -182,7 +189,7 @@ class SnapshotTable:
         """
         self.ensure()
         if batch_id is not None:
-            hit = (self.log().where(F.col("batch_id") == F.lit(batch_id))
+            hit = (self._raw_log().where(F.col("batch_id") == F.lit(batch_id))
                    .orderBy("snapshot_seq").limit(1).collect())
             if hit:
                 return hit[0]
@@ -241,7 +248,7 @@ class SnapshotTable:
         return self.spark.read.parquet(self.rejects_path).where(F.col("snapshot_seq") <= last.snapshot_seq)
 
     def seq_of(self, snapshot_id: int) -> int:
-        hit = self.log().where(F.col("snapshot_id") == F.lit(snapshot_id)).select("snapshot_seq").first()
+        hit = self._raw_log().where(F.col("snapshot_id") == F.lit(snapshot_id)).select("snapshot_seq").first()
         if hit is None:
             raise SnapshotNotFound(f"snapshot id {snapshot_id} is not in the commit log")
         return hit.snapshot_seq
@@ -262,7 +269,7 @@ class SnapshotTable:
             if timestamp is not None:
                 ts = _to_datetime(timestamp)
                 bound = F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
-                top = (self.log().where(F.col("committed_at") <= bound)
+                top = (self._raw_log().where(F.col("committed_at") <= bound)
                        .agg(F.max("snapshot_seq")).first()[0])
                 if top is None:
                     raise SnapshotNotFound(f"no snapshot committed at or before {ts}")
