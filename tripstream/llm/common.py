@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
-import xxhash
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripstream.config import ensure_checkpoint_dir, scratch_root, ship_package
 
-# Words: runs of anything but ASCII space and \t \n \v \f \r (what bytes.split cuts at).
+# Words: runs of anything but ASCII space and \t \n \v \f \r (as bytes.split cuts).
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 # ASCII letters of F.translate (Unicode case rules play no part).
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
-#: Distinct words whose hash a Python worker keeps at most before starting anew.
-WORD_CACHE = 300_000
-
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)
 _M3 = np.uint64(0x94D049BB133111EB)
@@ -63,21 +60,84 @@ def lower_ascii(c) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-class _WordHash(dict):
-    """word -> 64-bit hash, filled on demand and emptied when it is full."""
+_BLANK = np.zeros(256, bool)
+_BLANK[list(b" \t\n\v\f\r")] = True
+_ODD = 0x100000001B3                     # base of the words' polynomial hash
+_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]   # of the base and of its inverse
+
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
+def _powers(n: int) -> list[np.ndarray]:
+    if len(_POWERS[0]) < n:
+        size = 1 << (n - 1).bit_length()
+        with np.errstate(over="ignore"):
+            for k, base in enumerate((_ODD, _ODD_INVERSE)):
+                steps = np.full(size, np.uint64(base), np.uint64)
+                steps[0] = 1
+                _POWERS[k] = np.multiply.accumulate(steps)
+    return _POWERS
 
 
-_WORDS = _WordHash()
+def word_places(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end (exclusive) of each word of a byte array."""
+    word = np.zeros(len(raw) + 2, np.int8)
+    np.logical_not(_BLANK[raw], out=word[1:-1].view(bool))
+    edge = np.diff(word)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+def place_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each slice: prefix sums of a polynomial over the bytes
+    give all of them at once."""
+    power, inverse = _powers(len(raw) + 1)
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(raw * power[:len(raw)] + power[:len(raw)], out=sums[1:])
+        return mix64((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64) * _M1)
+
+
+def pieces(text: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text cut between words, into pieces of about ``size`` bytes."""
+    at = 0
+    while at < len(text):
+        end = min(len(text), at + size)
+        while end < len(text) and not _BLANK[text[end]]:
+            end += 1
+        yield text[at:end]
+        at = end
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word of a text, in order."""
+    out = []
+    for piece in pieces(text):
+        raw = np.frombuffer(piece, np.uint8)
+        out.append(place_hashes(raw, *word_places(raw)))
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def chunked(lengths: Iterable[int], limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Runs of rows with about ``limit`` bytes together (a longer one alone)."""
+    start, size, k = 0, 0, -1
+    for k, n in enumerate(lengths):
+        if k > start and size + n > limit:
+            yield start, k
+            start, size = k, 0
+        size += n
+    if k >= start:
+        yield start, k + 1
+
+
+def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of several texts, end to end, and where each text's begin
+    (one more number: the end)."""
+    if len(texts) == 1:
+        one = word_hashes(texts[0])
+        return one, np.array([0, len(one)])
+    raw = np.frombuffer(b"\n".join(texts), np.uint8)
+    start, end = word_places(raw)
+    edges = np.cumsum([0] + [len(x) + 1 for x in texts])
+    return place_hashes(raw, start, end), np.searchsorted(start, edges)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -107,8 +167,7 @@ def shingle_set(text: bytes | None, n: int, lower: bool = True) -> np.ndarray:
     """Sorted distinct shingle hashes of a text (null: none)."""
     if not text:
         return np.empty(0, np.uint64)
-    words = (text.lower() if lower else text).split()
-    return np.unique(shingle_hashes(word_hashes(words), n))
+    return np.unique(shingle_hashes(word_hashes(text.lower() if lower else text), n))
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:

@@ -4,7 +4,7 @@
 more than ``MAX_REPEAT_PERCENT`` % of its words inside repeated 3-word windows.
 
 *Method*: a logistic regression over hashed n-grams (single words, word
-pairs, and runs of ``CHAR_NS`` bytes), trained on labelled rows and
+pairs, byte triples), trained on labelled rows and
 calibrated (Platt) on labelled rows kept apart. A text's features are the
 shares of its n-grams per bucket, so its score is the mean weight of its
 n-grams: one gather per n-gram, no feature vector. Texts are scored in Arrow
@@ -24,67 +24,99 @@ no rows; repeated rows are judged one by one; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tripstream.llm.common import mix64, word_hashes
+from tripstream.llm.common import chunked, hash_texts, mix64, shingle_hashes, word_hashes
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
 
-TRAIN_ROWS = 3000        # labelled documents used at most: 4/5 to train, 1/5 to calibrate
-BUCKETS = 1 << 16
-CHAR_NS = (3, 4)
+TRAIN_ROWS = 1500        # labelled documents used at most: 4/5 to train, 1/5 to calibrate
+BITS = 16
+BUCKETS = 1 << BITS
 THRESHOLD = 0.5
-STEPS = 400
+STEPS = 100
 L2 = 1e-5
 
-_MASK = np.uint64(BUCKETS - 1)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def ngram_buckets(text: bytes) -> np.ndarray:
-    """Buckets of all n-grams of a text: words, word pairs, byte runs."""
-    parts = []
-    words = word_hashes(text.lower().split())
+def _triples(raw: np.ndarray) -> np.ndarray:
+    raw = raw.astype(np.uint32)
+    with np.errstate(over="ignore"):
+        x = (raw[:-2] << np.uint32(16)) | (raw[1:-1] << np.uint32(8)) | raw[2:]
+        return (x * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+
+
+def _pairs(words: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        if len(words):
-            parts += [mix64(words), mix64(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])]
-        raw = np.frombuffer(text, np.uint8).astype(np.uint64)
-        for n in CHAR_NS:
-            if len(raw) >= n:
-                x = np.full(len(raw) - n + 1, np.uint64(n), np.uint64)
-                for j in range(n):
-                    x = (x << np.uint64(8)) | raw[j:j + len(x)]
-                parts.append((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40))
-    if not parts:
-        return np.empty(0, np.int64)
-    return (np.concatenate(parts) & _MASK).astype(np.int64)
-
-
-def base_counts(text: bytes, chars: int) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    words = text.split()
-    n = len(words)
-    blanks = len(text) - len(text.translate(None, b" \t\n\v\f\r"))
-    symbols = len(text) - len(text.translate(None, SYMBOLS))
-    lines = [x for x in text.split(b"\n") if x.strip()]
-    repeated = 0
-    if n > 3:
-        windows = list(zip(words, words[1:], words[2:]))
-        if len(set(windows)) < len(windows):
-            counts = Counter(windows)
-            twice = np.fromiter((counts[w] > 1 for w in windows), bool, len(windows))
-            inside = np.zeros(n, bool)
+        return ((words[:-1] * _ODD + words[1:]) * _ODD) >> np.uint64(64 - BITS)
+
+
+def ngram_buckets(text: bytes) -> np.ndarray:
+    """Buckets of all n-grams of a text: words, word pairs, byte triples."""
+    words = word_hashes(text.lower())
+    parts = [words >> np.uint64(64 - BITS), _pairs(words), _triples(np.frombuffer(text, np.uint8))]
+    return np.concatenate([x.astype(np.int64) for x in parts])
+
+
+def ngram_means(texts: list[bytes], weights: np.ndarray) -> np.ndarray:
+    """Mean weight of the n-grams of each text (0 without any)."""
+    words, at = hash_texts([x.lower() for x in texts])
+    sums, counts = np.zeros(len(texts)), np.zeros(len(texts))
+
+    def add(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+        last = np.maximum(first, last)
+        total = np.concatenate(([0.0], np.cumsum(weights[values], dtype=np.float64)))
+        sums[:] += total[last] - total[first]
+        counts[:] += last - first
+
+    add(words >> np.uint64(64 - BITS), at[:-1], at[1:])
+    add(_pairs(words), np.minimum(at[:-1], max(0, len(words) - 1)), np.minimum(at[1:] - 1, max(0, len(words) - 1)))
+    edges = np.cumsum([0] + [len(x) for x in texts])
+    raw = np.frombuffer(b"".join(texts), np.uint8)
+    top = max(0, len(raw) - 2)
+    add(_triples(raw), np.minimum(edges[:-1], top), np.minimum(edges[1:] - 2, top))
+    return sums / np.maximum(counts, 1)
+
+
+def base_counts(texts: list[bytes], chars: list[int]) -> list[np.ndarray]:
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of each text.
+
+    Windows are equal when their 64-bit hashes are.
+    """
+    words, at = hash_texts(texts)
+    n = np.diff(at)
+    blanks = np.array([len(x) - len(x.translate(None, b" \t\n\v\f\r")) for x in texts], np.int64)
+    symbols = np.array([len(x) - len(x.translate(None, SYMBOLS)) for x in texts], np.int64)
+    dups = []
+    for x in texts:
+        lines = [y for y in x.split(b"\n") if y.strip()]
+        dups.append(len(lines) - len(set(lines)))
+    repeated = np.zeros(len(texts), np.int64)
+    if len(words) > 3:
+        # a window's key holds its text's number; windows over a text's end are left out
+        text_of = np.repeat(np.arange(len(texts)), n)
+        windows = shingle_hashes(words, 3)
+        inner = text_of[:-2] == text_of[2:]
+        with np.errstate(over="ignore"):
+            windows = mix64(windows + text_of[:-2].astype(np.uint64) * _ODD)
+        order = np.sort(windows[inner])
+        twice = order[1:][order[1:] == order[:-1]]
+        if len(twice):
+            again = np.isin(windows, twice) & inner
+            inside = np.zeros(len(words), bool)
             for j in range(3):
-                inside[j:j + len(windows)] |= twice
-            repeated = int(inside.sum())
-    return n, chars - blanks, symbols, len(lines) - len(set(lines)), repeated
+                inside[j:j + len(windows)] |= again
+            repeated = np.bincount(text_of[inside], minlength=len(texts))
+    return [n, np.asarray(chars) - blanks, symbols, np.array(dups), repeated]
 
 
 @dataclass
@@ -95,12 +127,11 @@ class QualityModel:
     offset: float
     prior: float | None = None   # no model: every text gets this probability
 
-    def probability(self, text: bytes) -> float:
+    def probabilities(self, texts: list[bytes]) -> np.ndarray:
         if self.prior is not None:
-            return self.prior
-        grams = ngram_buckets(text)
-        raw = self.bias + (float(self.weights[grams].mean(dtype=np.float64)) if len(grams) else 0.0)
-        return float(1.0 / (1.0 + np.exp(-np.clip(self.slope * raw + self.offset, -50, 50))))
+            return np.full(len(texts), self.prior)
+        raw = self.bias + ngram_means(texts, self.weights)
+        return 1.0 / (1.0 + np.exp(-np.clip(self.slope * raw + self.offset, -50, 50)))
 
 
 def _features(documents: DataFrame, labels: DataFrame, rows: int) -> list:
@@ -200,15 +231,14 @@ def judge_quality(documents: DataFrame, model: QualityModel, threshold: float =
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, probs = [], []
-            for k in range(batch.num_rows):
-                text = batch.column(0)[k].as_py() or b""
-                counts.append(base_counts(text, batch.column(1)[k].as_py()))
-                probs.append(model.probability(text))
-            cols = list(batch.columns[2:])
-            cols += [pa.array(c, pa.int64()) for c in zip(*counts)] if counts else [pa.array([], pa.int64())] * 5
-            cols.append(pa.array(probs, pa.float64()))
-            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[2:], *COUNTS, "p_quality"])
+            lengths = pc.coalesce(pc.binary_length(batch.column(0)), 0).to_pylist()
+            for start, end in chunked(lengths):
+                part = batch.slice(start, end - start)
+                texts = [x or b"" for x in part.column(0).to_pylist()]
+                counts = base_counts(texts, part.column(1).to_pylist())
+                cols = [*part.columns[2:], *(pa.array(c, pa.int64()) for c in counts),
+                        pa.array(model.probabilities(texts), pa.float64())]
+                yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[2:], *COUNTS, "p_quality"])
 
     out = rows.mapInArrow(judge, schema)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
