@@ -75,8 +75,92 @@ SELECT page_id, host, path, rule,
 FROM g
 """
 
+# Runs of 3 lines, or of 1 or 2 with 100 characters; copies after the first go.
+OP8 = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line
+  FROM documents
+), s AS (
+  SELECT doc_id, line, x, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS seq
+  FROM l WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
+), g AS (
+  SELECT *, lead(x) OVER w AS x2, lead(x, 2) OVER w AS x3, length(x) AS c1 FROM s
+  WINDOW w AS (PARTITION BY doc_id ORDER BY seq)
+), k AS (
+  SELECT doc_id, seq,
+    c1 >= 100 AND row_number() OVER (PARTITION BY x ORDER BY doc_id, seq) > 1 AS g1,
+    x2 IS NOT NULL AND c1 + length(x2) >= 100 AND row_number() OVER (PARTITION BY x, x2 ORDER BY doc_id, seq) > 1 AS g2,
+    x3 IS NOT NULL AND row_number() OVER (PARTITION BY x, x2, x3 ORDER BY doc_id, seq) > 1 AS g3
+  FROM g
+), gone AS (
+  SELECT DISTINCT doc_id, seq + o AS seq
+  FROM (SELECT doc_id, seq, unnest(CASE WHEN g3 THEN [0, 1, 2] WHEN g2 THEN [0, 1] ELSE [0] END) AS o
+        FROM k WHERE g1 OR g2 OR g3)
+), d AS (
+  SELECT l.doc_id, l.line, l.x, gone.seq IS NOT NULL AS gone
+  FROM l LEFT JOIN s ON s.doc_id = l.doc_id AND s.line = l.line
+  LEFT JOIN gone ON gone.doc_id = s.doc_id AND gone.seq = s.seq
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+       coalesce(string_agg(line::VARCHAR, ',' ORDER BY line) FILTER (gone), '') AS deleted,
+       coalesce(string_agg(x, chr(10) ORDER BY line) FILTER (NOT gone), '') AS text
+FROM d GROUP BY doc_id
+"""
+
+OP10 = r"""
+WITH t(t, label, words, base) AS (VALUES
+  (0, 'cc-by', 'cc by', true), (1, 'gpl', 'general public license', true),
+  (2, 'reserved', 'all rights reserved', true),
+  (3, 'apache-2.0', 'licensed under the apache license version 2 0', false),
+  (4, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted', false),
+  (5, 'cc-by-nc-4.0', 'licensed under cc by nc 4 0', false), (6, 'cc-by-4.0', 'licensed under cc by 4 0', false),
+  (7, 'cc-by-sa-4.0', 'licensed under cc by sa 4 0', false),
+  (8, 'gpl-3.0', 'licensed under the gnu general public license version 3', false),
+  (9, 'gpl-2.0', 'licensed under the gnu general public license version 2', false),
+  (10, 'mit', 'released under the mit license', false),
+  (11, 'mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software', false),
+  (12, 'mpl-2.0', 'subject to the terms of the mozilla public license v 2 0', false)
+), tw AS (
+  SELECT t, label, base, string_split(words, ' ') AS w FROM t
+), tg AS (
+  SELECT t, label, base, len(w) - 1 AS m, p, w[p + 1] AS w0, w[p + 2] AS w1
+  FROM (SELECT *, unnest(range(len(w) - 1)) AS p FROM tw)
+), d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, i AS pos, w0, lead(w0) OVER (PARTITION BY doc_id ORDER BY i) AS w1
+  FROM (SELECT doc_id, unnest(w) AS w0, generate_subscripts(w, 1) - 1 AS i FROM d)
+), v AS (
+  SELECT doc_id, t, label, base, m, pos - p AS diagonal, count(*) AS votes, min(pos) AS s, max(pos) AS e, list(p) AS ps
+  FROM g JOIN tg USING (w0, w1) GROUP BY ALL
+), f AS (
+  SELECT *, (base OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, t ORDER BY diagonal) > 2, true))::INT AS fresh
+  FROM v
+), c AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, t ORDER BY diagonal) AS span FROM f
+), n AS (
+  SELECT doc_id, t, label, base, m, min(s) AS s, max(e) + 2 AS e, max(votes) AS votes,
+         len(list_distinct(flatten(list(ps)))) AS n
+  FROM c GROUP BY doc_id, t, label, base, m, span
+), ok AS (
+  SELECT * FROM n WHERE CASE WHEN base THEN votes = m ELSE n / m >= 0.75 AND e - s <= ceil(1.34 * (m + 1)) END
+), a AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+         array_to_string(list_sort(list_distinct(list(label) FILTER (base))), ',') AS base_labels,
+         array_to_string(list_sort(list_distinct(list(label))), ',') AS labels, max(n / m) AS score
+  FROM ok GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id
+"""
+
 ORACLES = {
     "op1_warc_bundles": OP1,
     "op3_chat_examples": OP3,
     "op6_url_verdicts": OP6,
+    "op8_line_runs": OP8,
+    "op10_license_spans": OP10,
 }

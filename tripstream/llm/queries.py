@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripstream.config import scratch_root
-from tripstream.llm import chat_format, quality, url_filter, warc
+from tripstream.llm import chat_format, license_scan, line_dedup, quality, url_filter, warc
 from tripstream.llm.common import table
 
 
@@ -33,9 +33,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(docs, model)
 
 
+def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), report=True)
+
+
+def op10_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op3_chat_examples": op3_chat_examples,
     "op6_url_verdicts": op6_url_verdicts,
     "op7_quality_rules": op7_quality_rules,
+    "op8_line_runs": op8_line_runs,
+    "op10_license_spans": op10_license_spans,
 }
