@@ -45,6 +45,26 @@ SELECT conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha25
 FROM g
 """
 
+OP4 = r"""
+WITH w AS (
+  SELECT doc_id, NULL AS item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+  UNION ALL
+  SELECT NULL, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM benchmark
+), g AS (
+  SELECT DISTINCT doc_id, item_id, w[i + 1 : i + 5] AS s
+  FROM (SELECT doc_id, item_id, w, unnest(range(len(w) - 4)) AS i FROM w WHERE len(w) >= 5)
+), n AS (
+  SELECT item_id, count(*) AS n_item FROM g WHERE item_id IS NOT NULL GROUP BY item_id
+), p AS (
+  SELECT d.doc_id, b.item_id, count(*) AS n_shared
+  FROM g d JOIN g b ON d.s = b.s AND d.doc_id IS NOT NULL AND b.item_id IS NOT NULL GROUP BY ALL
+)
+SELECT doc_id, p.item_id, n_item, n_shared FROM p JOIN n ON n.item_id = p.item_id
+WHERE 5 * n_shared >= 4 * n_item
+"""
+
 OP6 = r"""
 WITH r AS (
   SELECT page_id, regexp_extract(coalesce(url, ''), '://(.*)$', 1, 's') AS rest FROM pages
@@ -160,6 +180,7 @@ FROM d LEFT JOIN a ON a.doc_id = d.doc_id
 ORACLES = {
     "op1_warc_bundles": OP1,
     "op3_chat_examples": OP3,
+    "op4_benchmark_leaks": OP4,
     "op6_url_verdicts": OP6,
     "op8_line_runs": OP8,
     "op10_license_spans": OP10,

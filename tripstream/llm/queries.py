@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripstream.config import scratch_root
-from tripstream.llm import chat_format, license_scan, line_dedup, quality, url_filter, warc
+from tripstream.llm import chat_format, decontaminate, license_scan, line_dedup, packing, quality, url_filter, warc
 from tripstream.llm.common import table
 
 
@@ -23,6 +23,14 @@ def op3_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chats(chats.unionByName(more)))
 
 
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -44,6 +52,8 @@ def op10_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op3_chat_examples": op3_chat_examples,
+    "op4_benchmark_leaks": op4_benchmark_leaks,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_url_verdicts": op6_url_verdicts,
     "op7_quality_rules": op7_quality_rules,
     "op8_line_runs": op8_line_runs,
