@@ -23,8 +23,10 @@ _M3 = np.uint64(0x94D049BB133111EB)
 
 
 def ready(spark: SparkSession) -> None:
-    """Shared scratch folder known, this package on the Python workers."""
+    """Shared scratch folder known, this package on the Python workers, and
+    Arrow batches bounded by bytes (texts may be of any length)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripstream.config import scratch_root
-from tripstream.llm import chat_format, decontaminate, license_scan, line_dedup, packing, quality, url_filter, warc
+from tripstream.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, packing, quality, url_filter, warc
 from tripstream.llm.common import table
 
 
@@ -45,6 +45,11 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), report=True)
 
 
+def op9_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.near_components(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -57,5 +62,6 @@ QUERIES = {
     "op6_url_verdicts": op6_url_verdicts,
     "op7_quality_rules": op7_quality_rules,
     "op8_line_runs": op8_line_runs,
+    "op9_jaccard_components": op9_jaccard_components,
     "op10_license_spans": op10_license_spans,
 }
