@@ -46,7 +46,7 @@ SEQUENCE = 2048
 END_ID = 0
 GROUP = 4096            # pieces a group, about
 ROUNDS = 2
-CACHE = 400_000         # runs of text in a generation of a worker's cache
+CACHE = 800_000         # runs of text in a generation of a worker's cache
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -57,8 +57,21 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-# A run that ends in a letter and then punctuation: the tokenizer cuts between the two.
+# A word, then ASCII punctuation: the tokenizer cuts between the two.
 _WORD_TAIL = re.compile(rb"([a-z\x80-\xff]*[a-z])([!\"#$%&()*+,\-./:;=?@\[\]^_`{}~]+)")
+# Lower-case letters of Latin-1, composed: nothing to normalise, all one word.
+_LATIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: a printable byte is its own letter, the others
+    are letters from U+0100 on, in order."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(printable)]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 
 
 class IdCache:
@@ -74,38 +87,44 @@ class IdCache:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _learn(self, wanted: set[bytes]) -> None:
-        """All wanted runs into the young generation; parts that are not known
-        are encoded in one call (a token belongs to the part it starts in)."""
-        runs = wanted - self.young.keys()
-        if len(self.young) + len(runs) > CACHE:
-            self.old, self.young, runs = self.young, {}, wanted
-        young, old, new, compound = self.young, self.old, set(), []
+    def _keep(self, parts: list[bytes], ids: list[int], ends: np.ndarray) -> None:
+        data, at = np.array(ids, "<u4").tobytes(), 0
+        for part, end in zip(parts, (4 * ends).tolist()):
+            self.young[part] = data[at:end]
+            at = end
+
+    def _learn(self, runs: set[bytes]) -> None:
+        """Unknown runs into the young generation. The model itself takes plain
+        words; all else is encoded in one call (a token belongs to the part
+        it starts in)."""
+        young, old, words, rest, compound = self.young, self.old, [], [], []
         for run in runs:
             known = old.get(run)
             if known is not None:
                 young[run] = known
-                continue
-            cut = _WORD_TAIL.fullmatch(run)
-            parts = cut.groups() if cut else (run,)
-            new.update(parts)
-            if cut:
-                compound.append((run, *parts))
-        plain = [x for x in new if x.islower() and x.isalpha() and x not in young]
-        # the model itself takes plain ASCII words: nothing to normalise or to cut
-        for word in plain:
-            ids = [x.id for x in self.model.tokenize(word.decode())]
-            young[word] = struct.pack(f"<{len(ids)}I", *ids)
-        new = [x for x in new if x not in young]
-        text = b"\n".join(new).decode()
-        e = self.tokenizer.encode(text, add_special_tokens=False)
-        first = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
-        edges = np.cumsum(np.fromiter((len(x) + 1 for x in text.split("\n")), np.int64))
-        ends = (4 * np.searchsorted(first, edges)).tolist()
-        data, at = np.array(e.ids, "<u4").tobytes(), 0
-        for part, end in zip(new, ends):
-            young[part] = data[at:end]
-            at = end
+            elif _LATIN.fullmatch(run):
+                words.append(run)
+            elif cut := _WORD_TAIL.fullmatch(run):
+                word, tail = cut.groups()
+                compound.append((run, word, tail))
+                if word not in young:
+                    (words if _LATIN.fullmatch(word) else rest).append(word)
+                if tail not in young:
+                    rest.append(tail)
+            else:
+                rest.append(run)
+        if words:
+            words = list(dict.fromkeys(words))
+            found = [self.model.tokenize(x.decode() if x.isascii() else x.decode("latin-1").translate(_LETTERS))
+                     for x in words]
+            self._keep(words, [t.id for x in found for t in x], np.cumsum([len(x) for x in found]))
+        if rest:
+            rest = list(dict.fromkeys(rest))
+            text = b"\n".join(rest).decode()
+            e = self.tokenizer.encode(text, add_special_tokens=False)
+            first = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
+            edges = np.cumsum(np.fromiter((len(x) + 1 for x in text.split("\n")), np.int64))
+            self._keep(rest, e.ids, np.searchsorted(first, edges))
         for run, word, tail in compound:
             young[run] = young[word] + young[tail]
 
@@ -113,10 +132,16 @@ class IdCache:
         # A-Z are lower-cased by the tokenizer anyway, but special tokens are
         # known in their own spelling only; ASCII blanks are among its white space
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self._learn(set().union(*split))
-        get = self.young.__getitem__
-        for runs in split:
-            yield b"".join(map(get, runs))
+        get = self.young.get
+        found = [list(map(get, runs)) for runs in split]
+        unknown = {r for runs, ids in zip(split, found) if None in ids for r, x in zip(runs, ids) if x is None}
+        if len(self.young) + len(unknown) > CACHE:
+            self.old, self.young = self.young, {}
+        if unknown:
+            self._learn(unknown)
+        get = self.young.get
+        for runs, ids in zip(split, found):
+            yield b"".join(ids if None not in ids else [get(r) if x is None else x for r, x in zip(runs, ids)])
 
 
 def token_pieces(documents: DataFrame, path: str, size: int = SEQUENCE, doc_id: str = "doc_id",
