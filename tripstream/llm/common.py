@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,9 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
+#: Size of the sketch that says which rows are read again.
+SKETCH_BITS = 23
+
 _M1 = np.uint64(0x9E3779B97F4A7C15)
 _M2 = np.uint64(0xBF58476D1CE4E5B9)
 _M3 = np.uint64(0x94D049BB133111EB)
@@ -183,5 +187,47 @@ def shared(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
-def flat(lists) -> list:
-    return list(chain.from_iterable(lists))
+def hashed_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches (texts as bytes in column 0), their word hashes
+    with A-Z lower-cased, and where each text's begin."""
+    for batch in batches:
+        lengths = pc.coalesce(pc.binary_length(batch.column(0)), 0).to_pylist()
+        for start, end in chunked(lengths):
+            part = batch.slice(start, end - start)
+            yield part, *hash_texts([(x or b"").lower() for x in part.column(0).to_pylist()])
+
+
+def long_lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    """Arrays of 63-bit numbers as an Arrow column."""
+    offsets = np.cumsum([0] + [len(x) for x in arrays]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays).view(np.int64)))
+
+
+def wanted_texts(documents: DataFrame, wanted: DataFrame, tokens: Callable[[np.ndarray], np.ndarray],
+                 text: str = "text") -> DataFrame:
+    """``r, s``: ``tokens`` of the word hashes of documents by row_key, of all
+    rows in ``wanted`` (column r) and some others.
+
+    Texts are read where they are; a bit sketch of the wanted rows, of a fixed
+    1 MB, keeps most others from being hashed and shuffled. The sketch may only
+    let more rows through, never fewer.
+    """
+    slot = F.pmod(F.col("r"), F.lit(1 << SKETCH_BITS))
+    bits = (wanted.select(slot.alias("b")).groupBy(F.floor(F.col("b") / 64).cast("int").alias("w"))
+            .agg(F.bit_or(F.expr("shiftleft(1L, CAST(b % 64 AS INT))")).alias("v")).collect())
+    sketch = np.zeros(1 << (SKETCH_BITS - 6), np.int64)
+    sketch[[b["w"] for b in bits]] = [b["v"] for b in bits]
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hits = np.unpackbits(sketch.view(np.uint8), bitorder="little")
+
+        def known(batch: pa.RecordBatch) -> pa.RecordBatch:
+            slots = batch.column(1).to_numpy() & ((1 << SKETCH_BITS) - 1)
+            return batch.filter(pa.array(hits[slots] == 1))
+
+        for part, words, at in hashed_texts(known(b) for b in batches):
+            yield pa.RecordBatch.from_arrays(
+                [part.column(1), long_lists([tokens(words[a:b]) for a, b in zip(at[:-1], at[1:])])], names=["r", "s"])
+
+    rows = documents.select(F.col(text).cast("binary").alias("t"), row_key(documents).alias("r"))
+    return rows.mapInArrow(make, "r long, s array<long>")

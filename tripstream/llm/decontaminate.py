@@ -35,10 +35,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from tripstream.llm.common import chunked, hash_texts, mix64, shared, shingle_hashes
+from tripstream.llm.common import hash_texts, hashed_texts, mix64, shared, shingle_hashes
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -183,15 +182,6 @@ def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text")
         yield ItemBlock.build(rows)
 
 
-def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches (texts in column 0), their word hashes and where each text's begin."""
-    for batch in batches:
-        lengths = pc.coalesce(pc.binary_length(batch.column(0)), 0).to_pylist()
-        for start, end in chunked(lengths):
-            part = batch.slice(start, end - start)
-            yield part, *hash_texts([(x or b"").lower() for x in part.column(0).to_pylist()])
-
-
 def _found(search: ItemSearch, words: np.ndarray, at: np.ndarray) -> Iterator[list[tuple[int, int]]]:
     for a, b in zip(at[:-1], at[1:]):
         mine = words[a:b]
@@ -208,7 +198,7 @@ def contained_items(documents: DataFrame, items: DataFrame, doc_id: str = "doc_i
     for block in item_blocks(items):
         def find(batches: Iterator[pa.RecordBatch], block: ItemBlock = block) -> Iterator[pa.RecordBatch]:
             search = ItemSearch(block)
-            for part, words, at in _documents(batches):
+            for part, words, at in hashed_texts(batches):
                 rows = [(doc, block.ids[k], len(block.sets[k]), n)
                         for doc, hits in zip(part.column(1).to_pylist(), _found(search, words, at))
                         for k, n in hits]
@@ -227,7 +217,7 @@ def clean(documents: DataFrame, items: DataFrame, text: str = "text") -> DataFra
     for block in item_blocks(items):
         def keep(batches: Iterator[pa.RecordBatch], block: ItemBlock = block) -> Iterator[pa.RecordBatch]:
             search = ItemSearch(block)
-            for part, words, at in _documents(batches):
+            for part, words, at in hashed_texts(batches):
                 mask = pa.array([not hits for hits in _found(search, words, at)], pa.bool_())
                 yield pa.RecordBatch.from_arrays(part.columns[1:], names=part.schema.names[1:]).filter(mask)
 

@@ -43,16 +43,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripstream.llm.common import (
-    chunked,
-    hash_texts,
+    hashed_texts,
+    long_lists,
     mix64,
     row_key,
     shared,
     shingle_hashes,
+    wanted_texts,
     written,
 )
 from tripstream.llm.components import connected
@@ -62,7 +62,6 @@ NUM, DEN = 80, 100
 RARE = 16               # groups that hold a rare token at most, on the first level
 GROWTH = 4
 MINHASHES = 4           # tries to find a leader
-SKETCH_BITS = 23        # rows to be opened: a sketch of a fixed 1 MB
 
 _SEEDS = mix64(np.arange(1, MINHASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -77,21 +76,6 @@ def _bound(n: float, num: int, den: int) -> float:
     return min(1.0, 1.25 * (1 - num / den) + max(n, 1.0) ** -0.5)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    """Slices of the batches (texts in column 0) and each text's sorted 63-bit tokens."""
-    for batch in batches:
-        lengths = pc.coalesce(pc.binary_length(batch.column(0)), 0).to_pylist()
-        for start, end in chunked(lengths):
-            part = batch.slice(start, end - start)
-            words, at = hash_texts([(x or b"").lower() for x in part.column(0).to_pylist()])
-            yield part, [np.unique(shingle_hashes(words[a:b], n) >> np.uint64(1)) for a, b in zip(at[:-1], at[1:])]
-
-
-def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.cumsum([0] + [len(x) for x in arrays]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays).view(np.int64)))
-
-
 def set_table(documents: DataFrame, n: int, num: int, den: int, doc_id: str = "doc_id",
               text: str = "text") -> DataFrame:
     """``r, doc, n, s1, s2, m0.., nd, e``: row, size and checksums of the set,
@@ -104,7 +88,8 @@ def set_table(documents: DataFrame, n: int, num: int, den: int, doc_id: str = "d
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = float(1 << 63)
-        for part, sets in _sets(batches, n):
+        for part, words, at in hashed_texts(batches):
+            sets = [np.unique(shingle_hashes(words[a:b], n) >> np.uint64(1)) for a, b in zip(at[:-1], at[1:])]
             numbers, emitted = [], []
             for s in sets:
                 size = len(s)
@@ -124,37 +109,19 @@ def set_table(documents: DataFrame, n: int, num: int, den: int, doc_id: str = "d
             as_long = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in cols[1:-1]]
             yield pa.RecordBatch.from_arrays(
                 [part.column(1), part.column(2), pa.array(cols[0], pa.int32()), *as_long,
-                 pa.array(cols[-1], pa.int32()), _lists(emitted)],
+                 pa.array(cols[-1], pa.int32()), long_lists(emitted)],
                 names=["r", "doc", "n", "s1", "s2", *minima, "nd", "e"])
 
     return rows.mapInArrow(make, schema)
 
 
 def whole_sets(documents: DataFrame, wanted: DataFrame, n: int, text: str = "text") -> DataFrame:
-    """``cid, s``: the whole sets of the wanted classes (columns cid, r).
-
-    Texts are read where they are; a bit sketch of the wanted rows, of a fixed
-    size, keeps most others from being hashed and shuffled.
-    """
-    slot = F.pmod(F.col("r"), F.lit(1 << SKETCH_BITS))
-    bits = (wanted.select(slot.alias("b")).groupBy(F.floor(F.col("b") / 64).cast("int").alias("w"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, CAST(b % 64 AS INT))")).alias("v")).collect())
-    sketch = np.zeros(1 << (SKETCH_BITS - 6), np.int64)
-    sketch[[b["w"] for b in bits]] = [b["v"] for b in bits]
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted_slots = np.unpackbits(sketch.view(np.uint8), bitorder="little")
-
-        def hit(batch: pa.RecordBatch) -> pa.RecordBatch:
-            slots = batch.column(1).to_numpy() & ((1 << SKETCH_BITS) - 1)
-            return batch.filter(pa.array(wanted_slots[slots] == 1))
-
-        for part, sets in _sets((hit(b) for b in batches), n):
-            yield pa.RecordBatch.from_arrays([part.column(1), _lists(sets)], names=["r", "s"])
+    """``cid, s``: the whole sets of the wanted classes (columns cid, r)."""
+    def tokens(words: np.ndarray) -> np.ndarray:
+        return np.unique(shingle_hashes(words, n) >> np.uint64(1))
 
-    rows = documents.select(F.col(text).cast("binary").alias("t"), row_key(documents).alias("r"))
-    return written(rows.mapInArrow(make, "r long, s array<long>").join(wanted.select("cid", "r"), "r")
-                   .select("cid", "s"), "jaccard-sets")
+    rows = wanted_texts(documents, wanted, tokens, text)
+    return written(rows.join(wanted.select("cid", "r"), "r").select("cid", "s"), "jaccard-sets")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripstream.config import scratch_root
-from tripstream.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, packing, quality, url_filter, warc
+from tripstream.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, packing, quality, substring_dedup, url_filter, warc
 from tripstream.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
@@ -56,6 +60,7 @@ def op10_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
+    "op2_repeated_passages": op2_repeated_passages,
     "op3_chat_examples": op3_chat_examples,
     "op4_benchmark_leaks": op4_benchmark_leaks,
     "op5_best_fit_packing": op5_best_fit_packing,
