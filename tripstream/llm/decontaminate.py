@@ -225,6 +225,5 @@ def clean(documents: DataFrame, items: DataFrame, text: str = "text") -> DataFra
         cols = out.columns
         rows = out.select(F.col(f"`{text}`").cast("binary").alias("t"),
                           *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(cols)])
-        schema = ", ".join(f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(out.schema.fields))
-        out = rows.mapInArrow(keep, schema).toDF(*cols)
+        out = rows.mapInArrow(keep, rows.drop("t").schema).toDF(*cols)
     return out

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tripstream.llm.common import chunked, hash_texts, mix64, shingle_hashes, word_hashes
 
@@ -226,8 +227,7 @@ def judge_quality(documents: DataFrame, model: QualityModel, threshold: float =
     rows = documents.select(F.col("text").cast("binary").alias("t"),
                             F.coalesce(F.length("text"), F.lit(0)).alias("n"), *kept_cols)
     fields = rows.schema.fields[2:]
-    schema = ", ".join([f"c{k} {f.dataType.simpleString()}" for k, f in enumerate(fields)]
-                       + [f"{c} long" for c in COUNTS] + ["p_quality double"])
+    schema = StructType(fields + [StructField(c, LongType()) for c in COUNTS] + [StructField("p_quality", DoubleType())])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
