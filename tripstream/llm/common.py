@@ -18,6 +18,9 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
+#: Rows of a few numbers that are broadcast at most (a few MB).
+BROADCAST_ROWS = 100_000
+
 #: Size of the sketch that says which rows are read again.
 SKETCH_BITS = 23
 
@@ -49,6 +52,12 @@ def written(df: DataFrame, label: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """``broadcast`` if the written table ``df`` has at most ``BROADCAST_ROWS`` rows
+    (for parts of it, of a few numbers a row), else no hint."""
+    return F.broadcast if df.count() <= BROADCAST_ROWS else lambda x: x
+
+
 def row_key(df: DataFrame) -> Column:
     """A 64-bit identity of a row that is the same each time ``df`` is scanned.
 

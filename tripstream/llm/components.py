@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tripstream.llm.common import written
+from tripstream.llm.common import small, written
 
 
 def _print(links: DataFrame) -> tuple:
@@ -25,12 +25,13 @@ def connected(links: DataFrame) -> DataFrame:
                  .where("a > b").distinct(), "links")
     seen = _print(at)
     while seen[0]:
+        few = small(at)
         both = at.unionByName(at.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(few(low), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        at = written(low.select("a", F.col("m").alias("b")).unionByName(small).distinct(), "links")
+        inner = large.join(few(low), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        at = written(low.select("a", F.col("m").alias("b")).unionByName(inner).distinct(), "links")
         now = _print(at)
         if now == seen:
             break

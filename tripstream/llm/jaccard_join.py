@@ -52,6 +52,7 @@ from tripstream.llm.common import (
     row_key,
     shared,
     shingle_hashes,
+    small,
     wanted_texts,
     written,
 )
@@ -146,39 +147,43 @@ def _fits(a: Column, b: Column, num: int, den: int) -> Column:
     return F.least(a, b) * den >= F.greatest(a, b) * num
 
 
-def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int,
+          thin: bool = False) -> tuple[DataFrame, DataFrame]:
     """One level: candidate pairs ``a, b``, and the documents with ``k``.
 
-    ``tokens``: t, cid, g, decides; ``docs``: cid, g, n, nd.
+    ``tokens``: t, cid, g, decides; ``docs``: cid, g, n, nd. ``thin``: drop tokens
+    of one group before their groups are counted (most tokens, at first).
     """
-    # tokens of two groups or more; `any` keeps both readers of `tokens` alike
-    spread = (tokens.groupBy("t").agg(F.min("g").alias("lo"), F.max("g").alias("hi"),
-                                      F.max("cid").alias("any"), F.max("decides").alias("d"))
-              .where("lo < hi AND any IS NOT NULL AND d IS NOT NULL").select("t"))
-    tokens = written(tokens.join(spread, "t").select("t", "cid", "g", "decides"), "jaccard-tokens")
-    matrix = tokens.select("t", "g").distinct()
-    width = matrix.groupBy("t").agg(F.count(F.lit(1)).alias("width"))
-    frequent = (tokens.where("decides").join(width.where(F.col("width") > rare), "t")
-                .groupBy("cid").agg(F.count(F.lit(1)).alias("frequent")))
+    if thin:
+        # `any` and `d` keep both readers of `tokens` alike, so Spark reuses them
+        spread = (tokens.groupBy("t").agg(F.min("g").alias("lo"), F.max("g").alias("hi"),
+                                          F.max("cid").alias("any"), F.max("decides").alias("d"))
+                  .where("lo < hi AND any IS NOT NULL AND d IS NOT NULL").select("t"))
+        tokens = tokens.join(spread, "t").select("t", "cid", "g", "decides")
+    tokens = written(tokens, "jaccard-tokens")
+    width = tokens.select("t", "g").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("width")).where("width > 1")
+    tokens = written(tokens.join(width, "t").select("t", "cid", "g", "decides", (F.col("width") <= rare).alias("rare")),
+                     "jaccard-widths")
+    frequent = tokens.where("decides AND NOT rare").groupBy("cid").agg(F.count(F.lit(1)).alias("frequent"))
     p = F.expr(f"n - (n * {num} + {den - 1}) div {den} + 1")
     docs = docs.join(frequent, "cid", "left").select(
         *docs.columns, (F.col("nd") - F.coalesce("frequent", F.lit(0))).alias("rare"),
         (F.col("nd") - F.coalesce("frequent", F.lit(0)) - p + 1).alias("k"))
     docs = written(docs, "jaccard-docs")
-    rows = (tokens.join(width.where(F.col("width") <= rare).select("t"), "t")
-            .join(docs.select("cid", "k"), "cid").select("t", "cid", "g", "k"))
+    few = small(docs)
+    rows = tokens.where("rare").select("t", "cid", "g").join(few(docs.select("cid", "k")), "cid")
     # the groups' side: open members only; the least k of them bounds the overlap
     opened = docs.where("k >= 1")
     union = rows.where("k >= 1").select("t", F.col("g").alias("og")).distinct()
-    least = opened.groupBy(F.col("g").alias("og")).agg(F.min("k").alias("ok"))
     # two open documents: one of them asks
     counts = (rows.join(union, "t").where("g < og OR (g > og AND k < 1)")
               .groupBy("cid", "og").agg(F.count(F.lit(1)).alias("n_shared")))
+    least = opened.groupBy(F.col("g").alias("og")).agg(F.min("k").alias("ok"))
     bound = F.greatest(F.lit(1), F.least("k", "ok"))
-    opens = (counts.join(docs.select("cid", "n", "k"), "cid").join(least, "og")
+    opens = (counts.join(few(docs.select("cid", "n", "k")), "cid").join(few(least), "og")
              .where(F.col("n_shared") >= bound).select("cid", "og", F.col("n").alias("qn"), "k"))
     members = opened.select(F.col("g").alias("og"), F.col("cid").alias("m"), F.col("n").alias("mn"))
-    pairs = (opens.join(members, "og").where(_fits(F.col("qn"), F.col("mn"), num, den))
+    pairs = (opens.join(few(members), "og").where(_fits(F.col("qn"), F.col("mn"), num, den))
              .select(F.greatest("cid", "m").alias("a"), F.least("cid", "m").alias("b")).distinct())
     return written(pairs, "jaccard-pairs"), docs
 
@@ -189,17 +194,15 @@ def grouped(docs: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataF
     ``docs``: cid, n, rare, m0..; the leader of a bucket of equal minima is the
     document with the fewest rare tokens.
     """
-    pairs = None
-    for j in range(MINHASHES):
-        m = f"m{j}"
-        lead = docs.groupBy(m).agg(F.min(F.struct("rare", "cid", "n")).alias("lead"), F.count(F.lit(1)).alias("size"))
-        tries = (docs.join(lead.where("size > 1"), m).where(F.col("cid") != F.col("lead.cid"))
-                 .where(_fits(F.col("n"), F.col("lead.n"), num, den))
-                 .select(F.col("cid").alias("a"), F.col("lead.cid").alias("b"), F.col("lead.rare").alias("rare")))
-        pairs = tries if pairs is None else pairs.unionByName(tries)
+    tries = docs.select("cid", "n", "rare", F.posexplode(F.array(*[f"m{j}" for j in range(MINHASHES)])).alias("j", "m"))
+    lead = (tries.groupBy("j", "m").agg(F.min(F.struct("rare", "cid", "n")).alias("lead"), F.count(F.lit(1)).alias("size"))
+            .where("size > 1"))
+    pairs = (tries.join(lead, ["j", "m"]).where(F.col("cid") != F.col("lead.cid"))
+             .where(_fits(F.col("n"), F.col("lead.n"), num, den))
+             .select(F.col("cid").alias("a"), F.col("lead.cid").alias("b"), F.col("lead.rare").alias("rare")))
     pairs = written(pairs.distinct(), "jaccard-leaders")
     links = verify(pairs.select("a", "b"), sets, num, den)
-    best = (links.join(pairs, ["a", "b"]).groupBy(F.col("a").alias("cid"))
+    best = (links.join(small(pairs)(pairs), ["a", "b"]).groupBy(F.col("a").alias("cid"))
             .agg(F.min(F.struct("rare", "b")).alias("x")).select("cid", F.col("x.b").alias("leader")))
     return best, links
 
@@ -211,7 +214,7 @@ def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n:
     tokens = (table.select("r", "e").join(classes.select("r", "cid", "nd"), "r")
               .select("cid", "nd", F.posexplode("e").alias("at", "t"))
               .select("t", "cid", F.col("cid").alias("g"), (F.col("at") < F.col("nd")).alias("decides")))
-    pairs, docs = match(tokens, docs, rare, num, den)
+    pairs, docs = match(tokens, docs, rare, num, den, thin=True)
     rows = classes.select("cid", "r")
     wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).unionByName(
         docs.where("k < 1").select("cid")).distinct().join(rows, "cid")
