@@ -135,7 +135,7 @@ class GlobAutomaton:
             for c in urls[row][i:]:
                 d = ((d & self.step[c]) << 1) | (d & self.stay[c])
             state[row] = self._split(d)
-        bits = np.array(self.accept)
+        bits = np.array(self.accept, np.int64)
         return (state[:, bits // 64] >> (bits % 64).astype(np.uint64)) & np.uint64(1) == 1
 
 
