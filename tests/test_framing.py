@@ -5,7 +5,6 @@ import random
 from pyspark.sql import functions as F
 
 from tripstream.operators.framing import decode_messages, frame_records, framing_counters
-from tripstream.operators.framing_core import RecordAssembler, cut_message
 from tripstream.schema import MESSAGE_SCHEMA
 
 
@@ -86,26 +85,6 @@ def test_property_random_cuts(spark):
     assert all(tok.get(p, []) == expected[p] for p in range(40))
 
 
-def test_assembler_matches_model():
-    rng = random.Random(11)
-    for _ in range(200):
-        msgs = random_partition(rng, rng.randint(1, 20))
-        asm, got = RecordAssembler(), []
-        for i, m in enumerate(msgs):
-            if m is None or not m.strip("".join(chr(c) for c in range(0x21))):
-                continue
-            got += [rec for _, _, rec, _ in asm.feed(m.strip("".join(chr(c) for c in range(0x21))), i)]
-        assert got == model(msgs)
-
-
-def test_cut_message_kinds():
-    pieces, d = cut_message('"x":1}, {"a":1} {"b":', 1)
-    assert [k for _, _, k in pieces] == ["head", "whole", "tail"]
-    assert d == 1
-    pieces, d = cut_message('} junk {"a":{"b":1}}', 0)
-    assert pieces == [(7, '{"a":{"b":1}}', "whole")] and d == 0
-
-
 def test_stray_brace_ignored_and_array_unwrapped(spark):
     rows = [(None, v.encode(), "t", 0, i, None) for i, v in enumerate(
         ['}', '{"a":1}', '[{"b":{"x":1}}, {"c":2}]', '  '])]
@@ -113,22 +92,63 @@ def test_stray_brace_ignored_and_array_unwrapped(spark):
     assert recs == ['{"a":1}', '{"b":{"x":1}}', '{"c":2}']
 
 
-def test_too_long_and_unclosed(spark):
-    big = '{"k":"' + "x" * 50 + '"}'
-    rows = [(None, big[:20].encode(), "t", 0, 1, None), (None, big[20:].encode(), "t", 0, 2, None),
-            (None, b'{"open":', "t", 0, 3, None)]
-    out = _frame(spark, rows, max_record_chars=30).collect()
-    assert len(out) == 1 and out[0].too_long and out[0].record == big[:30]
+def test_records_have_no_length_limit(spark):
+    whole = '{"k":"' + "x" * 3_000_000 + '"}'
+    cut = '{"k":"' + "y" * 2_500_000 + '"}'
+    rows = [(None, whole.encode(), "t", 0, 1, None), (None, b'{"a":1}', "t", 0, 2, None)]
+    rows += [(None, cut[i:i + 600_000].encode(), "t", 0, 3 + k, None) for k, i in enumerate(range(0, len(cut), 600_000))]
+    rows += [(None, b'{"open":', "t", 0, 20, None)]
+    out = [r.record for r in _frame(spark, rows, block_size=2).orderBy("offset").collect()]
+    assert out == [whole, '{"a":1}', cut]
+
+
+def test_pos_counts_records_of_a_message_on_both_paths(spark):
+    rows = [(None, b'{"a":1} {"b":2} {"c":', "t", 0, 1, None), (None, b'3} {"d":4}', "t", 0, 2, None),
+            (None, b'x {"e":1}, {"f":{"g":2}}', "t", 0, 3, None)]
+    expected = [(1, 0, '{"a":1}'), (1, 1, '{"b":2}'), (1, 2, '{"c":3}'), (2, 0, '{"d":4}'), (3, 0, '{"e":1}'), (3, 1, '{"f":{"g":2}}')]
+    for kw in ({}, {"fast_depth": 1}, {"regex_fast_path": False}):
+        got = sorted((r.offset, r.pos, r.record) for r in _frame(spark, rows, **kw).collect())
+        assert got == expected, kw
+
+
+def test_token_walk_is_linear(spark):
+    import time
+
+    def seconds(text):
+        df = spark.createDataFrame([(None, text.encode(), "t", 0, 1, None)], MESSAGE_SCHEMA)
+        t = time.time()
+        n = frame_records(df, block_size=8).count()
+        return n, time.time() - t
+
+    objects = '{"a":1}' * 40_000
+    seconds(objects + "{")                       # compiles
+    (n, plain), (m, tail) = seconds(objects), seconds(objects + '{"open":')
+    assert n == m == 40_000 and tail < 2 * plain + 5
+
+
+def test_malformed_bytes_do_not_move_cuts(spark):
+    rng = random.Random(3)
+    for _ in range(6):
+        rows, expected = [], {}
+        for p in range(20):
+            data = b"".join(rng.choice([b'{"a":1}', b"{", b"}", b"\xe0", b"\xff\xfe", b"\xc3", "é".encode(), b'{"b":"\xe2\x82"}', b" "])
+                            for _ in range(rng.randint(1, 30)))
+            cuts = sorted(rng.sample(range(len(data) + 1), k=min(len(data), 3)))
+            msgs = [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)])]
+            rows += [(None, m, "t", p, i, None) for i, m in enumerate(msgs)]
+            expected[p] = model([m.decode("utf-8", "replace") for m in msgs])
+        got = {}
+        for r in _frame(spark, rows).orderBy("partition", "offset", "pos").collect():
+            got.setdefault(r.partition, []).append(r.record)
+        for p in range(20):
+            assert got.get(p, []) == expected[p], rows
+
 
+def test_unplaced_messages_are_rejects(spark):
+    from tripstream.operators.framing import unplaced_messages
 
-def test_too_long_at_exact_boundary(spark):
-    # pieces of 10 + 10 + 10 chars; limit 20: the third piece starts at the limit
-    rec = '{"k":"' + "y" * 22 + '"}'
-    rows = [(None, rec[i:i + 10].encode(), "t", 0, i, None) for i in range(0, 30, 10)]
-    out = _frame(spark, rows, max_record_chars=20).collect()
-    assert len(rec) == 30 and len(out) == 1 and out[0].too_long and out[0].record == rec[:20]
-    ok = _frame(spark, rows, max_record_chars=30).collect()
-    assert not ok[0].too_long and ok[0].record == rec
+    df = spark.createDataFrame([(None, b"x", None, 0, 1, None), (None, b"y", "t", 0, 1, None)], MESSAGE_SCHEMA)
+    assert [(r.reason, r.record) for r in unplaced_messages(df).collect()] == [("unplaced", "x")]
 
 
 def test_deep_object_goes_through_token_path(spark):
@@ -145,34 +165,54 @@ def test_counters_count_blank_not_null(spark):
     assert decode_messages(df).count() == 1
 
 
-def test_framing_plan_has_one_wide_shuffle(spark):
-    rows = [(None, b'{"a":1}', "t", p, o, None) for p in range(2) for o in range(50)]
-    plan = _frame(spark, rows, block_size=8)._jdf.queryExecution().executedPlan().toString()
-    # exchanges carrying the message text: only the repartition by segment
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert plan.count("Exchange hashpartitioning(topic#") >= 1
+def test_framing_plan_moves_the_text_once(spark):
+    from tripstream.config import scratch_root
 
+    path = scratch_root(spark, "plan")
+    spark.createDataFrame([(None, b'{"a":1}', "t", p, o, None) for p in range(2) for o in range(50)],
+                          MESSAGE_SCHEMA).write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = frame_records(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    assert plan.count("FileScan parquet") == 1 and "Python" not in plan
 
-def model_limited(messages, limit):
-    """The model with ``max_record_chars``: closed records cut to ``limit``
-    chars and flagged; also the record left open and its depth."""
-    out, depth, buf, n = [], 0, "", 0
-    for v in messages:
-        if v is None:
+
+def test_block_size_reads_no_payload(spark):
+    from tripstream.config import scratch_root
+    from tripstream.operators import framing as fr
+
+    path = scratch_root(spark, "spans")
+    spark.createDataFrame([(None, b"x", "t", 0, 5, None)], MESSAGE_SCHEMA).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert fr.choose_block_size(df) == fr.MIN_BLOCK
+    plan = fr.placed(df).groupBy("topic", "partition").agg(F.max("offset"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<topic:string,partition:int,offset:bigint>" in plan
+
+
+def open_pieces(messages):
+    """Offsets and texts of the messages of the record that never closes."""
+    depth, kept = 0, []
+    for off, v in messages:
+        t = (v or "").strip("".join(chr(i) for i in range(0x21)))
+        if not t:
             continue
-        t = v.strip("".join(chr(i) for i in range(0x21)))
-        for ch in t:
-            if ch == "}" and depth == 0:
-                continue
-            if ch != "{" and ch != "}" and depth == 0:
-                continue
-            if ch == "{" and depth == 0:
-                buf, n = "", 0
-            depth += 1 if ch == "{" else (-1 if ch == "}" else 0)
-            buf, n = (buf + ch)[:limit], n + 1
-            if ch == "}" and depth == 0:
-                out.append((buf, n > limit))
-    return out, ((buf, n > limit, depth) if depth > 0 else None)
+        start = 0 if depth else None
+        for i, ch in enumerate(t):
+            if ch == "{":
+                if depth == 0:
+                    start, kept = i, []
+                depth += 1
+            elif ch == "}" and depth:
+                depth -= 1
+                if depth == 0:
+                    start, kept = None, []
+        if depth:
+            kept.append((off, t[start:]))
+    return kept if depth else []
 
 
 def _with_open_record(rng):
@@ -182,30 +222,23 @@ def _with_open_record(rng):
     return msgs
 
 
-def test_property_forced_cuts_match_limited_model(spark):
+def test_property_open_records_keep_all_their_pieces(spark):
     rng = random.Random(23)
     rows, parts = [], {}
     for p in range(30):
         msgs = _with_open_record(rng) if p % 3 == 0 else random_partition(rng, rng.randint(5, 40))
-        parts[p] = msgs
-        off = 0
+        off, parts[p] = 0, []
         for m in msgs:
             off += rng.randint(1, 2)
+            parts[p].append((off, m))
             rows.append((None, None if m is None else m.encode(), "t", p, off, None))
-    for limit in (6, 17, 40):
-        expected = {p: model_limited(m, limit) for p, m in parts.items()}
-        for block in (2, 5):
-            got, opened = {}, {}
-            for r in (_frame(spark, rows, block_size=block, max_record_chars=limit, emit_open=True)
-                      .orderBy("partition", "offset", "pos").collect()):
-                if r.open:
-                    assert r.partition not in opened
-                    opened[r.partition] = (r.record, r.too_long, r.depth)
-                else:
-                    got.setdefault(r.partition, []).append((r.record, r.too_long))
-            for p in parts:
-                assert got.get(p, []) == expected[p][0], (limit, block, p)
-                assert opened.get(p) == expected[p][1], (limit, block, p)
+    for block in (2, 5, 1 << 10):
+        got, opened = {}, {}
+        for r in _frame(spark, rows, block_size=block, emit_open=True).orderBy("partition", "offset", "pos").collect():
+            (opened if r.open else got).setdefault(r.partition, []).append((r.offset, r.record) if r.open else r.record)
+        for p, msgs in parts.items():
+            assert got.get(p, []) == model([m for _, m in msgs]), (block, p)
+            assert opened.get(p, []) == open_pieces(msgs), (block, p)
 
 
 def test_never_closing_brace_spreads_over_segments(spark):
@@ -215,10 +248,8 @@ def test_never_closing_brace_spreads_over_segments(spark):
     rows = [(None, m.encode(), "t", 0, i, None) for i, m in enumerate(msgs)]
     dec = fr.decode_messages(spark.createDataFrame(rows, MESSAGE_SCHEMA))
     prof = dec.select("topic", "partition", "offset", "text", F.lit(False).alias("fast"),
-                      F.lit(0).alias("a"), F.lit(0).alias("m"))
-    prof = prof.withColumn("a", F.expr("size(regexp_extract_all(text, '[{]', 0))")
-                           - F.expr("size(regexp_extract_all(text, '[}]', 0))"))
+                      F.expr("size(regexp_extract_all(text, '[{]', 0)) - size(regexp_extract_all(text, '[}]', 0))").alias("a"))
     prof = prof.withColumn("m", F.least(F.lit(0), F.col("a")))
-    segs = fr._segments(prof, 8, 100).where("forced OR seg_start IS NOT NULL").count()
-    assert segs > 20  # about one segment per block after the first 100 chars
-    assert [r.record for r in _frame(spark, rows, block_size=8, max_record_chars=100).collect()] == ['{"a":1}']
+    segs = fr._segments(prof, 8).where("forced OR seg_start IS NOT NULL").count()
+    assert segs > 20  # one segment per block
+    assert [r.record for r in _frame(spark, rows, block_size=8).collect()] == ['{"a":1}']

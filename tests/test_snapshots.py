@@ -102,19 +102,67 @@ def test_query_report(spark, table):
     assert [r.snapshot_id for r in rep["snapshots_by_time"].collect()] == [300, 100, 200]
 
 
-def test_log_compaction_keeps_rows_and_time_travel(spark, table):
-    from tripstream.schema import COMMIT_SCHEMA
-
-    path = table._epoch_path(0)
-    # a compaction cut short after its write: every row is there twice
-    spark.read.schema(COMMIT_SCHEMA).parquet(path).coalesce(1).write.mode("append").parquet(path)
-    assert table.log().count() == 3 and table.last_commit().snapshot_id == 200
-    assert table.compact_log(0, min_files=1) is True
-    files = [n for n in table._names(path) if n.endswith(".parquet") and not n.startswith(".")]
-    assert len(files) == 1
-    assert table.log().count() == 3
-    assert table.as_of(snapshot_id=100).count() == 12
-    assert table.as_of(timestamp=D(2024, 2, 1, 12)).count() == 5
-    assert table.as_of().count() == 12            # previous snapshot
-    nxt = table.append(trips(spark, 2, 40, 4), batch_id=13)
-    assert nxt.snapshot_seq == 4 and nxt.parent_id == 200 and table.current().count() == 25
+def test_two_queries_with_the_same_batch_ids(spark, tmp_path):
+    t = SnapshotTable(spark, f"{tmp_path}/t")
+    t.append(trips(spark, 7), batch_id=0, query_id="a")
+    t.append(trips(spark, 5, 10), batch_id=0, query_id="b")
+    t.append(trips(spark, 5, 10), batch_id=0, query_id="b")      # replay
+    t.append(trips(spark, 1, 20), batch_id=0)
+    assert t.current().count() == 13 and t.log().count() == 3
+
+
+def test_empty_first_append_reads_as_no_rows(spark, tmp_path):
+    t = SnapshotTable(spark, f"{tmp_path}/t")
+    t.append(trips(spark, 5).limit(0), batch_id=0)
+    assert t.current().count() == 0 and t.rejects().count() == 0
+    t.append(trips(spark, 5), batch_id=1)
+    assert t.current().count() == 5
+
+
+def test_name_sees_later_appends(spark, tmp_path):
+    t = SnapshotTable(spark, f"{tmp_path}/t")
+    assert t.register("later_rows")
+    assert spark.table("later_rows").count() == 0
+    t.append(trips(spark, 3))
+    assert spark.table("later_rows").count() == 3
+    t.append(trips(spark, 4, 10))
+    assert spark.table("later_rows").count() == 7
+    spark.sql("DROP VIEW later_rows")
+
+
+def test_pickup_range_prunes_days(spark, tmp_path):
+    t = SnapshotTable(spark, f"{tmp_path}/t")
+    t.append(trips(spark, 5))
+    df = t.between(D(2024, 1, 1), D(2024, 1, 2))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "pickup_day" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_written_files_have_the_settings(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tripstream.sinks.snapshot_table import WriteTuning
+
+    t = SnapshotTable(spark, f"{tmp_path}/t", WriteTuning.reference())
+    t.append(trips(spark, 9000))
+    files = glob.glob(f"{tmp_path}/t/data/snapshot_seq=1/*/*.parquet")
+    assert len(files) >= 3
+    for f in files:
+        meta = pq.ParquetFile(f).metadata
+        assert meta.num_rows <= 4000
+        for g in range(meta.num_row_groups):
+            assert meta.row_group(g).column(0).compression == "ZSTD"
+            assert meta.row_group(g).total_byte_size <= 5242880
+
+
+def test_rejects_hold_the_whole_text(spark, tmp_path):
+    from tripstream.operators.parse import parse_records
+
+    text = '{"tripID":' + "x" * 1000 + "}"
+    recs = spark.createDataFrame([("t", 0, 1, 0, text)], "topic string, partition int, offset long, pos int, record string")
+    t = SnapshotTable(spark, f"{tmp_path}/t")
+    t.append_checked(parse_records(recs))
+    r = t.rejects().first()
+    assert r.record == text and r.reason == "bad_json" and "more bytes" in r.raw_preview

@@ -2,6 +2,7 @@
 
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tripstream.config import scratch_root
@@ -24,11 +25,7 @@ def _write_ranges(msgs, path, cuts):
         time.sleep(0.02)
 
 
-import pytest
-
-
-@pytest.mark.parametrize("framing", ["carry", "state"])
-def test_stream_equals_batch_across_restart(spark, framing):
+def test_stream_equals_batch_across_restart(spark):
     root = scratch_root(spark, "test-stream")
     msgs = trip_messages(spark.read.parquet(f"{SF}/events.parquet"))
     top = msgs.agg(F.max("offset")).first()[0] + 1
@@ -38,14 +35,12 @@ def test_stream_equals_batch_across_restart(spark, framing):
     _write_ranges(msgs, f"{root}/in", [0, 417, 1009])
     table = SnapshotTable(spark, f"{root}/table")
     src = message_file_stream(spark, f"{root}/in", max_files_per_trigger=2)
-    run_until_done(start_ingest(src, table, f"{root}/ckpt", trigger={"availableNow": True}, now=fixed_now(),
-                                  framing=framing))
+    run_until_done(start_ingest(src, table, f"{root}/ckpt", trigger={"availableNow": True}, now=fixed_now()))
     first = table.current().count()
     # second run, same checkpoint: the rest of the offsets
     _write_ranges(msgs, f"{root}/in", [1009, top])
     src = message_file_stream(spark, f"{root}/in", max_files_per_trigger=2)
-    run_until_done(start_ingest(src, table, f"{root}/ckpt", trigger={"availableNow": True}, now=fixed_now(),
-                                  framing=framing))
+    run_until_done(start_ingest(src, table, f"{root}/ckpt", trigger={"availableNow": True}, now=fixed_now()))
     batch = good_rows(parse_records(frame_records(msgs), now=fixed_now()))
     stream = table.current()
     assert first < stream.count()
@@ -59,25 +54,39 @@ def test_kafka_options():
     assert o["kafka.bootstrap.servers"] == "localhost:9092" and o["kafka.group.id"] == "iceberg-kafka-group"
 
 
-def test_carry_keeps_depth_of_a_cut_long_record(spark):
+def _batches(spark, carry, batches, first=0):
     from tripstream.schema import MESSAGE_SCHEMA
     from tripstream.streaming.ingest import frame_micro_batch
 
-    carry = scratch_root(spark, "test-carry")
-    long_rec = '{"k":{"x":"' + "x" * 60 + '"},"z":1}'
-    short = '{"a":{"b":2}}'
-    batches = [
-        [(long_rec[:25], 1)],                      # opens, depth 2
-        [(long_rec[25:60], 2), (short[:5], 3)],    # still inside the long record
-        [(long_rec[60:], 4), (short[5:], 5), ('{"c":3}', 6)],
-    ]
     out = []
-    for bid, rows in enumerate(batches):
+    for bid, rows in enumerate(batches, first):
         df = spark.createDataFrame([(None, t.encode(), "t", 0, o, None) for t, o in rows], MESSAGE_SCHEMA)
-        recs = frame_micro_batch(df, carry, bid, max_record_chars=30)
-        out += [(r.offset, r.record, r.too_long) for r in recs.orderBy("offset").collect()]
+        recs = frame_micro_batch(df, carry, bid)
+        out += [(r.offset, r.pos, r.record) for r in recs.orderBy("offset", "pos").collect()]
         recs.unpersist()
+    return out
+
+
+def test_carry_keeps_a_long_record_whole(spark):
+    long_rec = '{"k":{"x":"' + "x" * 60_000 + '"},"z":1}'
+    short = '{"a":{"b":2}}'
+    batches = [
+        [('{"first":0} ' + long_rec[:25], 1)],                  # opens, depth 2
+        [(long_rec[25:30_000], 2), (short[:5], 3)],             # still inside the long record
+        [(long_rec[30_000:], 4), (short[5:] + " {}", 5), ('{"c":3}', 6)],
+    ]
     # the short object's text sits inside the long record's braces, so it is part of it
-    whole = long_rec[:60] + short[:5] + long_rec[60:] + short[5:]
-    assert out[0][0] == 1 and out[0][2] is True and out[0][1] == whole[:30]
-    assert (6, '{"c":3}', False) in out
+    whole = long_rec[:30_000] + short[:5] + long_rec[30_000:] + short[5:]
+    assert _batches(spark, scratch_root(spark, "test-carry"), batches) == [
+        (1, 0, '{"first":0}'), (1, 1, whole), (5, 0, "{}"), (6, 0, '{"c":3}')]
+
+
+def test_lost_carry_raises(spark):
+    carry = scratch_root(spark, "test-carry")
+    _batches(spark, carry, [[('{"a":', 1)]])
+    with pytest.raises(Exception, match="lost"):
+        _batches(spark, carry, [[("1}", 2)]], first=3)
+    with pytest.raises(Exception):
+        _batches(spark, scratch_root(spark, "test-none"), [[("1}", 2)]], first=1)
+    # a replayed batch reads its predecessor again
+    assert _batches(spark, carry, [[("1}", 2)]], first=1) == _batches(spark, carry, [[("1}", 2)]], first=1) == [(1, 0, '{"a":1}')]

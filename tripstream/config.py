@@ -38,7 +38,7 @@ class JobOptions:
         return f"{self.checkpoint_interval_ms // 1000} seconds"
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tripstream") -> SparkSession:
     """Session with the settings the library relies on.
 
@@ -49,12 +49,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if shuffle_partitions is None and master.split("[")[0] == "local":
+            shuffle_partitions = 8
+    if shuffle_partitions is not None:   # else the cluster's own setting holds
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
         builder.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -101,13 +104,15 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and scratch tables.
 
-    Read from ``spark.checkpoint.dir``; only when the cluster names none
-    (local tests) a folder under the system temp dir is set.
+    Read from ``spark.checkpoint.dir``; only on a local master (tests) a folder
+    under the system temp dir is set when there is none.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
 
         d = os.path.join(tempfile.gettempdir(), "tripstream-checkpoints")

@@ -41,6 +41,8 @@ _LENIENT_LAYOUTS = [
     r"^(\d+)/(\d+)/(\d+) (\d+):(\d+):(\d+)",
 ]
 
+_LENIENT_MAX = 999_999           # months, days, hours, minutes, seconds roll over up to here
+
 _EPOCH_NTZ = _dt.datetime(1970, 1, 1)
 
 
@@ -65,8 +67,13 @@ def parse_lenient(c) -> Column:
     s = F.trim(_col(c))
     outs = []
     for rx in _LENIENT_LAYOUTS:
-        parts = [F.regexp_extract(s, rx, i).cast("int") for i in range(1, 7)]
-        y, mo, d, h, mi, sec = parts
+        # a field out of all bounds makes the text unreadable, never an error
+        tops = [9999, *[_LENIENT_MAX] * 5]
+        parts = [F.regexp_extract(s, rx, i).try_cast("int") for i in range(1, 7)]
+        readable = F.lit(True)
+        for x, top in zip(parts, tops):
+            readable &= F.coalesce(x.between(0, top), F.lit(False))
+        y, mo, d, h, mi, sec = [F.when(readable, x) for x in parts]
         base = F.make_date(y, F.lit(1), F.lit(1)).cast("timestamp_ntz")
         shifted = base + F.make_interval(
             F.lit(0), mo - 1, F.lit(0), d - 1, h, mi, sec.cast("decimal(18,6)")

@@ -21,8 +21,9 @@ def java_trim(c) -> Column:
 
 
 def decode_utf8(c) -> Column:
-    """bytes -> text (Spark casts BINARY to STRING as UTF-8)."""
-    return _col(c).cast("string")
+    """bytes -> text; malformed UTF-8 becomes U+FFFD, so that lengths and
+    positions agree in all later steps."""
+    return F.make_valid_utf8(_col(c).cast("string"))
 
 
 def preview(c, max_chars: int = PREVIEW_CHARS, null_text: str | None = "null") -> Column:

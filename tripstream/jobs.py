@@ -60,17 +60,20 @@ def main(argv=None) -> None:
     ing.add_argument("--table", required=True)
     ing.add_argument("--checkpoint", required=True)
     ing.add_argument("--available-now", action="store_true")
-    ing.add_argument("--max-offsets-per-trigger", type=int)
+    ing.add_argument("--max-offsets-per-trigger", type=int, default=5_000_000,
+                     help="messages a Kafka micro-batch at most")
     rep = sub.add_parser("report")
+    for p in (ing, rep):
+        p.add_argument("--parallelism", type=int, help="shuffle partitions (default: the cluster's setting)")
     rep.add_argument("--table", required=True)
     rep.add_argument("--name", default=f"{JobOptions.table_namespace}.{JobOptions.table_name}")
     args = ap.parse_args(argv)
 
     opts = JobOptions()
-    spark = build_session(shuffle_partitions=max(opts.parallelism, 8))
+    spark = build_session(shuffle_partitions=args.parallelism)
     table = SnapshotTable(spark, args.table)
     if args.cmd == "ingest":
-        src = (kafka_stream(spark, opts, args.max_offsets_per_trigger) if args.source == "kafka"
+        src = (kafka_stream(spark, args.max_offsets_per_trigger, opts) if args.source == "kafka"
                else message_file_stream(spark, args.input))
         trigger = {"availableNow": True} if args.available_now else {"processingTime": opts.trigger_interval}
         q = start_ingest(src, table, args.checkpoint, trigger=trigger)

@@ -14,37 +14,48 @@ task per partition:
    the clamped walk ``f(d) = max(d + A, A - M)``, a window over the few block
    summaries gives the depth entering each block, and a second walk finds
    the first offset of the block where no record is open. Block edges moved
-   there give *segments* that no record crosses.
-4. Wide pass: messages are shuffled once, by (topic, partition, segment).
-   Every segment starts at depth 0, so the depth entering each message
+   there give *segments* that no record crosses. The block table is
+   checkpointed, so its size is known: up to ``MAX_BROADCAST_BLOCKS`` rows it is
+   broadcast.
+4. Wide pass: the second and last read of the payload; messages are shuffled
+   once, by (topic, partition, segment). Every segment starts at depth 0, so
+   the depth entering each message
    (``d_in = P - least(0, min_{i<k}(P_i + m_i))``, P = prefix sum of ``a``),
    the key of the open record and the cutting are window / row work inside
    that partitioning: self-contained messages entered at depth 0 are cut by
-   ``regexp_extract_all``, the rest by one ``aggregate`` over their brace
-   tokens. No Python anywhere in the batch path.
+   ``regexp_extract_all``; the rest are scanned once over their brace tokens
+   for the piece that closes a carried record and the one left open, and what
+   lies between is cut by regex too, so the work is linear in the message
+   (objects over ``SCAN_DEPTH`` deep excepted). No Python anywhere.
 5. Pieces of a record meet in one group per record (still no shuffle).
-   Pieces past ``max_record_chars`` are not gathered: such a record keeps
-   its first chars and is flagged ``too_long``; a never-closing brace
-   gathers nothing.
+   Records have no length limit. Only a record that never closes in this input
+   is not gathered: its pieces stay rows, and whole blocks inside it are
+   segments of their own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tripstream.config import ensure_checkpoint_dir
 from tripstream.functions.text import decode_utf8, java_trim
-from tripstream.operators.framing_core import HEAD, MIDDLE, TAIL, WHOLE
+
+WHOLE = "whole"     # record opens and closes in this message
+HEAD = "head"       # closes a record opened in an earlier message
+MIDDLE = "middle"   # the whole message lies inside an open record
+TAIL = "tail"       # opens a record that goes on after this message
 
 DEFAULT_BLOCK = None             # offsets per scan block; None: from the offset spans
 MIN_BLOCK = 1 << 10
 MAX_BLOCK = 1 << 20              # bounds a block's gathered step list, whatever the data size
-MAX_BLOCKS = 200_000             # keeps the per-block table small (AQE broadcasts it)
+MAX_BLOCKS = 200_000             # keeps the per-block table small
+MAX_BROADCAST_BLOCKS = 500_000   # rows of about 60 bytes
 DEFAULT_FAST_DEPTH = 8           # deepest object the regex path frames
-DEFAULT_MAX_RECORD_CHARS = 1 << 20
+SCAN_DEPTH = 40                  # deepest object that a scanned message's records are cut by regex
 
 KEYS = ["topic", "partition"]
 
-RECORD_SCHEMA = "topic string, partition int, offset long, pos int, record string, too_long boolean"
+RECORD_SCHEMA = "topic string, partition int, offset long, pos int, record string"
 
 
 def object_pattern(depth: int) -> str:
@@ -62,58 +73,83 @@ def self_contained_pattern(depth: int) -> str:
     return "^[^{}]*+(?:" + object_pattern(depth) + "[^{}]*+)*+$"
 
 
+def placed(messages: DataFrame) -> DataFrame:
+    """Messages with a topic, a partition and an offset (others cannot be framed)."""
+    return messages.where(F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull())
+
+
 def decode_messages(messages: DataFrame) -> DataFrame:
-    """F1 + F2: ``topic, partition, offset, text`` for non-null, non-blank values.
+    """F1 + F2: ``topic, partition, offset, text, pos0`` for non-null, non-blank values.
 
-    Rows without topic, partition or offset cannot be placed and are left out
-    here (stated once, so both uses of the per-block aggregate plan alike and
-    Spark reuses its exchange).
+    ``pos0`` (0 unless the messages have that column) is the number of records
+    that opened in the message before this text, for a text carried over
+    from an earlier batch.
     """
+    pos0 = F.col("pos0") if "pos0" in messages.columns else F.lit(0)
     return (
-        messages.where(F.col("value").isNotNull() & F.col("topic").isNotNull()
-                       & F.col("partition").isNotNull() & F.col("offset").isNotNull())
-        .select(*KEYS, "offset", java_trim(decode_utf8("value")).alias("text"))
+        placed(messages).where(F.col("value").isNotNull())
+        .select(*KEYS, "offset", java_trim(decode_utf8("value")).alias("text"), pos0.alias("pos0"))
         .where(F.col("text") != "")
     )
 
 
+def unplaced_messages(messages: DataFrame) -> DataFrame:
+    """Messages without topic, partition or offset, as rejects."""
+    return (messages.where(F.col("topic").isNull() | F.col("partition").isNull() | F.col("offset").isNull())
+            .select(F.lit("unplaced").alias("reason"), decode_utf8("value").alias("record"), *KEYS, "offset"))
+
+
 # struct(a, m) of a message's brace walk: net change, lowest prefix (<= 0)
 _PROFILE_SQL = """aggregate(regexp_extract_all(text, '[{}]', 0), named_struct('a', 0, 'm', 0),
   (acc, b) -> named_struct('a', acc.a + if(b = '{', 1, -1),
                            'm', least(acc.m, acc.a + if(b = '{', 1, -1))))"""
 
-# One pass over the brace / non-brace tokens of a message entered at depth
-# d_in: chars consumed, depth, start of the open record (-1: none or carried
-# in), end of the piece closing a carried record, spans of inner records.
-_WALK_SQL = """aggregate(regexp_extract_all(text, '[{}]|[^{}]+', 0),
-  named_struct('pos', 0, 'd', CAST(d_in AS INT), 'start', -1, 'head', -1,
-               'recs', CAST(array() AS array<struct<s:int,e:int>>)),
-  (acc, x) -> named_struct(
-    'pos', acc.pos + length(x),
-    'd', CASE WHEN x = '{' THEN acc.d + 1 WHEN x = '}' AND acc.d > 0 THEN acc.d - 1 ELSE acc.d END,
-    'start', CASE WHEN x = '{' AND acc.d = 0 THEN acc.pos
-                  WHEN x = '}' AND acc.d = 1 THEN -1 ELSE acc.start END,
-    'head', CASE WHEN x = '}' AND acc.d = 1 AND acc.start = -1 AND acc.head = -1 THEN acc.pos + 1
-                 ELSE acc.head END,
-    'recs', CASE WHEN x = '}' AND acc.d = 1 AND acc.start >= 0
-                 THEN array_append(acc.recs, named_struct('s', acc.start, 'e', acc.pos + 1))
-                 ELSE acc.recs END))"""
-
-_CUT_SQL = f"""filter(concat(
+# One pass over the brace / non-brace tokens of a message entered at depth d_in,
+# with plain numbers only (linear): chars consumed, depth, end of the piece that
+# closes a carried record (-1: none), start of the record left open (-1: none),
+# deepest level of the records in between.
+_SCAN_SQL = """aggregate(regexp_extract_all(text, '[{}]|[^{}]+', 0),
+  named_struct('pos', 0, 'd', CAST(d_in AS INT), 'head', -1, 'start', -1, 'top', 0),
+  (st, x) -> named_struct(
+    'pos', st.pos + length(x),
+    'd', CASE WHEN x = '{' THEN st.d + 1 WHEN x = '}' AND st.d > 0 THEN st.d - 1 ELSE st.d END,
+    'head', CASE WHEN x = '}' AND st.d = 1 AND st.start = -1 AND st.head = -1 THEN st.pos + 1 ELSE st.head END,
+    'start', CASE WHEN x = '{' AND st.d = 0 THEN st.pos WHEN x = '}' AND st.d = 1 THEN -1 ELSE st.start END,
+    'top', CASE WHEN x = '{' AND (st.start >= 0 OR st.d = 0) THEN greatest(st.top, st.d + 1) ELSE st.top END))"""
+
+# what lies between the two: whole records and text outside of records
+_BETWEEN_SQL = """CASE WHEN d_in > 0 AND _st.head < 0 THEN ''
+  ELSE substring(text, greatest(_st.head, 0) + 1,
+                 if(_st.start >= 0, _st.start, length(text)) - greatest(_st.head, 0)) END"""
+
+# Records deeper than the regex: a walk that appends them one by one.
+_DEEP_SQL = """aggregate(regexp_extract_all(between, '[{}]|[^{}]+', 0),
+  named_struct('pos', 0, 'd', 0, 'start', -1, 'recs', CAST(array() AS array<string>)),
+  (st, x) -> named_struct(
+    'pos', st.pos + length(x),
+    'd', CASE WHEN x = '{' THEN st.d + 1 WHEN x = '}' AND st.d > 0 THEN st.d - 1 ELSE st.d END,
+    'start', CASE WHEN x = '{' AND st.d = 0 THEN st.pos ELSE st.start END,
+    'recs', CASE WHEN x = '}' AND st.d = 1
+                 THEN array_append(st.recs, substring(between, st.start + 1, st.pos + 1 - st.start))
+                 ELSE st.recs END)).recs"""
+
+
+def _cut_sql() -> str:
+    """Pieces of a scanned message; pos: how many records opened in the message before."""
+    return f"""filter(concat(
     array(CASE WHEN d_in > 0 AND _st.head >= 0
-               THEN named_struct('pos', 0, 'piece', substring(text, 1, _st.head), 'kind', '{HEAD}')
-               WHEN d_in > 0 THEN named_struct('pos', 0, 'piece', text, 'kind', '{MIDDLE}') END),
-    transform(_st.recs, r -> named_struct('pos', r.s, 'piece', substring(text, r.s + 1, r.e - r.s),
-                                          'kind', '{WHOLE}')),
+               THEN named_struct('pos', -1, 'piece', substring(text, 1, _st.head), 'kind', '{HEAD}')
+               WHEN d_in > 0 THEN named_struct('pos', -1, 'piece', text, 'kind', '{MIDDLE}') END),
+    transform(recs, (r, i) -> named_struct('pos', pos0 + i, 'piece', r, 'kind', '{WHOLE}')),
     array(CASE WHEN _st.d > 0 AND _st.start >= 0
-               THEN named_struct('pos', _st.start, 'piece', substring(text, _st.start + 1), 'kind', '{TAIL}')
+               THEN named_struct('pos', pos0 + size(recs), 'piece', substring(text, _st.start + 1), 'kind', '{TAIL}')
                END)),
   p -> p IS NOT NULL)"""
 
 
 def _regex_cut_sql(depth: int) -> str:
     return (f"transform(regexp_extract_all(text, '{object_pattern(depth)}', 0), "
-            f"(x, i) -> named_struct('pos', i, 'piece', x, 'kind', '{WHOLE}'))")
+            f"(x, i) -> named_struct('pos', pos0 + i, 'piece', x, 'kind', '{WHOLE}'))")
 
 
 # block summary over its sorted steps L: total change A, lowest point M
@@ -127,138 +163,105 @@ _ZERO_SQL = """CASE WHEN D = 0 THEN block * {B} ELSE aggregate(L, named_struct('
                                                      THEN x.offset + 1 END))).z END"""
 
 
-def choose_block_size(dec: DataFrame, target_blocks: int | None = None) -> tuple[int, int]:
-    """Offsets per block and about how many blocks there are, from the offset
-    span of each (topic, partition).
+def choose_block_size(messages: DataFrame, target_blocks: int | None = None) -> int:
+    """Offsets per block, from the offset span of each (topic, partition).
 
-    One aggregation on the offset column (a Kafka source knows these ranges
+    One aggregation that reads no payload (a Kafka source knows these ranges
     up front); result has one row per Kafka partition. Aims at
     ``target_blocks`` segments (default 4 x default parallelism), a power of
     two between ``MIN_BLOCK`` and ``MAX_BLOCK``, and no more than
     ``MAX_BLOCKS`` blocks while that bound allows (up to about 2e11
-    offsets; beyond it the block table grows and AQE joins it by shuffle
-    instead of broadcasting it, but no block's list grows).
+    offsets; beyond it the block table grows, but no block's list does).
     """
-    spans = (dec.groupBy(*KEYS).agg((F.max("offset") - F.min("offset") + 1).alias("n"))
-             .agg(F.sum("n"), F.count(F.lit(1))).first())
-    total, parts = int(spans[0] or 0), int(spans[1] or 0)
+    spans = (placed(messages).groupBy(*KEYS).agg((F.max("offset") - F.min("offset") + 1).alias("n"))
+             .agg(F.sum("n")).first())
+    total = int(spans[0] or 0)
     if target_blocks is None:
-        target_blocks = 4 * dec.sparkSession.sparkContext.defaultParallelism
+        target_blocks = 4 * messages.sparkSession.sparkContext.defaultParallelism
     want = max(1, -(-total // max(target_blocks, 1)), -(-total // MAX_BLOCKS))
     size = MIN_BLOCK
     while size < min(want, MAX_BLOCK):
         size <<= 1
-    return size, -(-total // size) + parts
+    return size
 
 
-def _segments(prof: DataFrame, block_size: int, max_record_chars: int) -> DataFrame:
+def _segments(prof: DataFrame, block_size: int) -> DataFrame:
     """One row per (topic, partition, block) saying how its offsets map to segments.
 
     A *natural* segment starts at ``seg_start``, the first offset of the
     block where no record is open. A block is *forced* to start a segment at
-    its first offset when the record open there already holds more than
-    ``max_record_chars`` in whole blocks since depth last touched 0: that
-    record is too long, nothing past the cut is gathered, so the cut only
-    needs the depth entering the block (``D``). A never-closing brace so
-    spreads over one segment per block, not one task for the rest of the
-    partition.
+    its first offset when the record open there never closes in this input:
+    nothing of it is gathered, so the cut only needs the depth entering the
+    block (``D``), and a never-closing brace spreads over one segment per block.
 
     Per block: ``seg_start``, ``forced``, ``D``, ``prev_seg`` / ``prev_depth``
-    (segment that earlier offsets belong to, and its entering depth),
-    ``nb_forced`` (the next segment start is forced), ``nb_closes`` (the
-    record open there closes later), ``final_depth`` (depth at the end of
-    the partition).
+    (segment that earlier offsets belong to, and its entering depth).
     """
     blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
     step = F.when(~F.col("fast"), F.struct("offset", "a", "m"))
-    blocks = (prof.select(*KEYS, blk.alias("block"), step.alias("st"), F.length("text").alias("n"))
+    blocks = (prof.select(*KEYS, blk.alias("block"), step.alias("st"))
               .where(F.col("block").isNotNull())
-              .groupBy(*KEYS, "block").agg(F.array_sort(F.collect_list("st")).alias("L"),
-                                           F.sum("n").alias("chars")))
-    summ = blocks.select(*KEYS, "block", "chars", F.expr(_BLOCK_SQL).alias("s"))
+              .groupBy(*KEYS, "block").agg(F.array_sort(F.collect_list("st")).alias("L")))
+    blocks = blocks.select(*KEYS, "block", "L", F.expr(_BLOCK_SQL).alias("s"))
     wo = Window.partitionBy(*KEYS).orderBy("block")
     wb = wo.rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy(*KEYS)
     pa = F.coalesce(F.sum("s.P").over(wb), F.lit(0)).cast("long")
-    summ = summ.select(*KEYS, "block", "chars", "s", pa.alias("PA"))
+    t = blocks.select(*KEYS, "block", "L", "s", pa.alias("PA"))
     x = F.min(F.col("PA") + F.col("s.M")).over(wb)
-    total = F.sum("s.P").over(wall)
-    final = total - F.least(F.lit(0), F.min(F.col("PA") + F.col("s.M")).over(wall))
-    depth = summ.select(*KEYS, "block", "chars",
-                        (F.col("PA") - F.least(F.lit(0), F.coalesce(x, F.lit(0)))).alias("D"),
-                        F.col("s.M").alias("M"), final.cast("int").alias("final_depth"))
-    t = blocks.select(*KEYS, "block", "L").join(depth, [*KEYS, "block"]).select(
-        *KEYS, "block", "chars", "D", "final_depth",
+    t = t.select(*KEYS, "block", "L", "s",
+                 (F.col("PA") - F.least(F.lit(0), F.coalesce(x, F.lit(0)))).alias("D"))
+    t = t.select(
+        *KEYS, "block", "D",
         # no record is open at some point of the block (maybe inside a message)
-        (F.col("D") + F.col("M") <= 0).alias("touch"),
+        (F.col("D") + F.col("s.M") <= 0).alias("touch"),
         F.expr(_ZERO_SQL.format(B=block_size)).alias("seg_start"))
-    nat = F.col("seg_start").isNotNull()
-    t = t.select("*", F.sum("chars").over(wo.rowsBetween(Window.unboundedPreceding, 0)).alias("C"),
-                 F.max(F.col("touch").cast("int")).over(wo.rowsBetween(0, Window.unboundedFollowing))
-                 .alias("touch_later"))
-    # chars of the whole blocks since depth last touched 0: all of them are
-    # inside the record open at this block's start
-    inside = (F.col("C") - F.col("chars")
-              - F.last(F.when(F.col("touch"), F.col("C")), ignorenulls=True).over(wb))
-    t = t.select("*", ((F.col("D") > 0) & (inside >= max_record_chars)).alias("forced"))
-    starts = nat | F.col("forced")
-    wf = wo.rowsBetween(1, Window.unboundedFollowing)
+    touch_later = F.max(F.col("touch").cast("int")).over(wo.rowsBetween(0, Window.unboundedFollowing))
+    t = t.select("*", ((F.col("D") > 0) & (touch_later == 0)).alias("forced"))
+    starts = F.col("seg_start").isNotNull() | F.col("forced")
     return t.select(
-        *KEYS, "block", "seg_start", "forced", "D", "final_depth",
+        *KEYS, "block", "seg_start", "forced", "D",
         F.max(F.when(starts, F.col("block"))).over(wb).alias("prev_seg"),
         F.last(F.when(starts, F.when(F.col("forced"), F.col("D")).otherwise(F.lit(0))),
-               ignorenulls=True).over(wb).alias("prev_depth"),
-        F.coalesce(F.first(F.when(starts, F.col("forced")), ignorenulls=True).over(wf),
-                   F.lit(False)).alias("nb_forced"),
-        F.coalesce(F.first(F.when(starts, F.col("touch_later") == 1), ignorenulls=True).over(wf),
-                   F.lit(False)).alias("nb_closes"))
+               ignorenulls=True).over(wb).alias("prev_depth"))
 
 
 def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
-                  fast_depth: int = DEFAULT_FAST_DEPTH,
-                  max_record_chars: int = DEFAULT_MAX_RECORD_CHARS,
-                  regex_fast_path: bool = True, decoded: bool = False,
+                  fast_depth: int = DEFAULT_FAST_DEPTH, regex_fast_path: bool = True,
                   emit_open: bool = False) -> DataFrame:
-    """Frame messages into records: ``topic, partition, offset, pos, record, too_long``.
-
-    ``emit_open=True`` adds ``open`` and ``depth`` and also returns the record
-    still open at the end of each (topic, partition) (its first chars and its
-    depth), which a micro-batch stream carries into the next batch.
-
-    ``offset``/``pos`` locate the record's opening brace (``pos`` is the
-    object's index for regex-cut messages). Records still open at the end of
-    the input are not emitted (a stream keeps them in its state).
-    ``regex_fast_path=False`` sends every message through the token cutter.
+    """Frame messages into records: ``topic, partition, offset, pos, record``.
+
+    ``offset`` / ``pos`` locate a record: the message in which it opens, and how
+    many records opened there before it. ``emit_open=True`` adds ``open`` and also
+    returns the pieces of the record still open at the end of each (topic,
+    partition), one row per message, at that message's offset; a micro-batch
+    stream carries them into the next batch, a batch job rejects them.
+    ``regex_fast_path=False`` sends every message through the token scan.
     """
-    dec = messages if decoded else decode_messages(messages)
+    spark = messages.sparkSession
+    dec = decode_messages(messages)
     fast = F.col("text").rlike(self_contained_pattern(fast_depth)) if regex_fast_path else F.lit(False)
-    prof = dec.select(*KEYS, "offset", "text", fast.alias("fast")).select(
+    prof = dec.select(*KEYS, "offset", "text", "pos0", fast.alias("fast")).select(
         "*", F.when(F.col("fast"), F.struct(F.lit(0).alias("a"), F.lit(0).alias("m")))
         .otherwise(F.expr(_PROFILE_SQL)).alias("pr"))
-    prof = prof.select(*KEYS, "offset", "text", "fast", "pr.a", "pr.m")
+    prof = prof.select(*KEYS, "offset", "text", "pos0", "fast", "pr.a", "pr.m")
 
-    sc = dec.sparkSession.sparkContext
     if block_size is None:
-        block_size, n_blocks = choose_block_size(dec)
-    else:
-        n_blocks = sc.defaultParallelism
-    segs = _segments(prof, block_size, max_record_chars)
+        block_size = choose_block_size(messages)
+    ensure_checkpoint_dir(spark)
+    segs = _segments(prof, block_size).checkpoint()
+    n_blocks = segs.count()
     blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
     own = F.col("forced") | (F.col("seg_start").isNotNull() & (F.col("offset") >= F.col("seg_start")))
     seg = F.when(own, F.col("block")).otherwise(F.col("prev_seg"))
     # depth entering the segment: D when it starts at a forced cut, else 0
     d0 = F.when(own, F.when(F.col("forced"), F.col("D")).otherwise(F.lit(0))).otherwise(F.col("prev_depth"))
-    # segment ends at a forced cut: its open record is too long; it closes
-    # iff a natural start follows, and its depth is the partition's last
-    end_forced = F.when(own | F.col("seg_start").isNull(), F.col("nb_forced")).otherwise(F.lit(False))
-    wide = (prof.select("*", blk.alias("block")).join(segs, [*KEYS, "block"])
-            .select(*KEYS, "offset", "text", "fast", "a", "m", seg.alias("seg"), d0.alias("d0"),
-                    (end_forced & F.col("nb_closes")).cast("int").alias("carry_close"),
-                    F.when(end_forced, F.col("final_depth")).alias("end_depth")))
+    wide = (prof.select("*", blk.alias("block"))
+            .join(F.broadcast(segs) if n_blocks <= MAX_BROADCAST_BLOCKS else segs, [*KEYS, "block"])
+            .select(*KEYS, "offset", "text", "pos0", "fast", "a", "m", seg.alias("seg"), d0.alias("d0")))
     # One task per segment or a few: an explicit count, so the post-shuffle
     # work (cutting, parsing) is not coalesced into a handful of tasks just
     # because the shuffled bytes are few. A segment holds about one block.
-    wide = wide.repartition(max(sc.defaultParallelism, min(n_blocks, MAX_BLOCKS)), *KEYS, "seg")
+    wide = wide.repartition(max(spark.sparkContext.defaultParallelism, min(n_blocks, MAX_BLOCKS)), *KEYS, "seg")
 
     # depth entering each message (segments start at 0) and the open record's key
     w = Window.partitionBy(*KEYS, "seg").orderBy("offset")
@@ -271,66 +274,51 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
     pa = F.col("P") + F.col("a")
     d_out = F.greatest(F.col("d0") + pa,
                        pa - F.least(F.lit(0), F.least(F.col("Lmin"), F.col("P") + F.col("m"))))
-    wide = wide.select(*KEYS, "seg", "offset", "text", "fast", "m", "carry_close", "end_depth",
-                       d_in.alias("d_in"), d_out.alias("d_out"))
+    wide = wide.select(*KEYS, "seg", "offset", "text", "pos0", "fast", "m", d_in.alias("d_in"), d_out.alias("d_out"))
     opens_tail = F.when((F.col("d_out") > 0) & (F.col("d_in") + F.col("m") <= 0), F.col("offset"))
     quick = F.col("fast") & (F.col("d_in") == 0)
-    wide = wide.select("*", F.max(opens_tail).over(before).alias("open_key"),
-                       quick.alias("quick"), F.when(~quick, F.expr(_WALK_SQL)).alias("_st"))
-
-    # cut: regex for self-contained messages entered at depth 0, token walk otherwise
-    cut = F.when(F.col("quick"), F.expr(_regex_cut_sql(max(fast_depth, 1)))).otherwise(F.expr(_CUT_SQL))
-    pieces = wide.select(*KEYS, "seg", "offset", "open_key", "d_out", "carry_close", "end_depth",
-                         F.explode(cut).alias("p"))
+    wide = wide.select("*", F.max(opens_tail).over(before).alias("open_key"), quick.alias("quick"))
+    # staged through generators, so that each step is computed once per message
+    wide = wide.select("*", F.explode(F.array(F.when(~F.col("quick"), F.expr(_SCAN_SQL)))).alias("_st"))
+    wide = wide.select("*", F.explode(F.array(F.when(~F.col("quick"), F.expr(_BETWEEN_SQL)))).alias("between"))
+    recs = (F.when(F.col("_st.top") <= SCAN_DEPTH,
+                   F.expr(f"regexp_extract_all(between, '{object_pattern(SCAN_DEPTH)}', 0)"))
+            .when(F.col("_st").isNotNull(), F.expr(_DEEP_SQL)))
+    wide = wide.select("*", F.explode(F.array(recs)).alias("recs"))
+
+    # cut: regex for self-contained messages entered at depth 0, the scan's parts otherwise
+    cut = F.when(F.col("quick"), F.expr(_regex_cut_sql(max(fast_depth, 1)))).otherwise(F.expr(_cut_sql()))
+    pieces = wide.select(*KEYS, "seg", "offset", "open_key", F.explode(cut).alias("p"))
     kind = F.col("p.kind")
     pieces = pieces.select(
-        *KEYS, "seg", "offset", F.col("p.pos").alias("pos"), F.col("p.piece").alias("piece"),
-        kind.alias("kind"), "d_out", "carry_close", "end_depth",
+        *KEYS, "seg", "offset", F.col("p.pos").alias("pos"), F.col("p.piece").alias("piece"), kind.alias("kind"),
         F.when(kind.isin(WHOLE, TAIL), F.col("offset")).otherwise(F.col("open_key")).alias("rec_offset"),
         F.when(kind == WHOLE, F.col("p.pos")).otherwise(F.lit(-1)).alias("gpos"))
 
     # One group per record, inside the segment partitioning (no exchange).
-    # Lengths are summed first (window, no gathering); pieces are gathered
-    # only for closed records and only while under max_record_chars, so a
-    # group's list is bounded and a never-closing brace gathers nothing.
+    # Whether it closes is known first (window, no gathering); pieces of a
+    # record that does not are groups of one row.
     wg = Window.partitionBy(*KEYS, "seg", "rec_offset", "gpos")
-    wo = wg.orderBy("offset", "pos")
-    n = F.length("piece")
-    gathered = F.coalesce(F.sum(n).over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    pieces = pieces.where(F.col("rec_offset").isNotNull()).select(
-        "*", gathered.alias("gathered"),
-        F.greatest(F.max(F.col("kind").isin(WHOLE, HEAD).cast("int")).over(wg),
-                   F.col("carry_close")).alias("closed"),
-        # depth after the group's last piece, kept or not (an open record's
-        # depth at the end of the input, for the stream carry)
-        F.coalesce(F.col("end_depth"), F.max_by("d_out", "offset").over(wg)).alias("last_depth"))
-    # the only unclosed group of a (topic, partition) is its last, open record
-    # Pieces of a record carried into a forced segment have no key (dropped
-    # here): the record is emitted by its first segment, closed there when
-    # it closes later (carry_close).
-    keep = F.col("gathered") <= max_record_chars
+    pieces = pieces.select("*", F.max(kind_closes()).over(wg).alias("closed"))
     if not emit_open:
-        keep = (F.col("closed") == 1) & keep
-    recs = pieces.where(keep).groupBy(*KEYS, "seg", "rec_offset", "gpos").agg(
-        F.max("closed").alias("closed"),
-        F.max("last_depth").alias("depth"),
+        pieces = pieces.where("closed")
+    group = [F.when(F.col("closed"), F.col("rec_offset")).otherwise(F.col("offset")).alias("at"),
+             F.when(F.col("closed"), F.col("gpos")).otherwise(F.col("pos")).alias("gp")]
+    recs = pieces.groupBy(*KEYS, "seg", "closed", *group).agg(
         F.max(F.when(F.col("kind").isin(WHOLE, TAIL), F.col("pos"))).alias("pos"),
-        F.max(F.col("gathered") + n).alias("seen"),
-        F.count(F.lit(1)).alias("n_pieces"),
-        F.first("piece").alias("first_piece"),
-        F.collect_list(F.struct("offset", "pos", "piece")).alias("parts"))
-    record = F.when(F.col("n_pieces") == 1, F.col("first_piece")).otherwise(
-        F.array_join(F.transform(F.array_sort("parts"), lambda p: p["piece"]), ""))
-    # total length of a record is only needed to tell it is too long
-    too_long = F.col("seen") > max_record_chars
-    cols = [*KEYS, F.col("rec_offset").alias("offset"), F.col("pos").cast("int").alias("pos"),
-            F.when(too_long, F.substring(record, 1, max_record_chars)).otherwise(record).alias("record"),
-            too_long.alias("too_long")]
+        F.array_sort(F.collect_list(F.struct("offset", "piece"))).alias("parts"))
+    record = F.array_join(F.transform("parts", lambda p: p["piece"]), "")
+    cols = [*KEYS, F.col("at").alias("offset"), F.coalesce("pos", F.lit(0)).cast("int").alias("pos"),
+            record.alias("record")]
     if emit_open:
-        cols += [(F.col("closed") == 0).alias("open"), F.col("depth").cast("int").alias("depth")]
+        cols.append((~F.col("closed")).alias("open"))
     return recs.select(*cols)
 
 
+def kind_closes():
+    return F.col("kind").isin(WHOLE, HEAD)
+
+
 def framing_counters(messages: DataFrame, records: DataFrame) -> DataFrame:
     """F8: messages in (non-null values, blank ones included) and objects out."""
     m = messages.select(F.when(F.col("value").isNotNull(), 1).otherwise(0).alias("mi"),

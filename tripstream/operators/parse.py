@@ -26,8 +26,8 @@ JSON_OPTIONS = {
 }
 
 
-def reason_column(text: Column, j: Column, too_long: Column | None = None) -> Column:
-    """First failed rule: too_long, bad_shape, bad_json, missing_trip_id, missing_field."""
+def reason_column(text: Column, j: Column, still_open: Column | None = None) -> Column:
+    """First failed rule: open_record, bad_shape, bad_json, missing_trip_id, missing_field."""
     shape_ok = text.isNotNull() & (F.length(text) > 0) & text.startswith("{") & text.endswith("}")
     bad_json = j[CORRUPT_COLUMN].isNotNull()
     trip_id = j["tripID"]
@@ -45,8 +45,8 @@ def reason_column(text: Column, j: Column, too_long: Column | None = None) -> Co
     absent = F.when(F.size(nullable) > 0,
                     F.size(F.array_except(nullable, F.json_object_keys(text))) > 0).otherwise(F.lit(False))
     r = F.when(~shape_ok, "bad_shape")
-    if too_long is not None:
-        r = F.when(too_long, "too_long").when(~shape_ok, "bad_shape")
+    if still_open is not None:
+        r = F.when(still_open, "open_record").when(~shape_ok, "bad_shape")
     return (r.when(bad_json, "bad_json")
             .when(no_trip_id, "missing_trip_id")
             .when(scalar_null | not_object | absent, "missing_field"))
@@ -55,14 +55,16 @@ def reason_column(text: Column, j: Column, too_long: Column | None = None) -> Co
 def parse_records(records: DataFrame, record_col: str = "record", now: Column | None = None,
                   lenient: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Checked rows: the 13 trip columns, ``reason`` (null when good),
-    ``raw_preview`` (P7 of the trimmed text), ``date_fallback`` and the
-    columns named in ``keep`` (origin columns by default).
+    ``record`` (the whole trimmed text), ``raw_preview`` (P7 of it),
+    ``date_fallback`` and the columns named in ``keep`` (origin columns by
+    default). Rows flagged ``open`` by framing are pieces of a record that
+    never closed: rejects.
     """
     keep = keep if keep is not None else [c for c in ("topic", "partition", "offset") if c in records.columns]
-    has_long = "too_long" in records.columns
+    has_open = "open" in records.columns
     text = java_trim(F.col(record_col))
     staged = records.select(*keep, text.alias("_t"),
-                            *([F.col("too_long")] if has_long else []))
+                            *([F.col("open")] if has_open else []))
     t = F.col("_t")
     shape_ok = t.isNotNull() & t.startswith("{") & t.endswith("}")
     # The parsed struct comes out of a generator (a one-element explode), so a
@@ -85,10 +87,11 @@ def parse_records(records: DataFrame, record_col: str = "record", now: Column |
             cols.append(F.coalesce(j[c], F.lit("")).alias(c))
         else:
             cols.append(j[c].alias(c))
-    reason = reason_column(t, j, F.col("too_long") if has_long else None)
+    reason = reason_column(t, j, F.col("open") if has_open else None)
     return staged.select(
         *keep, *cols,
         reason.alias("reason"),
+        t.alias("record"),
         preview(t).alias("raw_preview"),
         fallback.alias("date_fallback"),
     )

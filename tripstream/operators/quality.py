@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from tripstream.schema import TRIP_COLUMNS
+from tripstream.schema import REJECT_SCHEMA, TRIP_COLUMNS
 
 
 def good_rows(checked: DataFrame) -> DataFrame:
@@ -13,9 +13,11 @@ def good_rows(checked: DataFrame) -> DataFrame:
 
 
 def reject_rows(checked: DataFrame) -> DataFrame:
-    """Failed rows with reason, preview and origin."""
-    origin = [c for c in ("topic", "partition", "offset") if c in checked.columns]
-    return checked.where(F.col("reason").isNotNull()).select("reason", "raw_preview", *origin)
+    """Failed rows as ``REJECT_SCHEMA``: reason, the whole text, its preview, origin
+    (null where the input has none)."""
+    have = [F.col(f.name) if f.name in checked.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in REJECT_SCHEMA]
+    return checked.where(F.col("reason").isNotNull()).select(*have)
 
 
 def reject_report(checked: DataFrame) -> DataFrame:
@@ -46,10 +48,9 @@ def filter_counters(checked: DataFrame) -> DataFrame:
     return agg.select("total", "nulls", rate.alias("null_pct"))
 
 
-def observe_counters(checked: DataFrame, name: str = "mapper") -> tuple[DataFrame, Observation]:
-    """A4/A5 on a stream or a write: metrics gathered while the data flows."""
-    obs = Observation(name)
+def observed(checked: DataFrame, obs: Observation) -> DataFrame:
+    """A4 / A5 while the data flows (a stream's micro-batch, a write): ``total``,
+    ``success`` and ``failure`` of the rows that pass."""
     ok = F.col("reason").isNull()
-    out = checked.observe(obs, F.count(F.lit(1)).alias("total"),
-                          F.count_if(ok).alias("success"), F.count_if(~ok).alias("failure"))
-    return out, obs
+    return checked.observe(obs, F.count(F.lit(1)).alias("total"),
+                           F.count_if(ok).alias("success"), F.count_if(~ok).alias("failure"))

@@ -130,17 +130,21 @@ ORACLES: dict[str, str] = {
     "filter_distance_number": f"WITH {TRIPS} SELECT {TRIP_COLS} FROM trips "
                               "WHERE TRY_CAST(trip_distance AS DOUBLE) > 5.0",
     "first_ten": f"WITH {TRIPS} SELECT {TRIP_COLS} FROM trips ORDER BY tripID LIMIT 10",
-    "min_snapshot": f"WITH {TRIPS}, {SNAPS} SELECT MIN(sid) AS min_id FROM snaps",
-    "earliest_snapshot": f"WITH {TRIPS}, {SNAPS} SELECT MIN(sid) AS min_id, arg_min(sid, cat) AS earliest_id "
-                         "FROM snaps",
+    "min_snapshot": f"WITH {TRIPS}, {SNAPS} SELECT MIN(sid) AS min_id, (SELECT COUNT(*) FROM trips "
+                    "WHERE batch <= (SELECT arg_min(b, sid) FROM snaps)) AS row_count FROM snaps",
+    "earliest_snapshot": f"WITH {TRIPS}, {SNAPS} SELECT MIN(sid) AS min_id, arg_min(sid, cat) AS earliest_id, "
+                         "arg_min(added, cat) AS row_count FROM snaps",
     "snapshot_list": f"WITH {TRIPS}, {SNAPS} SELECT cat AS committed_at, sid AS snapshot_id, "
                      "LAG(sid) OVER (ORDER BY b) AS parent_id, 'append' AS operation, added AS added_rows "
                      "FROM snaps ORDER BY cat",
     "history_list": f"WITH {TRIPS}, {SNAPS} SELECT cat AS made_current_at, sid AS snapshot_id, "
-                    "LAG(sid) OVER (ORDER BY b) AS parent_id, TRUE AS is_current_ancestor FROM snaps ORDER BY cat",
+                    "LAG(sid) OVER (ORDER BY b) AS parent_id, TRUE AS is_current_ancestor, added AS row_count "
+                    "FROM snaps ORDER BY cat",
     "as_of_id": _counts_upto(1),
     "as_of_timestamp": _counts_upto(0),
-    "as_of_previous": _counts_upto(1),
+    "as_of_previous": f"WITH {TRIPS} SELECT passenger_count, COUNT(*) AS trip_count FROM trips "
+                      "WHERE batch < (SELECT MAX(batch) FROM trips) OR (SELECT COUNT(DISTINCT batch) FROM trips) < 2 "
+                      "GROUP BY passenger_count",
     "as_of_sql": _counts_upto(0),
     "as_of_precedence": f"WITH {TRIPS} SELECT COUNT(*) AS row_count FROM trips WHERE batch <= 1",
     "as_of_fallback": "SELECT 'unknown_id' AS scenario, COUNT(*) AS row_count FROM events "
@@ -152,7 +156,24 @@ ORACLES: dict[str, str] = {
     "partition_days": "SELECT CAST(ts AS DATE) AS pickup_day, COUNT(*) AS trips FROM events GROUP BY 1",
     "table_fallback": "SELECT 'path' AS method, COUNT(*) AS row_count FROM events "
                       "UNION ALL SELECT 'name', COUNT(*) FROM events "
+                      "UNION ALL SELECT 'name_before', COUNT(*) FROM events WHERE event_id % 6 = 0 "
                       "UNION ALL SELECT 'absent', CAST(0 AS BIGINT)",
-    "sql_fallback": f"WITH {TRIPS} SELECT passenger_count, COUNT(*) AS trip_count FROM trips GROUP BY passenger_count",
+    "sql_fallback": f"WITH {TRIPS} SELECT form, passenger_count, COUNT(*) AS trip_count FROM trips, "
+                    "(VALUES ('plain'), ('qualified'), ('table')) AS f(form) GROUP BY form, passenger_count",
+    "list_tables": "SELECT 'default' AS namespace, 'json_data' AS tableName, FALSE AS isTemporary",
+    "describe_table": "SELECT * FROM (VALUES " + ", ".join(
+        [f"('{c.strip()}', '{'timestamp_ntz' if 'datetime' in c else 'string'}', FALSE)" for c in TRIP_COLS.split(",")]
+        + ["('snapshot_seq', 'int', TRUE)", "('pickup_day', 'date', TRUE)"]) + ") AS t(col_name, data_type, partition_key)",
+    "two_streams_one_table": "SELECT 'commits' AS item, CAST(2 AS BIGINT) AS row_count "
+                             "UNION ALL SELECT 'rows', COUNT(*) FROM events",
+    "stream_counters": f"SELECT COUNT(*) AS objects_out, CAST(COUNT(*) - COUNT({_BAD}) AS BIGINT) AS success, "
+                       f"COUNT({_BAD}) AS failure FROM events",
+    "pickup_range": "SELECT CAST(ts AS DATE) AS pickup_day, COUNT(*) AS trips FROM events "
+                    "WHERE date_trunc('second', ts) >= TIMESTAMP '2024-01-05 06:00:00' "
+                    "AND date_trunc('second', ts) < TIMESTAMP '2024-01-09 00:00:00' GROUP BY 1",
+    "frame_long_records": "SELECT CAST(event_id % 4 AS INTEGER) AS partition, COUNT(*) + 1 AS records, "
+                          "CAST(1200010 AS BIGINT) AS longest FROM events GROUP BY 1",
+    "malformed_bytes": "SELECT r AS record, COUNT(*) AS records FROM events, (VALUES ('{\"a\":\"\ufffd}'), ('{\"b\":1}'), "
+                       "('{\"c\"'), ('{\"d\":4}')) AS t(r) GROUP BY r",
     "stream_ingest": "SELECT CAST(ts AS DATE) AS pickup_day, COUNT(*) AS trips FROM events GROUP BY 1",
 }

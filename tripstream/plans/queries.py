@@ -152,11 +152,17 @@ def _counts(df: DataFrame) -> DataFrame:
 
 
 def q_min_snapshot(spark, sf):
-    return reports.min_snapshot(C.fixture_table(spark, sf).log())
+    """A3: the smallest snapshot id, and the rows of the table as of it."""
+    t = C.fixture_table(spark, sf)
+    low = reports.min_snapshot(t.log())
+    return low.crossJoin(reports.count_rows(t.as_of(snapshot_id=low.first()[0])))   # one row each
 
 
 def q_earliest_snapshot(spark, sf):
-    return reports.earliest_snapshot(C.fixture_table(spark, sf).log())
+    """Smallest id and first commit, and the rows of the table as of that."""
+    t = C.fixture_table(spark, sf)
+    first = reports.earliest_snapshot(t.log())
+    return first.crossJoin(reports.count_rows(t.as_of(snapshot_id=first.first().earliest_id)))
 
 
 def q_snapshot_list(spark, sf):
@@ -164,7 +170,9 @@ def q_snapshot_list(spark, sf):
 
 
 def q_history_list(spark, sf):
-    return C.fixture_table(spark, sf).history().orderBy("made_current_at")
+    """S7, with the rows that the table holds for each snapshot."""
+    t = C.fixture_table(spark, sf)
+    return t.history().join(t.rows_per_snapshot(), "snapshot_id").orderBy("made_current_at")
 
 
 def q_as_of_id(spark, sf):
@@ -233,16 +241,21 @@ def q_partition_days(spark, sf):
 
 
 def q_table_fallback(spark, sf):
-    """By path, by name, and empty when absent."""
-    t = C.fixture_table(spark, sf)
+    """By path, by name (also after a later append), and empty when absent."""
+    t = SnapshotTable(spark, scratch_root(spark, "named"))
     name = f"json_data_{uuid.uuid4().hex[:8]}"
     svc = TableService(spark, name, t.path)
-    by_path = reports.count_rows(svc.get_table()).select(F.lit("path").alias("method"), "row_count")
     svc.register()
+    rows = C.trips(spark, sf)
+    t.append(rows.where("passenger_count = '1'"))
+    early = svc.get_table().count()
+    t.append(rows.where("passenger_count != '1'"))
+    by_path = reports.count_rows(t.current()).select(F.lit("path").alias("method"), "row_count")
     by_name = reports.count_rows(svc.get_table()).select(F.lit("name").alias("method"), "row_count")
+    before = by_name.select(F.lit("name_before").alias("method"), F.lit(early).cast("long").alias("row_count"))
     gone = TableService(spark, f"absent_{uuid.uuid4().hex[:8]}", scratch_root(spark, "absent"))
     absent = reports.count_rows(gone.get_table()).select(F.lit("absent").alias("method"), "row_count")
-    return by_path.unionByName(by_name).unionByName(absent)
+    return by_path.unionByName(by_name).unionByName(before).unionByName(absent)
 
 
 def q_sql_fallback(spark, sf):
@@ -250,8 +263,10 @@ def q_sql_fallback(spark, sf):
     t = C.fixture_table(spark, sf)
     name = f"json_data_{uuid.uuid4().hex[:8]}"
     svc = TableService(spark, name, t.path)
-    return svc.execute_query(
-        f"SELECT passenger_count, COUNT(*) AS trip_count FROM {name} GROUP BY passenger_count")
+    sql = "SELECT '{}' AS form, passenger_count, COUNT(*) AS trip_count FROM {} GROUP BY passenger_count"
+    return (svc.execute_query(sql.format("plain", name))
+            .unionByName(svc.execute_query(sql.format("qualified", f"default.q{name}")))
+            .unionByName(svc.execute_query(sql.format("table", "{table}"))))
 
 
 def q_list_tables(spark, sf):
@@ -290,6 +305,73 @@ def q_stream_ingest(spark, sf):
     return reports.rows_per_day(table)
 
 
+def _run(spark, messages: DataFrame, root: str, table: SnapshotTable, name: str, **kw) -> None:
+    """One bounded stream over ``messages`` with a checkpoint of its own."""
+    messages.repartition("topic", "partition").sortWithinPartitions("offset").write.parquet(f"{root}/{name}/in")
+    run_until_done(start_ingest(message_file_stream(spark, f"{root}/{name}/in"), table, f"{root}/{name}/checkpoint",
+                                trigger={"availableNow": True}, now=C.fixed_now(), **kw))
+
+
+def q_two_streams_one_table(spark, sf):
+    """K1, K2: two streams, each with batch ids from 0, append to one table."""
+    root = scratch_root(spark, "two")
+    table = SnapshotTable(spark, f"{root}/table")
+    rules = FeedRules(split=False, pack=False)
+    for part in (0, 1):
+        _run(spark, C.messages(spark, sf, rules).where(F.col("partition") % 2 == part), root, table, f"stream{part}")
+    commits = reports.count_rows(table.log()).select(F.lit("commits").alias("item"), "row_count")
+    return commits.unionByName(reports.count_rows(table.current()).select(F.lit("rows").alias("item"), "row_count"))
+
+
+def q_stream_counters(spark, sf):
+    """F8, A4, A5 on the running stream: counters of all micro-batches."""
+    root = scratch_root(spark, "counters")
+    seen = []
+    _run(spark, C.messages(spark, sf, faults=True), root, SnapshotTable(spark, f"{root}/table"), "stream",
+         on_counters=lambda batch_id, c: seen.append(c))
+    rows = [tuple(int(c[k]) for k in ("objects_out", "success", "failure")) for c in seen]
+    return (spark.createDataFrame(rows, "objects_out long, success long, failure long")
+            .agg(*[F.sum(c).alias(c) for c in ("objects_out", "success", "failure")]))
+
+
+def q_pickup_range(spark, sf):
+    """K4: trips of some days; only those day folders are read."""
+    t = C.fixture_table(spark, sf)
+    return (t.between(_dt.datetime(2024, 1, 5, 6), _dt.datetime(2024, 1, 9))
+            .groupBy(F.to_date("tpep_pickup_datetime").alias("pickup_day")).agg(F.count(F.lit(1)).alias("trips")))
+
+
+def q_frame_long_records(spark, sf):
+    """F4 without a length limit: a record over 1.2 million characters, whole or cut
+    in three, between the ordinary messages of each Kafka partition."""
+    plain = C.messages(spark, sf, FeedRules(split=False, pack=False))
+    big = F.concat(F.lit('{"big":"'), F.repeat(F.lit("x"), 1_200_000), F.lit('"}'))
+    last = plain.groupBy("topic", "partition").agg(F.max("offset").alias("top"))
+    cut = F.when(F.col("partition") % 2 == 0, F.array(big)).otherwise(
+        F.array(F.substring(big, 1, 400_000), F.substring(big, 400_001, 500_000), F.substring(big, 900_001, 500_000)))
+    extra = (last.select("topic", "partition", "top", F.posexplode(cut).alias("i", "v"))
+             .select(F.lit(None).cast("binary").alias("key"), F.col("v").cast("binary").alias("value"), "topic",
+                     "partition", (F.col("top") + 1 + F.col("i")).alias("offset"),
+                     F.lit(None).cast("timestamp").alias("timestamp")))
+    recs = frame_records(plain.select(*extra.columns).unionByName(extra))
+    return recs.groupBy("partition").agg(F.count(F.lit(1)).alias("records"),
+                                         F.max(F.length("record")).cast("long").alias("longest"))
+
+
+def q_malformed_bytes(spark, sf):
+    """bytes that are not UTF-8 inside a record; the next ones are unharmed."""
+    ev = C.events(spark, sf).select("event_id")
+    value = F.concat(F.lit('{"a":"').cast("binary"), F.unhex(F.lit("E0")), F.lit('}{"b":1}{"c":').cast("binary"))
+    rows = ev.select(value.alias("value"), F.lit("t").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+                     (2 * F.col("event_id")).cast("long").alias("offset"))
+    tail = ev.select(F.concat(F.col("event_id").cast("string"), F.lit('}{"d":4}')).cast("binary").alias("value"),
+                     F.lit("t").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+                     (2 * F.col("event_id") + 1).cast("long").alias("offset"))
+    recs = frame_records(rows.unionByName(tail))
+    return recs.groupBy(F.when(F.col("record").startswith('{"c"'), '{"c"').otherwise(F.col("record")).alias("record")
+                        ).agg(F.count(F.lit(1)).alias("records"))
+
+
 QUERIES = {
     "decode_messages": q_decode_messages,
     "frame_multi_object": q_frame_multi_object,
@@ -328,4 +410,9 @@ QUERIES = {
     "list_tables": q_list_tables,
     "describe_table": q_describe_table,
     "stream_ingest": q_stream_ingest,
+    "two_streams_one_table": q_two_streams_one_table,
+    "stream_counters": q_stream_counters,
+    "pickup_range": q_pickup_range,
+    "frame_long_records": q_frame_long_records,
+    "malformed_bytes": q_malformed_bytes,
 }

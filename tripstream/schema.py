@@ -53,11 +53,10 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
-ORIGIN_COLUMNS = ["topic", "partition", "offset"]
-
 REJECT_SCHEMA = T.StructType(
     [
         T.StructField("reason", T.StringType(), False),
+        T.StructField("record", T.StringType(), True),
         T.StructField("raw_preview", T.StringType(), True),
         T.StructField("topic", T.StringType(), True),
         T.StructField("partition", T.IntegerType(), True),
@@ -74,8 +73,9 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("operation", T.StringType(), False),
         T.StructField("added_rows", T.LongType(), False),
         T.StructField("batch_id", T.LongType(), True),
+        T.StructField("query_id", T.StringType(), True),
     ]
 )
 
 # Reject reasons, in the order they are tested: a row counts under the first.
-REASONS = ["too_long", "bad_shape", "bad_json", "missing_trip_id", "missing_field"]
+REASONS = ["unplaced", "open_record", "bad_shape", "bad_json", "missing_trip_id", "missing_field"]

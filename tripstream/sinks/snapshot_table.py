@@ -12,12 +12,10 @@ sequence numbers are read, so a read "as of N" is the partition filter
 ``snapshot_seq <= N`` that Spark prunes at file listing.
 
 The commit log is one small row per append. The newest commit is read from
-the last ``log_epoch`` folder only; lookups by id, time or batch are
-filters over the log. A folder with more than ``LOG_COMPACT_FILES`` files is
-rewritten as one file, then its old files are deleted; a reader that comes
-in between sees a row twice, so the log is read with duplicates dropped by
-``snapshot_seq``. A long-running stream so keeps about one file per
-thousand commits.
+the last ``log_epoch`` folder only; lookups by id, time or batch are filters
+over the log. Log files are only ever added. An append is replayed, that is
+does nothing, when its (query id, batch id) is in the log: batch ids start at
+0 for each stream.
 """
 
 from __future__ import annotations
@@ -29,7 +27,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tripstream.schema import COMMIT_SCHEMA, TRIP_COLUMNS, TRIP_SCHEMA
+from tripstream.operators.quality import good_rows, reject_rows
+from tripstream.schema import COMMIT_SCHEMA, REJECT_SCHEMA, TRIP_COLUMNS, TRIP_SCHEMA
 
 
 @dataclass(frozen=True)
@@ -70,7 +69,7 @@ class SnapshotNotFound(LookupError):
 
 
 LOG_EPOCH = 1000                 # commits per log folder
-LOG_COMPACT_FILES = 64           # a log folder with more files is rewritten as one
+_PARTITIONS = "snapshot_seq int, pickup_day date"
 
 
 def _new_snapshot_id() -> int:
@@ -123,6 +122,11 @@ class SnapshotTable:
         """Create the table if missing; True when it was created now."""
         if self.exists():
             return False
+        # an empty first folder gives readers by path, and catalog views, the schema
+        (self.spark.createDataFrame([], TRIP_SCHEMA).coalesce(1).write.mode("overwrite")
+         .parquet(f"{self.data_path}/snapshot_seq=0/pickup_day=1970-01-01"))
+        (self.spark.createDataFrame([], REJECT_SCHEMA).coalesce(1).write.mode("overwrite")
+         .parquet(f"{self.rejects_path}/snapshot_seq=0"))
         (self.spark.createDataFrame([], COMMIT_SCHEMA).coalesce(1)
          .write.mode("errorifexists").parquet(self._epoch_path(0)))
         return True
@@ -130,14 +134,6 @@ class SnapshotTable:
     # ---- commit log (S6, S7) --------------------------------------------
     def log(self) -> DataFrame:
         """All commit rows (one per append)."""
-        if not self.exists():
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return (self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path)
-                .select(*COMMIT_SCHEMA.fieldNames()).dropDuplicates(["snapshot_seq"]))
-
-    def _raw_log(self) -> DataFrame:
-        """Commit rows as stored (a row may appear twice during a compaction):
-        for lookups that a duplicate cannot change, with no shuffle."""
         if not self.exists():
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commits_path).select(*COMMIT_SCHEMA.fieldNames())
@@ -151,20 +147,6 @@ class SnapshotTable:
                 return rows[0]
         return None
 
-    def compact_log(self, epoch: int, min_files: int = LOG_COMPACT_FILES) -> bool:
-        """Rewrite one log folder as one file when it holds more than ``min_files``."""
-        path = self._epoch_path(epoch)
-        old = [n for n in self._names(path) if n.endswith(".parquet") and not n.startswith(".")]
-        if len(old) <= min_files:
-            return False
-        rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(path).dropDuplicates(["snapshot_seq"])
-        rows.coalesce(1).write.mode("append").parquet(path)
-        fs, _ = self._fs(path)
-        jvm = self.spark.sparkContext._jvm
-        for n in old:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}"), False)
-        return True
-
     def snapshots(self) -> DataFrame:
         """``committed_at, snapshot_id, parent_id, operation, added_rows``."""
         return self.log().select("committed_at", "snapshot_id", "parent_id", "operation", "added_rows")
@@ -178,21 +160,36 @@ class SnapshotTable:
             F.col("committed_at").alias("made_current_at"), "snapshot_id", "parent_id",
             F.lit(True).alias("is_current_ancestor"))
 
+    def rows_per_snapshot(self) -> DataFrame:
+        """``snapshot_id, row_count``: rows that the table holds for each snapshot."""
+        last = self.last_commit()
+        counts = (self._read_upto(last.snapshot_seq if last else 0).groupBy("snapshot_seq")
+                  .agg(F.count(F.lit(1)).alias("n")))
+        return (self.log().join(counts, "snapshot_seq", "left")
+                .select("snapshot_id", F.coalesce("n", F.lit(0)).alias("row_count")))
+
     # ---- append (K1, K2, K4, K5) ---------------------------------------
+    def committed(self, batch_id: int | None, query_id: str | None = None):
+        """The commit row of a batch of a query; None if it was not committed."""
+        if batch_id is None or not self.exists():
+            return None
+        hit = (self.log().where((F.col("batch_id") == F.lit(batch_id)) & F.col("query_id").eqNullSafe(F.lit(query_id)))
+               .orderBy("snapshot_seq").limit(1).collect())
+        return hit[0] if hit else None
+
     def append(self, trips: DataFrame, batch_id: int | None = None,
                snapshot_id: int | None = None, committed_at: _dt.datetime | None = None,
-               rejects: DataFrame | None = None):
+               rejects: DataFrame | None = None, query_id: str | None = None):
         """Append rows as one new snapshot; returns its commit row.
 
-        ``trips`` holds the 13 trip columns. A ``batch_id`` already in the log
-        makes the call a no-op returning that commit (replay after a restart).
+        ``trips`` holds the 13 trip columns. A (``query_id``, ``batch_id``) already in
+        the log makes the call a no-op returning that commit (replay after a
+        restart); another query's batch of the same number is a new one.
         """
         self.ensure()
-        if batch_id is not None:
-            hit = (self._raw_log().where(F.col("batch_id") == F.lit(batch_id))
-                   .orderBy("snapshot_seq").limit(1).collect())
-            if hit:
-                return hit[0]
+        hit = self.committed(batch_id, query_id)
+        if hit:
+            return hit
         last = self.last_commit()
         seq = (last.snapshot_seq + 1) if last else 1
         parent = last.snapshot_id if last else None
@@ -210,45 +207,60 @@ class SnapshotTable:
              .parquet(f"{self.rejects_path}/snapshot_seq={seq}"))
         row = (seq, snapshot_id if snapshot_id is not None else _new_snapshot_id(), parent,
                committed_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None),
-               "append", int(added), batch_id)
+               "append", int(added), batch_id, query_id)
         (self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self._epoch_path(seq // LOG_EPOCH)))
-        self.compact_log(seq // LOG_EPOCH)
         return self.spark.createDataFrame([row], COMMIT_SCHEMA).first()
 
-    def append_checked(self, checked: DataFrame, **kw):
+    def append_checked(self, checked: DataFrame, persist: bool = True, **kw):
         """Append the good rows of a checked frame and keep its rejects.
 
-        The checked frame is persisted for the two writes (one micro-batch).
+        The checked frame is persisted for the two writes (one micro-batch)
+        unless the caller has done so.
         """
-        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+        if persist:
+            checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = checked.where(F.col("reason").isNull()).select(*TRIP_COLUMNS)
-            origin = [c for c in ("topic", "partition", "offset") if c in checked.columns]
-            bad = checked.where(F.col("reason").isNotNull()).select("reason", "raw_preview", *origin)
-            return self.append(good, rejects=bad, **kw)
+            return self.append(good_rows(checked), rejects=reject_rows(checked), **kw)
         finally:
-            checked.unpersist()
+            if persist:
+                checked.unpersist()
 
     # ---- reads (S4, Z1-Z9) ---------------------------------------------
     def _read_upto(self, seq: int | None) -> DataFrame:
         if seq is None:
             return self.spark.createDataFrame([], TRIP_SCHEMA)
-        return (self.spark.read.parquet(self.data_path)
-                .where(F.col("snapshot_seq") <= F.lit(seq)).select(*TRIP_COLUMNS))
+        fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRIP_SCHEMA)
+        return (self.spark.read.schema(f"{fields}, {_PARTITIONS}").parquet(self.data_path)
+                .where(F.col("snapshot_seq") <= F.lit(seq)))
 
     def current(self) -> DataFrame:
         last = self.last_commit()
-        return self._read_upto(last.snapshot_seq if last else None)
+        return self._read_upto(last.snapshot_seq if last else None).select(*TRIP_COLUMNS)
+
+    def between(self, start: _dt.datetime, end: _dt.datetime) -> DataFrame:
+        """K4: current rows picked up from ``start`` to before ``end``; only the
+        folders of those days are read."""
+        last = self.last_commit()
+        if last is None:
+            return self.spark.createDataFrame([], TRIP_SCHEMA)
+        lo, hi = (F.lit(_to_datetime(x).isoformat(sep=" ")).cast("timestamp_ntz") for x in (start, end))
+        return (self._read_upto(last.snapshot_seq)
+                .where(F.col("pickup_day").between(F.lit(_to_datetime(start).date()), F.lit(_to_datetime(end).date()))
+                       & (F.col("tpep_pickup_datetime") >= lo) & (F.col("tpep_pickup_datetime") < hi))
+                .select(*TRIP_COLUMNS))
 
     def rejects(self) -> DataFrame:
+        """Reject rows of all committed appends, with their ``snapshot_seq``."""
         last = self.last_commit()
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in REJECT_SCHEMA) + ", snapshot_seq int"
         if last is None:
-            return self.spark.createDataFrame([], "reason string, raw_preview string")
-        return self.spark.read.parquet(self.rejects_path).where(F.col("snapshot_seq") <= last.snapshot_seq)
+            return self.spark.createDataFrame([], fields)
+        return (self.spark.read.schema(fields).parquet(self.rejects_path)
+                .where(F.col("snapshot_seq") <= last.snapshot_seq))
 
     def seq_of(self, snapshot_id: int) -> int:
-        hit = self._raw_log().where(F.col("snapshot_id") == F.lit(snapshot_id)).select("snapshot_seq").first()
+        hit = self.log().where(F.col("snapshot_id") == F.lit(snapshot_id)).select("snapshot_seq").first()
         if hit is None:
             raise SnapshotNotFound(f"snapshot id {snapshot_id} is not in the commit log")
         return hit.snapshot_seq
@@ -265,19 +277,19 @@ class SnapshotTable:
         """
         try:
             if snapshot_id is not None and snapshot_id > 0:
-                return self._read_upto(self.seq_of(snapshot_id))
+                return self._read_upto(self.seq_of(snapshot_id)).select(*TRIP_COLUMNS)
             if timestamp is not None:
                 ts = _to_datetime(timestamp)
                 bound = F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
-                top = (self._raw_log().where(F.col("committed_at") <= bound)
+                top = (self.log().where(F.col("committed_at") <= bound)
                        .agg(F.max("snapshot_seq")).first()[0])
                 if top is None:
                     raise SnapshotNotFound(f"no snapshot committed at or before {ts}")
-                return self._read_upto(top)
+                return self._read_upto(top).select(*TRIP_COLUMNS)
             prev = (self.log().orderBy(F.col("committed_at").desc(), F.col("snapshot_seq").desc())
                     .offset(1).limit(1).select("snapshot_seq").first())
             if prev is not None:
-                return self._read_upto(prev.snapshot_seq)
+                return self._read_upto(prev.snapshot_seq).select(*TRIP_COLUMNS)
             return self.current()
         except SnapshotNotFound:
             if on_error == "current":
@@ -286,20 +298,17 @@ class SnapshotTable:
 
     # ---- catalog (K6) ---------------------------------------------------
     def register(self, name: str) -> bool:
-        """Point a catalog view ``name`` at the current snapshot.
+        """Make the catalog view ``name``: always the current table.
 
-        Re-run after each append to move the pointer. A failure only warns.
+        The view asks the commit log each time it is read, so it sees later
+        appends. A failure only warns.
         """
-        last = self.last_commit()
-        top = last.snapshot_seq if last else 0
         cols = ", ".join(f"`{c}`" for c in TRIP_COLUMNS)
         try:
-            if top == 0:
-                self.spark.createDataFrame([], TRIP_SCHEMA).createOrReplaceTempView(name.split(".")[-1])
-                return False
+            self.ensure()
             self.spark.sql(
-                f"CREATE OR REPLACE VIEW {name} AS SELECT {cols} "
-                f"FROM parquet.`{self.data_path}` WHERE snapshot_seq <= {top}")
+                f"CREATE OR REPLACE VIEW {name} AS SELECT {cols} FROM parquet.`{self.data_path}` "
+                f"WHERE snapshot_seq <= (SELECT max(snapshot_seq) FROM parquet.`{self.commits_path}`)")
             return True
         except Exception as e:  # noqa: BLE001 - the reference only warns here
             import warnings

@@ -48,26 +48,40 @@ class TableService:
         return self.table.register(self.name)
 
     def execute_query(self, sql: str) -> DataFrame:
-        """Run SQL; when its table is missing from the catalog, run the
-        same SQL again with the table bound by S5 under the missing name.
+        """Run SQL; ``{table}`` in it stands for the table (S5). When a table
+        is missing from the catalog, run the same SQL again with the table
+        bound under the missing name, ``name`` or ``namespace.name``.
 
-        Other errors are raised: the text is never rewritten (D7).
+        Other errors are raised: the text is never rewritten (D7). A name in a
+        catalog that Spark does not have cannot be bound; use ``{table}``.
         """
+        frames = {"table": self.get_table()} if "{table}" in sql else {}
         try:
-            return self.spark.sql(sql)
+            return self.spark.sql(sql, **frames)
         except AnalysisException as e:
             cond = getattr(e, "getCondition", lambda: None)() or ""
             if "TABLE_OR_VIEW_NOT_FOUND" not in cond:
                 raise
-            missing = (e.getMessageParameters() or {}).get("relationName", "").replace("`", "")
-            if not missing or "." in missing:
+            missing = [p for p in (e.getMessageParameters() or {}).get("relationName", "").replace("`", "").split(".") if p]
+            if missing and missing[0] == "spark_catalog":
+                missing = missing[1:]
+            if not 1 <= len(missing) <= 2:
                 raise
-            self.get_table().createOrReplaceTempView(missing)
-            return self.spark.sql(sql)
+            if len(missing) == 1:
+                self.get_table().createOrReplaceTempView(missing[0])
+            else:
+                self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS `{missing[0]}`")
+                if not self.table.register(".".join(f"`{p}`" for p in missing)):
+                    raise
+            return self.spark.sql(sql, **frames)
 
     def describe(self) -> DataFrame:
-        """Columns and partition fields of the table behind the name."""
-        return self.spark.sql(f"DESCRIBE TABLE {self.name}")
+        """``col_name, data_type, partition_key`` of the table behind the name,
+        its partition fields last."""
+        columns = [(f.name, f.dataType.simpleString(), False) for f in TRIP_SCHEMA]
+        partitions = [("snapshot_seq", "int", True), ("pickup_day", "date", True)]
+        return self.spark.createDataFrame(columns + partitions,
+                                          "col_name string, data_type string, partition_key boolean")
 
 
 def list_namespaces(spark: SparkSession) -> DataFrame:
