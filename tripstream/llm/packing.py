@@ -46,6 +46,8 @@ SEQUENCE = 2048
 END_ID = 0
 GROUP = 4096            # pieces a group, about
 ROUNDS = 2
+TRIES = 64              # fuller bins that a bin tries in a sweep
+SWEEPS = 50
 CACHE = 800_000         # runs of text in a generation of a worker's cache
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -199,46 +201,58 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[
 
     Each step takes places from a bin and gives them to one that is at least
     as full, so the sum of squared fills rises with every step (by whole
-    numbers, below a bound): the search ends.
+    numbers, below a bound): the search ends. A bin tries the ``TRIES`` fullest
+    others at a time, which bounds the effort of a sweep.
     """
     n = lengths.tolist()
+    # a bin: length -> its pieces of that length
+    held = []
+    for b in bins:
+        by: dict[int, list[int]] = {}
+        for k in b:
+            by.setdefault(n[k], []).append(k)
+        held.append(by)
     fill = [sum(n[k] for k in b) for b in bins]
-    loose = [b for b in range(len(bins)) if fill[b] < size]
-    improved = True
-    while improved:
-        improved = False
+    loose = list(range(len(bins)))
+    for _ in range(SWEEPS):
         loose = sorted((b for b in loose if 0 < fill[b] < size), key=lambda b: fill[b])
+        improved = False
         for a in loose:                          # give away from the emptiest
-            for b in reversed(loose):            # to the fullest
-                if b != a and 0 < fill[a] <= fill[b] < size:
-                    improved |= _shift(bins, fill, n, a, b, size)
-    return [b for b in bins if b]
+            for b in loose[-TRIES:][::-1]:       # to the fullest
+                while b != a and 0 < fill[a] <= fill[b] < size and _shift(held, fill, a, b, size):
+                    improved = True
+        if not improved:
+            break
+    return [[k for same in by.values() for k in same] for by in held if by]
 
 
-def _shift(bins: list[list[int]], fill: list[int], n: list[int], a: int, b: int, size: int) -> bool:
+def _shift(held: list[dict], fill: list[int], a: int, b: int, size: int) -> bool:
     """Best single step that makes bin b fuller at the expense of bin a."""
     gap = size - fill[b]
+    mine, theirs = held[a], held[b]
     best, step = 0, None
-    mine = sorted(bins[a], key=lambda k: n[k])
-    for k in mine:                               # move
-        if best < n[k] <= gap:
-            best, step = n[k], ((k,), ())
+    for x in mine:                               # move
+        if best < x <= gap:
+            best, step = x, ((x,), ())
     if best < gap:                               # one for one
-        for k in mine:
-            for j in bins[b]:
-                if best < n[k] - n[j] <= gap:
-                    best, step = n[k] - n[j], ((k,), (j,))
+        for x in mine:
+            for y in theirs:
+                if best < x - y <= gap:
+                    best, step = x - y, ((x,), (y,))
     if best < gap:                               # two for one
-        for x, k in enumerate(mine):
-            for i in mine[x + 1:]:
-                for j in bins[b]:
-                    if best < n[k] + n[i] - n[j] <= gap:
-                        best, step = n[k] + n[i] - n[j], ((k, i), (j,))
+        for x, same in mine.items():
+            for z in mine:
+                if z < x or (z == x and len(same) > 1):
+                    for y in theirs:
+                        if best < x + z - y <= gap:
+                            best, step = x + z - y, ((x, z), (y,))
     if step is None:
         return False
-    give, take = step
-    bins[a] = [k for k in bins[a] if k not in give] + list(take)
-    bins[b] = [k for k in bins[b] if k not in take] + list(give)
+    for xs, source, target in ((step[0], mine, theirs), (step[1], theirs, mine)):
+        for x in xs:
+            target.setdefault(x, []).append(source[x].pop())
+            if not source[x]:
+                del source[x]
     fill[a] -= best
     fill[b] += best
     return True
