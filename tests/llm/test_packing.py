@@ -7,9 +7,11 @@ from tokenizers import Tokenizer
 from tripstream.llm import packing as p
 
 
+TOKENIZER = Tokenizer.from_file(p.tokenizer_path())
+
+
 def whole(text):
-    tokenizer = whole.__dict__.setdefault("t", Tokenizer.from_file(p.tokenizer_path()))
-    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, 0]
 
 
 def check(rows, docs, size):
@@ -65,7 +67,6 @@ def test_cache_of_two_generations(monkeypatch):
 
 
 def test_local_search_beats_best_fit():
-    # best fit, longest first, leaves 3 bins; two suffice: 6+4, 5+3+2
     rng = random.Random(7)
     better = 0
     for _ in range(200):
