@@ -24,6 +24,10 @@ decides a pair is emitted by both sides.
 members of a large group of near copies) go to the next level: whole sets,
 groups around leaders, and four times the bound c. There, leaders are the
 documents with the fewest rare tokens: the originals of their near copies.
+With whole sets at hand, the order is by the number of groups that hold a
+token, and a document asks with its p + k - 1 rarest tokens for a k of
+``PREFIX`` at most: its own edits come first, so near copies below the
+threshold hardly meet.
 Levels go on until no document is left, so nothing is capped or lost; with c
 above the number of groups every token is rare.
 
@@ -43,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tripstream.llm.common import (
     hashed_texts,
@@ -62,6 +66,7 @@ N = 5
 NUM, DEN = 80, 100
 RARE = 16               # groups that hold a rare token at most, on the first level
 GROWTH = 4
+PREFIX = 8              # common tokens that two open documents need at most, on later levels
 MINHASHES = 4           # tries to find a leader
 
 _SEEDS = mix64(np.arange(1, MINHASHES + 1, dtype=np.uint64)) | np.uint64(1)
@@ -162,16 +167,27 @@ def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int,
         tokens = tokens.join(spread, "t").select("t", "cid", "g", "decides")
     tokens = written(tokens, "jaccard-tokens")
     width = tokens.select("t", "g").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("width")).where("width > 1")
-    tokens = written(tokens.join(width, "t").select("t", "cid", "g", "decides", (F.col("width") <= rare).alias("rare")),
-                     "jaccard-widths")
-    frequent = tokens.where("decides AND NOT rare").groupBy("cid").agg(F.count(F.lit(1)).alias("frequent"))
+    tokens = written(tokens.join(width, "t").select("t", "cid", "g", "decides", "width"), "jaccard-widths")
+    frequent = tokens.groupBy("cid").agg(F.count_if(F.col("decides") & (F.col("width") > rare)).alias("frequent"),
+                                         F.count(F.lit(1)).alias("known"))
     p = F.expr(f"n - (n * {num} + {den - 1}) div {den} + 1")
     docs = docs.join(frequent, "cid", "left").select(
-        *docs.columns, (F.col("nd") - F.coalesce("frequent", F.lit(0))).alias("rare"),
+        *docs.columns, p.alias("p"), F.coalesce("known", F.lit(0)).alias("known"), (F.col("nd") - F.coalesce("frequent", F.lit(0))).alias("rare"),
         (F.col("nd") - F.coalesce("frequent", F.lit(0)) - p + 1).alias("k"))
     docs = written(docs, "jaccard-docs")
     few = small(docs)
-    rows = tokens.where("rare").select("t", "cid", "g").join(few(docs.select("cid", "k")), "cid")
+    rows = tokens.where(F.col("width") <= rare)
+    most = F.lit(1 << 30)
+    if not thin:
+        # whole sets are known: order by width, so an open document asks with its
+        # p + k - 1 rarest tokens for a small k (those of its own group come first)
+        most = F.lit(PREFIX)
+        rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("cid").orderBy("width", "t")))
+    rows = rows.join(few(docs.select("cid", "k", "p", "n", "known")), "cid")
+    if not thin:
+        rows = rows.where((F.col("k") < 1) | (F.col("at") + F.col("n") - F.col("known")
+                                              <= F.col("p") + F.least("k", most) - 1))
+    rows = rows.select("t", "cid", "g", "k")
     # the groups' side: open members only; the least k of them bounds the overlap
     opened = docs.where("k >= 1")
     union = rows.where("k >= 1").select("t", F.col("g").alias("og")).distinct()
@@ -179,7 +195,7 @@ def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int,
     counts = (rows.join(union, "t").where("g < og OR (g > og AND k < 1)")
               .groupBy("cid", "og").agg(F.count(F.lit(1)).alias("n_shared")))
     least = opened.groupBy(F.col("g").alias("og")).agg(F.min("k").alias("ok"))
-    bound = F.greatest(F.lit(1), F.least("k", "ok"))
+    bound = F.greatest(F.lit(1), F.least("k", "ok", most))
     opens = (counts.join(few(docs.select("cid", "n", "k")), "cid").join(few(least), "og")
              .where(F.col("n_shared") >= bound).select("cid", "og", F.col("n").alias("qn"), "k"))
     members = opened.select(F.col("g").alias("og"), F.col("cid").alias("m"), F.col("n").alias("mn"))
