@@ -61,3 +61,12 @@ def test_verdicts(spark):
     assert got == {i: brute(x) for i, x in enumerate(urls)}
     assert u.judge_urls(df.limit(0)).count() == 0
     assert u.judge_urls(df, rules=[], block_globs=[]).where("verdict != 'allow'").count() == 0
+
+
+def test_query_without_a_path(spark):
+    ready(spark)
+    urls = ["http://shop.example?ref=news.org/x", "http://shop.example?a.org/", "http://a.org?x.com/en/1", "http://a.org/?x.com/en/1"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict, r.n_globs) for r in u.judge_urls(df).collect()}
+    assert got == {i: brute(x) for i, x in enumerate(urls)}
+    assert got[0][2] is None

@@ -175,6 +175,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None
         acts = np.array([rules[k][0] for k in by_length] + [None], object)
         for pdf in batches:
             hits = auto.run([x.encode("utf-8", "surrogatepass") for x in pdf["canonical"]])
+            # site rules are about host and path: without a path, "*" must not run on into the query
+            bare = np.flatnonzero((pdf["path"] == "") & (pdf["canonical"] != pdf["host"]))
+            if len(bare):
+                hits[bare, :2 * n] = auto.run(
+                    [x.encode("utf-8", "surrogatepass") for x in pdf["host"].iloc[bare]])[:, :2 * n]
             fits = (hits[:, 0:2 * n:2] | hits[:, 1:2 * n:2])[:, by_length]
             first = np.where(fits.any(axis=1), fits.argmax(axis=1), n) if n else np.zeros(len(pdf), int)
             blocked = hits[:, 2 * n:].sum(axis=1)
