@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripstream.config import scratch_root
-from tripstream.llm import chat_format, decontaminate, jaccard_join, license_scan, line_dedup, packing, quality, substring_dedup, url_filter, warc
+from tripstream.llm import chat_format, chat_repair, decontaminate, jaccard_join, license_scan, line_dedup, packing, quality, substring_dedup, url_filter, warc
 from tripstream.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op10_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair_rows(chat_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_warc_bundles": op1_warc_bundles,
     "op2_repeated_passages": op2_repeated_passages,
@@ -69,4 +73,5 @@ QUERIES = {
     "op8_line_runs": op8_line_runs,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_license_spans": op10_license_spans,
+    "op13_chat_repair": op13_chat_repair,
 }
