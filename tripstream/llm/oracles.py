@@ -177,6 +177,29 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, fir
 FROM d LEFT JOIN a ON a.doc_id = d.doc_id
 """
 
+OP12 = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS al, b.vec_id AS id, b.label AS bl,
+         list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+  SELECT anchor_id, al, id AS positive_id, score AS positive_score FROM s WHERE al = bl
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+), n AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.bl <> s.al
+    AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 ORACLES = {
     "op1_warc_bundles": OP1,
     "op3_chat_examples": OP3,
@@ -184,4 +207,5 @@ ORACLES = {
     "op6_url_verdicts": OP6,
     "op8_line_runs": OP8,
     "op10_license_spans": OP10,
+    "op12_hard_negatives": OP12,
 }

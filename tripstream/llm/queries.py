@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripstream.config import scratch_root
-from tripstream.llm import chat_format, chat_repair, decontaminate, jaccard_join, license_scan, line_dedup, packing, quality, substring_dedup, url_filter, warc
+from tripstream.llm import chat_format, chat_repair, decontaminate, hard_negatives, jaccard_join, language_id, license_scan, line_dedup, packing, quality, substring_dedup, url_filter, warc
 from tripstream.llm.common import table
 
 
@@ -58,6 +58,17 @@ def op10_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train_languages(docs))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return hard_negatives.mine_negatives(rows.withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))))
+
+
 def op13_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_repair.repair_rows(chat_repair.damaged(table(spark, sf_dir, "conversations")))
 
@@ -73,5 +84,7 @@ QUERIES = {
     "op8_line_runs": op8_line_runs,
     "op9_jaccard_components": op9_jaccard_components,
     "op10_license_spans": op10_license_spans,
+    "op11_language_id": op11_language_id,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_chat_repair": op13_chat_repair,
 }
