@@ -253,3 +253,141 @@ def test_never_closing_brace_spreads_over_segments(spark):
     segs = fr._segments(prof, 8).where("forced OR seg_start IS NOT NULL").count()
     assert segs > 20  # one segment per block
     assert [r.record for r in _frame(spark, rows, block_size=8).collect()] == ['{"a":1}']
+
+
+def string_model(messages):
+    """One character at a time: braces inside JSON strings do not count."""
+    out, depth, quoted, escaped, buf = [], 0, False, False, ""
+    for v in messages:
+        for ch in (v or "").strip("".join(chr(i) for i in range(0x21))):
+            if depth == 0:
+                if ch == "{":
+                    depth, buf = 1, ch
+                continue
+            buf += ch
+            if quoted:
+                if escaped:
+                    escaped = False
+                elif ch == "\\":
+                    escaped = True
+                elif ch == '"':
+                    quoted = False
+            elif ch == '"':
+                quoted = True
+            elif ch in "{}":
+                depth += 1 if ch == "{" else -1
+                if depth == 0:
+                    out.append(buf)
+    return out
+
+
+STRINGS = ['{', '}', '"', '\\', '\\"', '\\\\', '{"a":"}"}', '{"b":{"c":"{\\"{"}}', '"{"', ' ', 'x', '\n', 'é',
+           '{"k":"\\\\"}', '{"s":"a\\\\\\"}{"}', ',']
+
+
+def _string_partition(rng, n):
+    text = "".join(rng.choice(STRINGS) for _ in range(n))
+    cuts = sorted(rng.sample(range(1, len(text)), k=min(len(text) - 1, rng.randint(0, 25)))) if len(text) > 1 else []
+    return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])]
+
+
+def test_string_aware_equals_sequential_model(spark):
+    rng = random.Random(41)
+    rows, expected = [], {}
+    for p in range(60):
+        msgs = _string_partition(rng, rng.randint(1, 60))
+        off = 0
+        for m in msgs:
+            off += rng.randint(1, 3)
+            rows.append((None, m.encode(), "t", p, off, None))
+        expected[p] = string_model(msgs)
+    assert any(string_model(m) != model(m) for m in [['{"a":"}"}']])
+    for kw in ({"block_size": 3}, {"block_size": 11}, {}, {"block_size": 4, "regex_fast_path": False}):
+        got = {}
+        for r in _frame(spark, rows, string_aware=True, **kw).orderBy("partition", "offset", "pos").collect():
+            got.setdefault(r.partition, []).append(r.record)
+        for p in range(60):
+            assert got.get(p, []) == expected[p], (kw, p)
+
+
+def test_string_aware_open_pieces_and_deep_objects(spark):
+    deep = '{"a":"}"' + ',"b":{"c":"{"' * 50 + "}" * 51
+    msgs = ['{"x":"}', 'y"} z ' + deep + ' {"open":"', '}}', '\\', '"', '}"', "more"]
+    rows = [(None, m.encode(), "t", 0, i, None) for i, m in enumerate(msgs)]
+    for block in (2, 1 << 10):
+        got = _frame(spark, rows, string_aware=True, block_size=block, emit_open=True).orderBy("offset", "pos").collect()
+        assert [r.record for r in got if not r.open] == string_model(msgs) == ['{"x":"}y"}', deep]
+        assert [(r.offset, r.record) for r in got if r.open] == [(1, '{"open":"'), *[(i, msgs[i]) for i in range(2, 7)]]
+
+
+def test_string_aware_moves_the_text_once(spark):
+    from tripstream.config import scratch_root
+
+    path = scratch_root(spark, "plan")
+    spark.createDataFrame([(None, b'{"a":"}"}', "t", p, o, None) for p in range(2) for o in range(50)],
+                          MESSAGE_SCHEMA).write.parquet(path)
+    plan = frame_records(spark.read.parquet(path), string_aware=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    assert plan.count("FileScan parquet") == 1 and "Python" not in plan
+
+
+def _long_partition(n=300):
+    """A record that opens with the first message and closes with the last."""
+    return ['{"a":1} {"long":['] + [f'"x{i}",' for i in range(n)] + ['1]} {"b":2}', '{"c":3}']
+
+
+def test_record_over_many_blocks_is_joined_or_given_out_in_pieces(spark):
+    msgs = _long_partition()
+    rows = [(None, m.encode(), "t", 0, i, None) for i, m in enumerate(msgs)]
+    want = model(msgs)
+    for kw in ({"block_size": 8}, {"block_size": 1 << 10}, {"block_size": 8, "string_aware": True}):
+        got = _frame(spark, rows, **kw).orderBy("offset", "pos").collect()
+        assert [(r.offset, r.pos, r.record) for r in got] == [(0, 0, want[0]), (0, 1, want[1]), (301, 0, want[2]), (302, 0, want[3])]
+        short = _frame(spark, rows, max_record_chars=100, emit_long=True, **kw)
+        got = short.orderBy("offset", "pos", "piece_offset").collect()
+        assert [r.record for r in got if r.piece_offset is None] == [want[0], *want[2:]]
+        pieces = sorted((r for r in got if r.piece_offset is not None), key=lambda r: r.piece_offset)
+        assert "".join(r.record for r in pieces) == want[1] and {r.offset for r in pieces} == {0} and len(pieces) == 302
+        assert [r.record for r in _frame(spark, rows, max_record_chars=100, **kw).orderBy("offset").collect()] == [want[0], *want[2:]]
+
+
+def test_pieces_of_a_partition_long_record_are_spread(spark):
+    """A stray ``{`` at the start and a ``}`` at the end: no task holds it all."""
+    msgs = ["{"] + ['{"a":1}'] * 4000 + ["}"]
+    rows = [(None, m.encode(), "t", 0, i, None) for i, m in enumerate(msgs)]
+    df = spark.createDataFrame(rows, MESSAGE_SCHEMA)
+    out = frame_records(df, block_size=64, max_record_chars=1000, emit_long=True)
+    per_task = out.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 4002 and max(r["count"] for r in per_task) < 1200
+    assert "".join(r.record for r in out.orderBy("piece_offset").collect()) == "".join(msgs)
+    from tripstream.operators import framing as fr
+
+    # every block is a segment of its own
+    prof = fr.decode_messages(df).select("topic", "partition", "offset", "text", F.lit(False).alias("fast"),
+                                         F.expr(fr._PROFILE_SQL).alias("p")).select("*", "p.a", "p.m")
+    assert fr._segments(prof, 64).count() == 63
+
+
+def test_property_long_and_open_records(spark):
+    rng = random.Random(77)
+    rows, parts = [], {}
+    for p in range(20):
+        msgs = _with_open_record(rng) + (["}"] * rng.choice([0, 60]) if p % 2 else [])
+        off, parts[p] = 0, []
+        for m in msgs:
+            off += rng.randint(1, 2)
+            parts[p].append((off, m))
+            rows.append((None, None if m is None else m.encode(), "t", p, off, None))
+    for block in (2, 7):
+        got, opened, long = {}, {}, {}
+        for r in _frame(spark, rows, block_size=block, emit_open=True, emit_long=True, max_record_chars=40).collect():
+            if r.piece_offset is not None:
+                long.setdefault((r.partition, r.offset), []).append((r.piece_offset, r.record))
+            else:
+                (opened if r.open else got).setdefault(r.partition, []).append((r.offset, r.pos, r.record))
+        for p, msgs in parts.items():
+            whole = [x for _, _, x in sorted(got.get(p, []))]
+            joined = ["".join(t for _, t in sorted(v)) for (q, _), v in long.items() if q == p]
+            want = model([m for _, m in msgs])
+            assert whole == [x for x in want if len(x) <= 40] and sorted(joined) == sorted(x for x in want if len(x) > 40)
+            assert [(o, t) for o, _, t in sorted(opened.get(p, []))] == open_pieces(msgs), (block, p)

@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tripstream.config import ensure_checkpoint_dir
 from tripstream.functions.text import decode_utf8, java_trim
+from tripstream.operators import quoted
 
 WHOLE = "whole"     # record opens and closes in this message
 HEAD = "head"       # closes a record opened in an earlier message
@@ -52,6 +53,7 @@ MAX_BLOCKS = 200_000             # keeps the per-block table small
 MAX_BROADCAST_BLOCKS = 500_000   # rows of about 60 bytes
 DEFAULT_FAST_DEPTH = 8           # deepest object the regex path frames
 SCAN_DEPTH = 40                  # deepest object that a scanned message's records are cut by regex
+MAX_RECORD_CHARS = 1 << 26       # longest record that is put together (a row ends at 2 GB)
 
 KEYS = ["topic", "partition"]
 
@@ -147,20 +149,17 @@ def _cut_sql() -> str:
   p -> p IS NOT NULL)"""
 
 
-def _regex_cut_sql(depth: int) -> str:
-    return (f"transform(regexp_extract_all(text, '{object_pattern(depth)}', 0), "
-            f"(x, i) -> named_struct('pos', pos0 + i, 'piece', x, 'kind', '{WHOLE}'))")
-
-
 # block summary over its sorted steps L: total change A, lowest point M
 _BLOCK_SQL = """aggregate(L, named_struct('P', CAST(0 AS BIGINT), 'M', CAST(0 AS BIGINT)),
   (acc, x) -> named_struct('P', acc.P + x.a, 'M', least(acc.M, acc.P + x.m)))"""
 
-# first offset of a block (entered at depth D) from which no record is open
-_ZERO_SQL = """CASE WHEN D = 0 THEN block * {B} ELSE aggregate(L, named_struct('d', D, 'z', CAST(NULL AS BIGINT)),
-  (acc, x) -> named_struct('d', greatest(acc.d + x.a, x.a - x.m),
-                           'z', coalesce(acc.z, CASE WHEN greatest(acc.d + x.a, x.a - x.m) = 0
-                                                     THEN x.offset + 1 END))).z END"""
+# Of a block entered at depth D: z, the first offset from which no record is open;
+# key, the last message that leaves a record open which it opened.
+_WALK_SQL = """aggregate(L, named_struct('d', D, 'z', CASE WHEN D = 0 THEN block * {B} END, 'key', CAST(NULL AS BIGINT)),
+  (acc, x) -> named_struct(
+    'd', greatest(acc.d + x.a, x.a - x.m),
+    'z', coalesce(acc.z, CASE WHEN greatest(acc.d + x.a, x.a - x.m) = 0 THEN x.offset + 1 END),
+    'key', CASE WHEN acc.d + x.m <= 0 AND greatest(acc.d + x.a, x.a - x.m) > 0 THEN x.offset ELSE acc.key END))"""
 
 
 def choose_block_size(messages: DataFrame, target_blocks: int | None = None) -> int:
@@ -185,134 +184,243 @@ def choose_block_size(messages: DataFrame, target_blocks: int | None = None) ->
     return size
 
 
-def _segments(prof: DataFrame, block_size: int) -> DataFrame:
-    """One row per (topic, partition, block) saying how its offsets map to segments.
-
-    A *natural* segment starts at ``seg_start``, the first offset of the
-    block where no record is open. A block is *forced* to start a segment at
-    its first offset when the record open there never closes in this input:
-    nothing of it is gathered, so the cut only needs the depth entering the
-    block (``D``), and a never-closing brace spreads over one segment per block.
-
-    Per block: ``seg_start``, ``forced``, ``D``, ``prev_seg`` / ``prev_depth``
-    (segment that earlier offsets belong to, and its entering depth).
-    """
+def _blocks(prof: DataFrame, block_size: int) -> DataFrame:
+    """``block, state, touch, seg_start, opener`` per (topic, partition, block) of
+    profiled messages: the depth entering the block, whether no record is open
+    at some point of it (maybe inside a message), the first offset from which none
+    is, and the message that opened the record open at its end (if it is in it)."""
     blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
     step = F.when(~F.col("fast"), F.struct("offset", "a", "m"))
     blocks = (prof.select(*KEYS, blk.alias("block"), step.alias("st"))
               .where(F.col("block").isNotNull())
               .groupBy(*KEYS, "block").agg(F.array_sort(F.collect_list("st")).alias("L")))
     blocks = blocks.select(*KEYS, "block", "L", F.expr(_BLOCK_SQL).alias("s"))
-    wo = Window.partitionBy(*KEYS).orderBy("block")
-    wb = wo.rowsBetween(Window.unboundedPreceding, -1)
+    wb = Window.partitionBy(*KEYS).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     pa = F.coalesce(F.sum("s.P").over(wb), F.lit(0)).cast("long")
     t = blocks.select(*KEYS, "block", "L", "s", pa.alias("PA"))
     x = F.min(F.col("PA") + F.col("s.M")).over(wb)
     t = t.select(*KEYS, "block", "L", "s",
                  (F.col("PA") - F.least(F.lit(0), F.coalesce(x, F.lit(0)))).alias("D"))
-    t = t.select(
-        *KEYS, "block", "D",
-        # no record is open at some point of the block (maybe inside a message)
-        (F.col("D") + F.col("s.M") <= 0).alias("touch"),
-        F.expr(_ZERO_SQL.format(B=block_size)).alias("seg_start"))
-    touch_later = F.max(F.col("touch").cast("int")).over(wo.rowsBetween(0, Window.unboundedFollowing))
-    t = t.select("*", ((F.col("D") > 0) & (touch_later == 0)).alias("forced"))
-    starts = F.col("seg_start").isNotNull() | F.col("forced")
-    return t.select(
-        *KEYS, "block", "seg_start", "forced", "D",
-        F.max(F.when(starts, F.col("block"))).over(wb).alias("prev_seg"),
-        F.last(F.when(starts, F.when(F.col("forced"), F.col("D")).otherwise(F.lit(0))),
-               ignorenulls=True).over(wb).alias("prev_depth"))
+    t = t.select(*KEYS, "block", "D", (F.col("D") + F.col("s.M") <= 0).alias("touch"),
+                 F.expr(_WALK_SQL.format(B=block_size)).alias("w"))
+    return t.select(*KEYS, "block", F.col("D").alias("state"), "touch",
+                    F.col("w.z").alias("seg_start"), F.col("w.key").alias("opener"))
+
+
+def _cut_points(blocks: DataFrame) -> DataFrame:
+    """How the offsets of each (topic, partition, block) map to segments.
+
+    Every block starts a segment. A *natural* one starts at ``seg_start``, the
+    first offset of the block where no record is open; the offsets before belong
+    to the block before. Where a record stays open throughout a block, the
+    segment is *forced*: it starts with the block, in the ``state`` entering it
+    and inside the record that the message ``key`` opened. So a segment holds two
+    blocks at most, however long a record is. ``later``: no record is open at some
+    point of a later block, so one left open here closes.
+    """
+    w = Window.partitionBy(*KEYS).orderBy("block")
+    t = blocks.select(
+        "*", F.col("seg_start").isNull().alias("forced"),
+        F.last("opener", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("key"),
+        F.coalesce(F.max("touch").over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(False)).alias("later"))
+    before = [F.lag(c).over(w).alias(f"prev_{c}") for c in ("block", "forced", "state", "key", "later")]
+    return t.select(*KEYS, "block", "seg_start", "forced", "state", "key", "later", *before)
 
 
-def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
-                  fast_depth: int = DEFAULT_FAST_DEPTH, regex_fast_path: bool = True,
-                  emit_open: bool = False) -> DataFrame:
-    """Frame messages into records: ``topic, partition, offset, pos, record``.
+def _segments(prof: DataFrame, block_size: int) -> DataFrame:
+    return _cut_points(_blocks(prof, block_size))
 
-    ``offset`` / ``pos`` locate a record: the message in which it opens, and how
-    many records opened there before it. ``emit_open=True`` adds ``open`` and also
-    returns the pieces of the record still open at the end of each (topic,
-    partition), one row per message, at that message's offset; a micro-batch
-    stream carries them into the next batch, a batch job rejects them.
-    ``regex_fast_path=False`` sends every message through the token scan.
-    """
-    spark = messages.sparkSession
-    dec = decode_messages(messages)
+
+def _placed_in_segments(rows: DataFrame, segs: DataFrame, block_size: int, few) -> DataFrame:
+    """``rows`` (with offset) plus ``seg``, and the segment's entering state ``d0``,
+    its open record's key ``k0`` and ``later``."""
+    blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
+    own = F.col("forced") | (F.col("offset") >= F.col("seg_start"))
+    cols = rows.columns
+    return rows.withColumn("block", blk).join(few(segs), [*KEYS, "block"]).select(
+        *cols, F.when(own, F.col("block")).otherwise(F.col("prev_block")).alias("seg"),
+        F.when(own & F.col("forced"), F.col("state")).when(~own & F.col("prev_forced"), F.col("prev_state"))
+        .otherwise(F.lit(0)).cast("long").alias("d0"),
+        F.when(own & F.col("forced"), F.col("key")).when(~own & F.col("prev_forced"), F.col("prev_key")).alias("k0"),
+        F.when(own, F.col("later")).otherwise(F.col("prev_later")).alias("later"))
+
+
+def _brace_walk(dec: DataFrame, block_size: int, fast_depth: int, regex_fast_path: bool) -> tuple[DataFrame, DataFrame, int]:
+    """Messages in their segments with the depth entering each (``d_in``), and
+    whether it has no record of another's (``fast``); the block table, its rows."""
     fast = F.col("text").rlike(self_contained_pattern(fast_depth)) if regex_fast_path else F.lit(False)
     prof = dec.select(*KEYS, "offset", "text", "pos0", fast.alias("fast")).select(
         "*", F.when(F.col("fast"), F.struct(F.lit(0).alias("a"), F.lit(0).alias("m")))
         .otherwise(F.expr(_PROFILE_SQL)).alias("pr"))
     prof = prof.select(*KEYS, "offset", "text", "pos0", "fast", "pr.a", "pr.m")
-
-    if block_size is None:
-        block_size = choose_block_size(messages)
-    ensure_checkpoint_dir(spark)
     segs = _segments(prof, block_size).checkpoint()
     n_blocks = segs.count()
-    blk = F.floor(F.col("offset") / F.lit(block_size)).cast("long")
-    own = F.col("forced") | (F.col("seg_start").isNotNull() & (F.col("offset") >= F.col("seg_start")))
-    seg = F.when(own, F.col("block")).otherwise(F.col("prev_seg"))
-    # depth entering the segment: D when it starts at a forced cut, else 0
-    d0 = F.when(own, F.when(F.col("forced"), F.col("D")).otherwise(F.lit(0))).otherwise(F.col("prev_depth"))
-    wide = (prof.select("*", blk.alias("block"))
-            .join(F.broadcast(segs) if n_blocks <= MAX_BROADCAST_BLOCKS else segs, [*KEYS, "block"])
-            .select(*KEYS, "offset", "text", "pos0", "fast", "a", "m", seg.alias("seg"), d0.alias("d0")))
-    # One task per segment or a few: an explicit count, so the post-shuffle
-    # work (cutting, parsing) is not coalesced into a handful of tasks just
-    # because the shuffled bytes are few. A segment holds about one block.
-    wide = wide.repartition(max(spark.sparkContext.defaultParallelism, min(n_blocks, MAX_BLOCKS)), *KEYS, "seg")
-
-    # depth entering each message (segments start at 0) and the open record's key
-    w = Window.partitionBy(*KEYS, "seg").orderBy("offset")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    wide = _placed_in_segments(prof, segs, block_size, _few(n_blocks))
+    wide = _to_segments(wide, n_blocks)
+
+    # depth entering each message (segments start at d0)
+    before = Window.partitionBy(*KEYS, "seg").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
     wide = wide.select("*", F.coalesce(F.sum("a").over(before), F.lit(0)).alias("P"))
     lmin = F.coalesce(F.min(F.col("P") + F.col("m")).over(before), F.lit(0))
-    wide = wide.select("*", lmin.alias("Lmin"))
     # clamped walk from the segment's entering depth d0: max(d0 + A, A - M)
-    d_in = F.greatest(F.col("d0") + F.col("P"), F.col("P") - F.least(F.lit(0), F.col("Lmin")))
-    pa = F.col("P") + F.col("a")
-    d_out = F.greatest(F.col("d0") + pa,
-                       pa - F.least(F.lit(0), F.least(F.col("Lmin"), F.col("P") + F.col("m"))))
-    wide = wide.select(*KEYS, "seg", "offset", "text", "pos0", "fast", "m", d_in.alias("d_in"), d_out.alias("d_out"))
-    opens_tail = F.when((F.col("d_out") > 0) & (F.col("d_in") + F.col("m") <= 0), F.col("offset"))
-    quick = F.col("fast") & (F.col("d_in") == 0)
-    wide = wide.select("*", F.max(opens_tail).over(before).alias("open_key"), quick.alias("quick"))
+    d_in = F.greatest(F.col("d0") + F.col("P"), F.col("P") - F.least(F.lit(0), lmin))
+    return wide.select(*KEYS, "seg", "offset", "text", "pos0", "fast", "k0", "later", d_in.alias("d_in")), segs, n_blocks
+
+
+def _string_walk(dec: DataFrame, block_size: int, fast_depth: int, regex_fast_path: bool) -> tuple[DataFrame, DataFrame, int]:
+    """The same with strings passed over; ``d_in`` is a state of ``quoted``.
+
+    The states come from the functions gathered per block; they go to the segments
+    beside the texts (no text in them) and meet their message there.
+    """
+    blocks, states = quoted.locate(dec, block_size, lambda t, n: _few(n)(t))
+    segs = _cut_points(blocks).checkpoint()
+    n_blocks = segs.count()
+    few = _few(n_blocks)
+    fast = F.col("text").rlike(quoted.self_contained_pattern(fast_depth)) if regex_fast_path else F.lit(False)
+    texts = dec.select(*KEYS, "offset", "text", "pos0", F.lit(None).cast("long").alias("s_in"))
+    states = states.select(*KEYS, "offset", F.lit(None).cast("string").alias("text"), F.lit(0).alias("pos0"), "s_in")
+    wide = _to_segments(_placed_in_segments(texts.unionByName(states), segs, block_size, few), n_blocks)
+    here = Window.partitionBy(*KEYS, "seg", "offset")
+    wide = wide.select("*", F.max("s_in").over(here).alias("d_in")).where(F.col("text").isNotNull())
+    return wide.select(*KEYS, "seg", "offset", "text", "pos0", fast.alias("fast"), "k0", "later", "d_in"), segs, n_blocks
+
+
+def _few(rows: int):
+    return F.broadcast if rows <= MAX_BROADCAST_BLOCKS else lambda df: df
+
+
+def _to_segments(wide: DataFrame, n_blocks: int) -> DataFrame:
+    """One task per segment or a few: an explicit count, so the post-shuffle work
+    (cutting, parsing) is not coalesced into a handful of tasks just because the
+    shuffled bytes are few. A segment holds about one block."""
+    tasks = max(wide.sparkSession.sparkContext.defaultParallelism, min(n_blocks, MAX_BLOCKS))
+    return wide.repartition(tasks, *KEYS, "seg")
+
+
+def _pieces(wide: DataFrame, string_aware: bool, fast_depth: int) -> DataFrame:
+    """The pieces of records that each message holds: ``offset, pos, piece, kind``,
+    the message that opens the record (``rec_offset``), ``gpos`` that tells whole ones
+    of a message apart, and the segment's ``later``."""
+    pattern, scan, deep = ((quoted.object_pattern, quoted.SCAN_SQL, quoted.DEEP_SQL) if string_aware
+                           else (object_pattern, _SCAN_SQL, _DEEP_SQL))
+    wide = wide.select("*", (F.col("fast") & (F.col("d_in") == 0)).alias("quick"))
     # staged through generators, so that each step is computed once per message
-    wide = wide.select("*", F.explode(F.array(F.when(~F.col("quick"), F.expr(_SCAN_SQL)))).alias("_st"))
+    wide = wide.select("*", F.explode(F.array(F.when(~F.col("quick"), F.expr(scan)))).alias("_st"))
+    before = Window.partitionBy(*KEYS, "seg").orderBy("offset").rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.when((F.col("_st.d") > 0) & (F.col("_st.start") >= 0), F.col("offset"))
+    wide = wide.select("*", F.coalesce(F.max(opens).over(before), F.col("k0")).alias("open_key"))
     wide = wide.select("*", F.explode(F.array(F.when(~F.col("quick"), F.expr(_BETWEEN_SQL)))).alias("between"))
     recs = (F.when(F.col("_st.top") <= SCAN_DEPTH,
-                   F.expr(f"regexp_extract_all(between, '{object_pattern(SCAN_DEPTH)}', 0)"))
-            .when(F.col("_st").isNotNull(), F.expr(_DEEP_SQL)))
+                   F.regexp_extract_all(F.col("between"), F.lit(pattern(SCAN_DEPTH)), F.lit(0)))
+            .when(F.col("_st").isNotNull(), F.expr(deep)))
     wide = wide.select("*", F.explode(F.array(recs)).alias("recs"))
 
-    # cut: regex for self-contained messages entered at depth 0, the scan's parts otherwise
-    cut = F.when(F.col("quick"), F.expr(_regex_cut_sql(max(fast_depth, 1)))).otherwise(F.expr(_cut_sql()))
-    pieces = wide.select(*KEYS, "seg", "offset", "open_key", F.explode(cut).alias("p"))
+    # cut: regex for self-contained messages entered outside, the scan's parts otherwise
+    whole = F.regexp_extract_all(F.col("text"), F.lit(pattern(max(fast_depth, 1))), F.lit(0))
+    cut = F.when(F.col("quick"), F.transform(whole, lambda x, i: F.struct(
+        (F.col("pos0") + i).alias("pos"), x.alias("piece"), F.lit(WHOLE).alias("kind")))).otherwise(F.expr(_cut_sql()))
+    pieces = wide.select(*KEYS, "seg", "offset", "open_key", "later", F.explode(cut).alias("p"))
     kind = F.col("p.kind")
-    pieces = pieces.select(
-        *KEYS, "seg", "offset", F.col("p.pos").alias("pos"), F.col("p.piece").alias("piece"), kind.alias("kind"),
+    return pieces.select(
+        *KEYS, "seg", "offset", "later", F.col("p.pos").alias("pos"), F.col("p.piece").alias("piece"), kind.alias("kind"),
         F.when(kind.isin(WHOLE, TAIL), F.col("offset")).otherwise(F.col("open_key")).alias("rec_offset"),
         F.when(kind == WHOLE, F.col("p.pos")).otherwise(F.lit(-1)).alias("gpos"))
 
-    # One group per record, inside the segment partitioning (no exchange).
-    # Whether it closes is known first (window, no gathering); pieces of a
-    # record that does not are groups of one row.
+
+def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
+                  fast_depth: int = DEFAULT_FAST_DEPTH, regex_fast_path: bool = True,
+                  emit_open: bool = False, string_aware: bool = False,
+                  max_record_chars: int = MAX_RECORD_CHARS, emit_long: bool = False) -> DataFrame:
+    """Frame messages into records: ``topic, partition, offset, pos, record``.
+
+    ``offset`` / ``pos`` locate a record: the message in which it opens, and how
+    many records opened there before it. ``emit_open=True`` adds ``open`` and also
+    returns the pieces of the record still open at the end of each (topic,
+    partition), one row per message, at that message's offset; a micro-batch
+    stream carries them into the next batch, a batch job rejects them.
+    ``emit_long=True`` adds ``piece_offset`` and also returns the records of more
+    than ``max_record_chars`` characters, as their pieces: one row per message,
+    ``offset`` the record's, ``piece_offset`` the message's (null for other rows); in that
+    order they are the record, and they are never gathered. ``string_aware=True``
+    does not count braces inside JSON strings. ``regex_fast_path=False`` sends every
+    message through the token scan.
+    """
+    spark = messages.sparkSession
+    dec = decode_messages(messages)
+    if block_size is None:
+        block_size = min(choose_block_size(messages), quoted.MAX_BLOCK if string_aware else MAX_BLOCK)
+    ensure_checkpoint_dir(spark)
+    walk = _string_walk if string_aware else _brace_walk
+    wide, segs, n_blocks = walk(dec, block_size, fast_depth, regex_fast_path)
+    pieces = _pieces(wide, string_aware, fast_depth)
+
+    # A record's pieces in one segment meet without a shuffle. Whether it closes and
+    # how long it is are known first (window, no gathering).
     wg = Window.partitionBy(*KEYS, "seg", "rec_offset", "gpos")
-    pieces = pieces.select("*", F.max(kind_closes()).over(wg).alias("closed"))
+    opened = F.max(F.col("kind").isin(WHOLE, TAIL)).over(wg)
+    closes = F.max(kind_closes()).over(wg)
+    pieces = pieces.select("*", (opened & closes).alias("here"), (closes | F.col("later")).alias("closed"),
+                           F.sum(F.length("piece")).over(wg).alias("chars"))
     if not emit_open:
         pieces = pieces.where("closed")
-    group = [F.when(F.col("closed"), F.col("rec_offset")).otherwise(F.col("offset")).alias("at"),
-             F.when(F.col("closed"), F.col("gpos")).otherwise(F.col("pos")).alias("gp")]
-    recs = pieces.groupBy(*KEYS, "seg", "closed", *group).agg(
+    # only a forced segment is entered inside a record: else all are within one
+    crossing = not segs.where("forced").isEmpty()
+    mine = pieces.where("here OR NOT closed") if crossing else pieces
+    gather = F.col("here") & (F.col("chars") <= max_record_chars)
+    out = _gathered(mine.select("*", gather.alias("whole")), ["seg"])
+    if crossing:
+        out = out.unionByName(_across_segments(pieces.where("closed AND NOT here"), max_record_chars, n_blocks))
+    # ``part``: null of a whole record, else the message that a piece comes from
+    long = F.col("part").isNotNull() & F.col("closed")
+    if not emit_long:
+        out = out.where(~long)
+    cols = [*KEYS, F.when(F.col("part").isNull() | F.col("closed"), F.col("rec_offset")).otherwise(F.col("part")).alias("offset"),
+            F.coalesce("pos", F.lit(0)).cast("int").alias("pos"), "record"]
+    if emit_open:
+        cols.append((~F.col("closed")).alias("open"))
+    if emit_long:
+        cols.append(F.when(long, F.col("part")).alias("piece_offset"))
+    return out.select(*cols)
+
+
+def _gathered(pieces: DataFrame, within: list[str]) -> DataFrame:
+    """``rec_offset, closed, part, pos, record``: the pieces of a record put
+    together where ``whole``, else (``part`` not null) one row each. No shuffle if
+    ``within`` is what the pieces are dealt by."""
+    whole = F.col("whole")
+    recs = pieces.groupBy(
+        *KEYS, *within, "closed", "rec_offset", "gpos", F.when(~whole, F.col("offset")).alias("part"),
+        F.when(~whole, F.col("pos")).alias("gp")).agg(
         F.max(F.when(F.col("kind").isin(WHOLE, TAIL), F.col("pos"))).alias("pos"),
         F.array_sort(F.collect_list(F.struct("offset", "piece"))).alias("parts"))
     record = F.array_join(F.transform("parts", lambda p: p["piece"]), "")
-    cols = [*KEYS, F.col("at").alias("offset"), F.coalesce("pos", F.lit(0)).cast("int").alias("pos"),
-            record.alias("record")]
-    if emit_open:
-        cols.append((~F.col("closed")).alias("open"))
-    return recs.select(*cols)
+    return recs.select(*KEYS, "rec_offset", "closed", "part", "pos", record.alias("record"))
+
+
+def _across_segments(pieces: DataFrame, max_chars: int, n_blocks: int) -> DataFrame:
+    """Records whose pieces lie in several segments, put together level by level:
+    within each segment first, then by record. Those above the bound stay rows.
+
+    Each such record holds a whole block at least, so there are no more of them
+    than blocks: the table of their lengths is small.
+    """
+    key = [*KEYS, "rec_offset"]
+    total = pieces.groupBy(*key).agg(F.sum(F.length("piece")).alias("total"))
+    rows = pieces.join(_few(n_blocks)(total), key).withColumn("whole", F.col("total") <= max_chars)
+    joined = (rows.where("whole").groupBy(*key, "seg").agg(
+        F.min("offset").alias("first"), F.max(F.when(F.col("kind") == TAIL, F.col("pos"))).alias("pos"),
+        F.array_sort(F.collect_list(F.struct("offset", "piece"))).alias("parts"))
+        .select(*key, "first", "pos", F.array_join(F.transform("parts", lambda p: p["piece"]), "").alias("piece")))
+    recs = joined.groupBy(*key).agg(F.max("pos").alias("pos"),
+                                    F.array_sort(F.collect_list(F.struct("first", "piece"))).alias("parts"))
+    cols = [*KEYS, "rec_offset", F.lit(True).alias("closed")]
+    recs = recs.select(*cols, F.lit(None).cast("long").alias("part"), "pos",
+                       F.array_join(F.transform("parts", lambda p: p["piece"]), "").alias("record"))
+    long = rows.where("NOT whole").select(*cols, F.col("offset").alias("part"),
+                                          F.when(F.col("kind") == TAIL, F.col("pos")).alias("pos"),
+                                          F.col("piece").alias("record"))
+    return recs.unionByName(long)
 
 
 def kind_closes():
