@@ -90,3 +90,79 @@ def test_lost_carry_raises(spark):
         _batches(spark, scratch_root(spark, "test-none"), [[("1}", 2)]], first=1)
     # a replayed batch reads its predecessor again
     assert _batches(spark, carry, [[("1}", 2)]], first=1) == _batches(spark, carry, [[("1}", 2)]], first=1) == [(1, 0, '{"a":1}')]
+
+
+def test_counters_of_a_stream_by_a_listener(spark):
+    """Counts without a job of their own, rates, and the query's progress."""
+    from tripstream.operators.framing import framing_counters
+    from tripstream.streaming.counters import StreamCounters
+
+    root = scratch_root(spark, "test-counters")
+    msgs = trip_messages(spark.read.parquet(f"{SF}/events.parquet"), faults=True)
+    top = msgs.agg(F.max("offset")).first()[0] + 1
+    _write_ranges(msgs, f"{root}/in", [0, 417, 1009, top])        # cuts lie inside objects: pieces are carried
+    counters, calls = StreamCounters(), []
+    src = message_file_stream(spark, f"{root}/in", max_files_per_trigger=1)
+    q = start_ingest(src, SnapshotTable(spark, f"{root}/table"), f"{root}/ckpt", trigger={"availableNow": True},
+                     now=fixed_now(), counters=counters, on_counters=lambda b, c: calls.append((b, c)))
+    run_until_done(q)
+    want = framing_counters(msgs, frame_records(msgs)).first()
+    rows, t = counters.batches(), counters.totals()
+    assert len(rows) == len(calls) >= 3 and [r["batch_id"] for r in rows] == list(range(len(rows)))
+    assert (t["messages_in"], t["objects_out"]) == (want.messages_in, want.objects_out) == (sum(r["messages_in"] for r in rows), 1000)
+    assert t["total"] == t["success"] + t["failure"] == 1000 and t["failure"] > 0
+    assert t["success_pct"] == round(t["success"] / 10, 1) and t["null_pct"] == round(t["failure"] / 10, 2)
+    deadline = time.time() + 20
+    while not all("duration_ms" in r for r in counters.batches()) and time.time() < deadline:
+        time.sleep(0.2)                                             # progress comes after the batch
+    assert all(r["duration_ms"] > 0 and r["processed_rows_per_second"] > 0 for r in counters.batches())
+    counters.detach()
+
+
+def test_counting_runs_no_job(spark):
+    """The observed counts are there after the jobs that frame and write the batch."""
+    from pyspark.sql import Observation
+
+    from tripstream.schema import MESSAGE_SCHEMA
+    from tripstream.streaming.ingest import frame_micro_batch
+
+    df = spark.createDataFrame([(None, b'{"a":1}{"b"', "t", 0, 1, None), (None, b":2}", "t", 0, 2, None),
+                                (None, b" ", "t", 0, 3, None), (None, None, "t", 0, 4, None)], MESSAGE_SCHEMA)
+    seen, framed = Observation(), Observation()
+    recs = frame_micro_batch(df, scratch_root(spark, "test-seen"), 0, seen, framed)
+    assert seen.get == {"messages_in": 3} and framed.get == {"objects_out": 2}
+    recs.unpersist()
+
+
+def test_long_record_becomes_reject_pieces(spark, monkeypatch):
+    from tripstream.operators import framing
+
+    monkeypatch.setattr(framing.frame_records, "__defaults__",
+                        tuple(50 if x == framing.MAX_RECORD_CHARS else x for x in framing.frame_records.__defaults__))
+    root = scratch_root(spark, "test-long")
+    text = ['{"tripID":"', "x" * 30, "y" * 30, '"}', '{"tripID":""}']
+    from tripstream.schema import MESSAGE_SCHEMA
+
+    spark.createDataFrame([(None, t.encode(), "t", 0, i, None) for i, t in enumerate(text)], MESSAGE_SCHEMA).write.parquet(f"{root}/in")
+    table = SnapshotTable(spark, f"{root}/table")
+    run_until_done(start_ingest(message_file_stream(spark, f"{root}/in"), table, f"{root}/ckpt", trigger={"availableNow": True}))
+    rows = table.rejects().orderBy("piece_offset").collect()
+    assert "".join(r.record for r in rows if r.reason == "long_record") == "".join(text[:4])
+    assert {r.offset for r in rows if r.reason == "long_record"} == {0} and len(rows) == 5
+
+
+def test_batches_of_which_nothing_comes_out(spark):
+    from tripstream.schema import MESSAGE_SCHEMA
+    from tripstream.streaming.counters import StreamCounters
+
+    root, counters = scratch_root(spark, "test-nothing"), StreamCounters()
+    for k, value in enumerate([b"  ", b'{"open"', None, b":1"]):
+        spark.createDataFrame([(None, value, "t", 0, k, None)], MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        time.sleep(0.02)
+    table = SnapshotTable(spark, f"{root}/table")
+    run_until_done(start_ingest(message_file_stream(spark, f"{root}/in", 1), table, f"{root}/ckpt",
+                                trigger={"availableNow": True}, counters=counters))
+    counters.detach()
+    t = counters.totals()
+    assert (t["batches"], t["messages_in"], t["objects_out"], t["total"], t["success_pct"]) == (4, 3, 0, 0, 0.0)
+    assert table.current().count() == 0

@@ -14,19 +14,17 @@ class JobOptions:
     """Settings of the ingest job.
 
     Fixed values: the defaults below are the reference's settings
-    (broker, group id, topic, warehouse, catalog type, table name and
-    namespace, commit interval in ms, parallelism).
+    (broker, group id, topic, warehouse, table name and namespace, commit
+    interval in ms).
     """
 
     bootstrap_servers: str = "localhost:9092"
     group_id: str = "iceberg-kafka-group"
     topic: str = "new-york-data"
     warehouse: str = "file:///path/to/data/warehouse"
-    catalog_type: str = "hadoop"
     table_name: str = "json_data"
     table_namespace: str = "default"
     checkpoint_interval_ms: int = 300000
-    parallelism: int = 2
 
     @property
     def table_path(self) -> str:

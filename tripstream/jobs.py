@@ -3,6 +3,8 @@
     python -m tripstream.jobs ingest --source kafka --table PATH --checkpoint PATH
     python -m tripstream.jobs ingest --source files --input PATH --table PATH --checkpoint PATH --available-now
     python -m tripstream.jobs report --table PATH [--name default.json_data]
+
+Without ``--table`` the table lies at warehouse/namespace/name.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from tripstream.config import JobOptions, build_session
 from tripstream.operators import reports
 from tripstream.sinks.snapshot_table import SnapshotNotFound, SnapshotTable
 from tripstream.sources.tables import TableService, list_namespaces, list_tables
+from tripstream.streaming.counters import StreamCounters
 from tripstream.streaming.ingest import kafka_stream, message_file_stream, run_until_done, start_ingest
 
 
@@ -57,7 +60,6 @@ def main(argv=None) -> None:
     ing = sub.add_parser("ingest")
     ing.add_argument("--source", choices=["kafka", "files"], default="kafka")
     ing.add_argument("--input", help="folder of Parquet files with Kafka's columns (files source)")
-    ing.add_argument("--table", required=True)
     ing.add_argument("--checkpoint", required=True)
     ing.add_argument("--available-now", action="store_true")
     ing.add_argument("--max-offsets-per-trigger", type=int, default=5_000_000,
@@ -65,21 +67,25 @@ def main(argv=None) -> None:
     rep = sub.add_parser("report")
     for p in (ing, rep):
         p.add_argument("--parallelism", type=int, help="shuffle partitions (default: the cluster's setting)")
-    rep.add_argument("--table", required=True)
-    rep.add_argument("--name", default=f"{JobOptions.table_namespace}.{JobOptions.table_name}")
+        p.add_argument("--table", help="path of the table (default: warehouse/namespace/table name)")
+        for field in ("warehouse", "table_namespace", "table_name"):
+            p.add_argument(f"--{field.replace('_', '-')}", default=getattr(JobOptions, field))
+    rep.add_argument("--name", help="catalog name (default: namespace.table name)")
     args = ap.parse_args(argv)
 
-    opts = JobOptions()
+    opts = JobOptions(warehouse=args.warehouse, table_namespace=args.table_namespace, table_name=args.table_name)
     spark = build_session(shuffle_partitions=args.parallelism)
-    table = SnapshotTable(spark, args.table)
+    table = SnapshotTable(spark, args.table or opts.table_path)
     if args.cmd == "ingest":
         src = (kafka_stream(spark, args.max_offsets_per_trigger, opts) if args.source == "kafka"
                else message_file_stream(spark, args.input))
         trigger = {"availableNow": True} if args.available_now else {"processingTime": opts.trigger_interval}
-        q = start_ingest(src, table, args.checkpoint, trigger=trigger)
+        counters = StreamCounters()
+        q = start_ingest(src, table, args.checkpoint, trigger=trigger, counters=counters)
         run_until_done(q)
+        print(counters.totals())
     else:
-        for title, df in query_report(spark, table, args.name).items():
+        for title, df in query_report(spark, table, args.name or f"{opts.table_namespace}.{opts.table_name}").items():
             print(f"== {title}")
             df.show(truncate=False)
     spark.stop()

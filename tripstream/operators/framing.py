@@ -35,7 +35,7 @@ task per partition:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Observation, Window, functions as F
 
 from tripstream.config import ensure_checkpoint_dir
 from tripstream.functions.text import decode_utf8, java_trim
@@ -245,17 +245,22 @@ def _placed_in_segments(rows: DataFrame, segs: DataFrame, block_size: int, few)
         F.when(own, F.col("later")).otherwise(F.col("prev_later")).alias("later"))
 
 
-def _brace_walk(dec: DataFrame, block_size: int, fast_depth: int, regex_fast_path: bool) -> tuple[DataFrame, DataFrame, int]:
-    """Messages in their segments with the depth entering each (``d_in``), and
-    whether it has no record of another's (``fast``); the block table, its rows."""
+def _profiled(dec: DataFrame, fast_depth: int, regex_fast_path: bool) -> DataFrame:
     fast = F.col("text").rlike(self_contained_pattern(fast_depth)) if regex_fast_path else F.lit(False)
     prof = dec.select(*KEYS, "offset", "text", "pos0", fast.alias("fast")).select(
         "*", F.when(F.col("fast"), F.struct(F.lit(0).alias("a"), F.lit(0).alias("m")))
         .otherwise(F.expr(_PROFILE_SQL)).alias("pr"))
-    prof = prof.select(*KEYS, "offset", "text", "pos0", "fast", "pr.a", "pr.m")
-    segs = _segments(prof, block_size).checkpoint()
+    return prof.select(*KEYS, "offset", "text", "pos0", "fast", "pr.a", "pr.m")
+
+
+def _brace_walk(dec: DataFrame, again: DataFrame, block_size: int, fast_depth: int,
+                regex_fast_path: bool) -> tuple[DataFrame, DataFrame, int]:
+    """Messages in their segments with the depth entering each (``d_in``), and
+    whether it has no record of another's (``fast``); the block table, its rows.
+    ``dec`` is read for the block table, ``again`` (the same messages) for the texts."""
+    segs = _segments(_profiled(dec, fast_depth, regex_fast_path), block_size).checkpoint()
     n_blocks = segs.count()
-    wide = _placed_in_segments(prof, segs, block_size, _few(n_blocks))
+    wide = _placed_in_segments(_profiled(again, fast_depth, regex_fast_path), segs, block_size, _few(n_blocks))
     wide = _to_segments(wide, n_blocks)
 
     # depth entering each message (segments start at d0)
@@ -267,7 +272,8 @@ def _brace_walk(dec: DataFrame, block_size: int, fast_depth: int, regex_fast_pat
     return wide.select(*KEYS, "seg", "offset", "text", "pos0", "fast", "k0", "later", d_in.alias("d_in")), segs, n_blocks
 
 
-def _string_walk(dec: DataFrame, block_size: int, fast_depth: int, regex_fast_path: bool) -> tuple[DataFrame, DataFrame, int]:
+def _string_walk(dec: DataFrame, again: DataFrame, block_size: int, fast_depth: int,
+                 regex_fast_path: bool) -> tuple[DataFrame, DataFrame, int]:
     """The same with strings passed over; ``d_in`` is a state of ``quoted``.
 
     The states come from the functions gathered per block; they go to the segments
@@ -278,7 +284,7 @@ def _string_walk(dec: DataFrame, block_size: int, fast_depth: int, regex_fast_pa
     n_blocks = segs.count()
     few = _few(n_blocks)
     fast = F.col("text").rlike(quoted.self_contained_pattern(fast_depth)) if regex_fast_path else F.lit(False)
-    texts = dec.select(*KEYS, "offset", "text", "pos0", F.lit(None).cast("long").alias("s_in"))
+    texts = again.select(*KEYS, "offset", "text", "pos0", F.lit(None).cast("long").alias("s_in"))
     states = states.select(*KEYS, "offset", F.lit(None).cast("string").alias("text"), F.lit(0).alias("pos0"), "s_in")
     wide = _to_segments(_placed_in_segments(texts.unionByName(states), segs, block_size, few), n_blocks)
     here = Window.partitionBy(*KEYS, "seg", "offset")
@@ -331,7 +337,8 @@ def _pieces(wide: DataFrame, string_aware: bool, fast_depth: int) -> DataFrame:
 def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
                   fast_depth: int = DEFAULT_FAST_DEPTH, regex_fast_path: bool = True,
                   emit_open: bool = False, string_aware: bool = False,
-                  max_record_chars: int = MAX_RECORD_CHARS, emit_long: bool = False) -> DataFrame:
+                  max_record_chars: int = MAX_RECORD_CHARS, emit_long: bool = False,
+                  seen: Observation | None = None) -> DataFrame:
     """Frame messages into records: ``topic, partition, offset, pos, record``.
 
     ``offset`` / ``pos`` locate a record: the message in which it opens, and how
@@ -344,15 +351,20 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
     ``offset`` the record's, ``piece_offset`` the message's (null for other rows); in that
     order they are the record, and they are never gathered. ``string_aware=True``
     does not count braces inside JSON strings. ``regex_fast_path=False`` sends every
-    message through the token scan.
+    message through the token scan. ``seen`` observes ``messages_in`` (F8): non-null values
+    of messages that are not ``carried`` over, in the pass that moves the texts.
     """
     spark = messages.sparkSession
     dec = decode_messages(messages)
+    counted = dec
+    if seen is not None:
+        new = ~F.col("carried") if "carried" in messages.columns else F.lit(True)
+        counted = decode_messages(messages.observe(seen, F.count_if(F.col("value").isNotNull() & new).alias("messages_in")))
     if block_size is None:
         block_size = min(choose_block_size(messages), quoted.MAX_BLOCK if string_aware else MAX_BLOCK)
     ensure_checkpoint_dir(spark)
     walk = _string_walk if string_aware else _brace_walk
-    wide, segs, n_blocks = walk(dec, block_size, fast_depth, regex_fast_path)
+    wide, segs, n_blocks = walk(dec, counted, block_size, fast_depth, regex_fast_path)
     pieces = _pieces(wide, string_aware, fast_depth)
 
     # A record's pieces in one segment meet without a shuffle. Whether it closes and

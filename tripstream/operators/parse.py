@@ -26,8 +26,8 @@ JSON_OPTIONS = {
 }
 
 
-def reason_column(text: Column, j: Column, still_open: Column | None = None) -> Column:
-    """First failed rule: open_record, bad_shape, bad_json, missing_trip_id, missing_field."""
+def reason_column(text: Column, j: Column, still_open: Column | None = None, part: Column | None = None) -> Column:
+    """First failed rule: open_record, long_record, bad_shape, bad_json, missing_trip_id, missing_field."""
     shape_ok = text.isNotNull() & (F.length(text) > 0) & text.startswith("{") & text.endswith("}")
     bad_json = j[CORRUPT_COLUMN].isNotNull()
     trip_id = j["tripID"]
@@ -44,10 +44,10 @@ def reason_column(text: Column, j: Column, still_open: Column | None = None) ->
     nullable = F.array_compact(F.array(*[F.when(j[c].isNull(), F.lit(c)) for c in DATE_COLUMNS + NESTED_COLUMNS]))
     absent = F.when(F.size(nullable) > 0,
                     F.size(F.array_except(nullable, F.json_object_keys(text))) > 0).otherwise(F.lit(False))
-    r = F.when(~shape_ok, "bad_shape")
-    if still_open is not None:
-        r = F.when(still_open, "open_record").when(~shape_ok, "bad_shape")
-    return (r.when(bad_json, "bad_json")
+    false = F.lit(False)
+    r = (F.when(false if still_open is None else still_open, "open_record")
+         .when(false if part is None else part.isNotNull(), "long_record"))
+    return (r.when(~shape_ok, "bad_shape").when(bad_json, "bad_json")
             .when(no_trip_id, "missing_trip_id")
             .when(scalar_null | not_object | absent, "missing_field"))
 
@@ -58,15 +58,20 @@ def parse_records(records: DataFrame, record_col: str = "record", now: Column |
     ``record`` (the whole trimmed text), ``raw_preview`` (P7 of it),
     ``date_fallback`` and the columns named in ``keep`` (origin columns by
     default). Rows flagged ``open`` by framing are pieces of a record that
-    never closed: rejects.
+    never closed, rows with a ``piece_offset`` those of one too long to be put
+    together: rejects.
     """
     keep = keep if keep is not None else [c for c in ("topic", "partition", "offset") if c in records.columns]
-    has_open = "open" in records.columns
+    has_open, has_long = "open" in records.columns, "piece_offset" in records.columns
+    if has_long and "piece_offset" not in keep:
+        keep = [*keep, "piece_offset"]
     text = java_trim(F.col(record_col))
     staged = records.select(*keep, text.alias("_t"),
                             *([F.col("open")] if has_open else []))
     t = F.col("_t")
     shape_ok = t.isNotNull() & t.startswith("{") & t.endswith("}")
+    if has_long:
+        shape_ok &= F.col("piece_offset").isNull()
     # The parsed struct comes out of a generator (a one-element explode), so a
     # later filter on ``reason`` is not rewritten to parse the text once per
     # tested field: predicates do not share common subexpressions.
@@ -87,7 +92,8 @@ def parse_records(records: DataFrame, record_col: str = "record", now: Column |
             cols.append(F.coalesce(j[c], F.lit("")).alias(c))
         else:
             cols.append(j[c].alias(c))
-    reason = reason_column(t, j, F.col("open") if has_open else None)
+    reason = reason_column(t, j, F.col("open") if has_open else None,
+                           F.col("piece_offset") if has_long else None)
     return staged.select(
         *keep, *cols,
         reason.alias("reason"),

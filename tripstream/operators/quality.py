@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from tripstream.schema import REJECT_SCHEMA, TRIP_COLUMNS
@@ -54,3 +57,12 @@ def observed(checked: DataFrame, obs: Observation) -> DataFrame:
     ok = F.col("reason").isNull()
     return checked.observe(obs, F.count(F.lit(1)).alias("total"),
                            F.count_if(ok).alias("success"), F.count_if(~ok).alias("failure"))
+
+
+def counts_of(obs: Observation, *names: str, otherwise: Callable[[], dict] | None = None) -> dict:
+    """The observed counts. Where adaptive execution found that no row comes out and
+    dropped the observed part of the plan, there are none: zeros, or ``otherwise()``."""
+    try:
+        return obs.get
+    except Py4JJavaError:
+        return otherwise() if otherwise else dict.fromkeys(names, 0)

@@ -55,9 +55,4 @@ def nth_newest_snapshot(log: DataFrame, n: int = 1) -> DataFrame:
 
 def rows_per_day(table: SnapshotTable) -> DataFrame:
     """K4: rows per ``pickup_day`` partition of the current snapshot."""
-    commits = table.log().agg(F.max("snapshot_seq")).first()[0]
-    data = table.spark.read.parquet(table.data_path)
-    if commits is None:
-        return data.limit(0).select("pickup_day", F.lit(0).cast("long").alias("trips"))
-    return (data.where(F.col("snapshot_seq") <= commits)
-            .groupBy("pickup_day").agg(F.count(F.lit(1)).alias("trips")))
+    return table.rows_per_day()

@@ -52,6 +52,20 @@ def messages(spark: SparkSession, sf_dir: str, rules: FeedRules = FeedRules(), *
     return trip_messages(events(spark, sf_dir), rules, **kw)
 
 
+def quoted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per event an object whose strings hold braces, quotes and escapes, after a stray
+    quote for every seventh, cut in two after ``1 + event_id % 40`` characters."""
+    i = F.col("event_id")
+    text = F.concat(F.when(i % 7 == 0, F.lit('"')).otherwise(F.lit("")), F.lit('{"id":"e'), i.cast("string"),
+                    F.lit('","note":"}{\\"'), F.col("event_type"), F.lit('\\\\","n":{"k}":"{"}}'))
+    at = (i % 40 + 1).cast("int")
+    halves = F.array(F.struct(F.lit(0).alias("k"), F.substring(text, F.lit(1), at).alias("v")),
+                     F.struct(F.lit(1).alias("k"), F.substring(text, at + 1, F.lit(1 << 20)).alias("v")))
+    return (events(spark, sf_dir).select(i, F.explode(halves).alias("h"))
+            .select(F.col("h.v").cast("binary").alias("value"), F.lit("t").alias("topic"),
+                    (i % 4).cast("int").alias("partition"), (F.floor(i / 4) * 2 + F.col("h.k")).cast("long").alias("offset")))
+
+
 def checked(spark: SparkSession, sf_dir: str, rules: FeedRules = FeedRules(), **kw) -> DataFrame:
     """Messages -> framing -> parse + check, with the fixed clock."""
     recs = frame_records(messages(spark, sf_dir, rules, **kw))

@@ -162,12 +162,45 @@ ORACLES: dict[str, str] = {
                     "(VALUES ('plain'), ('qualified'), ('table')) AS f(form) GROUP BY form, passenger_count",
     "list_tables": "SELECT 'default' AS namespace, 'json_data' AS tableName, FALSE AS isTemporary",
     "describe_table": "SELECT * FROM (VALUES " + ", ".join(
-        [f"('{c.strip()}', '{'timestamp_ntz' if 'datetime' in c else 'string'}', FALSE)" for c in TRIP_COLS.split(",")]
-        + ["('snapshot_seq', 'int', TRUE)", "('pickup_day', 'date', TRUE)"]) + ") AS t(col_name, data_type, partition_key)",
+        [f"('json_data', '{c.strip()}', '{'timestamp_ntz' if 'datetime' in c else 'string'}', FALSE)" for c in TRIP_COLS.split(",")]
+        + ["('json_data', 'snapshot_seq', 'int', TRUE)", "('json_data', 'pickup_day', 'date', TRUE)"])
+        + ") AS t(table_name, col_name, data_type, partition_key) UNION ALL "
+        + " UNION ALL ".join(
+            f"SELECT '{t}', column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' "
+            f"WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
+            f"WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' END, FALSE FROM (DESCRIBE SELECT * FROM {t})"
+            for t in ("events", "documents")),
     "two_streams_one_table": "SELECT 'commits' AS item, CAST(2 AS BIGINT) AS row_count "
                              "UNION ALL SELECT 'rows', COUNT(*) FROM events",
-    "stream_counters": f"SELECT COUNT(*) AS objects_out, CAST(COUNT(*) - COUNT({_BAD}) AS BIGINT) AS success, "
-                       f"COUNT({_BAD}) AS failure FROM events",
+    "stream_counters": f"WITH {_message_counts(R, blanks=True)}, r AS (SELECT CASE WHEN ({_BAD}) IS NULL THEN 0 ELSE 1 END AS bad "
+                       "FROM events) SELECT (SELECT CAST(SUM(n) AS BIGINT) FROM msgs) AS messages_in, COUNT(*) AS objects_out, "
+                       "CAST(COUNT(*) - SUM(bad) AS BIGINT) AS success, CAST(SUM(bad) AS BIGINT) AS failure, "
+                       "round(CAST((COUNT(*) - SUM(bad)) * 100.0 AS DOUBLE) / COUNT(*), 1) AS success_pct, "
+                       "round(CAST(SUM(bad) * 100.0 AS DOUBLE) / COUNT(*), 2) AS null_pct FROM r",
+    "time_travel_sql": f"WITH {TRIPS} SELECT form, passenger_count, COUNT(*) AS trip_count FROM trips, "
+                       "(VALUES ('id'), ('time'), ('range')) AS f(form) WHERE CASE form WHEN 'range' THEN "
+                       "tpep_pickup_datetime >= TIMESTAMP '2024-01-05 06:00:00' AND tpep_pickup_datetime < TIMESTAMP '2024-01-09' "
+                       "ELSE batch <= 1 END GROUP BY form, passenger_count",
+    "pickup_predicate": "SELECT CAST(ts AS DATE) AS pickup_day, COUNT(*) AS trips FROM events "
+                        "WHERE date_trunc('second', ts) >= TIMESTAMP '2024-01-20 12:00:00' "
+                        "AND date_trunc('second', ts) < TIMESTAMP '2024-01-22' "
+                        "OR CAST(ts AS DATE) IN (DATE '2024-01-03', DATE '2024-01-07') GROUP BY 1",
+    "sql_functions": "SELECT event_id, date_trunc('second', ts) AS parsed, strftime(ts, '%Y-%m-%d %H:%M:%S') AS shown, "
+                     "TIMESTAMP '2025-02-15 02:02:01' AS rolled, date_trunc('millisecond', ts) AS ts_ntz, "
+                     "CASE event_id % 3 WHEN 0 THEN repeat('x', 200) ELSE repeat('x', 200) || '... (' || (event_id % 3) || ' more bytes)' "
+                     "END AS preview FROM events",
+    "nested_by_content": f"WITH {TRIPS} SELECT tripID, TRUE AS same, FALSE AS unlike, "
+                         "CAST(json_extract(fare_details, '$.k') AS BIGINT) AS k FROM trips",
+    "frame_string_aware": "SELECT 'e' || event_id AS id, CAST(event_id % 4 AS INTEGER) AS partition, "
+                          "CAST(2 * (event_id // 4) + CASE WHEN event_id % 7 = 0 AND event_id % 40 = 0 THEN 1 ELSE 0 END AS BIGINT) "
+                          "AS offset, 0 AS pos, CAST(length('{\"id\":\"e' || event_id || '\",\"note\":\"}{\\\"' || event_type "
+                          "|| '\\\\\",\"n\":{\"k}\":\"{\"}}') AS INTEGER) AS chars FROM events",
+    "frame_partition_records": "WITH p AS (SELECT CAST(event_id % 4 AS INTEGER) AS partition, COUNT(*) AS n, "
+                               "CAST(SUM(length('{\"id\":' || event_id || '}')) + 2 AS BIGINT) AS chars FROM events GROUP BY 1) "
+                               "SELECT 'whole' AS form, partition, CAST(1 AS BIGINT) AS rows, chars FROM p "
+                               "UNION ALL SELECT 'pieces', partition, n + 2, chars FROM p",
+    "frame_sql": _record_offsets(SPLIT_RULES),
+    "frame_state_store": _record_offsets(SPLIT_RULES),
     "pickup_range": "SELECT CAST(ts AS DATE) AS pickup_day, COUNT(*) AS trips FROM events "
                     "WHERE date_trunc('second', ts) >= TIMESTAMP '2024-01-05 06:00:00' "
                     "AND date_trunc('second', ts) < TIMESTAMP '2024-01-09 00:00:00' GROUP BY 1",

@@ -14,15 +14,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripstream.config import scratch_root
 from tripstream.functions.dates import format_datetime, parse_lenient, parse_strict, epoch_millis_to_ntz
+from tripstream.functions import sql as sql_functions
+from tripstream.functions.nested import json_field, same_json
 from tripstream.functions.text import preview
-from tripstream.operators import reports
-from tripstream.operators.framing import decode_messages, frame_records, framing_counters
+from tripstream.operators import reports, sequential
+from tripstream.operators.framing import RECORD_SCHEMA, decode_messages, frame_records, framing_counters
 from tripstream.operators.parse import parse_records
 from tripstream.operators.quality import filter_counters, good_rows, mapper_counters, reject_report
 from tripstream.plans import common as C
 from tripstream.sinks.snapshot_table import SnapshotTable
 from tripstream.sources.feed import FeedRules, _fmt, trip_messages
 from tripstream.sources.tables import TableService, list_tables
+from tripstream.streaming.counters import StreamCounters
 from tripstream.streaming.ingest import message_file_stream, run_until_done, start_ingest
 
 MULTI_OBJECT_RULES = FeedRules(split=False)
@@ -277,11 +280,114 @@ def q_list_tables(spark, sf):
 
 
 def q_describe_table(spark, sf):
-    """Columns of the registered table."""
+    """Columns and partition fields, as they are, of the trip table and of the
+    given tables ``events`` and ``documents``."""
     t = C.fixture_table(spark, sf)
     svc = TableService(spark, "default.json_data", t.path)
     svc.register()
-    return svc.describe()
+    out = svc.describe().withColumn("table_name", F.lit("json_data"))
+    for name in ("events", "documents"):
+        known = f"{name}_{uuid.uuid4().hex[:8]}"
+        spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet").createOrReplaceTempView(known)
+        given = TableService(spark, known, scratch_root(spark, "given")).describe()
+        out = out.unionByName(given.withColumn("table_name", F.lit(name)))
+    return out
+
+
+def q_time_travel_sql(spark, sf):
+    """Plain SQL over table functions, by id, by time, and a range of pickup times."""
+    C.fixture_table(spark, sf).register_functions("trips")
+    ts = C.committed_at_of(1)
+    return spark.sql(f"""
+        SELECT 'id' AS form, passenger_count, COUNT(*) AS trip_count FROM trips_as_of({C.snapshot_id_of(1)}) GROUP BY ALL
+        UNION ALL SELECT 'time', passenger_count, COUNT(*) FROM trips_at(TIMESTAMP_NTZ'{ts}') GROUP BY ALL
+        UNION ALL SELECT 'range', passenger_count, COUNT(*)
+        FROM trips_between(TIMESTAMP_NTZ'2024-01-05 06:00:00', TIMESTAMP_NTZ'2024-01-09 00:00:00') GROUP BY ALL""")
+
+
+def q_pickup_predicate(spark, sf):
+    """K4: a plain predicate on the pickup time; its day folders are found from it."""
+    t = C.fixture_table(spark, sf)
+    days = t.where("tpep_pickup_datetime >= '2024-01-20 12:00:00' AND tpep_pickup_datetime < '2024-01-22' "
+                   "OR to_date(tpep_pickup_datetime) IN (DATE'2024-01-03', DATE'2024-01-07')")
+    return (days.groupBy(F.to_date("tpep_pickup_datetime").alias("pickup_day")).agg(F.count(F.lit(1)).alias("trips")))
+
+
+def q_sql_functions(spark, sf):
+    """U1, U4, T1, T4, T5, P5, P7 as SQL functions."""
+    sql_functions.register(spark)
+    ev = C.events(spark, sf)
+    ts = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
+    name = f"events_{uuid.uuid4().hex[:8]}"
+    ev.select("event_id", F.concat(F.lit(" \t"), _fmt(ts, F.col("event_id")), F.lit("\u0001")).alias("text"),
+              F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), "props").createOrReplaceTempView(name)
+    return spark.sql(f"""SELECT event_id, trip_date(java_trim(text)) AS parsed, trip_date_text(trip_date(java_trim(text))) AS shown,
+        trip_date_lenient('2024-13-45 25:61:61') AS rolled, epoch_to_ntz(ms) AS ts_ntz,
+        log_preview(repeat('x', CAST(200 + event_id % 3 AS INT))) AS preview FROM {name}""")
+
+
+def q_nested_by_content(spark, sf):
+    """Nested JSON compared by content (key order, blanks, number spelling), and a
+    field of it by path."""
+    trips = C.trips(spark, sf)
+    user = json_field("primary_passenger", "$.user_id", "bigint")
+    kind = json_field("primary_passenger", "$.event_type")
+    other = F.concat(F.lit('{ "event_type" : "'), kind, F.lit('",  "user_id": '), user.cast("string"), F.lit(".00 }"))
+    return trips.select("tripID", same_json("primary_passenger", other).alias("same"),
+                        same_json("primary_passenger", "fare_details").alias("unlike"),
+                        json_field("fare_details", "$.k", "bigint").alias("k"))
+
+
+# ---- framing: strings, long records, SQL, state store ------------------------
+def q_frame_string_aware(spark, sf):
+    """braces, quotes and escapes inside strings, records cut anywhere, a stray
+    quote outside of records."""
+    recs = frame_records(C.quoted_messages(spark, sf), string_aware=True)
+    return recs.select(F.get_json_object("record", "$.id").alias("id"), "partition", "offset", "pos",
+                       F.length("record").alias("chars"))
+
+
+def q_frame_partition_records(spark, sf):
+    """one record over a whole Kafka partition (a stray ``{`` first, a ``}`` last), put
+    together, and given out in pieces above a bound."""
+    ev = C.events(spark, sf).select("event_id")
+    part = (F.col("event_id") % 4).cast("int")
+    body = ev.select(F.concat(F.lit('{"id":'), F.col("event_id").cast("string"), F.lit("}")).alias("v"),
+                     part.alias("partition"), (F.floor(F.col("event_id") / 4) + 1).cast("long").alias("offset"))
+    ends = (body.groupBy("partition").agg(F.max("offset").alias("top"))
+            .select("partition", F.explode(F.array(F.struct(F.lit("{").alias("v"), F.lit(0).cast("long").alias("offset")),
+                                                   F.struct(F.lit("}").alias("v"), (F.col("top") + 1).alias("offset")))).alias("e")))
+    msgs = (body.unionByName(ends.select("e.v", "partition", "e.offset"))
+            .select(F.col("v").cast("binary").alias("value"), F.lit("t").alias("topic"), "partition", "offset"))
+    whole = frame_records(msgs).groupBy("partition").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.length("record")).alias("chars"))
+    pieces = frame_records(msgs, emit_long=True, max_record_chars=1000).groupBy("partition", "offset").agg(
+        F.count("piece_offset").alias("rows"), F.sum(F.length("record")).alias("chars"))
+    return (whole.select(F.lit("whole").alias("form"), "partition", "rows", "chars")
+            .unionByName(pieces.select(F.lit("pieces").alias("form"), "partition", "rows", "chars")))
+
+
+def q_frame_sql(spark, sf):
+    """The decoder as a table function of SQL."""
+    sequential.register(spark)
+    name = f"messages_{uuid.uuid4().hex[:8]}"
+    C.messages(spark, sf, SPLIT_RULES).select("topic", "partition", "offset", "value").createOrReplaceTempView(name)
+    return spark.sql(f"""SELECT get_json_object(record, '$.tripID') AS tripID, partition, offset
+        FROM frame_records(TABLE({name}) PARTITION BY (topic, partition) ORDER BY offset)""")
+
+
+def q_frame_state_store(spark, sf):
+    """Open records in Spark's own state store, over two runs of one query."""
+    root = scratch_root(spark, "state")
+    msgs = C.messages(spark, sf, SPLIT_RULES).select("value", "topic", "partition", "offset", "key", "timestamp")
+    hi = msgs.agg(F.max("offset")).first()[0] or 0
+    for part in (F.col("offset") <= hi // 2 + 1, F.col("offset") > hi // 2 + 1):
+        stream = _stream_input(spark, msgs.where(part), f"{root}/in", 2)
+        q = (sequential.frame_stream(stream).writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+             .option("path", f"{root}/out").trigger(availableNow=True).start())
+        run_until_done(q)
+    return spark.read.schema(RECORD_SCHEMA).parquet(f"{root}/out").select(
+        F.get_json_object("record", "$.tripID").alias("tripID"), "partition", "offset")
 
 
 # ---- streaming -------------------------------------------------------------
@@ -305,6 +411,19 @@ def q_stream_ingest(spark, sf):
     return reports.rows_per_day(table)
 
 
+def _stream_input(spark, messages: DataFrame, path: str, ranges: int = 3) -> DataFrame:
+    """A stream over the messages, written as so many offset ranges, one file per Kafka
+    partition and range at most, two files a micro-batch."""
+    hi = messages.agg(F.max("offset")).first()[0] or 0
+    cuts = [k * (hi // ranges + 1) for k in range(ranges + 1)]
+    for lo, up in zip(cuts, cuts[1:]):
+        (messages.where((F.col("offset") >= lo) & (F.col("offset") < up))
+         .repartition("topic", "partition").sortWithinPartitions("offset")
+         .write.mode("append").parquet(path))
+        time.sleep(0.02)
+    return message_file_stream(spark, path, max_files_per_trigger=2)
+
+
 def _run(spark, messages: DataFrame, root: str, table: SnapshotTable, name: str, **kw) -> None:
     """One bounded stream over ``messages`` with a checkpoint of its own."""
     messages.repartition("topic", "partition").sortWithinPartitions("offset").write.parquet(f"{root}/{name}/in")
@@ -324,14 +443,17 @@ def q_two_streams_one_table(spark, sf):
 
 
 def q_stream_counters(spark, sf):
-    """F8, A4, A5 on the running stream: counters of all micro-batches."""
+    """F8, A4, A5 on the running stream: counters and rates over all micro-batches,
+    collected by a query listener."""
     root = scratch_root(spark, "counters")
-    seen = []
-    _run(spark, C.messages(spark, sf, faults=True), root, SnapshotTable(spark, f"{root}/table"), "stream",
-         on_counters=lambda batch_id, c: seen.append(c))
-    rows = [tuple(int(c[k]) for k in ("objects_out", "success", "failure")) for c in seen]
-    return (spark.createDataFrame(rows, "objects_out long, success long, failure long")
-            .agg(*[F.sum(c).alias(c) for c in ("objects_out", "success", "failure")]))
+    counters = StreamCounters()
+    stream = _stream_input(spark, C.messages(spark, sf, faults=True), f"{root}/in")
+    run_until_done(start_ingest(stream, SnapshotTable(spark, f"{root}/table"), f"{root}/checkpoint",
+                                trigger={"availableNow": True}, now=C.fixed_now(), counters=counters))
+    counters.detach()
+    t = counters.totals()
+    return spark.createDataFrame([tuple(t[k] for k in ("messages_in", "objects_out", "success", "failure", "success_pct", "null_pct"))],
+                                 "messages_in long, objects_out long, success long, failure long, success_pct double, null_pct double")
 
 
 def q_pickup_range(spark, sf):
@@ -415,4 +537,12 @@ QUERIES = {
     "pickup_range": q_pickup_range,
     "frame_long_records": q_frame_long_records,
     "malformed_bytes": q_malformed_bytes,
+    "time_travel_sql": q_time_travel_sql,
+    "pickup_predicate": q_pickup_predicate,
+    "sql_functions": q_sql_functions,
+    "nested_by_content": q_nested_by_content,
+    "frame_string_aware": q_frame_string_aware,
+    "frame_partition_records": q_frame_partition_records,
+    "frame_sql": q_frame_sql,
+    "frame_state_store": q_frame_state_store,
 }

@@ -61,6 +61,8 @@ REJECT_SCHEMA = T.StructType(
         T.StructField("topic", T.StringType(), True),
         T.StructField("partition", T.IntegerType(), True),
         T.StructField("offset", T.LongType(), True),
+        # of a long_record: the message that the piece comes from (offset is the record's)
+        T.StructField("piece_offset", T.LongType(), True),
     ]
 )
 
@@ -74,8 +76,10 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("added_rows", T.LongType(), False),
         T.StructField("batch_id", T.LongType(), True),
         T.StructField("query_id", T.StringType(), True),
+        # the last batch of each query up to this commit ("" for appends without one)
+        T.StructField("batches", T.MapType(T.StringType(), T.LongType()), True),
     ]
 )
 
 # Reject reasons, in the order they are tested: a row counts under the first.
-REASONS = ["unplaced", "open_record", "bad_shape", "bad_json", "missing_trip_id", "missing_field"]
+REASONS = ["unplaced", "open_record", "long_record", "bad_shape", "bad_json", "missing_trip_id", "missing_field"]

@@ -76,12 +76,26 @@ class TableService:
             return self.spark.sql(sql, **frames)
 
     def describe(self) -> DataFrame:
-        """``col_name, data_type, partition_key`` of the table behind the name,
-        its partition fields last."""
-        columns = [(f.name, f.dataType.simpleString(), False) for f in TRIP_SCHEMA]
-        partitions = [("snapshot_seq", "int", True), ("pickup_day", "date", True)]
-        return self.spark.createDataFrame(columns + partitions,
-                                          "col_name string, data_type string, partition_key boolean")
+        """``col_name, data_type, partition_key`` of the existing table as it is:
+        the columns of the catalog name (else of the files at the path), and the
+        partition fields, last. A table that is not there only warns: no rows."""
+        columns, fields = [], []
+        try:
+            if self.spark.catalog.tableExists(self.name):
+                schema = self.spark.table(self.name).schema
+                keys = {c.name for c in self.spark.catalog.listColumns(self.name) if c.isPartition}
+                columns = [(f.name, f.dataType.simpleString(), f.name in keys) for f in schema]
+            if self.table.exists():
+                stored = self.spark.read.parquet(self.table.data_path).schema
+                fields = [(f.name, f.dataType.simpleString(), True) for f in stored if f.name in self.table.partition_fields()]
+                columns = columns or [(f.name, f.dataType.simpleString(), False) for f in stored
+                                      if f.name not in self.table.partition_fields()]
+        except AnalysisException as e:
+            warnings.warn(f"describe of {self.name} failed: {e}")
+        if not columns:
+            warnings.warn(f"no table {self.name} and none at {self.path}")
+        rows = sorted(columns, key=lambda c: c[2]) + [f for f in fields if f[0] not in {c[0] for c in columns}]
+        return self.spark.createDataFrame(rows, "col_name string, data_type string, partition_key boolean")
 
 
 def list_namespaces(spark: SparkSession) -> DataFrame:
