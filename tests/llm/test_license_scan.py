@@ -34,6 +34,38 @@ def test_base_places_and_method(spark, docs_of, odd, clashing):
     assert ls.scan_licenses(docs_of([])).count() == 0
 
 
+def test_whole_license_texts(spark, docs_of):
+    """A whole text is found, with words put in or left out; far less of it is not."""
+    mit = next(t for t in ls.TEXTS if t.label == "mit").words.split()
+    bsd = next(t for t in ls.TEXTS if t.label == "bsd").words.split()
+    assert len(mit) > 150 and len(bsd) > 200
+    cut = [w for k, w in enumerate(bsd) if k % 23 != 5]
+    docs = [(1, "x " * 500 + " ".join(mit).upper() + " y" * 500), (2, ", ".join(cut)), (3, " ".join(bsd[60:120])), (4, "z " * 90)]
+    by = {r.doc_id: r for r in ls.scan_licenses(docs_of(docs), method=ls.TEXTS).collect()}
+    assert by[1].labels == "mit" and by[1].score == 1.0
+    span = max(by[1].spans, key=lambda s: s.end - s.start)
+    assert (span.start, span.end) == (500, 500 + len(mit))
+    assert by[2].labels == "bsd" and 0.75 <= by[2].score < 1 and by[3].labels == by[4].labels == ""
+
+
+def test_linear_in_a_text(spark, docs_of):
+    """As many words in a few long texts cost about as much as in short ones."""
+    import time
+
+    def seconds(texts):
+        df = docs_of(list(enumerate(texts)), parts=1).cache()
+        df.count()
+        t = time.time()
+        assert sum(r.n_words for r in ls.scan_licenses(df).select("n_words").collect()) == 600_000
+        return time.time() - t
+
+    words = "the license of a cc by text under general terms ".split()
+    seconds([" ".join(words[k % 10] for k in range(1000))] * 600)          # compiles
+    short = seconds([" ".join(words[k % 10] for k in range(1000))] * 600)
+    long = seconds([" ".join(words[k % 10] for k in range(300_000))] * 2)
+    assert long < 3 * short + 3, (short, long)
+
+
 def test_native_plan(spark, docs_of):
     plan = ls.scan_licenses(docs_of([(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tripstream.llm import license_scan
+
 OP1 = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS body FROM pages
@@ -127,19 +129,11 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
 FROM d GROUP BY doc_id
 """
 
-OP10 = r"""
-WITH t(t, label, words, base) AS (VALUES
-  (0, 'cc-by', 'cc by', true), (1, 'gpl', 'general public license', true),
-  (2, 'reserved', 'all rights reserved', true),
-  (3, 'apache-2.0', 'licensed under the apache license version 2 0', false),
-  (4, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted', false),
-  (5, 'cc-by-nc-4.0', 'licensed under cc by nc 4 0', false), (6, 'cc-by-4.0', 'licensed under cc by 4 0', false),
-  (7, 'cc-by-sa-4.0', 'licensed under cc by sa 4 0', false),
-  (8, 'gpl-3.0', 'licensed under the gnu general public license version 3', false),
-  (9, 'gpl-2.0', 'licensed under the gnu general public license version 2', false),
-  (10, 'mit', 'released under the mit license', false),
-  (11, 'mit', 'permission is hereby granted free of charge to any person obtaining a copy of this software', false),
-  (12, 'mpl-2.0', 'subject to the terms of the mozilla public license v 2 0', false)
+_TEMPLATES = ", ".join(f"({t}, '{x.label}', '{' '.join(x.words.split())}', {x.base})"
+                       for t, x in enumerate(license_scan.BASE + license_scan.METHOD + license_scan.TEXTS))
+
+OP10 = rf"""
+WITH t(t, label, words, base) AS (VALUES {_TEMPLATES}
 ), tw AS (
   SELECT t, label, base, string_split(words, ' ') AS w FROM t
 ), tg AS (
