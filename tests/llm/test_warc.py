@@ -65,3 +65,30 @@ def test_small_payloads_are_all_responses(spark):
 def test_empty_table(spark):
     _, folder, index = archive(spark, [])
     assert index.count() == 0 and warc.read_bundles(index, folder).count() == 0
+
+
+def test_read_has_a_task_for_each_run_of_frames(spark):
+    rows = [(i, "u", f"text {i} " * 50) for i in range(300)]
+    _, folder, index = archive(spark, rows, frame_bytes=4000)
+    frames = sum(r.n for r in index.groupBy("bundle").agg(F.max("n_frames").alias("n")).collect())
+    tasks = {k: warc.read_bundles(index, folder, frames_per_task=k).rdd.getNumPartitions() for k in (1, 4)}
+    assert tasks[1] == frames and frames / 4 <= tasks[4] <= frames / 4 + index.select("bundle").distinct().count()
+
+
+def test_payloads_are_not_shuffled(spark):
+    ready(spark)
+    rows = [(i, "u", "" if i % 3 == 0 else f"t{i % 50}") for i in range(300)]
+    pages = written(spark.createDataFrame(rows, SCHEMA), "pages")
+    plan = warc.dedupe_payloads(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_many_repeated_payloads_meet_by_row(spark, monkeypatch, clashing):
+    ready(spark)
+    rows = [(i, "u", "" if i % 3 == 0 else f"t{i % 50}") for i in range(300)]
+    pages = clashing(written(spark.createDataFrame(rows, SCHEMA), "pages"))
+    cols = ["page_id", "payload", "refers_to", "is_revisit", "is_named"]
+    few = sorted(map(tuple, warc.dedupe_payloads(pages).select(*cols).collect()))
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, warc.dedupe_payloads(pages).select(*cols).collect())) == few
+    assert sum(r[3] for r in few) == 300 - len({h for _, _, h in rows})

@@ -13,8 +13,9 @@ Equal payloads are stored once: of the records with one payload (of at least
 ``min_revisit_bytes`` bytes) that with the smallest page_id is a ``response``,
 the others are ``revisit`` records without payload that name it.
 
-Writers run in the tasks of the scan, without shuffling payloads unless AQE
-finds the table of repeated payloads too large to broadcast. Each task
+Writers run in the tasks of the scan. Which payloads repeat is found on their hashes
+and row keys alone; that table meets the payloads where they are if it is small
+(its size is counted), else by row key, on which no key is hot. Each task
 attempt writes files under names of its own and only what a finished attempt
 returned enters the index, so files left by lost executors are never read.
 Paths are opened with ``pyarrow.fs``: any store it knows (a shared mount, S3,
@@ -41,11 +42,12 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tripstream.llm.common import row_key, written
+from tripstream.llm.common import BROADCAST_ROWS, row_key, written
 
 FRAME_BYTES = 1 << 18       # decompressed bytes of records a frame
 BUNDLE_BYTES = 64 << 20     # compressed bytes a bundle file
 LEVEL = 3
+MOST_TASKS = 100_000        # of a read; a task then reads several runs of frames
 
 # Fixed values of the Zstandard seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -195,7 +197,12 @@ def dedupe_payloads(pages: DataFrame, page_id: str = "page_id", url: str = "url"
               .groupBy("sha").agg(F.min(F.struct("page_id", "row")).alias("first"),
                                   F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("sha", "first"))
-    joined = rows.join(firsts, "sha", "left")
+    firsts = written(firsts, "warc-firsts")
+    if firsts.count() <= BROADCAST_ROWS:
+        joined = rows.join(F.broadcast(firsts), "sha", "left")
+    else:
+        marks = rows.select("row", "sha").join(firsts, "sha").select("row", "first")
+        joined = rows.join(written(marks, "warc-marks"), "row", "left")
     revisit = F.col("first").isNotNull() & ~F.struct("page_id", "row").eqNullSafe(F.col("first"))
     return joined.select("page_id", "url", "payload",
                          F.when(revisit, F.col("first.page_id")).alias("refers_to"),
@@ -246,11 +253,13 @@ def write_bundles(rows: DataFrame, folder: str, frame_bytes: int = FRAME_BYTES,
 
 def read_bundles(index: DataFrame, folder: str, frames_per_task: int = 64) -> DataFrame:
     """Every record of the indexed bundles, decoded frame by frame through the
-    seek tables (bundles are split into runs of frames)."""
+    seek tables (bundles are split into runs of frames, dealt evenly to tasks)."""
     runs = (index.groupBy("bundle").agg(F.max("n_frames").alias("n_frames"))
             .select("bundle", F.explode(F.sequence(F.lit(0), F.col("n_frames") - 1,
                                                    F.lit(frames_per_task))).alias("start")))
-    runs = runs.repartition("bundle", "start")
+    runs = written(runs, "warc-runs")
+    # tiny rows with much work each: an explicit number of tasks, that grows with the runs
+    runs = runs.repartition(max(1, min(runs.count(), MOST_TASKS)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(folder)
