@@ -53,7 +53,7 @@ def made(seed, vocabulary, count):
 
 @pytest.mark.parametrize("n, num, den, vocabulary", [(4, 85, 100, 900), (5, 80, 100, 40), (2, 60, 100, 200)])
 def test_components_against_brute_force(spark, docs_of, odd, clashing, n, num, den, vocabulary):
-    docs = made(n, vocabulary, 160) + odd[:-1]
+    docs = made(n, vocabulary, 160) + odd
     # few groups make a token frequent, so that several levels are needed
     found = j.near_components(clashing(docs_of(docs)), n, num, den, rare=2)
     got = sorted((tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect()), key=repr)
@@ -79,3 +79,52 @@ def test_connected(spark):
         for a, b in links:
             low[a] = low[b] = min(low[a], low[b])
     assert got == {a: b for a, b in low.items() if a != b}
+
+
+def family(rng, copies, length, edits, original=True):
+    """Near copies of one text that are below the threshold to one another."""
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(length)]
+    out = [list(words)] if original else []
+    for k in range(copies):
+        w = list(words)
+        for at in rng.sample(range(length), edits):
+            w[at] = f"e{k}x{at}"
+        out.append(w)
+    return out
+
+
+@pytest.mark.parametrize("original", [True, False])
+def test_family_of_near_copies_below_the_threshold(spark, docs_of, original):
+    """Copies of one text with edits of their own, some of them near one another."""
+    rng = random.Random(5)
+    texts = family(rng, 60, 120, 3, original)
+    for k in range(0, 40, 4):                # a near copy of a copy
+        w = list(texts[k + 2])
+        w[rng.randrange(120)] = "other"
+        texts.append(w)
+    docs = [(i, " ".join(w)) for i, w in enumerate(texts)] + [(900 + i, t) for i, t in made(3, 60, 60)]
+    found = j.near_components(docs_of(docs), 4, 85, 100, rare=2)
+    got = sorted((tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect()), key=repr)
+    assert got == brute(docs, 4, 85, 100)
+
+
+def test_rows_of_a_hot_family_grow_linearly(spark, docs_of, monkeypatch):
+    """1,700 near copies, none near enough to another: no join grows with their square."""
+    made_rows = []
+    real = j.written
+
+    def counting(df, label, **kw):
+        out = real(df, label, **kw)
+        if label in ("jaccard-pairs", "jaccard-leaders", "jaccard-widths", "jaccard-edits"):
+            made_rows.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(j, "written", counting)
+    sums = {}
+    for copies in (425, 1700):
+        rng, made_rows[:] = random.Random(8), []
+        docs = [(i, " ".join(w)) for i, w in enumerate(family(rng, copies, 60, 3))]
+        found = j.near_components(docs_of(docs, parts=8), 4, 85, 100)
+        assert found.where("doc_id != component_id").count() < copies // 20        # edits side by side
+        sums[copies] = sum(n for _, n in made_rows)
+    assert sums[1700] < 6 * sums[425], sums

@@ -21,15 +21,30 @@ set's size are emitted (about a quarter), chosen so that every token that
 decides a pair is emitted by both sides.
 
 *The rest.* Documents with fewer than p rare tokens (mostly boilerplate, or
-members of a large group of near copies) go to the next level: whole sets,
-groups around leaders, and four times the bound c. There, leaders are the
-documents with the fewest rare tokens: the originals of their near copies.
+members of a large family of near copies) go to the next level: whole sets, four
+times the bound c, and groups: each document joins the nearest of the leaders that
+share a minimum with it, if it is near (``NEAR``), linked or not. Leaders are
+the documents with the fewest rare tokens: the originals of their near copies.
+So a family's tokens lie in few groups, however many documents hold them.
+
+A document that opens a group of several members is held against its leader first:
+near it, it becomes a member; else only members as far from the leader as the
+triangle inequality demands are verified. Of two groups the smaller one asks.
+
+*Within a group* members are compared by what they differ in from the leader L:
+D(x), the tokens of x or L but not both. Two members x, y differ in D(x) xor D(y), and
+linked ones differ in ``(|x| + |y|) (1 - t) / (1 + t)`` tokens at most, so they
+share all but so many of the tokens of D(x), and one at least unless both link to L.
+Tokens of the family's common text are in no D, so the prefix filter runs on
+edits, which are rare; the number of rare tokens shared, and of others that
+could be, tells which pairs can link. Members that link to L need no pair among them.
+
 Levels go on until no document is left, so nothing is capped or lost; with c
-above the number of groups every token is rare.
+above the number of groups, and of a group's members, every token is rare.
 
 Hot tokens and hot groups are aggregated before any shuffle; token lists
-are only joined by token on rare tokens; links inside a group are those to
-its leader. Equal copies are never compared.
+are only joined by token on rare tokens, so each row meets c others at most.
+Equal copies are never compared.
 
 Edge cases: null or empty text -> empty set, n_shingles 0, its own component;
 fewer words than n -> the whole sequence is one shingle; repeated rows are
@@ -43,7 +58,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tripstream.llm.common import (
     hashed_texts,
@@ -63,6 +78,7 @@ NUM, DEN = 80, 100
 RARE = 16               # groups that hold a rare token at most, on the first level
 GROWTH = 4
 MINHASHES = 4           # tries to find a leader
+NEAR = 3                # a member differs from its leader by so many times what linked ones may
 
 _SEEDS = mix64(np.arange(1, MINHASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -125,21 +141,33 @@ def whole_sets(documents: DataFrame, wanted: DataFrame, n: int, text: str = "tex
     return written(rows.join(wanted.select("cid", "r"), "r").select("cid", "s"), "jaccard-sets")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link, on whole sets."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, b, na, nb, d`` of the pairs (a, b): sizes, and how many tokens they differ in."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mask = []
+            rows = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = x.values.to_numpy(), y.values.to_numpy()
-                both = shared(x, y)
-                mask.append(den * both >= num * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(mask, pa.bool_()))
+                rows.append((len(x), len(y), len(x) + len(y) - 2 * shared(x, y)))
+            cols = list(zip(*rows)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c, pa.int64()) for c in cols)],
+                                             names=["a", "b", "na", "nb", "d"])
 
     both = (pairs.join(sets.select(F.col("cid").alias("a"), F.col("s").alias("sa")), "a")
             .join(sets.select(F.col("cid").alias("b"), F.col("s").alias("sb")), "b")
             .select("a", "b", "sa", "sb"))
-    return written(both.mapInArrow(check, "a long, b long"), "jaccard-links")
+    return both.mapInArrow(check, "a long, b long, na long, nb long, d long")
+
+
+def _differ(d: Column, na: Column, nb: Column, num: int, den: int, times: int = 1) -> Column:
+    """Whether sets that differ in d tokens link (``times`` 1), or are so much further apart."""
+    return d * (den + num) <= times * (den - num) * (na + nb)
+
+
+def verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that link, on whole sets."""
+    linked = _differ(F.col("d"), F.col("na"), F.col("nb"), num, den)
+    return written(compared(pairs, sets).where(linked).select("a", "b"), "jaccard-links")
 
 
 def _fits(a: Column, b: Column, num: int, den: int) -> Column:
@@ -149,10 +177,11 @@ def _fits(a: Column, b: Column, num: int, den: int) -> Column:
 
 def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int,
           thin: bool = False) -> tuple[DataFrame, DataFrame]:
-    """One level: candidate pairs ``a, b``, and the documents with ``k``.
+    """One level: which document opens which group (``cid, og, n``), and the documents with ``k``.
 
-    ``tokens``: t, cid, g, decides; ``docs``: cid, g, n, nd. ``thin``: drop tokens
-    of one group before their groups are counted (most tokens, at first).
+    ``tokens``: t, cid, g, decides; ``docs``: cid, g, n, nd, size (members of g). Of two
+    groups that of fewer members asks. ``thin``: drop tokens of one group before
+    their groups are counted (most tokens, at first).
     """
     if thin:
         # `any` and `d` keep both readers of `tokens` alike, so Spark reuses them
@@ -171,25 +200,22 @@ def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int,
         (F.col("nd") - F.coalesce("frequent", F.lit(0)) - p + 1).alias("k"))
     docs = written(docs, "jaccard-docs")
     few = small(docs)
-    rows = tokens.where("rare").select("t", "cid", "g").join(few(docs.select("cid", "k")), "cid")
-    # the groups' side: open members only; the least k of them bounds the overlap
-    opened = docs.where("k >= 1")
-    union = rows.where("k >= 1").select("t", F.col("g").alias("og")).distinct()
-    # two open documents: one of them asks
-    counts = (rows.join(union, "t").where("g < og OR (g > og AND k < 1)")
+    rows = tokens.where("rare").select("t", "cid", "g").join(few(docs.select("cid", "k", "size")), "cid")
+    union = rows.groupBy("t", F.col("g").alias("og"), F.col("size").alias("osize")).agg(F.max(F.col("k") >= 1).alias("opened"))
+    # one of a pair is open, and then rare tokens decide
+    counts = (rows.join(union, "t").where("(size < osize OR (size = osize AND g < og)) AND (k >= 1 OR opened)")
               .groupBy("cid", "og").agg(F.count(F.lit(1)).alias("n_shared")))
-    least = opened.groupBy(F.col("g").alias("og")).agg(F.min("k").alias("ok"))
+    # two open documents share as many as the least k of them
+    least = docs.groupBy(F.col("g").alias("og")).agg(F.min("k").alias("ok"))
     bound = F.greatest(F.lit(1), F.least("k", "ok"))
     opens = (counts.join(few(docs.select("cid", "n", "k")), "cid").join(few(least), "og")
-             .where(F.col("n_shared") >= bound).select("cid", "og", F.col("n").alias("qn"), "k"))
-    members = opened.select(F.col("g").alias("og"), F.col("cid").alias("m"), F.col("n").alias("mn"))
-    pairs = (opens.join(few(members), "og").where(_fits(F.col("qn"), F.col("mn"), num, den))
-             .select(F.greatest("cid", "m").alias("a"), F.least("cid", "m").alias("b")).distinct())
-    return written(pairs, "jaccard-pairs"), docs
+             .where(F.col("n_shared") >= bound).select("cid", "og", "n"))
+    return written(opens, "jaccard-opens"), docs
 
 
 def grouped(docs: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Groups around leaders: ``cid, leader`` of those that link to one, and the links.
+    """Groups around leaders: ``cid, leader, linked`` of the documents near one, and
+    the links to leaders.
 
     ``docs``: cid, n, rare, m0..; the leader of a bucket of equal minima is the
     document with the fewest rare tokens.
@@ -198,23 +224,124 @@ def grouped(docs: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataF
     lead = (tries.groupBy("j", "m").agg(F.min(F.struct("rare", "cid", "n")).alias("lead"), F.count(F.lit(1)).alias("size"))
             .where("size > 1"))
     pairs = (tries.join(lead, ["j", "m"]).where(F.col("cid") != F.col("lead.cid"))
-             .where(_fits(F.col("n"), F.col("lead.n"), num, den))
-             .select(F.col("cid").alias("a"), F.col("lead.cid").alias("b"), F.col("lead.rare").alias("rare")))
-    pairs = written(pairs.distinct(), "jaccard-leaders")
-    links = verify(pairs.select("a", "b"), sets, num, den)
-    best = (links.join(small(pairs)(pairs), ["a", "b"]).groupBy(F.col("a").alias("cid"))
-            .agg(F.min(F.struct("rare", "b")).alias("x")).select("cid", F.col("x.b").alias("leader")))
-    return best, links
+             .select(F.col("cid").alias("a"), F.col("lead.cid").alias("b")))
+    found = written(compared(written(pairs.distinct(), "jaccard-leaders"), sets), "jaccard-compared")
+    sizes = F.col("d"), F.col("na"), F.col("nb"), num, den
+    linked = _differ(*sizes)
+    near = (found.where(_differ(*sizes, NEAR)).groupBy(F.col("a").alias("cid"))
+            .agg(F.min(F.struct("d", "b", (~linked).alias("apart"))).alias("x"))
+            .select("cid", F.col("x.b").alias("leader"), (~F.col("x.apart")).alias("linked"), F.col("x.d").alias("d")))
+    return near, found.where(linked).select("a", "b")
+
+
+def differences(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """``cid, g, s``: the tokens of a member or of its leader g, but not of both."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.setxor1d(x.values.to_numpy(), y.values.to_numpy(), assume_unique=True)
+                     for x, y in zip(batch.column(2), batch.column(3))]
+            if found:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], long_lists([x.view(np.uint64) for x in found])],
+                                                 names=["cid", "g", "s"])
+
+    both = (members.select("cid", "g").join(sets, "cid")
+            .join(sets.select(F.col("cid").alias("g"), F.col("s").alias("sl")), "g").select("cid", "g", "s", "sl"))
+    return both.mapInArrow(make, "cid long, g long, s array<long>")
+
+
+def within_groups(docs: DataFrame, sets: DataFrame, rare: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs ``a, b`` of one group, and the members (cid) that have too few rare tokens.
+
+    ``docs``: cid, g, n, linked; a document may be in several groups. Only groups with a member that is not linked to
+    the leader hold pairs that count: of two such members, or of one and a linked one. For
+    either kind a member asks with the rarest of its tokens, as many as can be needed.
+    """
+    members = docs.where("cid != g")
+    mixed = (members.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.max(~F.col("linked")).alias("any"))
+             .where("size > 1 AND any").select("g"))
+    members = written(members.join(mixed, "g", "left_semi"), "jaccard-members")
+    tokens = written(differences(members, sets).select("cid", "g", F.explode("s").alias("t")), "jaccard-differences")
+    width = tokens.groupBy("g", "t").agg(F.count(F.lit(1)).alias("width"))
+    order = Window.partitionBy("g", "cid").orderBy("width", "t")
+    tokens = written(tokens.join(width, ["g", "t"]).select("g", "t", "cid", "width", F.row_number().over(order).alias("place")),
+                     "jaccard-edits")
+    sums = tokens.groupBy("g", "cid").agg(F.count(F.lit(1)).alias("d"), F.count_if(F.col("width") <= rare).alias("rare"))
+    members = written(members.join(sums, ["g", "cid"]), "jaccard-members")
+    # the fewest tokens and the largest set that a partner of either kind can have
+    kinds = members.groupBy("g").agg(*[f(F.when(F.col("linked") == k, F.col(c))).alias(f"{c}{int(k)}")
+                                       for k in (False, True) for f, c in ((F.min, "d"), (F.max, "n"))])
+    both = den + num
+
+    def prefix(kind: str):
+        """So many of a member's tokens hold one of those shared with any linked partner of a kind:
+        they differ in (D(x) - D(y) + what linked sets may) / 2 of D(x) at most."""
+        top = F.least(F.col(f"n{kind}"), F.expr(f"n * {den} div {num}"))
+        apart = (den - num) * (F.col("n") + top)
+        least = F.floor(((F.col("d") - F.col(f"d{kind}")) * both + apart) / (2 * both))
+        return F.least(F.col("d"), F.floor(apart / both) + 1, least + 1)
+
+    members = members.join(small(members)(kinds), "g").select(
+        "cid", "g", "n", "linked", "d", "rare", prefix("0").alias("p0"),
+        F.when(~F.col("linked"), F.coalesce(prefix("1"), F.lit(0))).alias("p1"))
+    members = written(members.withColumn("open", F.col("rare") >= F.greatest("p0", F.coalesce("p1", F.lit(0)))), "jaccard-members")
+    few = small(members)
+    rows = tokens.where((F.col("width") > 1) & (F.col("width") <= rare)).join(few(members), ["g", "cid"])
+
+    def side(name: str, kind: str, linked: bool) -> DataFrame:
+        """Tokens that members ask with for partners of a kind; ``others``: those left out."""
+        return rows.where((F.col("linked") == linked) & (F.col("place") <= F.col(kind))).select(
+            "g", "t", F.col("cid").alias(f"{name}_cid"), F.col("open").alias(f"{name}_open"), F.col("d").alias(f"{name}_d"),
+            F.col("n").alias(f"{name}_n"), (F.col("d") - F.least("rare", kind)).alias(f"{name}_others"))
+
+    apart = side("x", "p0", False).join(side("y", "p0", False), ["g", "t"]).where(
+        "x_open AND (x_cid < y_cid OR (x_cid > y_cid AND NOT y_open))")
+    one = side("x", "p1", False).join(side("y", "p0", True), ["g", "t"]).where("x_open OR y_open")
+    met = apart.unionByName(one).groupBy(*[f"{p}_{c}" for p in "xy" for c in ("cid", "d", "n", "others")]).agg(
+        F.count(F.lit(1)).alias("n_shared"))
+    # what they differ in: all of both less what they share, twice; in the tokens' common
+    # order, all that they share beyond what both asked with is left out by the one that asked less far
+    fewest = F.col("x_d") + F.col("y_d") - 2 * (F.col("n_shared") + F.greatest("x_others", "y_others"))
+    pairs = met.where(_differ(fewest, F.col("x_n"), F.col("y_n"), num, den)).select(
+        F.greatest("x_cid", "y_cid").alias("a"), F.least("x_cid", "y_cid").alias("b")).distinct()
+    return written(pairs, "jaccard-pairs"), members.where("NOT open").select("cid").distinct()
+
+
+def opened(opens: DataFrame, docs: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What the documents that open groups (``cid, og, n``) meet there: candidate pairs
+    ``a, b``, further members ``cid, g, n, linked``, and links to leaders.
+
+    A group's only member is met itself. A larger group is first held against its leader:
+    a document near it becomes a member; another can only link to members that
+    are as far from the leader as the triangle inequality demands.
+    """
+    members = docs.select(F.col("g").alias("og"), F.col("cid").alias("m"), F.col("n").alias("mn"), F.col("d").alias("md"), "size")
+    few = small(docs)
+    one = opens.join(few(members.where("size = 1")), "og").where(_fits(F.col("n"), F.col("mn"), num, den)).select("cid", "m")
+    large = docs.where("size > 1").select(F.col("g").alias("og")).distinct()
+    found = written(compared(opens.join(large, "og", "left_semi").select(F.col("cid").alias("a"), F.col("og").alias("b")), sets),
+                    "jaccard-compared")
+    sizes = F.col("d"), F.col("na"), F.col("nb"), num, den
+    linked, near = _differ(*sizes), _differ(*sizes, NEAR)
+    more = found.where(near).select(F.col("a").alias("cid"), F.col("b").alias("g"), F.col("na").cast("int").alias("n"), linked.alias("linked"))
+    far = (found.where(~near).select("a", F.col("b").alias("og"), "d", "na").join(few(members), "og")
+           .where(_differ(F.col("d") - F.col("md"), F.col("na"), F.col("mn"), num, den) & _fits(F.col("na"), F.col("mn"), num, den))
+           .select(F.col("a").alias("cid"), "m"))
+    pairs = one.unionByName(far).where("cid != m").select(F.greatest("cid", "m").alias("a"), F.least("cid", "m").alias("b"))
+    return written(pairs.distinct(), "jaccard-pairs"), more, found.where(linked & (F.col("a") != F.col("b"))).select("a", "b")
 
 
 def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n: int, num: int,
                   den: int, rare: int = RARE, text: str = "text") -> DataFrame:
     """Links ``a, b`` between classes that connect all linked classes."""
-    docs = classes.select("cid", F.col("cid").alias("g"), "n", "nd")
+    docs = classes.select("cid", F.col("cid").alias("g"), "n", "nd", F.lit(1).alias("size"))
     tokens = (table.select("r", "e").join(classes.select("r", "cid", "nd"), "r")
               .select("cid", "nd", F.posexplode("e").alias("at", "t"))
               .select("t", "cid", F.col("cid").alias("g"), (F.col("at") < F.col("nd")).alias("decides")))
-    pairs, docs = match(tokens, docs, rare, num, den, thin=True)
+    opens, docs = match(tokens, docs, rare, num, den, thin=True)
+    others = docs.select(F.col("cid").alias("og"), F.col("n").alias("mn"))
+    pairs = (opens.join(small(docs)(others), "og").where(_fits(F.col("n"), F.col("mn"), num, den))
+             .select(F.greatest("cid", "og").alias("a"), F.least("cid", "og").alias("b")).distinct())
+    pairs = written(pairs, "jaccard-pairs")
     rows = classes.select("cid", "r")
     wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).unionByName(
         docs.where("k < 1").select("cid")).distinct().join(rows, "cid")
@@ -226,14 +353,22 @@ def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n:
         rare *= GROWTH
         leaders, found = grouped(left.select("cid", "n", "rare").join(minima, "cid"), sets, num, den)
         links = links.unionByName(found)
-        docs = written(left.select("cid", "n").join(leaders, "cid", "left").select(
-            "cid", F.coalesce("leader", "cid").alias("g"), "n", F.col("n").alias("nd")), "jaccard-groups")
+        docs = left.select("cid", "n").join(leaders, "cid", "left").select(
+            "cid", F.coalesce("leader", "cid").alias("g"), "n", F.col("n").alias("nd"),
+            F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("d", F.lit(0)).alias("d"))
+        docs = written(docs, "jaccard-groups")
+        docs = written(docs.join(docs.groupBy("g").agg(F.count(F.lit(1)).alias("size")), "g").select(*docs.columns, "size"),
+                       "jaccard-groups")
         tokens = (docs.join(sets, "cid")
                   .select("cid", "g", F.explode("s").alias("t"))
                   .select("t", "cid", "g", F.lit(True).alias("decides")))
-        pairs, docs = match(tokens, docs, rare, num, den)
-        links = links.unionByName(verify(pairs, sets, num, den))
-        left = docs.where("k < 1")
+        opens, matched = match(tokens, docs.drop("linked", "d"), rare, num, den)
+        pairs, more, found = opened(opens, docs, sets, num, den)
+        links = links.unionByName(found)
+        inner, again = within_groups(docs.select("cid", "g", "n", "linked").unionByName(more), sets, rare, num, den)
+        links = links.unionByName(verify(pairs.unionByName(inner).distinct(), sets, num, den))
+        left = matched.join(again.withColumn("again", F.lit(True)), "cid", "left").where("k < 1 OR again").drop("again")
+        left = written(left, "jaccard-left")
     return links
 
 
