@@ -184,7 +184,7 @@ class SnapshotTable:
 
     def rows_per_snapshot(self) -> DataFrame:
         """``snapshot_id, row_count``: rows that the table holds for each snapshot."""
-        counts = (self._read_upto(self.last_seq() or 0).groupBy("snapshot_seq")
+        counts = (self._read_upto(self.last_seq()).groupBy("snapshot_seq")
                   .agg(F.count(F.lit(1)).alias("n")))
         return (self.log().join(counts, "snapshot_seq", "left")
                 .select("snapshot_id", F.coalesce("n", F.lit(0)).alias("row_count")))
@@ -292,7 +292,7 @@ class SnapshotTable:
 
     # ---- reads (S4, Z1-Z9) ---------------------------------------------
     def _read_upto(self, seq: int | None) -> DataFrame:
-        if seq is None or not self.exists():
+        if seq is None:
             return self.spark.createDataFrame([], TRIP_SCHEMA.add("snapshot_seq", "int").add("pickup_day", "date"))
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRIP_SCHEMA)
         return (self.spark.read.schema(f"{fields}, {_PARTITIONS}").parquet(self.data_path)
@@ -307,7 +307,7 @@ class SnapshotTable:
         cond = F.expr(condition) if isinstance(condition, str) else condition
         empty = self.spark.createDataFrame([], TRIP_SCHEMA)
         days = day_ranges(empty.where(cond), "tpep_pickup_datetime")
-        rows = self._read_upto(self.last_seq() or 0)
+        rows = self._read_upto(self.last_seq())
         if days is not None:
             rows = rows.where(in_ranges(F.col("pickup_day"), days))
         return rows.where(cond).select(*TRIP_COLUMNS)
@@ -316,14 +316,14 @@ class SnapshotTable:
         """K4: current rows picked up from ``start`` to before ``end``; only the
         folders of those days are read."""
         lo, hi = (F.lit(_to_datetime(x).isoformat(sep=" ")).cast("timestamp_ntz") for x in (start, end))
-        return (self._read_upto(self.last_seq() or 0)
+        return (self._read_upto(self.last_seq())
                 .where(F.col("pickup_day").between(F.lit(_to_datetime(start).date()), F.lit(_to_datetime(end).date()))
                        & (F.col("tpep_pickup_datetime") >= lo) & (F.col("tpep_pickup_datetime") < hi))
                 .select(*TRIP_COLUMNS))
 
     def rows_per_day(self) -> DataFrame:
         """K4: ``pickup_day, trips`` of the current table; only folder names and row counts are read."""
-        return (self._read_upto(self.last_seq() or 0).groupBy("pickup_day")
+        return (self._read_upto(self.last_seq()).groupBy("pickup_day")
                 .agg(F.count(F.lit(1)).alias("trips")))
 
     def rejects(self) -> DataFrame:
