@@ -224,7 +224,7 @@ def _cut_points(blocks: DataFrame) -> DataFrame:
         F.last("opener", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("key"),
         F.coalesce(F.max("touch").over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(False)).alias("later"))
     before = [F.lag(c).over(w).alias(f"prev_{c}") for c in ("block", "forced", "state", "key", "later")]
-    return t.select(*KEYS, "block", "seg_start", "forced", "state", "key", "later", *before)
+    return t.select(*KEYS, "block", "touch", "seg_start", "forced", "state", "key", "later", *before)
 
 
 def _segments(prof: DataFrame, block_size: int) -> DataFrame:
@@ -376,8 +376,9 @@ def frame_records(messages: DataFrame, block_size: int | None = DEFAULT_BLOCK,
                            F.sum(F.length("piece")).over(wg).alias("chars"))
     if not emit_open:
         pieces = pieces.where("closed")
-    # only a forced segment is entered inside a record: else all are within one
-    crossing = not segs.where("forced").isEmpty()
+    # only a forced segment is entered inside a record: without one in which, or after which,
+    # a record closes, each closed record lies within one segment
+    crossing = not segs.where("forced AND (touch OR later)").isEmpty()
     mine = pieces.where("here OR NOT closed") if crossing else pieces
     gather = F.col("here") & (F.col("chars") <= max_record_chars)
     out = _gathered(mine.select("*", gather.alias("whole")), ["seg"])
