@@ -1,21 +1,27 @@
 """Line dedup: repeated runs of lines, later copies deleted (DataFrame functions only).
 
 Each document is a sequence of line ids (lines without a word are left out of
-the sequence and always stay). A *suffix array* over all sequences is built
+the sequence and always stay). The *suffix ranks* over all sequences are built
 by distributed *prefix doubling*: the rank of a position at depth 2h is the
 rank of the pair (its rank at depth h, the rank h lines on at depth h).
 Ranking a depth means: count the distinct pairs, range-partition and sort
 the distinct ones, and number them in that order; so no task holds a whole
-rank table, and a pair that occurs millions of times is one row of it. Pairs
-that occur once end their positions' part in the deeper rounds.
-
-Positions with one rank at depth d are an interval of the suffix array whose
-*longest common prefix* is at least d: the copies of a run of d lines. A run
-counts when it has ``min_lines`` lines, or fewer but ``min_chars``
+rank table, and a pair that occurs millions of times is one row of it. Positions
+whose pair occurs once leave the deeper rounds; doubling goes on until no pair
+repeats, however long a run is.
+
+Positions with one rank at depth h are an interval of the suffix array whose
+*longest common prefix* is at least h. How far a position shares its lines with an
+earlier one lies between its last depth as a later copy and the double; it
+is found by halving steps, all depths at once: a run of m lines between h and 2h
+is the pair of the rank at its start and the rank h lines before its end, so each
+step splits the intervals by one more rank. These are the intervals' lengths: the
+longest run at each position that occurs before it, its copies, and the first of
+them. *Maximal* runs are those not inside the run of the line before.
+
+A run counts when it has ``min_lines`` lines, or fewer but ``min_chars``
 characters. Of each interval the copy first in (doc_id, row, line) order
-stays, and the lines of all later copies are deleted; together these
-windows cover exactly the later copies of all maximal repeated runs, so
-ranks deeper than ``min_lines`` are not needed for the deletion.
+stays, and the lines of all later copies are deleted.
 
 Lines are equal when two 64-bit hashes of them are. Every table between
 rounds is written to the shared folder.
@@ -29,7 +35,7 @@ extra columns are carried through, whatever their names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tripstream.llm.common import row_key, written
 
@@ -38,6 +44,7 @@ MIN_CHARS = 100
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _DOC = ["d", "r"]        # doc_id and row: the order in which copies are kept
+_COLUMNS = ["r", "seq", "at", "rank", "n", "first"]
 
 
 def line_table(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,60 +58,113 @@ def line_table(documents: DataFrame, doc_id: str = "doc_id", text: str = "text")
                        F.xxhash64(F.lit(1), F.col("s.x")).alias("h2"), F.length("s.x").alias("chars"))
 
 
+def ordered_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``line_table`` with ``at``: a number that rises with (doc_id, row, line) over all
+    documents, so that the first of some places is a plain minimum."""
+    rows = written(line_table(documents, doc_id, text), "lines")
+    # sorted by range: the running id of a row rises from partition to partition
+    rows = rows.repartitionByRange(*_DOC, "seq").sortWithinPartitions(*_DOC, "seq")
+    return written(rows.withColumn("at", F.monotonically_increasing_id()), "lines")
+
+
 def _ranked(keys: DataFrame, a: str, b: str, label: str) -> DataFrame:
-    """Rank of each pair (a, b) that occurs twice or more: ``a, b, rank, first``.
+    """Rank of each pair (a, b) that occurs twice or more: ``a, b, rank, n, first``.
 
     Ranks follow the order of the pairs. A row of ``first`` is the copy that stays.
     """
-    pairs = (keys.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_DOC, "seq")).alias("first"))
+    pairs = (keys.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
              .where("n > 1"))
     # sorted by range: the running id of a row rises from partition to partition
     ordered = pairs.repartitionByRange(a, b).sortWithinPartitions(a, b)
-    return written(ordered.select(a, b, "first", F.monotonically_increasing_id().alias("rank")), label)
-
-
-def _copy(rank: Column) -> Column:
-    """True for a copy that is not the first of its interval, null without a rank."""
-    return F.when(rank.isNotNull(), ~F.struct(*_DOC, "seq").eqNullSafe(F.col("first")))
-
-
-def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
-    """Positions on repeated lines: ``d, r, line, seq, chars, rank1.., later1..``
-    with the rank of the run of k lines that starts there (null: it occurs
-    once) and whether it is a later copy, for k = 1 to ``depth``."""
-    ranks = _ranked(lines, "h1", "h2", "line-ranks-1")
-    rows = lines.join(ranks, ["h1", "h2"]).select(
-        *_DOC, "line", "seq", "chars", F.col("rank").alias("rank1"), _copy(F.col("rank")).alias("later1"))
-    rows = written(rows, "line-rows-1")
-    w = Window.partitionBy(*_DOC).orderBy("seq")
-    for k in range(2, depth + 1):
-        half = 1 << ((k - 1).bit_length() - 1)      # largest power of two below k
-        shift = k - half
-        # the rank `shift` lines on, if the lines between are all there
-        ahead = F.when(F.lead("seq", shift).over(w) == F.col("seq") + shift, F.lead(f"rank{half}", shift).over(w))
-        pairs = rows.select("*", ahead.alias("ahead"))
-        both = pairs.where(F.col(f"rank{half}").isNotNull() & F.col("ahead").isNotNull())
-        ranks = _ranked(both, f"rank{half}", "ahead", f"line-ranks-{k}")
-        rows = pairs.join(ranks, [f"rank{half}", "ahead"], "left").select(
-            *rows.columns, F.col("rank").alias(f"rank{k}"), _copy(F.col("rank")).alias(f"later{k}"))
-        rows = written(rows, f"line-rows-{k}")
-    return rows
-
-
-def deleted_lines(ranks: DataFrame, depth: int, min_chars: int) -> DataFrame:
+    return written(ordered.select(a, b, "n", "first", F.monotonically_increasing_id().alias("rank")), label)
+
+
+def suffix_ranks(lines: DataFrame) -> list[DataFrame]:
+    """For depth 1, 2, 4, ..: ``r, seq, at, rank, n, first`` of the positions whose run of
+    so many lines occurs twice or more; until no run does. ``lines`` as ``ordered_lines``."""
+    ranks = _ranked(lines, "h1", "h2", "line-ranks")
+    rows = written(lines.join(ranks, ["h1", "h2"]).select(*_COLUMNS), "line-rows")
+    out = []
+    while not rows.isEmpty():
+        out.append(rows)
+        depth = 1 << (len(out) - 1)
+        w = Window.partitionBy("r").orderBy("seq").rangeBetween(depth, depth)
+        pairs = rows.select("r", "seq", "at", F.col("rank").alias("here"), F.first("rank").over(w).alias("ahead"))
+        pairs = written(pairs.where("ahead IS NOT NULL"), "line-pairs")
+        ranks = _ranked(pairs, "here", "ahead", "line-ranks")
+        rows = written(pairs.join(ranks, ["here", "ahead"]).select(*_COLUMNS), "line-rows")
+    return out
+
+
+def longest_runs(lines: DataFrame) -> DataFrame:
+    """``r, seq, at, m, n, first``: the positions that repeat an earlier one, the most lines
+    they share with one, how often that run occurs, and where first."""
+    depths = suffix_ranks(lines)
+    if not depths:
+        return lines.select("r", "seq", F.lit(0).alias("m"), F.lit(0).cast("long").alias("n"), "at", F.col("at").alias("first")).limit(0)
+    levels = None
+    for p, rows in enumerate(depths):
+        rows = rows.withColumn("p", F.lit(p))
+        levels = rows if levels is None else levels.unionByName(rows)
+    # the deepest level as a later copy
+    later = levels.where("at != first")
+    deepest = later.groupBy("at").agg(F.max("p").alias("p"))
+    runs = written(later.join(deepest, ["at", "p"]).withColumn("m", F.expr("shiftleft(1, p)")), "line-runs")
+    ranks = levels.select("p", "rank", "r", "seq", "at")
+    done = runs.where("p = 0")               # a run of depth 2^p takes p steps
+    for step in range(1, len(depths)):
+        runs = runs.where(F.col("p") >= step)
+        # longer by half the last step: the rank at the start, and that of the last 2^p lines
+        more = F.col("m") + F.expr(f"shiftleft(1, p - {step})")
+        probes = runs.select("p", "rank", more.alias("m2")).distinct()
+        starts = ranks.join(probes, ["p", "rank"]).withColumn("last", F.col("seq") + F.col("m2") - F.expr("shiftleft(1, p)"))
+        ends = ranks.select("p", "r", F.col("seq").alias("last"), F.col("rank").alias("end"))
+        met = written(starts.join(ends, ["p", "r", "last"]).select("p", "rank", "m2", "end", "at"), "line-probes")
+        key = ["p", "rank", "m2", "end"]
+        groups = met.groupBy(*key).agg(F.count(F.lit(1)).alias("n2"), F.min("at").alias("first2")).where("n2 > 1")
+        found = met.join(groups, key).where("at != first2").select("at", "m2", "n2", "first2")
+        longer = runs.withColumn("m2", more).join(found, ["at", "m2"], "left")
+        runs = written(longer.select("r", "seq", "at", "p", "rank", *[
+            F.when(F.col("n2").isNotNull(), F.col(f"{c}2")).otherwise(F.col(c)).alias(c) for c in ("n", "first", "m")]), "line-runs")
+        done = done.unionByName(runs.where(F.col("p") == step))
+    return done.select("r", "seq", "at", "m", "n", "first")
+
+
+def _counts(runs: DataFrame, lines: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
+    """The runs with ``line, chars, counts``: first line's number, characters (of runs
+    below ``min_lines`` lines, else null), and whether the run counts."""
+    own = lines.select("at", "d", "line", F.col("chars").alias("own"))
+    rows = runs.join(own, "at")
+    w = Window.partitionBy("r").orderBy("seq")
+    # a run's lines all repeat earlier ones, so the next rows are its lines
+    chars = F.lit(None).cast("long")
+    for k in range(1, min_lines):
+        chars = F.when(F.col("m") == k, F.sum("own").over(w.rowsBetween(0, k - 1))).otherwise(chars)
+    rows = rows.withColumn("chars", chars)
+    return rows.withColumn("counts", (F.col("m") >= min_lines) | F.coalesce(F.col("chars") >= min_chars, F.lit(False)))
+
+
+def repeated_runs(documents: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS,
+                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, line, n_lines, copies, source_id, source_line``: the maximal runs of lines
+    that occur before, each at its later copies, how often the run occurs in all, and where
+    first; of the runs that count. ``n_lines`` counts lines with a word."""
+    lines = ordered_lines(documents, doc_id, text)
+    runs = _counts(longest_runs(lines), lines, min_lines, min_chars)
+    w = Window.partitionBy("r").orderBy("seq")
+    inside = (F.lag("seq").over(w) == F.col("seq") - 1) & (F.lag("m").over(w) == F.col("m") + 1)
+    runs = runs.withColumn("inside", F.coalesce(inside, F.lit(False))).where("counts AND NOT inside")
+    source = lines.select(F.col("at").alias("first"), F.col("d").alias("source_id"), F.col("line").alias("source_line"))
+    return runs.join(source, "first").select(
+        F.col("d").alias("doc_id"), "line", F.col("m").alias("n_lines"), F.col("n").alias("copies"), "source_id", "source_line")
+
+
+def deleted_lines(lines: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
     """``d, r, line``: lines inside a later copy of a run that counts."""
-    w = Window.partitionBy(*_DOC).orderBy("seq")
-    gone = F.lit(False)
-    for k in range(1, depth + 1):
-        # a run never reaches over a line that occurs once, so rows k - 1 on
-        # are its lines; characters are those of the k lines
-        chars = F.sum("chars").over(w.rowsBetween(0, k - 1))
-        counts = F.coalesce(F.col(f"later{k}"), F.lit(False))
-        if k < depth:
-            counts &= chars >= min_chars
-        ranks = ranks.withColumn(f"gone{k}", counts.cast("int"))
-        gone |= F.max(f"gone{k}").over(w.rangeBetween(-(k - 1), 0)) == 1
-    return ranks.select(*_DOC, "line", gone.alias("gone")).where("gone").select(*_DOC, "line")
+    rows = _counts(longest_runs(lines), lines, min_lines, min_chars)
+    w = Window.partitionBy("r").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.max(F.when(F.col("counts"), F.col("seq") + F.col("m"))).over(w)
+    return rows.withColumn("reach", reach).where("reach > seq").select(*_DOC, "line")
 
 
 def dedup_lines(documents: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS,
@@ -113,8 +173,8 @@ def dedup_lines(documents: DataFrame, min_lines: int = MIN_LINES, min_chars: int
 
     ``report=True`` instead returns ``doc_id, n_lines, n_deleted, deleted, text``.
     """
-    lines = written(line_table(documents, doc_id, text), "lines")
-    gone = (deleted_lines(suffix_ranks(lines, min_lines), min_lines, min_chars)
+    lines = ordered_lines(documents, doc_id, text)
+    gone = (deleted_lines(lines, min_lines, min_chars)
             .groupBy(*_DOC).agg(F.collect_list("line").alias("gone")))
     # the row's own columns as one struct: extra names never clash
     docs = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
