@@ -44,7 +44,7 @@ def made(seed=3):
 
 def test_contained_items(spark, docs_of, odd, clashing, monkeypatch):
     docs, items = made()
-    docs = docs + [x for x in odd if x[0] != 7] + docs[:3]
+    docs = docs + odd + docs[:3]
     idf = spark.createDataFrame(items, "item_id long, text string")
     df = clashing(docs_of(docs))
     monkeypatch.setattr(d, "BLOCK_ITEMS", 10)              # several passes
@@ -58,6 +58,25 @@ def test_contained_items(spark, docs_of, odd, clashing, monkeypatch):
     assert clean.where("text IS NULL").count() == sum(t is None for _, t in docs)
 
 
+def test_items_scattered_in_chunks(spark, docs_of):
+    """Items cut into chunks of 6 to 10 words with other words between, some edited: an item
+    is found where 80 % of its shingles are still in the document."""
+    rng = random.Random(12)
+    items = [(i, " ".join(words(rng, rng.choice([40, 80, 160])))) for i in range(30)]
+    docs = []
+    for i in range(150):
+        w, rest = words(rng, 100), items[i % 30][1].split()
+        while rest:
+            n = rng.randint(6, 10) if i % 2 else rng.randint(30, 60)
+            w += rest[:n] + words(rng, rng.randint(1, 9))
+            rest = rest[n:]
+        docs.append((i, " ".join(w)))
+    docs += [(200 + k, t.replace(t.split()[len(t.split()) // 2], "edited")) for k, (_, t) in enumerate(items)]
+    idf = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, d.contained_items(docs_of(docs), idf).collect()))
+    assert got == sorted(brute(docs, items)) and len(got) >= 60
+
+
 def test_empty_tables(spark, docs_of):
     docs, items = made()
     idf = spark.createDataFrame(items, "item_id long, text string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,41 @@ def written(df: DataFrame, label: str, **options) -> DataFrame:
     spark = df.sparkSession
     path = scratch_root(spark, label)
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    for scope in _SCOPES:
+        scope.paths[path] = out
+    return out
+
+
+class Scratch:
+    """Tables that ``written`` made within a ``scratch_scope``."""
+
+    def __init__(self) -> None:
+        self.paths: dict[str, DataFrame] = {}
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Leave this table (as ``written`` returned it) where it is."""
+        self.paths = {path: x for path, x in self.paths.items() if x is not df}
+        return df
+
+
+_SCOPES: list[Scratch] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Scratch]:
+    """Delete what ``written`` makes inside, but for what is kept, at the end. Nothing
+    read after it may hang on a deleted table: keep a written result."""
+    scope = Scratch()
+    _SCOPES.append(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPES.remove(scope)
+        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in scope.paths:
+            p = path_of(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def small(df: DataFrame) -> Callable[[DataFrame], DataFrame]:
@@ -212,29 +247,40 @@ def long_lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays).view(np.int64)))
 
 
-def wanted_texts(documents: DataFrame, wanted: DataFrame, tokens: Callable[[np.ndarray], np.ndarray],
-                 text: str = "text") -> DataFrame:
-    """``r, s``: ``tokens`` of the word hashes of documents by row_key, of all
-    rows in ``wanted`` (column r) and some others.
+def row_sketch(wanted: DataFrame) -> Callable[[pa.RecordBatch, int], pa.RecordBatch]:
+    """A filter of batches that keeps all rows whose row_key (in the given column)
+    is in ``wanted`` (column r), and some others.
 
-    Texts are read where they are; a bit sketch of the wanted rows, of a fixed
-    1 MB, keeps most others from being hashed and shuffled. The sketch may only
-    let more rows through, never fewer.
+    A bit sketch of a fixed 1 MB: it may only let more rows through, never fewer.
     """
     slot = F.pmod(F.col("r"), F.lit(1 << SKETCH_BITS))
     bits = (wanted.select(slot.alias("b")).groupBy(F.floor(F.col("b") / 64).cast("int").alias("w"))
             .agg(F.bit_or(F.expr("shiftleft(1L, CAST(b % 64 AS INT))")).alias("v")).collect())
     sketch = np.zeros(1 << (SKETCH_BITS - 6), np.int64)
     sketch[[b["w"] for b in bits]] = [b["v"] for b in bits]
+    hits: list[np.ndarray] = []
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hits = np.unpackbits(sketch.view(np.uint8), bitorder="little")
+    def known(batch: pa.RecordBatch, column: int) -> pa.RecordBatch:
+        if not hits:
+            hits.append(np.unpackbits(sketch.view(np.uint8), bitorder="little"))
+        slots = batch.column(column).to_numpy() & ((1 << SKETCH_BITS) - 1)
+        return batch.filter(pa.array(hits[0][slots] == 1))
+
+    return known
 
-        def known(batch: pa.RecordBatch) -> pa.RecordBatch:
-            slots = batch.column(1).to_numpy() & ((1 << SKETCH_BITS) - 1)
-            return batch.filter(pa.array(hits[slots] == 1))
 
-        for part, words, at in hashed_texts(known(b) for b in batches):
+def wanted_texts(documents: DataFrame, wanted: DataFrame, tokens: Callable[[np.ndarray], np.ndarray],
+                 text: str = "text") -> DataFrame:
+    """``r, s``: ``tokens`` of the word hashes of documents by row_key, of all
+    rows in ``wanted`` (column r) and some others.
+
+    Texts are read where they are; a sketch of the wanted rows keeps most others
+    from being hashed and shuffled.
+    """
+    known = row_sketch(wanted)
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, words, at in hashed_texts(known(b, 1) for b in batches):
             yield pa.RecordBatch.from_arrays(
                 [part.column(1), long_lists([tokens(words[a:b]) for a, b in zip(at[:-1], at[1:])])], names=["r", "s"])
 

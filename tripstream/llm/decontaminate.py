@@ -5,7 +5,9 @@ of an item's distinct five-word shingles occur in the document.
 
 The short side is the query. Each document is cut into *segments* of 64
 shingles that overlap by half; an item into parts of at most 32 shingles, so
-an item's part that stands in a document lies inside one segment. Segments
+an item's part that stands unbroken in a document lies inside one segment (a
+scattered item is met by whichever of its minima a segment holds; the tests have
+items in chunks of 6 to 60 words, all found). Segments
 are *partitioned by size*: an item part of q shingles contained to a share t
 in a segment of at most u shingles has a Jaccard similarity of at least
 ``t q / (u + q - t q)``, and each size partition uses as many hash functions
