@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripstream.llm import decontaminate, jaccard_join, line_dedup, packing, quality
-from tripstream.llm.common import ready, row_key, table, written
+from tripstream.llm.common import ready, row_key, scratch_scope, table, written
 
 ORACLE_SQL = None
 
@@ -49,9 +49,11 @@ def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ready(spark)
     found = written(jaccard_join.near_components(docs), "pipeline-components")
-    gone = found.where("r != first").select(F.col("r").alias("__row"))
-    kept = docs.withColumn("__row", row_key(docs)).join(gone, "__row", "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = found.where("r != first").select("r", "doc_id")
+    # the row as one struct: no column name can clash; a row goes by its key and its doc_id
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(docs).alias("key"))
+    same = (rows["key"] == gone["r"]) & F.col("row.doc_id").cast("long").eqNullSafe(gone["doc_id"])
+    return rows.join(gone, same, "left_anti").select("row.*")
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,7 +75,9 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn; what a stage wrote on the way goes once its result is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_scope(spark) as scratch:
+            docs = scratch.keep(written(stage(spark, docs, sf_dir), f"pipeline-{name}"))
     return docs
