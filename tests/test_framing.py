@@ -181,6 +181,14 @@ def test_framing_plan_moves_the_text_once(spark):
     assert plan.count("FileScan parquet") == 1 and "Python" not in plan
 
 
+def test_block_size_is_bounded_on_large_inputs(spark):
+    import tripstream.operators.framing as fr
+
+    # 2 ** 30 offsets: more blocks, not larger ones, so that a task's texts stay few
+    rows = [(None, b"{}", "t", 0, o, None) for o in (0, (1 << 30) - 1)]
+    assert fr.choose_block_size(spark.createDataFrame(rows, MESSAGE_SCHEMA), target_blocks=48) <= 1 << 17
+
+
 def test_block_size_reads_no_payload(spark):
     from tripstream.config import scratch_root
     from tripstream.operators import framing as fr

@@ -48,7 +48,7 @@ TAIL = "tail"       # opens a record that goes on after this message
 
 DEFAULT_BLOCK = None             # offsets per scan block; None: from the offset spans
 MIN_BLOCK = 1 << 10
-MAX_BLOCK = 1 << 20              # bounds a block's gathered step list, whatever the data size
+MAX_BLOCK = 1 << 17              # bounds what a task holds of a block (step list, texts), whatever the data size
 MAX_BLOCKS = 200_000             # keeps the per-block table small
 MAX_BROADCAST_BLOCKS = 500_000   # rows of about 60 bytes
 DEFAULT_FAST_DEPTH = 8           # deepest object the regex path frames
