@@ -41,3 +41,13 @@ def test_fixture_table_keeps_no_rows_cached(spark):
         C.SnapshotTable.append = append
     assert len(seen) == 3 and max(seen) <= before
     assert t.current().count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+
+
+def test_rows_of_two_appends_are_staged(spark, monkeypatch):
+    from tripstream.plans import queries as Q
+
+    labels, staged = [], C.staged
+    monkeypatch.setattr(C, "staged", lambda rows, label, by=None: labels.append(label) or staged(rows, label, by))
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    got = {r.method: r.row_count for r in Q.q_table_fallback(spark, SF_SMALL).collect()}
+    assert labels == ["named-rows"] and got["path"] == got["name"] == n
