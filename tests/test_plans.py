@@ -51,3 +51,14 @@ def test_rows_of_two_appends_are_staged(spark, monkeypatch):
     n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     got = {r.method: r.row_count for r in Q.q_table_fallback(spark, SF_SMALL).collect()}
     assert labels == ["named-rows"] and got["path"] == got["name"] == n
+
+
+def test_stream_feeds_are_staged(spark, monkeypatch):
+    from tripstream.plans import queries as Q
+
+    labels, staged = [], C.staged
+    monkeypatch.setattr(C, "staged", lambda rows, label, by=None: labels.append(label) or staged(rows, label, by))
+    n = spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert {r.item: r.row_count for r in Q.q_two_streams_one_table(spark, SF_SMALL).collect()}["rows"] == n
+    assert sum(r.trips for r in Q.q_stream_ingest(spark, SF_SMALL).collect()) == n
+    assert labels == ["two-feed", "stream-feed"]
