@@ -128,3 +128,23 @@ def test_rows_of_a_hot_family_grow_linearly(spark, docs_of, monkeypatch):
         assert found.where("doc_id != component_id").count() < copies // 20        # edits side by side
         sums[copies] = sum(n for _, n in made_rows)
     assert sums[1700] < 6 * sums[425], sums
+
+
+def test_levels_shuffle_the_sets_that_are_left(spark, docs_of, monkeypatch):
+    """After the first level only what has too few rare tokens is compared: the other sets stay out of it."""
+    rng, seen = random.Random(12), []
+    real = j.grouped
+
+    def watched(docs, sets, num, den):
+        seen.append((docs.count(), sets.count()))
+        return real(docs, sets, num, den)
+
+    monkeypatch.setattr(j, "grouped", watched)
+    docs = [(i, " ".join(w)) for i, w in enumerate(family(rng, 40, 80, 4))]
+    for k in range(60):                      # pairs of near copies that the first level decides
+        a, b = family(rng, 1, 100, 1)
+        docs += [(1000 + 2 * k, " ".join(a)), (1001 + 2 * k, " ".join(b))]
+    found = j.near_components(docs_of(docs), 4, 85, 100, rare=4)
+    got = sorted((tuple(r) for r in found.select("doc_id", "n_shingles", "component_id").collect()), key=repr)
+    assert got == brute(docs, 4, 85, 100)
+    assert seen and all(left == sets for left, sets in seen), seen

@@ -138,7 +138,7 @@ def whole_sets(documents: DataFrame, wanted: DataFrame, n: int, text: str = "tex
         return np.unique(shingle_hashes(words, n) >> np.uint64(1))
 
     rows = wanted_texts(documents, wanted, tokens, text)
-    return written(rows.join(wanted.select("cid", "r"), "r").select("cid", "s"), "jaccard-sets")
+    return written(rows.join(small(wanted)(wanted.select("cid", "r")), "r").select("cid", "s"), "jaccard-sets")
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -180,15 +180,15 @@ def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int,
     """One level: which document opens which group (``cid, og, n``), and the documents with ``k``.
 
     ``tokens``: t, cid, g, decides; ``docs``: cid, g, n, nd, size (members of g). Of two
-    groups that of fewer members asks. ``thin``: drop tokens of one group before
-    their groups are counted (most tokens, at first).
+    groups that of fewer members asks. ``thin``: drop tokens of one document before
+    their groups are counted (most tokens, at first); each is its own group then, and
+    ``tokens`` have no g.
     """
     if thin:
-        # `any` and `d` keep both readers of `tokens` alike, so Spark reuses them
-        spread = (tokens.groupBy("t").agg(F.min("g").alias("lo"), F.max("g").alias("hi"),
-                                          F.max("cid").alias("any"), F.max("decides").alias("d"))
-                  .where("lo < hi AND any IS NOT NULL AND d IS NOT NULL").select("t"))
-        tokens = tokens.join(spread, "t").select("t", "cid", "g", "decides")
+        # a set holds a token once; `d` keeps both readers of `tokens` alike, so Spark reuses them
+        spread = (tokens.groupBy("t").agg(F.count("cid").alias("times"), F.max("decides").alias("d"))
+                  .where("times > 1 AND d IS NOT NULL").select("t"))
+        tokens = tokens.join(spread, "t").select("t", "cid", F.col("cid").alias("g"), "decides")
     tokens = written(tokens, "jaccard-tokens")
     width = tokens.select("t", "g").distinct().groupBy("t").agg(F.count(F.lit(1)).alias("width")).where("width > 1")
     tokens = written(tokens.join(width, "t").select("t", "cid", "g", "decides", (F.col("width") <= rare).alias("rare")),
@@ -336,7 +336,7 @@ def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n:
     docs = classes.select("cid", F.col("cid").alias("g"), "n", "nd", F.lit(1).alias("size"))
     tokens = (table.select("r", "e").join(classes.select("r", "cid", "nd"), "r")
               .select("cid", "nd", F.posexplode("e").alias("at", "t"))
-              .select("t", "cid", F.col("cid").alias("g"), (F.col("at") < F.col("nd")).alias("decides")))
+              .select("t", "cid", (F.col("at") < F.col("nd")).alias("decides")))
     opens, docs = match(tokens, docs, rare, num, den, thin=True)
     others = docs.select(F.col("cid").alias("og"), F.col("n").alias("mn"))
     pairs = (opens.join(small(docs)(others), "og").where(_fits(F.col("n"), F.col("mn"), num, den))
@@ -348,9 +348,11 @@ def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n:
     sets = whole_sets(documents, written(wanted, "jaccard-wanted"), n, text)
     links = verify(pairs, sets, num, den)
     minima = classes.select("cid", *[f"m{j}" for j in range(MINHASHES)])
-    left = docs.where("k < 1")
+    left = written(docs.where("k < 1"), "jaccard-left")
     while not left.isEmpty():
         rare *= GROWTH
+        # a level compares what is left only: the other sets are not shuffled again
+        sets = written(sets.join(small(left)(left.select("cid")), "cid", "left_semi"), "jaccard-sets")
         leaders, found = grouped(left.select("cid", "n", "rare").join(minima, "cid"), sets, num, den)
         links = links.unionByName(found)
         docs = left.select("cid", "n").join(leaders, "cid", "left").select(
