@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tripstream.llm.common import small, written
+from tripstream.llm.common import few_parts, small, written
 
 
 def _print(links: DataFrame) -> tuple:
@@ -27,11 +27,13 @@ def connected(links: DataFrame) -> DataFrame:
     while seen[0]:
         few = small(at)
         both = at.unionByName(at.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = few_parts(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), 2 * seen[0])
         large = both.join(few(low), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        # a link gives one link at most, in either step
+        large = few_parts(large, seen[0])
+        low = few_parts(large.groupBy("a").agg(F.min("b").alias("m")), seen[0])
         inner = large.join(few(low), "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        at = written(low.select("a", F.col("m").alias("b")).unionByName(inner).distinct(), "links")
+        at = written(low.select("a", F.col("m").alias("b")).unionByName(inner).distinct(), "links", seen[0])
         now = _print(at)
         if now == seen:
             break

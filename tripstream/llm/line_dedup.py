@@ -37,7 +37,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tripstream.llm.common import row_key, written
+from tripstream.llm.common import few_parts, row_key, written
 
 MIN_LINES = 3
 MIN_CHARS = 100
@@ -67,32 +67,34 @@ def ordered_lines(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return written(rows.withColumn("at", F.monotonically_increasing_id()), "lines")
 
 
-def _ranked(keys: DataFrame, a: str, b: str, label: str) -> DataFrame:
+def _ranked(keys: DataFrame, a: str, b: str, label: str, size: int) -> DataFrame:
     """Rank of each pair (a, b) that occurs twice or more: ``a, b, rank, n, first``.
 
     Ranks follow the order of the pairs. A row of ``first`` is the copy that stays.
+    ``size``: rows of ``keys``; a pair that repeats takes two.
     """
     pairs = (keys.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
              .where("n > 1"))
     # sorted by range: the running id of a row rises from partition to partition
-    ordered = pairs.repartitionByRange(a, b).sortWithinPartitions(a, b)
-    return written(ordered.select(a, b, "n", "first", F.monotonically_increasing_id().alias("rank")), label)
+    ordered = few_parts(pairs, size // 2).repartitionByRange(a, b).sortWithinPartitions(a, b)
+    return written(ordered.select(a, b, "n", "first", F.monotonically_increasing_id().alias("rank")), label, size // 2)
 
 
 def suffix_ranks(lines: DataFrame) -> list[DataFrame]:
     """For depth 1, 2, 4, ..: ``r, seq, at, rank, n, first`` of the positions whose run of
     so many lines occurs twice or more; until no run does. ``lines`` as ``ordered_lines``."""
-    ranks = _ranked(lines, "h1", "h2", "line-ranks")
-    rows = written(lines.join(ranks, ["h1", "h2"]).select(*_COLUMNS), "line-rows")
+    size = lines.count()
+    ranks = _ranked(lines, "h1", "h2", "line-ranks", size)
+    rows = written(lines.join(ranks, ["h1", "h2"]).select(*_COLUMNS), "line-rows", size)
     out = []
-    while not rows.isEmpty():
+    while size := rows.count():
         out.append(rows)
         depth = 1 << (len(out) - 1)
         w = Window.partitionBy("r").orderBy("seq").rangeBetween(depth, depth)
         pairs = rows.select("r", "seq", "at", F.col("rank").alias("here"), F.first("rank").over(w).alias("ahead"))
-        pairs = written(pairs.where("ahead IS NOT NULL"), "line-pairs")
-        ranks = _ranked(pairs, "here", "ahead", "line-ranks")
-        rows = written(pairs.join(ranks, ["here", "ahead"]).select(*_COLUMNS), "line-rows")
+        pairs = written(pairs.where("ahead IS NOT NULL"), "line-pairs", size)
+        ranks = _ranked(pairs, "here", "ahead", "line-ranks", size)
+        rows = written(pairs.join(ranks, ["here", "ahead"]).select(*_COLUMNS), "line-rows", size)
     return out
 
 
@@ -102,6 +104,7 @@ def longest_runs(lines: DataFrame) -> DataFrame:
     depths = suffix_ranks(lines)
     if not depths:
         return lines.select("r", "seq", F.lit(0).alias("m"), F.lit(0).cast("long").alias("n"), "at", F.col("at").alias("first")).limit(0)
+    size = depths[0].count()                 # the places of each depth are among those of the first
     levels = None
     for p, rows in enumerate(depths):
         rows = rows.withColumn("p", F.lit(p))
@@ -109,7 +112,7 @@ def longest_runs(lines: DataFrame) -> DataFrame:
     # the deepest level as a later copy
     later = levels.where("at != first")
     deepest = later.groupBy("at").agg(F.max("p").alias("p"))
-    runs = written(later.join(deepest, ["at", "p"]).withColumn("m", F.expr("shiftleft(1, p)")), "line-runs")
+    runs = written(later.join(deepest, ["at", "p"]).withColumn("m", F.expr("shiftleft(1, p)")), "line-runs", size)
     ranks = levels.select("p", "rank", "r", "seq", "at")
     done = runs.where("p = 0")               # a run of depth 2^p takes p steps
     for step in range(1, len(depths)):
@@ -119,13 +122,13 @@ def longest_runs(lines: DataFrame) -> DataFrame:
         probes = runs.select("p", "rank", more.alias("m2")).distinct()
         starts = ranks.join(probes, ["p", "rank"]).withColumn("last", F.col("seq") + F.col("m2") - F.expr("shiftleft(1, p)"))
         ends = ranks.select("p", "r", F.col("seq").alias("last"), F.col("rank").alias("end"))
-        met = written(starts.join(ends, ["p", "r", "last"]).select("p", "rank", "m2", "end", "at"), "line-probes")
+        met = written(starts.join(ends, ["p", "r", "last"]).select("p", "rank", "m2", "end", "at"), "line-probes", size)
         key = ["p", "rank", "m2", "end"]
         groups = met.groupBy(*key).agg(F.count(F.lit(1)).alias("n2"), F.min("at").alias("first2")).where("n2 > 1")
         found = met.join(groups, key).where("at != first2").select("at", "m2", "n2", "first2")
         longer = runs.withColumn("m2", more).join(found, ["at", "m2"], "left")
         runs = written(longer.select("r", "seq", "at", "p", "rank", *[
-            F.when(F.col("n2").isNotNull(), F.col(f"{c}2")).otherwise(F.col(c)).alias(c) for c in ("n", "first", "m")]), "line-runs")
+            F.when(F.col("n2").isNotNull(), F.col(f"{c}2")).otherwise(F.col(c)).alias(c) for c in ("n", "first", "m")]), "line-runs", size)
         done = done.unionByName(runs.where(F.col("p") == step))
     return done.select("r", "seq", "at", "m", "n", "first")
 
