@@ -216,11 +216,11 @@ def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int,
     return written(opens, "jaccard-opens", size), docs
 
 
-def grouped(docs: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+def grouped(docs: DataFrame, sets: DataFrame, num: int, den: int, size: int) -> tuple[DataFrame, DataFrame]:
     """Groups around leaders: ``cid, leader, linked`` of the documents near one, and
     the links to leaders.
 
-    ``docs``: cid, n, rare, m0..; the leader of a bucket of equal minima is the
+    ``docs``: cid, n, rare, m0.. (``size`` rows); the leader of a bucket of equal minima is the
     document with the fewest rare tokens.
     """
     tries = docs.select("cid", "n", "rare", F.posexplode(F.array(*[f"m{j}" for j in range(MINHASHES)])).alias("j", "m"))
@@ -229,7 +229,7 @@ def grouped(docs: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataF
     pairs = (tries.join(lead, ["j", "m"]).where(F.col("cid") != F.col("lead.cid"))
              .select(F.col("cid").alias("a"), F.col("lead.cid").alias("b")))
     # each document meets a leader by minimum at most
-    pairs = written(pairs.distinct(), "jaccard-leaders", MINHASHES * docs.count())
+    pairs = written(pairs.distinct(), "jaccard-leaders", MINHASHES * size)
     found = written(compared(pairs, sets), "jaccard-compared")
     sizes = F.col("d"), F.col("na"), F.col("nb"), num, den
     linked = _differ(*sizes)
@@ -362,7 +362,7 @@ def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n:
         rare *= GROWTH
         # a level compares what is left only: the other sets are not shuffled again
         sets = written(sets.join(small(left)(left.select("cid")), "cid", "left_semi"), "jaccard-sets")
-        leaders, found = grouped(left.select("cid", "n", "rare").join(minima, "cid"), sets, num, den)
+        leaders, found = grouped(left.select("cid", "n", "rare").join(minima, "cid"), sets, num, den, size)
         links = links.unionByName(found)
         docs = left.select("cid", "n").join(leaders, "cid", "left").select(
             "cid", F.coalesce("leader", "cid").alias("g"), "n", F.col("n").alias("nd"),
