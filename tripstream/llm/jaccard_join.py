@@ -190,18 +190,18 @@ def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int,
         spread = (tokens.groupBy("t").agg(F.count("cid").alias("times"), F.max("decides").alias("d"))
                   .where("times > 1 AND d IS NOT NULL").select("t"))
         tokens = tokens.join(spread, "t").select("t", "cid", F.col("cid").alias("g"), "decides")
-    tokens = written(tokens, "jaccard-tokens", size)
+    tokens = written(tokens, "jaccard-tokens", rows=size)
     size, n_docs = tokens.count(), docs.count()
     width = (few_parts(tokens.select("t", "g").distinct(), size).groupBy("t").agg(F.count(F.lit(1)).alias("width"))
              .where("width > 1"))
     tokens = written(tokens.join(width, "t").select("t", "cid", "g", "decides", (F.col("width") <= rare).alias("rare")),
-                     "jaccard-widths", size)
+                     "jaccard-widths", rows=size)
     frequent = tokens.where("decides AND NOT rare").groupBy("cid").agg(F.count(F.lit(1)).alias("frequent"))
     p = F.expr(f"n - (n * {num} + {den - 1}) div {den} + 1")
     docs = docs.join(frequent, "cid", "left").select(
         *docs.columns, (F.col("nd") - F.coalesce("frequent", F.lit(0))).alias("rare"),
         (F.col("nd") - F.coalesce("frequent", F.lit(0)) - p + 1).alias("k"))
-    docs = written(docs, "jaccard-docs", n_docs)
+    docs = written(docs, "jaccard-docs", rows=n_docs)
     few = small(docs)
     rows = tokens.where("rare").select("t", "cid", "g").join(few(docs.select("cid", "k", "size")), "cid")
     union = rows.groupBy("t", F.col("g").alias("og"), F.col("size").alias("osize")).agg(F.max(F.col("k") >= 1).alias("opened"))
@@ -213,14 +213,14 @@ def match(tokens: DataFrame, docs: DataFrame, rare: int, num: int, den: int,
     bound = F.greatest(F.lit(1), F.least("k", "ok"))
     opens = (counts.join(few(docs.select("cid", "n", "k")), "cid").join(few(least), "og")
              .where(F.col("n_shared") >= bound).select("cid", "og", "n"))
-    return written(opens, "jaccard-opens", size), docs
+    return written(opens, "jaccard-opens", rows=size), docs
 
 
-def grouped(docs: DataFrame, sets: DataFrame, num: int, den: int, size: int) -> tuple[DataFrame, DataFrame]:
+def grouped(docs: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Groups around leaders: ``cid, leader, linked`` of the documents near one, and
     the links to leaders.
 
-    ``docs``: cid, n, rare, m0.. (``size`` rows); the leader of a bucket of equal minima is the
+    ``docs``: cid, n, rare, m0..; the leader of a bucket of equal minima is the
     document with the fewest rare tokens.
     """
     tries = docs.select("cid", "n", "rare", F.posexplode(F.array(*[f"m{j}" for j in range(MINHASHES)])).alias("j", "m"))
@@ -228,9 +228,7 @@ def grouped(docs: DataFrame, sets: DataFrame, num: int, den: int, size: int) ->
             .where("size > 1"))
     pairs = (tries.join(lead, ["j", "m"]).where(F.col("cid") != F.col("lead.cid"))
              .select(F.col("cid").alias("a"), F.col("lead.cid").alias("b")))
-    # each document meets a leader by minimum at most
-    pairs = written(pairs.distinct(), "jaccard-leaders", MINHASHES * size)
-    found = written(compared(pairs, sets), "jaccard-compared")
+    found = written(compared(written(pairs.distinct(), "jaccard-leaders"), sets), "jaccard-compared")
     sizes = F.col("d"), F.col("na"), F.col("nb"), num, den
     linked = _differ(*sizes)
     near = (found.where(_differ(*sizes, NEAR)).groupBy(F.col("a").alias("cid"))
@@ -264,16 +262,16 @@ def within_groups(docs: DataFrame, sets: DataFrame, rare: int, num: int, den: in
     members = docs.where("cid != g")
     mixed = (members.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.max(~F.col("linked")).alias("any"))
              .where("size > 1 AND any").select("g"))
-    members = written(members.join(mixed, "g", "left_semi"), "jaccard-members", docs.count())
+    members = written(members.join(mixed, "g", "left_semi"), "jaccard-members", rows=docs.count())
     size = members.count()
     tokens = written(differences(members, sets).select("cid", "g", F.explode("s").alias("t")), "jaccard-differences")
     n_tokens = tokens.count()
     width = tokens.groupBy("g", "t").agg(F.count(F.lit(1)).alias("width"))
     order = Window.partitionBy("g", "cid").orderBy("width", "t")
     tokens = written(tokens.join(width, ["g", "t"]).select("g", "t", "cid", "width", F.row_number().over(order).alias("place")),
-                     "jaccard-edits", n_tokens)
+                     "jaccard-edits", rows=n_tokens)
     sums = tokens.groupBy("g", "cid").agg(F.count(F.lit(1)).alias("d"), F.count_if(F.col("width") <= rare).alias("rare"))
-    members = written(members.join(sums, ["g", "cid"]), "jaccard-members", size)
+    members = written(members.join(sums, ["g", "cid"]), "jaccard-members", rows=size)
     # the fewest tokens and the largest set that a partner of either kind can have
     kinds = members.groupBy("g").agg(*[f(F.when(F.col("linked") == k, F.col(c))).alias(f"{c}{int(k)}")
                                        for k in (False, True) for f, c in ((F.min, "d"), (F.max, "n"))])
@@ -290,7 +288,7 @@ def within_groups(docs: DataFrame, sets: DataFrame, rare: int, num: int, den: in
     members = members.join(small(members)(kinds), "g").select(
         "cid", "g", "n", "linked", "d", "rare", prefix("0").alias("p0"),
         F.when(~F.col("linked"), F.coalesce(prefix("1"), F.lit(0))).alias("p1"))
-    members = written(members.withColumn("open", F.col("rare") >= F.greatest("p0", F.coalesce("p1", F.lit(0)))), "jaccard-members", size)
+    members = written(members.withColumn("open", F.col("rare") >= F.greatest("p0", F.coalesce("p1", F.lit(0)))), "jaccard-members", rows=size)
     few = small(members)
     rows = tokens.where((F.col("width") > 1) & (F.col("width") <= rare)).join(few(members), ["g", "cid"])
 
@@ -310,7 +308,7 @@ def within_groups(docs: DataFrame, sets: DataFrame, rare: int, num: int, den: in
     fewest = F.col("x_d") + F.col("y_d") - 2 * (F.col("n_shared") + F.greatest("x_others", "y_others"))
     pairs = met.where(_differ(fewest, F.col("x_n"), F.col("y_n"), num, den)).select(
         F.greatest("x_cid", "y_cid").alias("a"), F.least("x_cid", "y_cid").alias("b")).distinct()
-    return written(pairs, "jaccard-pairs", n_tokens), members.where("NOT open").select("cid").distinct()
+    return written(pairs, "jaccard-pairs", rows=n_tokens), members.where("NOT open").select("cid").distinct()
 
 
 def opened(opens: DataFrame, docs: DataFrame, sets: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -334,7 +332,7 @@ def opened(opens: DataFrame, docs: DataFrame, sets: DataFrame, num: int, den: in
            .where(_differ(F.col("d") - F.col("md"), F.col("na"), F.col("mn"), num, den) & _fits(F.col("na"), F.col("mn"), num, den))
            .select(F.col("a").alias("cid"), "m"))
     pairs = one.unionByName(far).where("cid != m").select(F.greatest("cid", "m").alias("a"), F.least("cid", "m").alias("b"))
-    return written(pairs.distinct(), "jaccard-pairs", opens.count()), more, found.where(linked & (F.col("a") != F.col("b"))).select("a", "b")
+    return written(pairs.distinct(), "jaccard-pairs", rows=opens.count()), more, found.where(linked & (F.col("a") != F.col("b"))).select("a", "b")
 
 
 def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n: int, num: int,
@@ -350,11 +348,11 @@ def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n:
     others = docs.select(F.col("cid").alias("og"), F.col("n").alias("mn"))
     pairs = (opens.join(small(docs)(others), "og").where(_fits(F.col("n"), F.col("mn"), num, den))
              .select(F.greatest("cid", "og").alias("a"), F.least("cid", "og").alias("b")).distinct())
-    pairs = written(pairs, "jaccard-pairs", opens.count())
+    pairs = written(pairs, "jaccard-pairs", rows=opens.count())
     rows = classes.select("cid", "r")
     wanted = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).unionByName(
         docs.where("k < 1").select("cid")).distinct().join(rows, "cid")
-    sets = whole_sets(documents, written(wanted, "jaccard-wanted", size), n, text)
+    sets = whole_sets(documents, written(wanted, "jaccard-wanted", rows=size), n, text)
     links = verify(pairs, sets, num, den)
     minima = classes.select("cid", *[f"m{j}" for j in range(MINHASHES)])
     left = written(docs.where("k < 1"), "jaccard-left")
@@ -362,14 +360,14 @@ def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n:
         rare *= GROWTH
         # a level compares what is left only: the other sets are not shuffled again
         sets = written(sets.join(small(left)(left.select("cid")), "cid", "left_semi"), "jaccard-sets")
-        leaders, found = grouped(left.select("cid", "n", "rare").join(minima, "cid"), sets, num, den, size)
+        leaders, found = grouped(left.select("cid", "n", "rare").join(minima, "cid"), sets, num, den)
         links = links.unionByName(found)
         docs = left.select("cid", "n").join(leaders, "cid", "left").select(
             "cid", F.coalesce("leader", "cid").alias("g"), "n", F.col("n").alias("nd"),
             F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("d", F.lit(0)).alias("d"))
-        docs = written(docs, "jaccard-groups", size)
+        docs = written(docs, "jaccard-groups", rows=size)
         docs = written(docs.join(docs.groupBy("g").agg(F.count(F.lit(1)).alias("size")), "g").select(*docs.columns, "size"),
-                       "jaccard-groups", size)
+                       "jaccard-groups", rows=size)
         tokens = (docs.join(sets, "cid")
                   .select("cid", "g", F.explode("s").alias("t"))
                   .select("t", "cid", "g", F.lit(True).alias("decides")))
@@ -379,7 +377,7 @@ def jaccard_links(documents: DataFrame, table: DataFrame, classes: DataFrame, n:
         inner, again = within_groups(docs.select("cid", "g", "n", "linked").unionByName(more), sets, rare, num, den)
         links = links.unionByName(verify(pairs.unionByName(inner).distinct(), sets, num, den))
         left = matched.join(again.withColumn("again", F.lit(True)), "cid", "left").where("k < 1 OR again").drop("again")
-        left = written(left, "jaccard-left", size)
+        left = written(left, "jaccard-left", rows=size)
     return links
 
 
@@ -395,13 +393,13 @@ def near_components(documents: DataFrame, n: int = N, num: int = NUM, den: int =
                .agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "r")).alias("one"),
                     F.first("nd").alias("nd"), *[F.first(m).alias(m) for m in minima])
                .select(F.monotonically_increasing_id().alias("cid"), *key, F.col("one.r").alias("r"), "one", "nd", *minima))
-    classes = written(classes, "jaccard-classes", table.count())
+    classes = written(classes, "jaccard-classes", rows=table.count())
     roots = connected(jaccard_links(documents, table, classes, n, num, den, rare, text))
     labels = classes.join(roots.withColumnRenamed("a", "cid"), "cid", "left").select(
         *key, F.coalesce("b", "cid").alias("root"), "one")
     best = labels.groupBy("root").agg(F.min("one").alias("top"))
     labels = written(labels.join(best, "root").select(
-        *key, F.col("top.doc").alias("component_id"), F.col("top.r").alias("first")), "jaccard-labels", classes.count())
+        *key, F.col("top.doc").alias("component_id"), F.col("top.r").alias("first")), "jaccard-labels", rows=classes.count())
     rows = table.select("r", "doc", *key).join(labels, key, "left")
     return rows.select("r", F.col("doc").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"),
                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc")).alias("component_id"),
