@@ -1,7 +1,9 @@
+import os
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tripstream.llm import packing as p
@@ -66,6 +68,23 @@ def test_cache_of_two_generations(monkeypatch):
     assert got == [np.array(whole(t)[:-1], "<u4").tobytes() for t in texts]
 
 
+def test_tasks_of_a_worker_share_the_cache(spark, docs_of):
+    from pyspark import TaskContext
+
+    def learned(batches):
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "n": [len(p.id_cache(path).young)],
+                                          "task": [TaskContext.get().partitionId()]})
+
+    path = p.tokenizer_path()
+    docs = [(i, f"word{i}") for i in range(64)]
+    p.token_pieces(docs_of(docs), path).count()
+    rows = docs_of(docs).select("doc_id").mapInArrow(learned, "pid long, n long, task int").collect()
+    assert max(r.n for r in rows) > 0           # what tasks before this one learned
+    assert p.id_cache(path) is p.id_cache(path)
+
+
 def test_local_search_beats_best_fit():
     rng = random.Random(7)
     better = 0

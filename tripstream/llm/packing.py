@@ -19,8 +19,8 @@ a group large (pieces are dealt by a hash of their row's place in the
 written table).
 
 Tokens come from the tokenizer file, one run of non-blank text at a time with
-a bounded cache (the tokenizer never looks across white space); a text never
-leaves its task.
+a bounded cache that the tasks of a Python worker share (the tokenizer never
+looks across white space); a text never leaves its task.
 
 Edge cases: null text -> empty; an empty text is the end id alone; repeated
 rows are documents of their own; null doc_id stays null; empty table -> no
@@ -33,6 +33,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -59,8 +60,9 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-# A word, then ASCII punctuation: the tokenizer cuts between the two.
-_WORD_TAIL = re.compile(rb"([a-z\x80-\xff]*[a-z])([!\"#$%&()*+,\-./:;=?@\[\]^_`{}~]+)")
+# ASCII punctuation after a word, and such a word: the tokenizer cuts between the two.
+_TAIL = b"!\"#$%&()*+,-./:;=?@[]^_`{}~"
+_WORD = re.compile(rb"[a-z\x80-\xff]*[a-z]")
 # Lower-case letters of Latin-1, composed: nothing to normalise, all one word.
 _LATIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
@@ -104,13 +106,16 @@ class IdCache:
             known = old.get(run)
             if known is not None:
                 young[run] = known
-            elif _LATIN.fullmatch(run):
-                words.append(run)
-            elif cut := _WORD_TAIL.fullmatch(run):
-                word, tail = cut.groups()
+                continue
+            word = run.rstrip(_TAIL)
+            plain = (word.isalpha() and word.islower()) or _LATIN.fullmatch(word)
+            if len(word) == len(run):
+                (words if plain else rest).append(run)
+            elif (plain and word[-1] < 128) or _WORD.fullmatch(word):
+                tail = run[len(word):]
                 compound.append((run, word, tail))
                 if word not in young:
-                    (words if _LATIN.fullmatch(word) else rest).append(word)
+                    (words if plain else rest).append(word)
                 if tail not in young:
                     rest.append(tail)
             else:
@@ -146,6 +151,12 @@ class IdCache:
             yield b"".join(ids if None not in ids else [get(r) if x is None else x for r, x in zip(runs, ids)])
 
 
+@lru_cache(maxsize=1)
+def id_cache(path: str) -> IdCache:
+    """The cache of a Python worker, which its tasks share one after the other."""
+    return IdCache(path)
+
+
 def token_pieces(documents: DataFrame, path: str, size: int = SEQUENCE, doc_id: str = "doc_id",
                  text: str = "text", with_ids: bool = False) -> DataFrame:
     """Pieces ``doc_id, piece, start, length, ids_crc32`` (and ``ids``)."""
@@ -157,7 +168,7 @@ def token_pieces(documents: DataFrame, path: str, size: int = SEQUENCE, doc_id:
     end = np.array([END_ID], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = IdCache(path)
+        cache = id_cache(path)
         for batch in batches:
             for first, last in chunked(pc.binary_length(batch.column(1)).to_pylist()):
                 part, out = batch.slice(first, last - first), []
