@@ -399,3 +399,50 @@ def test_property_long_and_open_records(spark):
             want = model([m for _, m in msgs])
             assert whole == [x for x in want if len(x) <= 40] and sorted(joined) == sorted(x for x in want if len(x) > 40)
             assert [(o, t) for o, _, t in sorted(opened.get(p, []))] == open_pieces(msgs), (block, p)
+
+
+def test_string_aware_steps_equal_sequential_model():
+    """What is known of a message from its codes, for every state, and of a block of them."""
+    import re
+
+    from tripstream.operators import quoted as q
+
+    def codes_of(text):
+        return re.sub(r'(?s)\\[^{}"]|[^{}"\\]+', "", text)
+
+    def walk(text, s):
+        touched, top = s == 0, s
+        for c in text:
+            if s % 3 == 2:
+                s -= 1
+            elif s % 3 == 1:
+                s += 1 if c == "\\" else -1 if c == '"' else 0
+            elif s == 0:
+                s = 3 if c == "{" else 0
+            else:
+                s += {"{": 3, "}": -3, '"': 1}.get(c, 0)
+            touched, top = touched or s == 0, max(top, s)
+        return s, touched, top // 3
+
+    rng = random.Random(51)
+    for _ in range(400):
+        msgs = ["".join(rng.choice('{{}}""\\\\xn ') for _ in range(rng.randint(1, 12))) for _ in range(rng.randint(1, 12))]
+        items = [(codes_of(m), codes_of(m[1:]) if m[0] in '{}"\\' else None) for m in msgs]
+        function = q.block_function(items)
+        for start in (0, *range(3, 30)):
+            s = start
+            for m, (codes, escaped) in zip(msgs, items):
+                assert q._state_after(codes, escaped, s)[:2] == walk(m, s)[:2], (m, s)
+                s, _, top = walk(m, s)
+            assert q.applied(function, start) == s, (msgs, start)
+
+
+def test_string_aware_spreads_its_walks(spark):
+    """Blocks' walks are not put together into a few tasks because their codes are few bytes."""
+    from tripstream.operators import quoted as q
+
+    rows = [(None, b'{"a":"}"} {"b":', "t", p, o, None) for p in range(2) for o in range(400)]
+    dec = decode_messages(spark.createDataFrame(rows, MESSAGE_SCHEMA))
+    blocks, met = q.locate(dec, 16, lambda t, n: F.broadcast(t))
+    assert blocks.count() == 50 and met.count() == 800
+    assert met.select(F.spark_partition_id()).distinct().count() >= 16

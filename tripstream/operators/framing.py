@@ -276,7 +276,7 @@ def _string_walk(dec: DataFrame, again: DataFrame, block_size: int, fast_depth:
                  regex_fast_path: bool) -> tuple[DataFrame, DataFrame, int]:
     """The same with strings passed over; ``d_in`` is a state of ``quoted``.
 
-    The states come from the functions gathered per block; they go to the segments
+    The states come from walks over the blocks' codes; they go to the segments
     beside the texts (no text in them) and meet their message there.
     """
     blocks, states = quoted.locate(dec, block_size, lambda t, n: _few(n)(t))
@@ -284,12 +284,13 @@ def _string_walk(dec: DataFrame, again: DataFrame, block_size: int, fast_depth:
     n_blocks = segs.count()
     few = _few(n_blocks)
     fast = F.col("text").rlike(quoted.self_contained_pattern(fast_depth)) if regex_fast_path else F.lit(False)
-    texts = again.select(*KEYS, "offset", "text", "pos0", F.lit(None).cast("long").alias("s_in"))
-    states = states.select(*KEYS, "offset", F.lit(None).cast("string").alias("text"), F.lit(0).alias("pos0"), "s_in")
+    texts = again.select(*KEYS, "offset", "text", "pos0", F.lit(None).cast(states.schema["met"].dataType).alias("met"))
+    states = states.select(*KEYS, "offset", F.lit(None).cast("string").alias("text"), F.lit(0).alias("pos0"), "met")
     wide = _to_segments(_placed_in_segments(texts.unionByName(states), segs, block_size, few), n_blocks)
     here = Window.partitionBy(*KEYS, "seg", "offset")
-    wide = wide.select("*", F.max("s_in").over(here).alias("d_in")).where(F.col("text").isNotNull())
-    return wide.select(*KEYS, "seg", "offset", "text", "pos0", fast.alias("fast"), "k0", "later", "d_in"), segs, n_blocks
+    wide = wide.withColumn("met", F.max("met").over(here)).where(F.col("text").isNotNull())
+    return (wide.select(*KEYS, "seg", "offset", "text", "pos0", fast.alias("fast"), "k0", "later", "met",
+                        F.col("met.s_in").alias("d_in")), segs, n_blocks)
 
 
 def _few(rows: int):

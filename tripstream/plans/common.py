@@ -47,11 +47,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def messages(spark: SparkSession, sf_dir: str, rules: FeedRules = FeedRules(), **kw) -> DataFrame:
+def dealt(rows: DataFrame) -> DataFrame:
     # a row of events becomes messages ten times its size, and the files may be few and small:
     # the rows are dealt to all cores first
-    rows = events(spark, sf_dir)
-    return trip_messages(rows.repartition(4 * spark.sparkContext.defaultParallelism, "event_id"), rules, **kw)
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, "event_id")
+
+
+def messages(spark: SparkSession, sf_dir: str, rules: FeedRules = FeedRules(), **kw) -> DataFrame:
+    return trip_messages(dealt(events(spark, sf_dir)), rules, **kw)
 
 
 def staged(rows: DataFrame, label: str, by: str | None = None) -> DataFrame:
@@ -71,7 +74,7 @@ def quoted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = (i % 40 + 1).cast("int")
     halves = F.array(F.struct(F.lit(0).alias("k"), F.substring(text, F.lit(1), at).alias("v")),
                      F.struct(F.lit(1).alias("k"), F.substring(text, at + 1, F.lit(1 << 20)).alias("v")))
-    return (events(spark, sf_dir).select(i, F.explode(halves).alias("h"))
+    return (dealt(events(spark, sf_dir)).select(i, F.explode(halves).alias("h"))
             .select(F.col("h.v").cast("binary").alias("value"), F.lit("t").alias("topic"),
                     (i % 4).cast("int").alias("partition"), (F.floor(i / 4) * 2 + F.col("h.k")).cast("long").alias("offset")))
 
